@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -50,14 +51,23 @@ def sliced_join(
     return rows.join(matches, [*keys, "_slice"], how).drop("_slice")
 
 
-def lookup_join(large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Joins a look-up table: broadcast when measured small, else ``sliced_join``.
+Joiner = Callable[..., DataFrame]
+
+
+def lookup_joiner(small: DataFrame, keys: list[str]) -> Joiner:
+    """A function ``(large, how="inner")`` that joins a look-up table.
 
-    Runs one aggregate over ``small`` to measure it.
+    Runs one aggregate over ``small`` to measure it: the table is broadcast when
+    it is within the bounds, else joined by ``sliced_join``. The decision is
+    taken once, so the function can serve every batch of a stream.
     """
     if fits_broadcast(small):
-        return large.join(F.broadcast(small), keys, how)
-    return sliced_join(large, small, keys, how)
+        return lambda large, how="inner": large.join(F.broadcast(small), keys, how)
+    return lambda large, how="inner": sliced_join(large, small, keys, how)
+
+
+def lookup_join(large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    return lookup_joiner(small, keys)(large, how)
 
 
 def restrict_to_keys(catalog: DataFrame, batch: DataFrame, key: str) -> DataFrame:

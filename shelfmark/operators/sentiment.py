@@ -86,32 +86,31 @@ def default_lexicon(spark: SparkSession) -> DataFrame:
 
 
 def _is_capitals(word: Column) -> Column:
-    return (word == F.upper(word)) & (word != F.lower(word))
+    return (word != F.lower(word)) & (word == F.upper(word))
 
 
-def _compound(text: Column, seen: Column) -> Column:
-    """Score from ``seen``, the review's words as an array of marks.
+def _add_score(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Adds the score from ``_seen``, the review's words as an array.
 
-    Each element has valence, degree, negates, contrasts and capitals; all but
-    the last are NULL for a word the tables do not hold.
+    Each element has ``capitals`` and ``found``, the marks of the word or NULL.
+    What the words of a review share is put in columns first, so that it is
+    worked out once per row.
     """
-    shouted = F.size(F.filter(seen, lambda m: m.capitals))
-    emphasis = F.when((shouted > 0) & (shouted < F.size(seen)), F.lit(CAPITALS_STEP)).otherwise(F.lit(0.0))
-    contrast_at = F.array_position(F.transform(seen, lambda m: F.coalesce(m.contrasts, F.lit(False))), True)
+    seen, emphasis, contrast_at = F.col("_seen"), F.col("_emphasis"), F.col("_contrast_at")
     damping = F.lit(list(DEGREE_DAMPING))
 
-    def in_context(mark: Column, index: Column) -> Column:
-        own = mark.valence + F.when(mark.capitals, F.signum(mark.valence) * emphasis).otherwise(F.lit(0.0))
+    def in_context(word: Column, index: Column) -> Column:
+        own = word.found.valence + F.when(word.capitals, F.signum(word.found.valence) * emphasis).otherwise(F.lit(0.0))
 
         def apply(value: Column, distance: Column) -> Column:
             before = F.get(seen, index - distance)
+            direction = F.when(value < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+            loudness = F.when(before.capitals, F.when(value > 0, emphasis).otherwise(-emphasis)).otherwise(F.lit(0.0))
             step = F.when(
-                before.valence.isNull() & before.degree.isNotNull(),
-                F.when(value < 0, -before.degree).otherwise(before.degree)
-                + F.when(before.capitals, F.when(value > 0, emphasis).otherwise(-emphasis)).otherwise(F.lit(0.0)),
+                before.found.valence.isNull() & before.found.degree.isNotNull(), before.found.degree * direction + loudness
             ).otherwise(F.lit(0.0))
-            turned = F.when(before.valence.isNull() & before.negates, F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
-            return (value + step * F.element_at(damping, distance)) * turned
+            turn = F.when(before.found.valence.isNull() & before.found.negates, F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
+            return (value + step * F.element_at(damping, distance)) * turn
 
         around = F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), own, apply)
         place = index + 1
@@ -120,9 +119,28 @@ def _compound(text: Column, seen: Column) -> Column:
             .when(place < contrast_at, F.lit(BEFORE_CONTRAST))
             .otherwise(F.lit(AFTER_CONTRAST))
         )
-        return F.when(mark.valence.isNull(), F.lit(0.0)).otherwise(around * weight)
+        return F.when(word.found.valence.isNull(), F.lit(0.0)).otherwise(around * weight)
+
+    shouted = F.size(F.filter(seen, lambda m: m.capitals))
+    contrasts = F.transform(seen, lambda m: F.coalesce(m.found.contrasts, F.lit(False)))
+    shared = df.withColumns({"_shouted": shouted, "_contrast_at": F.array_position(contrasts, True)}).withColumn(
+        "_emphasis",
+        F.when((F.col("_shouted") > 0) & (F.col("_shouted") < F.size(seen)), F.lit(CAPITALS_STEP)).otherwise(
+            F.lit(0.0)
+        ),
+    )
+    summed = shared.withColumn(
+        "_total", F.aggregate(F.transform(seen, in_context), F.lit(0.0), lambda acc, v: acc + v)
+    )
+    total = F.col("_total")
+    marked = summed.withColumn("_total", total + F.signum(total) * _punctuation_emphasis(F.col(text)))
+    score = F.round(total / F.sqrt(total * total + F.lit(NORMALISING_ALPHA)), 4)
+    return marked.withColumn(name, F.coalesce(score, F.lit(0.0))).drop(
+        "_seen", "_shouted", "_contrast_at", "_emphasis", "_total"
+    )
 
-    total = F.aggregate(F.transform(seen, in_context), F.lit(0.0), lambda acc, v: acc + v)
+
+def _punctuation_emphasis(text: Column) -> Column:
     exclaimed = F.least(_occurrences(text, "!"), F.lit(EXCLAMATION_MAX)) * F.lit(EXCLAMATION_STEP)
     questions = _occurrences(text, "?")
     questioned = (
@@ -130,23 +148,13 @@ def _compound(text: Column, seen: Column) -> Column:
         .when(questions <= 3, questions * F.lit(QUESTION_STEP))
         .otherwise(F.lit(QUESTION_MAX))
     )
-    return _normalised(total, exclaimed + questioned)
+    return exclaimed + questioned
 
 
 def _occurrences(text: Column, character: str) -> Column:
     return F.length(text) - F.length(F.translate(text, character, ""))
 
 
-def _normalised(total: Column, emphasis: Column) -> Column:
-    def score(pair: Column) -> Column:
-        value = pair.total + F.signum(pair.total) * pair.emphasis
-        return F.round(value / F.sqrt(value * value + F.lit(NORMALISING_ALPHA)), 4)
-
-    # a one-element array gives the sum a name, so that it is worked out once
-    one = F.array(F.struct(total.alias("total"), emphasis.alias("emphasis")))
-    return F.get(F.transform(one, score), F.lit(0))
-
-
 Scorer = Callable[[DataFrame], DataFrame]
 
 
@@ -164,28 +172,18 @@ def sentiment_scorer(
     valences = collect_words(lexicon, "valence")
     marks = context.marks()
 
-    def finish(df: DataFrame) -> DataFrame:
-        score = F.coalesce(_compound(F.col(text), F.col("_seen")), F.lit(0.0))
-        return df.withColumn(name, score).drop("_seen")
-
     if valences is None:
-        return lambda df: finish(_see_by_join(df, text, lexicon, marks))
+        return lambda df: _add_score(_see_by_join(df, text, lexicon, marks), text, name)
 
     for word, valence in valences.items():
         marks.setdefault(word, {})["valence"] = valence
     table = WordTable.build(lexicon.sparkSession, marks, f"struct<{_MARKS}>")
 
     def see(word: Column) -> Column:
-        found = table.get(F.lower(word))
-        return F.struct(
-            found.valence.alias("valence"),
-            found.degree.alias("degree"),
-            found.negates.alias("negates"),
-            found.contrasts.alias("contrasts"),
-            _is_capitals(word).alias("capitals"),
-        )
+        return F.struct(table.get(F.lower(word)).alias("found"), _is_capitals(word).alias("capitals"))
 
-    return lambda df: finish(df.withColumn("_seen", F.transform(bare_words(F.col(text), keep_short=True), see)))
+    seen = F.transform(bare_words(F.col(text), keep_short=True), see)
+    return lambda df: _add_score(df.withColumn("_seen", seen), text, name)
 
 
 def _see_by_join(df: DataFrame, text: str, lexicon: DataFrame, marks: dict[str, dict]) -> DataFrame:
@@ -199,21 +197,14 @@ def _see_by_join(df: DataFrame, text: str, lexicon: DataFrame, marks: dict[str,
     words = texts.select("_digest", F.posexplode(bare_words(F.col("_text"), keep_short=True)).alias("_at", "_word"))
     unique = lexicon.groupBy(F.col("word").alias("_lower")).agg(F.min("valence").alias("valence"))
     looked_up = sliced_join(words.withColumn("_lower", F.lower("_word")), unique, ["_lower"], "left")
-    context = WordTable.build(
-        df.sparkSession, marks, "struct<degree: double, negates: boolean, contrasts: boolean>"
-    ).get(F.col("_lower"))
-    seen = looked_up.groupBy("_digest").agg(
-        F.array_sort(
-            F.collect_list(
-                F.struct(
-                    "_at",
-                    "valence",
-                    context.degree.alias("degree"),
-                    context.negates.alias("negates"),
-                    context.contrasts.alias("contrasts"),
-                    _is_capitals(F.col("_word")).alias("capitals"),
-                )
-            )
-        ).alias("_seen")
+    effects = WordTable.build(df.sparkSession, marks, "struct<degree: double, negates: boolean, contrasts: boolean>")
+    effect = effects.get(F.col("_lower"))
+    found = F.struct(
+        "valence",
+        effect.degree.alias("degree"),
+        effect.negates.alias("negates"),
+        effect.contrasts.alias("contrasts"),
     )
+    entry = F.struct("_at", found.alias("found"), _is_capitals(F.col("_word")).alias("capitals"))
+    seen = looked_up.groupBy("_digest").agg(F.array_sort(F.collect_list(entry)).alias("_seen"))
     return sliced_join(keyed, seen, ["_digest"], "left").drop("_digest")

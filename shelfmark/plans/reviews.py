@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,8 +15,9 @@ from shelfmark.functions.scalars import (
     rating_to_int,
     strip_nul,
 )
-from shelfmark.operators.joins import lookup_join
+from shelfmark.operators.joins import lookup_joiner
 from shelfmark.operators.sentiment import Scorer
+from shelfmark.schemas import REVIEW_BATCH
 
 DATE_LAYOUT = "yyyy-MM-dd'T'HH:mm:ss"
 
@@ -36,23 +39,35 @@ def complete_reviews(batch: DataFrame) -> DataFrame:
     )
 
 
-def enrich_reviews(batch: DataFrame, catalog: DataFrame, score: Scorer) -> DataFrame:
-    """Complete reviews with their item's author, price and title, and a score.
+Enricher = Callable[[DataFrame], DataFrame]
+
 
-    Reviews of items outside the catalog drop out. A date in another layout
-    becomes NULL and its review stays. Columns the batch carries besides its
-    four, such as a review number, stay in front.
+def review_enricher(catalog: DataFrame, score: Scorer) -> Enricher:
+    """A function that enriches a batch: item data joined, sentiment scored.
+
+    Only complete reviews of items in the catalog come out. A date in another
+    layout becomes NULL and its review stays. Columns the batch carries besides
+    its four, such as a review number, stay in front. The catalog is measured
+    here, once.
     """
-    joined = lookup_join(complete_reviews(batch), catalog.select("asin", "author", "price", "title"), ["asin"])
-    extra = [c for c in batch.columns if c not in ("asin", "review_date", "rating", "review_text")]
-    return score(joined).select(
-        *extra,
-        "asin",
-        "author",
-        "price",
-        "title",
-        parse_review_date(F.col("review_date")).alias("review_date"),
-        "rating",
-        strip_nul(F.col("review_text")).alias("review_text"),
-        F.col("review_sentiment_score").cast("float").alias("review_sentiment_score"),
-    )
+    join_catalog = lookup_joiner(catalog.select("asin", "author", "price", "title"), ["asin"])
+
+    def enrich(batch: DataFrame) -> DataFrame:
+        extra = [c for c in batch.columns if c not in REVIEW_BATCH.names]
+        return score(join_catalog(complete_reviews(batch))).select(
+            *extra,
+            "asin",
+            "author",
+            "price",
+            "title",
+            parse_review_date(F.col("review_date")).alias("review_date"),
+            "rating",
+            strip_nul(F.col("review_text")).alias("review_text"),
+            F.col("review_sentiment_score").cast("float").alias("review_sentiment_score"),
+        )
+
+    return enrich
+
+
+def enrich_reviews(batch: DataFrame, catalog: DataFrame, score: Scorer) -> DataFrame:
+    return review_enricher(catalog, score)(batch)

@@ -2,28 +2,43 @@
 
 from pyspark.sql import types as T
 
+_STRING, _INT, _LONG = T.StringType(), T.IntegerType(), T.LongType()
+_FLOAT, _DOUBLE, _TIME = T.FloatType(), T.DoubleType(), T.TimestampNTZType()
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
 
+def _schema(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
-RAW_REVIEW = _schema("asin string, overall double, reviewText string, unixReviewTime bigint")
-RAW_CATALOG = _schema("asin string, brand string, price string, title string")
-REVIEW_BATCH = _schema("asin string, review_date string, rating int, review_text string")
-BATCH_ENVELOPE = _schema(
-    "book_reviews array<struct<asin: string, review_date: string, rating: int, review_text: string>>,"
-    " is_json_completed boolean"
-)
-CATALOG = _schema("asin string, author string, price float, title string")
+
+RAW_REVIEW = _schema(asin=_STRING, overall=_DOUBLE, reviewText=_STRING, unixReviewTime=_LONG)
+RAW_CATALOG = _schema(asin=_STRING, brand=_STRING, price=_STRING, title=_STRING)
+REVIEW_BATCH = _schema(asin=_STRING, review_date=_STRING, rating=_INT, review_text=_STRING)
+BATCH_ENVELOPE = _schema(book_reviews=T.ArrayType(REVIEW_BATCH), is_json_completed=T.BooleanType())
+CATALOG = _schema(asin=_STRING, author=_STRING, price=_FLOAT, title=_STRING)
 ENRICHED = _schema(
-    "review_id bigint, asin string, author string, price float, title string,"
-    " review_date timestamp_ntz, rating int, review_text string, review_sentiment_score float"
+    review_id=_LONG,
+    asin=_STRING,
+    author=_STRING,
+    price=_FLOAT,
+    title=_STRING,
+    review_date=_TIME,
+    rating=_INT,
+    review_text=_STRING,
+    review_sentiment_score=_FLOAT,
 )
-ADJECTIVES = _schema("author string, title string, year int, adjectives string")
+ADJECTIVES = _schema(author=_STRING, title=_STRING, year=_INT, adjectives=_STRING)
 WORKOUTS = _schema(
-    "id bigint, userId bigint, sport string, gender string, url string,"
-    " altitude array<double>, heart_rate array<double>, latitude array<double>,"
-    " longitude array<double>, speed array<double>, timestamp array<bigint>"
+    id=_LONG,
+    userId=_LONG,
+    sport=_STRING,
+    gender=_STRING,
+    url=_STRING,
+    altitude=T.ArrayType(_DOUBLE),
+    heart_rate=T.ArrayType(_DOUBLE),
+    latitude=T.ArrayType(_DOUBLE),
+    longitude=T.ArrayType(_DOUBLE),
+    speed=T.ArrayType(_DOUBLE),
+    timestamp=T.ArrayType(_LONG),
 )
 
 # Length limits of the stored text columns.
