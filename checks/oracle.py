@@ -81,9 +81,9 @@ def _tokens(source: str, key: str, text: str, short_kept: bool = False) -> str:
     """(key, place, word): words without surrounding punctuation, in order."""
     bare = f"trim(raw, '{PUNCTUATION}')"
     word = f"case when length({bare}) <= 2 then raw else {bare} end" if short_kept else bare
-    return f"""select {key}, word, row_number() over (partition by {key} order by at) place from (
-      select {key}, {word} word, at from (
-        select {key}, unnest(parts) raw, generate_subscripts(parts, 1) at from (
+    return f"""select {key}, word, row_number() over (partition by {key} order by spot) place from (
+      select {key}, {word} word, spot from (
+        select {key}, unnest(parts) raw, generate_subscripts(parts, 1) spot from (
           select {key}, string_split(trim(regexp_replace({text}, '{SPACES}', ' ', 'g')), ' ') parts
           from ({source}))))
       where word <> ''"""
@@ -151,8 +151,8 @@ LOWER_WORDS = rf"""select review_id, case when trimmed = '' and review_text <> '
   else regexp_split_to_array(trimmed, '[\s\x0b]') end words from (
   select review_id, review_text, regexp_replace(lower(review_text), '[\s\x0b]+$', '') trimmed from ({TEXTS}))"""
 
-KEPT_WORDS = f"""select review_id, word, at from (
-  select review_id, unnest(words) word, generate_subscripts(words, 1) at from ({LOWER_WORDS}))
+KEPT_WORDS = f"""select review_id, word, spot from (
+  select review_id, unnest(words) word, generate_subscripts(words, 1) spot from ({LOWER_WORDS}))
   where lower(word) not in ({_list(STOP_WORDS)})"""
 
 
@@ -269,7 +269,7 @@ SQL: dict[str, str] = {
       union all select 'stddev', round(stddev_samp(a), 6), round(stddev_samp(rating), 6) from i
       union all select 'min', min(asin)::double, min(rating)::double from i
       union all select 'max', max(asin)::double, max(rating)::double from i""",
-    "a13_size_summary": f"""select "count" workouts, mean, std, min, "25%" quarter, "50%" half,
+    "a13_size_summary": f"""select "count" workouts, mean, std, min, "25%" "quarter", "50%" "half",
       "75%" three_quarters, max from ({_SIZES})""",
     "a14_missing_values": _MISSING,
     "a15_dataset_totals": _MEASURES,
@@ -309,7 +309,7 @@ SQL: dict[str, str] = {
     "t1_lower_case_words": f"""select review_id, cast(len(words) as int) word_count,
       md5(array_to_string(words, ' ')) words_digest from ({LOWER_WORDS})""",
     "t2_without_stop_words": f"""select review_id, cast(count(word) as int) word_count,
-      md5(coalesce(string_agg(word, ' ' order by at), '')) words_digest
+      md5(coalesce(string_agg(word, ' ' order by spot), '')) words_digest
       from ({TEXTS}) left join ({KEPT_WORDS}) using (review_id) group by review_id""",
     "t3_bag_of_words": f"""select word, cast(sum(n) as bigint) term_count, count(*) document_count from (
       select review_id, word, count(*) n from ({KEPT_WORDS}) group by all)
