@@ -53,7 +53,7 @@ def nan_to_null(value: Column) -> Column:
 def array_mean_int(values: Column) -> Column:
     """Mean of an array cut to an int; NULL for a NULL or empty array."""
     total = F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
-    return (total / F.nullif(F.size(values), F.lit(0))).try_cast("int")
+    return F.try_divide(total, F.size(values)).try_cast("int")
 
 
 def has_zero_or_nan(values: Column) -> Column:
@@ -62,7 +62,7 @@ def has_zero_or_nan(values: Column) -> Column:
 
 def percent_of(part: Column, whole: Column) -> Column:
     """``part`` as a percentage of ``whole``; NULL when ``whole`` is 0."""
-    return part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)) * 100.0
+    return F.try_divide(part.cast("double"), whole.cast("double")) * 100.0
 
 
 def thousands(number: Column) -> Column:

@@ -51,4 +51,4 @@ def matching_titles(ratings: DataFrame, query: str) -> DataFrame:
 def word_cloud(enriched: DataFrame, tag: Tagger, entity: str, query: str, top: int | None = None) -> DataFrame:
     """Weighted adjectives of the reviews of the matching authors or titles."""
     matching = enriched.where(contains_ignore_case(F.col(entity), query))
-    return word_weights(word_counts(matching, tag, [entity]), top)
+    return word_weights(word_counts(matching, tag, []), top)

@@ -43,6 +43,6 @@ def sports_by_mean_heart_rates(workouts: DataFrame, k: int = 20) -> DataFrame:
     )
     per_sport = pairs.groupBy("sport").agg(
         F.count(F.lit(1)).alias("distinct_means"),
-        (F.sum("_sum") / F.nullif(F.sum("_n"), F.lit(0))).alias("mean_heart_rate"),
+        F.try_divide(F.sum("_sum"), F.sum("_n")).alias("mean_heart_rate"),
     )
     return top_k(per_sport, "distinct_means", "sport", k)
