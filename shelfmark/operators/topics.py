@@ -5,13 +5,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml import Pipeline
 from pyspark.ml.clustering import LDA, LDAModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, StopWordsRemover, Tokenizer
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.functions.text import english_stop_words, lower_words, without_stop_words
+from shelfmark.operators.words import bag_of_words, vocabulary
+
 
 @dataclass(frozen=True)
 class TopicModel:
@@ -20,19 +22,20 @@ class TopicModel:
     features: DataFrame
 
 
-def count_vectors(df: DataFrame, text: str, vocabulary: int = 10_000, min_documents: float = 5.0):
-    """Fits words → counts over the vocabulary; returns (fitted counter, features)."""
-    stages = Pipeline(
-        stages=[
-            Tokenizer(inputCol=text, outputCol="words"),
-            StopWordsRemover(inputCol="words", outputCol="filtered"),
-            CountVectorizer(
-                inputCol="filtered", outputCol="features", vocabSize=vocabulary, minDF=min_documents
-            ),
-        ]
-    )
-    fitted = stages.fit(df)
-    return fitted.stages[-1], fitted.transform(df).drop("words", "filtered")
+def count_vectors(
+    df: DataFrame, text: str, size: int = 10_000, min_documents: int = 5
+) -> tuple[CountVectorizerModel, DataFrame]:
+    """Adds ``features``, the counts of the vocabulary's words in each text.
+
+    The vocabulary is grouped and ranked by Spark, ties in word order, so that
+    the same texts always give the same vectors. Its at most ``size`` words are
+    collected.
+    """
+    words = without_stop_words(lower_words(F.col(text)), english_stop_words())
+    ranked = vocabulary(bag_of_words(df, words), size, min_documents)
+    known = [row.word for row in ranked.collect()]
+    counter = CountVectorizerModel.from_vocabulary(known, inputCol="_words", outputCol="features")
+    return counter, counter.transform(df.withColumn("_words", words)).drop("_words")
 
 
 def fit_topics(
@@ -40,16 +43,17 @@ def fit_topics(
     text: str = "review_text",
     topics: int = 10,
     iterations: int = 10,
-    vocabulary: int = 10_000,
-    min_documents: float = 5.0,
+    vocabulary_size: int = 10_000,
+    min_documents: int = 5,
     seed: int = 1,
 ) -> TopicModel:
     """Fits the model; its iterations are jobs and run here.
 
-    The iterations read only the count vectors, which are kept on executors'
-    memory and disk while they run and are computed anew where one is lost.
+    The iterations read only the count vectors, which are kept in the executors'
+    memory and on their disks while they run, and worked out anew where one is
+    lost.
     """
-    counter, features = count_vectors(df, text, vocabulary, min_documents)
+    counter, features = count_vectors(df, text, vocabulary_size, min_documents)
     vectors = features.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = LDA(k=topics, maxIter=iterations, seed=seed).fit(vectors)
