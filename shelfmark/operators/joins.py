@@ -32,9 +32,13 @@ def sliced_join(
 
     The rows of a hot key go to numbered slices and the matching rows of
     ``small`` are repeated once per slice, so each row still meets every match
-    exactly once. ``how`` is inner, left, left_semi or left_anti.
+    exactly once. Rows without a key count as a hot key of their own. Without a
+    hot key this is Spark's plain join. ``how`` is inner, left, left_semi or
+    left_anti.
     """
-    hot = hot_keys(large.dropna(subset=keys), keys, rows_per_slice, max_hot)
+    hot = hot_keys(large, keys, rows_per_slice, max_hot)
+    if hot is None:
+        return large.join(small, keys, how)
     no_key = ~reduce(and_, (F.col(k).isNotNull() for k in keys))
     rows = (
         add_slices(large, keys, hot)

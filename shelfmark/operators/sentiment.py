@@ -186,6 +186,13 @@ def sentiment_scorer(
     return lambda df: _add_score(df.withColumn("_seen", seen), text, name)
 
 
+def scorer_from(
+    function: Callable[[Column], Column], text: str = "review_text", name: str = "review_sentiment_score"
+) -> Scorer:
+    """A scorer from any column function, such as a ``pandas_udf`` of an analyser."""
+    return lambda df: df.withColumn(name, F.coalesce(function(F.col(text)).cast("double"), F.lit(0.0)))
+
+
 def _see_by_join(df: DataFrame, text: str, lexicon: DataFrame, marks: dict[str, dict]) -> DataFrame:
     """``_seen`` for a lexicon of any size, by joining words to it.
 

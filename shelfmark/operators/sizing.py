@@ -3,6 +3,9 @@
 One key may hold a third of all rows. Sums and counts need no care, because
 Spark combines them before the shuffle. Joins and list-building groupings do:
 they spread a hot key over several slices, chosen here.
+
+Which keys are hot is only a matter of speed. It may therefore be estimated from
+a sample; every row takes part in the result whatever the sample says.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_SLICE = 1_000_000
 MAX_HOT_KEYS = 10_000
+SAMPLED_PER_HOT_KEY = 1_000
 NULL_KEY_SLICES = 1024
 
 
@@ -35,21 +39,34 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int
 
 def hot_keys(
     df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE, max_hot: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """Keys too large for one task, with the number of slices each needs.
+) -> DataFrame | None:
+    """Keys too large for one task and the slices each needs, or None.
 
     A key is hot when it has more than ``rows_per_slice`` rows and more than one
     ``max_hot``-th of all rows. No more than ``max_hot`` keys can pass the second
-    test, whatever the data, so the result is always small enough to broadcast.
+    test, whatever the data, so the result is small enough to collect and to
+    broadcast. The counts come from about ``SAMPLED_PER_HOT_KEY * max_hot`` rows,
+    enough to tell a hot key, so that the detection shuffles as little for a
+    large table as for a small one. Runs two jobs that read the keys alone.
     """
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    limit = F.greatest(F.lit(float(rows_per_slice)), total / F.lit(float(max_hot)))
-    return counts.where(F.col("_n") > limit).select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_slices"))
+    only_keys = df.select(*keys)
+    total = only_keys.count()
+    limit = max(rows_per_slice, total / max_hot)
+    if total <= limit:
+        return None
+    fraction = min(1.0, SAMPLED_PER_HOT_KEY * max_hot / total)
+    seen = only_keys if fraction == 1.0 else only_keys.sample(fraction, seed=1)
+    slices = F.ceil(F.col("_n") / F.lit(limit * fraction)).cast("int")
+    counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit * fraction)
+    hot = counts.select(*keys, slices.alias("_slices"))
+    found = hot.collect()
+    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
 
 
-def add_slices(df: DataFrame, keys: list[str], hot: DataFrame) -> DataFrame:
+def add_slices(df: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
     """Adds ``_slices``: how many slices the row's key is cut into (1 if not hot)."""
+    if hot is None:
+        return df.withColumn("_slices", F.lit(1))
     names = {k: f"_hot_{k}" for k in keys}
     renamed = F.broadcast(hot.withColumnsRenamed(names))
     same = reduce(and_, (F.col(k).eqNullSafe(F.col(names[k])) for k in keys))

@@ -50,6 +50,13 @@ def adjective_tagger(tags: DataFrame, text: str = "review_text", name: str = "ad
     return lambda df: df.withColumn(name, F.coalesce(found, none))
 
 
+def tagger_from(
+    function: Callable[[Column], Column], text: str = "review_text", name: str = "adjective_list"
+) -> Tagger:
+    """A tagger from any column function that gives an array of words."""
+    return lambda df: df.withColumn(name, F.coalesce(function(F.col(text)), F.array().cast("array<string>")))
+
+
 def _tag_by_join(df: DataFrame, text: str, name: str, adjectives: DataFrame) -> DataFrame:
     """The same for a dictionary of any size; each distinct text is tagged once."""
     keyed = df.withColumn("_digest", F.sha2(F.col(text), 256))
@@ -92,12 +99,13 @@ def adjective_strings(
     """
     hot = hot_keys(tagged, keys, rows_per_part, max_hot)
     parted = add_slices(tagged.select(*keys, order, "adjective_list"), keys, hot)
+    part = F.lit(0) if hot is None else slice_of(order)
     entry = F.when(
         F.size("adjective_list") > 0,
         F.struct(F.col(order).alias("at"), F.array_join("adjective_list", " ").alias("words")),
     )
     return (
-        parted.groupBy(*keys, slice_of(order).alias("part"))
+        parted.groupBy(*keys, part.alias("part"))
         .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
         .select(*keys, "part", F.array_join(F.transform("_entries", lambda e: e.words), " ").alias("adjectives"))
     )

@@ -33,9 +33,17 @@ def test_copies_of_one_row_are_spread(skewed):
 
 def test_hot_keys_are_bounded(spark):
     df = spark.range(10_000).select((F.col("id") % 100).alias("k"))
-    assert sizing.hot_keys(df, ["k"], rows_per_slice=1, max_hot=50).count() == 0
+    assert sizing.hot_keys(df, ["k"], rows_per_slice=1, max_hot=50) is None
     assert sizing.hot_keys(df, ["k"], rows_per_slice=1, max_hot=200).count() == 100
-    assert sizing.hot_keys(df, ["k"], rows_per_slice=101, max_hot=200).count() == 0
+    assert sizing.hot_keys(df, ["k"], rows_per_slice=101, max_hot=200) is None
+    assert sizing.hot_keys(df.limit(0), ["k"]) is None
+
+
+def test_hot_keys_from_a_sample(spark, monkeypatch):
+    df = spark.range(100_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
+    monkeypatch.setattr(sizing, "SAMPLED_PER_HOT_KEY", 100)
+    found = [tuple(r) for r in sizing.hot_keys(df, ["k"], rows_per_slice=1, max_hot=100).collect()]
+    assert len(found) == 1 and found[0][0] == -1 and 30 <= found[0][1] <= 37
 
 
 def test_fits_broadcast_measures_rows_and_bytes(catalog):

@@ -1,11 +1,13 @@
 import math
 
+import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql.functions import pandas_udf
 
 from shelfmark.functions.text import WordTable
-from shelfmark.operators.sentiment import ContextWords, default_lexicon, sentiment_scorer
+from shelfmark.operators.sentiment import ContextWords, default_lexicon, scorer_from, sentiment_scorer
 
 
 def scores(spark, scorer, texts):
@@ -79,6 +81,14 @@ def test_context_words_can_be_replaced(spark):
     assert found == [compound(1.9 + 0.293), compound(1.9 * -0.74), compound(0.95 - 3.75), compound(1.9)]
 
 
+def test_an_analyser_of_the_caller_can_score(spark):
+    @pandas_udf("double")
+    def length_score(texts: pd.Series) -> pd.Series:
+        return texts.str.len() / 100
+
+    assert scores(spark, scorer_from(length_score), ["abcd", None]) == [0.04, 0.0]
+
+
 words = st.sampled_from(["good", "BAD", "not", "very", "but", "book", "!", "??", "great,", ":("])
 
 

@@ -33,6 +33,12 @@ def test_large_dictionary_is_joined_with_the_same_result(spark, monkeypatch):
     assert {r.review_id: r.adjective_list for r in tagged(spark).collect()} == here
 
 
+def test_a_tagger_of_the_caller_can_be_used(spark):
+    tag = words.tagger_from(lambda text: F.filter(F.split(text, " "), lambda w: w.startswith("g")))
+    found = tag(spark.createDataFrame(REVIEWS, SCHEMA)).orderBy("review_id").collect()
+    assert [r.adjective_list for r in found] == [[], [], ["good", "good"], [], ["good"]]
+
+
 def test_adjective_text_skips_reviews_without_any(spark, rows):
     found = words.adjective_strings(tagged(spark), ["author", "title", "year"])
     assert rows(found) == sorted(
