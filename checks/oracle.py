@@ -220,6 +220,8 @@ SQL: dict[str, str] = {
     "s7_rebuild_derived_table": _yearly(JOINED, "author", RATING),
     "s8_typed_table_load": _adjective_text('author, title, "year"', "adjectives"),
     "s9_page_of_a_table": f"""select review_id, asin, rating from ({TEXTS}) order by review_id limit 50 offset 100""",
+    "s9_page_after_a_key": f"""select review_id, asin, rating from ({TEXTS}) where review_id > 99
+      order by review_id limit 50""",
     "s10_preview_rows": f"select asin, author, title from ({CATALOG}) order by asin limit 5",
     "p1_required_columns_present": f"""select * from ({RAW_CATALOG}) where asin is not null and brand is not null
       and price is not null and title is not null""",
@@ -314,6 +316,13 @@ SQL: dict[str, str] = {
     "t3_bag_of_words": f"""select word, cast(sum(n) as bigint) term_count, count(*) document_count from (
       select review_id, word, count(*) n from ({KEPT_WORDS}) group by all)
       group by word having count(*) >= 5 order by 2 desc, 1 limit 10000""",
+    "t3_count_vectors_per_review": f"""with kept as ({KEPT_WORDS}),
+      vocabulary as (select word from (select word, sum(n) n from (
+          select review_id, word, count(*) n from kept group by all) group by word having count(*) >= 5)
+        order by n desc, word limit 10000)
+      select r.review_id, cast(count(distinct w.word) as int) distinct_words, count(w.word) word_count
+      from ({TEXTS}) r left join (select kept.review_id, kept.word from kept join vocabulary using (word)) w
+      using (review_id) group by r.review_id""",
     "t8_review_sentiment": f"""select review_id, round(cast(review_sentiment_score as double), 4) review_sentiment_score
       from ({SCORED})""",
     "t9_review_adjectives": f"""select review_id, coalesce(string_agg(word, ' ' order by place), '') adjectives

@@ -115,7 +115,7 @@ def s5_feed_resumes_after_saved_offset(t: Tables) -> DataFrame:
     schema = types.StructType([f for f in schemas.RAW_REVIEW if f.name in raw.columns])
     for number, part in enumerate((raw.where(~late), raw.where(late))):
         feed.write_feed(part, f"{source}/arrival={number}")
-        stream = feed.read_feed(t.spark, f"{source}/*", schema, files_per_batch=100)
+        stream = feed.read_feed(t.spark, f"{source}/*", schema)
         feed.load_to_end(stream, target, state)
     return aggregates.rows_per_group(feed.loaded_table(t.spark, target, schema), "asin")
 
@@ -150,6 +150,11 @@ def s9_page_of_a_table(t: Tables) -> DataFrame:
     return tables.page(t.review_batch().select("review_id", "asin", "rating"), "review_id", 100, 50)
 
 
+@query
+def s9_page_after_a_key(t: Tables) -> DataFrame:
+    return tables.page_after(t.review_batch().select("review_id", "asin", "rating"), "review_id", 99, 50)
+
+
 @query
 def s10_preview_rows(t: Tables) -> DataFrame:
     return tables.preview(t.catalog().select("asin", "author", "title"), "asin", 5)
@@ -527,6 +532,17 @@ def t3_bag_of_words(t: Tables) -> DataFrame:
     return words.vocabulary(words.bag_of_words(_words(t), kept))
 
 
+@query
+def t3_count_vectors_per_review(t: Tables) -> DataFrame:
+    """Distinct words and all words of each review that are in the vocabulary."""
+    _, vectors = topics.count_vectors(t.review_batch(), "review_text")
+    sparse = F.unwrap_udt("features")
+    total = F.aggregate(sparse["values"], F.lit(0.0), lambda acc, n: acc + n)
+    return vectors.select(
+        "review_id", F.size(sparse["values"]).alias("distinct_words"), total.cast("bigint").alias("word_count")
+    )
+
+
 @lru_cache(maxsize=4)
 def _topic_model(t: Tables) -> topics.TopicModel:
     return review_topics(t.review_batch())
@@ -683,8 +699,8 @@ def _feed_reviews(t: Tables) -> DataFrame:
 @query
 def x1_feed_in_micro_batches(t: Tables) -> DataFrame:
     source, target, state = (fresh_path(t.spark, n) for n in ("feed", "loaded", "state"))
-    feed.write_feed(_feed_reviews(t), source, fetch_size=20_000)
-    feed.load_to_end(feed.read_feed(t.spark, source, schemas.REVIEW_BATCH, files_per_batch=2), target, state)
+    feed.write_feed(_feed_reviews(t), source)
+    feed.load_to_end(feed.read_feed(t.spark, source, schemas.REVIEW_BATCH), target, state)
     loaded = feed.loaded_table(t.spark, target, schemas.REVIEW_BATCH)
     return aggregates.rows_per_group(loaded, "asin", "rating")
 
@@ -692,9 +708,9 @@ def x1_feed_in_micro_batches(t: Tables) -> DataFrame:
 @query
 def x2_each_batch_enriched_and_appended(t: Tables) -> DataFrame:
     source, target, state = (fresh_path(t.spark, n) for n in ("feed", "enriched", "state"))
-    feed.write_feed(t.review_batch().drop("review_id"), source, fetch_size=250)
+    feed.write_feed(t.review_batch().drop("review_id"), source)
     enrich = reviews.review_enricher(t.catalog(), t.scorer())
-    stream = feed.read_feed(t.spark, source, schemas.REVIEW_BATCH, files_per_batch=1000)
+    stream = feed.read_feed(t.spark, source, schemas.REVIEW_BATCH)
     feed.load_to_end(stream, target, state, enrich)
     columns = types.StructType([f for f in schemas.ENRICHED if f.name != "review_id"])
     loaded = feed.loaded_table(t.spark, target, columns)
@@ -710,7 +726,7 @@ def x3_runs_until_the_input_ends(t: Tables) -> DataFrame:
     source, target, state = (fresh_path(t.spark, n) for n in ("feed", "loaded", "state"))
     feed.write_feed(_feed_reviews(t), source)
     for _ in range(2):
-        stream = feed.read_feed(t.spark, source, schemas.REVIEW_BATCH, files_per_batch=1000)
+        stream = feed.read_feed(t.spark, source, schemas.REVIEW_BATCH)
         feed.load_to_end(stream, target, state)
     items = joins.lookup_join(feed.loaded_table(t.spark, target, schemas.REVIEW_BATCH), t.catalog(), ["asin"])
     dated = items.withColumn("review_date", scalars.parse_review_date(F.col("review_date")))
@@ -721,7 +737,7 @@ def x3_runs_until_the_input_ends(t: Tables) -> DataFrame:
 def x4_rows_loaded_per_batch(t: Tables) -> DataFrame:
     source, target, state = (fresh_path(t.spark, n) for n in ("feed", "loaded", "state"))
     feed.write_feed(_feed_reviews(t), source)
-    feed.load_to_end(feed.read_feed(t.spark, source, schemas.REVIEW_BATCH, files_per_batch=1000), target, state)
+    feed.load_to_end(feed.read_feed(t.spark, source, schemas.REVIEW_BATCH), target, state)
     progress = feed.load_progress(feed.loaded_table(t.spark, target, schemas.REVIEW_BATCH))
     return progress.agg(F.sum("rows_loaded").alias("rows_loaded"), F.max("rows_so_far").alias("rows_so_far"))
 

@@ -44,7 +44,7 @@ def bare_words(text: Column, keep_short: bool = False) -> Column:
 
     def strip(word: Column) -> Column:
         bare = F.btrim(word, F.lit(PUNCTUATION))
-        return F.when(F.length(bare) <= 2, word).otherwise(bare) if keep_short else bare
+        return F.when((F.length(word) <= 2) | (F.length(bare) <= 2), word).otherwise(bare) if keep_short else bare
 
     return F.filter(F.transform(raw, strip), lambda w: w != "")
 

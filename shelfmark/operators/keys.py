@@ -42,10 +42,16 @@ def add_surrogate_key(df: DataFrame, name: str = "review_id", order: list[str] |
     Each partition numbers its own rows and the partitions' offsets are added by
     a join with one row per partition. The partition numbers are checkpointed
     first: a shuffle that is run again could place the rows differently. With
-    ``order`` the number is the row's rank by these columns.
+    ``order`` the number is the row's rank by these columns; rows that are alike
+    in them may be placed in several ranges, so that many of a kind do not have
+    to be sorted by one task.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    placed = df
+    if order:
+        tie = F.xxhash64(F.spark_partition_id(), *df.columns)
+        by = [*order, "_tie"]
+        placed = df.withColumn("_tie", tie).repartitionByRange(*by).sortWithinPartitions(*by)
     position = F.monotonically_increasing_id()
     pinned = placed.withColumns(
         {

@@ -90,27 +90,34 @@ def _is_capitals(word: Column) -> Column:
 
 
 def _add_score(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds the score from ``_seen``, the review's words as an array.
+    """Adds the score from ``_words`` and ``_marks``, two arrays of equal length.
 
-    Each element has ``capitals`` and ``found``, the marks of the word or NULL.
-    What the words of a review share is put in columns first, so that it is
-    worked out once per row.
+    A mark is NULL for a word the tables do not hold, which most are. What the
+    words of a review share is put in columns first, so that it is worked out
+    once per row.
     """
-    seen, emphasis, contrast_at = F.col("_seen"), F.col("_emphasis"), F.col("_contrast_at")
+    words, marks = F.col("_words"), F.col("_marks")
+    emphasis, contrast_at = F.col("_emphasis"), F.col("_contrast_at")
     damping = F.lit(list(DEGREE_DAMPING))
+    nothing = F.lit(0.0)
 
-    def in_context(word: Column, index: Column) -> Column:
-        own = word.found.valence + F.when(word.capitals, F.signum(word.found.valence) * emphasis).otherwise(F.lit(0.0))
+    def loudness(index: Column) -> Column:
+        loud = (emphasis > 0) & _is_capitals(F.get(words, index))
+        return F.when(loud, emphasis).otherwise(nothing)
+
+    def in_context(mark: Column, index: Column) -> Column:
+        own = mark.valence + F.signum(mark.valence) * loudness(index)
 
         def apply(value: Column, distance: Column) -> Column:
-            before = F.get(seen, index - distance)
+            before = F.get(marks, index - distance)
             direction = F.when(value < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-            loudness = F.when(before.capitals, F.when(value > 0, emphasis).otherwise(-emphasis)).otherwise(F.lit(0.0))
-            step = F.when(
-                before.found.valence.isNull() & before.found.degree.isNotNull(), before.found.degree * direction + loudness
-            ).otherwise(F.lit(0.0))
-            turn = F.when(before.found.valence.isNull() & before.found.negates, F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
-            return (value + step * F.element_at(damping, distance)) * turn
+            push = before.degree * direction + F.when(value > 0, F.lit(1.0)).otherwise(F.lit(-1.0)) * loudness(
+                index - distance
+            )
+            step = F.when(before.degree.isNotNull(), push * F.element_at(damping, distance)).otherwise(nothing)
+            turn = F.when(before.negates, F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
+            # a word with a valence of its own has no other effect
+            return F.when(before.isNull() | before.valence.isNotNull(), value).otherwise((value + step) * turn)
 
         around = F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), own, apply)
         place = index + 1
@@ -119,24 +126,26 @@ def _add_score(df: DataFrame, text: str, name: str) -> DataFrame:
             .when(place < contrast_at, F.lit(BEFORE_CONTRAST))
             .otherwise(F.lit(AFTER_CONTRAST))
         )
-        return F.when(word.found.valence.isNull(), F.lit(0.0)).otherwise(around * weight)
-
-    shouted = F.size(F.filter(seen, lambda m: m.capitals))
-    contrasts = F.transform(seen, lambda m: F.coalesce(m.found.contrasts, F.lit(False)))
-    shared = df.withColumns({"_shouted": shouted, "_contrast_at": F.array_position(contrasts, True)}).withColumn(
-        "_emphasis",
-        F.when((F.col("_shouted") > 0) & (F.col("_shouted") < F.size(seen)), F.lit(CAPITALS_STEP)).otherwise(
-            F.lit(0.0)
-        ),
-    )
-    summed = shared.withColumn(
-        "_total", F.aggregate(F.transform(seen, in_context), F.lit(0.0), lambda acc, v: acc + v)
+        return F.when(mark.valence.isNull(), nothing).otherwise(around * weight)
+
+    # capitals stand out only where some marked word has them and not all words do
+    marked_capitals = F.zip_with(words, marks, lambda w, m: m.isNotNull() & _is_capitals(w))
+    capitals = F.size(F.filter(words, _is_capitals))
+    contrasts = F.transform(marks, lambda m: F.coalesce(m.contrasts, F.lit(False)))
+    shared = df.withColumns(
+        {
+            "_contrast_at": F.array_position(contrasts, True),
+            "_emphasis": F.when(
+                F.array_contains(marked_capitals, True) & (capitals < F.size(words)), F.lit(CAPITALS_STEP)
+            ).otherwise(nothing),
+        }
     )
+    summed = shared.withColumn("_total", F.aggregate(F.transform(marks, in_context), nothing, lambda acc, v: acc + v))
     total = F.col("_total")
     marked = summed.withColumn("_total", total + F.signum(total) * _punctuation_emphasis(F.col(text)))
     score = F.round(total / F.sqrt(total * total + F.lit(NORMALISING_ALPHA)), 4)
-    return marked.withColumn(name, F.coalesce(score, F.lit(0.0))).drop(
-        "_seen", "_shouted", "_contrast_at", "_emphasis", "_total"
+    return marked.withColumn(name, F.coalesce(score, nothing)).drop(
+        "_words", "_marks", "_contrast_at", "_emphasis", "_total"
     )
 
 
@@ -173,17 +182,18 @@ def sentiment_scorer(
     marks = context.marks()
 
     if valences is None:
-        return lambda df: _add_score(_see_by_join(df, text, lexicon, marks), text, name)
+        return lambda df: _add_score(_mark_by_join(df, text, lexicon, marks), text, name)
 
     for word, valence in valences.items():
         marks.setdefault(word, {})["valence"] = valence
     table = WordTable.build(lexicon.sparkSession, marks, f"struct<{_MARKS}>")
 
-    def see(word: Column) -> Column:
-        return F.struct(table.get(F.lower(word)).alias("found"), _is_capitals(word).alias("capitals"))
+    def score(df: DataFrame) -> DataFrame:
+        words = df.withColumn("_words", bare_words(F.col(text), keep_short=True))
+        marked = words.withColumn("_marks", F.transform("_words", lambda w: table.get(F.lower(w))))
+        return _add_score(marked, text, name)
 
-    seen = F.transform(bare_words(F.col(text), keep_short=True), see)
-    return lambda df: _add_score(df.withColumn("_seen", seen), text, name)
+    return score
 
 
 def scorer_from(
@@ -193,8 +203,8 @@ def scorer_from(
     return lambda df: df.withColumn(name, F.coalesce(function(F.col(text)).cast("double"), F.lit(0.0)))
 
 
-def _see_by_join(df: DataFrame, text: str, lexicon: DataFrame, marks: dict[str, dict]) -> DataFrame:
-    """``_seen`` for a lexicon of any size, by joining words to it.
+def _mark_by_join(df: DataFrame, text: str, lexicon: DataFrame, marks: dict[str, dict]) -> DataFrame:
+    """``_words`` and ``_marks`` for a lexicon of any size, by joining words to it.
 
     Works on each distinct text once, keyed by its digest. The regrouping brings
     one review's own words back together, never those of several reviews.
@@ -202,16 +212,16 @@ def _see_by_join(df: DataFrame, text: str, lexicon: DataFrame, marks: dict[str,
     keyed = df.withColumn("_digest", F.sha2(F.col(text), 256))
     texts = keyed.where(F.col("_digest").isNotNull()).groupBy("_digest").agg(F.any_value(text).alias("_text"))
     words = texts.select("_digest", F.posexplode(bare_words(F.col("_text"), keep_short=True)).alias("_at", "_word"))
-    unique = lexicon.groupBy(F.col("word").alias("_lower")).agg(F.min("valence").alias("valence"))
+    unique = lexicon.groupBy(F.col("word").alias("_lower")).agg(F.min("valence").alias("_valence"))
     looked_up = sliced_join(words.withColumn("_lower", F.lower("_word")), unique, ["_lower"], "left")
-    effects = WordTable.build(df.sparkSession, marks, "struct<degree: double, negates: boolean, contrasts: boolean>")
-    effect = effects.get(F.col("_lower"))
-    found = F.struct(
-        "valence",
-        effect.degree.alias("degree"),
-        effect.negates.alias("negates"),
-        effect.contrasts.alias("contrasts"),
+    effects = WordTable.build(df.sparkSession, marks, f"struct<{_MARKS}>")
+    found = looked_up.withColumn("_effect", effects.get(F.col("_lower")))
+    mark = F.struct(
+        F.col("_valence").alias("valence"),
+        *(F.col(f"_effect.{field}").alias(field) for field in ("degree", "negates", "contrasts")),
     )
-    entry = F.struct("_at", found.alias("found"), _is_capitals(F.col("_word")).alias("capitals"))
-    seen = looked_up.groupBy("_digest").agg(F.array_sort(F.collect_list(entry)).alias("_seen"))
+    known = F.col("_valence").isNotNull() | F.col("_effect").isNotNull()
+    entry = F.struct("_at", F.col("_word").alias("word"), F.when(known, mark).alias("mark"))
+    lists = found.groupBy("_digest").agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
+    seen = lists.select("_digest", F.col("_entries.word").alias("_words"), F.col("_entries.mark").alias("_marks"))
     return sliced_join(keyed, seen, ["_digest"], "left").drop("_digest")

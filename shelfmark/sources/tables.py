@@ -46,10 +46,21 @@ def page(df: DataFrame, key: str | list[str], offset: int, size: int) -> DataFra
     """``size`` rows after the first ``offset`` ones, in the order of ``key``.
 
     A page needs an order that tells all rows apart, or rows may repeat or be
-    missed between pages.
+    missed between pages. All rows before the page are ranked with it, so reading
+    on through a large table is better done with ``page_after``.
     """
     return df.orderBy(key).offset(offset).limit(size)
 
 
+def page_after(df: DataFrame, key: str, last, size: int) -> DataFrame:
+    """``size`` rows after the one whose ``key`` is ``last`` (None for the first page).
+
+    The key filter reaches the scan, and only ``size`` rows are ranked however
+    far into the table the page lies.
+    """
+    rest = df if last is None else df.where(F.col(key) > F.lit(last))
+    return rest.orderBy(key).limit(size)
+
+
 def preview(df: DataFrame, key: str | list[str], rows: int = 20) -> DataFrame:
     return df.orderBy(key).limit(rows)

@@ -19,6 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 FETCH_SIZE = 100_000
 FETCH_INTERVAL = "2 minutes"
 
+# Files per core in a batch, unless the caller says how many files a batch takes.
+FILES_PER_CORE = 8
+
 
 def write_feed(reviews: DataFrame, path: str, fetch_size: int = FETCH_SIZE) -> None:
     """Stores reviews as feed files of at most ``fetch_size`` records each."""
@@ -29,10 +32,17 @@ def read_feed(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    files_per_batch: int = 1,
+    files_per_batch: int | None = None,
     archive: str | None = None,
 ) -> DataFrame:
-    """The feed as a stream; with ``archive``, loaded files are moved there."""
+    """The feed as a stream; with ``archive``, loaded files are moved there.
+
+    One file per batch is the pace of a single fetch. By default a batch takes
+    as many files as keep all cores busy, so that a long backlog on a large
+    cluster is not loaded file by file.
+    """
+    if files_per_batch is None:
+        files_per_batch = FILES_PER_CORE * spark.sparkContext.defaultParallelism
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)

@@ -77,6 +77,10 @@ def test_pages_cover_the_table_once(spark):
     pages = [[r.id for r in tables.page(df, "id", start, 10).collect()] for start in (0, 10, 20, 30)]
     assert [len(p) for p in pages] == [10, 10, 5, 0] and sum(pages, []) == list(range(25))
     assert [r.id for r in tables.preview(df, "id", 3).collect()] == [0, 1, 2]
+    read, last = [], None
+    while found := [r.id for r in tables.page_after(df, "id", last, 10).collect()]:
+        read, last = read + found, found[-1]
+    assert read == list(range(25))
 
 
 class Recorder:
@@ -171,7 +175,7 @@ def test_a_batch_run_again_replaces_itself(spark, folder, reviews):
         return batch
 
     def run():
-        stream = feed.read_feed(spark, source, schemas.REVIEW_BATCH)
+        stream = feed.read_feed(spark, source, schemas.REVIEW_BATCH, files_per_batch=1)
         feed.load_to_end(stream, target, state, stored_then_failed)
 
     with pytest.raises(Exception, match="lost"):
@@ -183,7 +187,7 @@ def test_a_batch_run_again_replaces_itself(spark, folder, reviews):
 def test_timed_feed_keeps_running(spark, folder, reviews):
     source, target = folder("feed"), folder("loaded")
     feed.write_feed(reviews, source)
-    stream = feed.read_feed(spark, source, schemas.REVIEW_BATCH, 100, archive=folder("archive"))
+    stream = feed.read_feed(spark, source, schemas.REVIEW_BATCH, archive=folder("archive"))
     running = feed.load_feed(stream, target, folder("state"), interval="1 second")
     try:
         running.processAllAvailable()
