@@ -52,11 +52,14 @@ def joined_items(t: Tables) -> DataFrame:
 def unread_reviews(t: Tables) -> DataFrame:
     """Raw feed records, from the line items: some ratings NaN, some dates missing."""
     quantity, ship = F.col("l_quantity"), F.col("l_shipdate")
+    # counted from the date, as a cast to a timestamp would depend on the session zone
+    days = F.unix_date(ship.cast("date")).cast("bigint")
+    epoch = days * 86_400 + F.hour(ship) * 3_600 + F.minute(ship) * 60 + F.second(ship).cast("bigint")
     return t.table("lineitem").select(
         F.col("l_partkey").cast("string").alias("asin"),
         F.when(quantity % 7 == 0, F.lit(float("nan"))).otherwise(quantity / 10).alias("overall"),
         F.col("l_returnflag").alias("reviewText"),
-        F.when(F.col("l_linenumber") != 3, F.unix_seconds(ship.cast("timestamp"))).alias("unixReviewTime"),
+        F.when(F.col("l_linenumber") != 3, epoch).alias("unixReviewTime"),
     )
 
 
@@ -692,7 +695,7 @@ def c13_dataset_profile(t: Tables) -> DataFrame:
 
 
 def _feed_reviews(t: Tables) -> DataFrame:
-    dated = F.date_format("review_date", reviews.DATE_LAYOUT)
+    dated = scalars.iso_text(F.col("review_date"))
     return t.rated_items().select("asin", dated.alias("review_date"), "rating", F.lit("read").alias("review_text"))
 
 

@@ -37,6 +37,11 @@ def epoch_to_timestamp(seconds: Column) -> Column:
     return epoch + F.make_dt_interval(secs=seconds)
 
 
+def iso_text(when: Column) -> Column:
+    """ISO text of a zone-free timestamp of whole seconds, in any session zone."""
+    return F.translate(when.cast("string"), " ", "T")
+
+
 def strip_nul(text: Column) -> Column:
     return F.translate(text, "\x00", "")
 

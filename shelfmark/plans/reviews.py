@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from shelfmark.functions.predicates import all_present, not_empty
 from shelfmark.functions.scalars import (
     epoch_to_timestamp,
+    iso_text,
     nan_to_null,
     parse_review_date,
     rating_to_int,
@@ -19,14 +20,11 @@ from shelfmark.operators.joins import lookup_joiner
 from shelfmark.operators.sentiment import Scorer
 from shelfmark.schemas import REVIEW_BATCH
 
-DATE_LAYOUT = "yyyy-MM-dd'T'HH:mm:ss"
-
-
 def normalise_reviews(raw: DataFrame) -> DataFrame:
     """Raw feed records to the four columns of a review batch."""
     return raw.select(
         "asin",
-        F.date_format(epoch_to_timestamp(F.col("unixReviewTime")), DATE_LAYOUT).alias("review_date"),
+        iso_text(epoch_to_timestamp(F.col("unixReviewTime"))).alias("review_date"),
         rating_to_int(nan_to_null(F.col("overall"))).alias("rating"),
         F.col("reviewText").alias("review_text"),
     )
