@@ -27,6 +27,7 @@ def sliced_join(
     how: str = "inner",
     rows_per_slice: int = ROWS_PER_SLICE,
     max_hot: int = MAX_HOT_KEYS,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Shuffle join in which a hot key of ``large`` is spread over many tasks.
 
@@ -35,8 +36,11 @@ def sliced_join(
     exactly once. Rows without a key count as a hot key of their own. Without a
     hot key this is Spark's plain join. ``how`` is inner, left, left_semi or
     left_anti.
+
+    The keys are sized from ``sizes_from`` where it is given. A table from which
+    ``large`` was filtered by other columns spares reading those twice.
     """
-    hot = hot_keys(large, keys, rows_per_slice, max_hot)
+    hot = hot_keys(large if sizes_from is None else sizes_from, keys, rows_per_slice, max_hot)
     if hot is None:
         return large.join(small, keys, how)
     no_key = ~reduce(and_, (F.col(k).isNotNull() for k in keys))
@@ -59,15 +63,15 @@ Joiner = Callable[..., DataFrame]
 
 
 def lookup_joiner(small: DataFrame, keys: list[str]) -> Joiner:
-    """A function ``(large, how="inner")`` that joins a look-up table.
+    """A function ``(large, how="inner", sizes_from=None)`` that joins a look-up table.
 
     Runs one aggregate over ``small`` to measure it: the table is broadcast when
     it is within the bounds, else joined by ``sliced_join``. The decision is
     taken once, so the function can serve every batch of a stream.
     """
     if fits_broadcast(small):
-        return lambda large, how="inner": large.join(F.broadcast(small), keys, how)
-    return lambda large, how="inner": sliced_join(large, small, keys, how)
+        return lambda large, how="inner", sizes_from=None: large.join(F.broadcast(small), keys, how)
+    return lambda large, how="inner", sizes_from=None: sliced_join(large, small, keys, how, sizes_from=sizes_from)
 
 
 def lookup_join(large: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.operators.joins import lookup_join
-from shelfmark.sources.storage import ensure_checkpoint_dir
+from shelfmark.sources.storage import fresh_path
 
 
 def primary_key_violations(df: DataFrame, *keys: str) -> DataFrame:
@@ -40,25 +40,26 @@ def add_surrogate_key(df: DataFrame, name: str = "review_id", order: list[str] |
     """Numbers the rows 1..n without sorting them in one task.
 
     Each partition numbers its own rows and the partitions' offsets are added by
-    a join with one row per partition. The partition numbers are checkpointed
-    first: a shuffle that is run again could place the rows differently. With
+    a join with one row per partition. The placed rows are stored in the shared
+    folder first: a shuffle that is run again could place them differently. With
     ``order`` the number is the row's rank by these columns; rows that are alike
     in them may be placed in several ranges, so that many of a kind do not have
     to be sorted by one task.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     placed = df
     if order:
         tie = F.xxhash64(F.spark_partition_id(), *df.columns)
         by = [*order, "_tie"]
         placed = df.withColumn("_tie", tie).repartitionByRange(*by).sortWithinPartitions(*by)
     position = F.monotonically_increasing_id()
-    pinned = placed.withColumns(
-        {
-            "_partition": F.spark_partition_id(),
-            "_position": position.bitwiseAND(F.lit((1 << 33) - 1)),
-        }
-    ).checkpoint()
+    numbered = placed.select(
+        *df.columns,
+        F.spark_partition_id().alias("_partition"),
+        position.bitwiseAND(F.lit((1 << 33) - 1)).alias("_position"),
+    )
+    path = fresh_path(df.sparkSession, "numbered")
+    numbered.write.parquet(path)
+    pinned = df.sparkSession.read.schema(numbered.schema).parquet(path)
     sizes = pinned.groupBy("_partition").agg(F.count(F.lit(1)).alias("_size"))
     # one row per partition, so the window without a partitioning stays tiny
     before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)

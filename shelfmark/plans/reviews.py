@@ -52,7 +52,9 @@ def review_enricher(catalog: DataFrame, score: Scorer) -> Enricher:
 
     def enrich(batch: DataFrame) -> DataFrame:
         extra = [c for c in batch.columns if c not in REVIEW_BATCH.names]
-        return score(join_catalog(complete_reviews(batch))).select(
+        # the items are sized from the unfiltered batch, which leaves the text unread
+        joined = join_catalog(complete_reviews(batch), sizes_from=batch)
+        return score(joined).select(
             *extra,
             "asin",
             "author",

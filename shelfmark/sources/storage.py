@@ -22,11 +22,6 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-
-
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no earlier run has used."""
     return os.path.join(shared_folder(spark), f"{name}-{uuid.uuid4().hex}")

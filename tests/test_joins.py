@@ -24,6 +24,13 @@ def test_sliced_join_equals_a_plain_join(skewed, catalog, rows, how):
     assert rows(sliced) == rows(skewed.join(catalog, "asin", how))
 
 
+def test_keys_may_be_sized_from_another_table(skewed, catalog, rows):
+    few = skewed.where("not alike")
+    sliced = joins.sliced_join(few, catalog, ["asin"], rows_per_slice=100, max_hot=20, sizes_from=skewed)
+    assert rows(sliced) == rows(few.join(catalog, "asin"))
+    assert rows(joins.lookup_joiner(catalog, ["asin"])(few, sizes_from=skewed)) == rows(sliced)
+
+
 def test_copies_of_one_row_are_spread(skewed):
     hot = sizing.hot_keys(skewed, ["asin"], rows_per_slice=100, max_hot=20)
     spread = sizing.add_slices(skewed, ["asin"], hot).withColumn("slice", sizing.slice_of("asin", "alike"))
