@@ -53,28 +53,25 @@ class WordTable:
     """A small word → value table held inside the plan as one constant.
 
     The words are spread over hash buckets, so a look-up hashes the word and
-    searches a map of a few entries. Only a table within ``MAX_WORDS`` may be
-    held this way; ``collect_words`` checks that.
+    searches a map of a few entries. Only a table within ``MAX_WORDS`` words of
+    ``MAX_WORD_BYTES`` may be held this way; ``collect_words`` checks that.
     """
 
     MAX_WORDS = 50_000
-    MAX_BYTES = 4 * 1024 * 1024
+    MAX_WORD_BYTES = 100
 
     def __init__(self, bucketed: list[dict], value_type: str):
         self._size = len(bucketed)
-        self._table = F.from_json(
-            F.lit(json.dumps(bucketed, ensure_ascii=False)), f"array<map<string,{value_type}>>"
-        )
+        self._table = _constant(bucketed, f"array<map<string,{value_type}>>")
 
     @classmethod
     def build(cls, spark, values: dict, value_type: str) -> "WordTable":
         """Buckets ``values`` with Spark's own hash of each word."""
-        size = max(16, 2 * len(values))
-        words = spark.createDataFrame([(w,) for w in values], "word string")
-        homes = words.select("word", cls._home(F.col("word"), size).alias("home")).collect()
+        words, size = list(values), max(16, 2 * len(values))
+        homes = F.transform(_constant(words, "array<string>"), lambda w: cls._home(w, size))
         bucketed: list[dict] = [{} for _ in range(size)]
-        for row in homes:
-            bucketed[row.home][row.word] = values[row.word]
+        for word, home in zip(words, spark.range(1).select(homes).first()[0]):
+            bucketed[home][word] = values[word]
         return cls(bucketed, value_type)
 
     @staticmethod
@@ -86,19 +83,23 @@ class WordTable:
         return F.get(self._table, self._home(word, self._size))[word]
 
 
+def _constant(value, kind: str) -> Column:
+    """A nested constant, which Spark works out once per query."""
+    return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), kind)
+
+
 def collect_words(table: DataFrame, value: str) -> dict | None:
     """``word`` → ``value`` of a small table, or None when it is too large.
 
-    Runs one aggregate to measure the table and collects it only within the
-    bounds of ``WordTable``. A word listed twice takes its smallest value.
+    Runs one job that brings back no more than the bounds of ``WordTable`` and
+    one row. A word listed twice takes its smallest value.
     """
     unique = table.where(F.col("word").isNotNull()).groupBy("word").agg(F.min(value).alias(value))
-    measured = unique.agg(
-        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.octet_length("word")), F.lit(0)).alias("size")
-    ).first()
-    if measured.n > WordTable.MAX_WORDS or measured.size > WordTable.MAX_BYTES:
+    fits = F.octet_length("word") <= WordTable.MAX_WORD_BYTES
+    found = unique.select(F.when(fits, F.col("word")).alias("word"), value).limit(WordTable.MAX_WORDS + 1).collect()
+    if len(found) > WordTable.MAX_WORDS or any(row["word"] is None for row in found):
         return None
-    return {row["word"]: row[value] for row in unique.collect()}
+    return {row["word"]: row[value] for row in found}
 
 
 def english_stop_words() -> list[str]:

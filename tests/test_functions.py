@@ -134,5 +134,7 @@ def test_word_table(spark):
 def test_collect_words_refuses_a_large_table(spark, monkeypatch):
     df = spark.createDataFrame([("a", 1), ("a", 0), ("b", 2), (None, 3)], "word string, v long")
     assert text.collect_words(df, "v") == {"a": 0, "b": 2}
-    monkeypatch.setattr(text.WordTable, "MAX_WORDS", 1)
-    assert text.collect_words(df, "v") is None
+    with monkeypatch.context() as patch:
+        patch.setattr(text.WordTable, "MAX_WORDS", 1)
+        assert text.collect_words(df, "v") is None
+    assert text.collect_words(df.union(spark.createDataFrame([("é" * 60, 1)], df.schema)), "v") is None
