@@ -375,3 +375,5 @@ SQL: dict[str, str] = {
 }
 SQL["j1_sliced_for_hot_items"] = SQL["j1_reviews_with_catalog"]
 SQL["x2_each_batch_enriched_and_appended"] = SQL["c2_enriched_reviews"].replace("s.review_id, ", "", 1)
+SQL["t8_review_sentiment_joined"] = SQL["t8_review_sentiment"]
+SQL["t9_review_adjectives_joined"] = SQL["t9_review_adjectives"]

@@ -579,12 +579,26 @@ def t8_review_sentiment(t: Tables) -> DataFrame:
     return t.scored_reviews().select("review_id", rounded("review_sentiment_score", 4))
 
 
+@query
+def t8_review_sentiment_joined(t: Tables) -> DataFrame:
+    """The same with the lexicon joined to the words, as a large one would be."""
+    scored = t.scorer(max_words=100)(t.review_batch())
+    return scored.select("review_id", rounded("review_sentiment_score", 4))
+
+
 @query
 def t9_review_adjectives(t: Tables) -> DataFrame:
     tagged = t.tagger()(t.review_batch())
     return tagged.select("review_id", F.array_join("adjective_list", " ").alias("adjectives"))
 
 
+@query
+def t9_review_adjectives_joined(t: Tables) -> DataFrame:
+    """The same with the dictionary joined to the words."""
+    tagged = t.tagger(max_words=100)(t.review_batch())
+    return tagged.select("review_id", F.array_join("adjective_list", " ").alias("adjectives"))
+
+
 @query
 def t10_word_weights(t: Tables) -> DataFrame:
     counts = marts.word_counts(t.dated_reviews(), t.tagger(), ["author"])

@@ -115,11 +115,12 @@ class Tables:
             )
         )
 
-    def scorer(self) -> Scorer:
-        return sentiment_scorer(self.frequent_words().select("word", "valence"), context=CONTEXT)
+    def scorer(self, max_words: int | None = None) -> Scorer:
+        lexicon = self.frequent_words().select("word", "valence")
+        return sentiment_scorer(lexicon, context=CONTEXT, max_words=max_words)
 
-    def tagger(self) -> Tagger:
-        return adjective_tagger(self.frequent_words().select("word", "tag"))
+    def tagger(self, max_words: int | None = None) -> Tagger:
+        return adjective_tagger(self.frequent_words().select("word", "tag"), max_words=max_words)
 
     def workouts(self) -> DataFrame:
         """Workout logs: the events of a user and type within a block of numbers.

@@ -88,16 +88,18 @@ def _constant(value, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value, ensure_ascii=False)), kind)
 
 
-def collect_words(table: DataFrame, value: str) -> dict | None:
+def collect_words(table: DataFrame, value: str, max_words: int | None = None) -> dict | None:
     """``word`` → ``value`` of a small table, or None when it is too large.
 
     Runs one job that brings back no more than the bounds of ``WordTable`` and
-    one row. A word listed twice takes its smallest value.
+    one row; ``max_words`` lowers them. A word listed twice takes its smallest
+    value.
     """
+    bound = WordTable.MAX_WORDS if max_words is None else min(max_words, WordTable.MAX_WORDS)
     unique = table.where(F.col("word").isNotNull()).groupBy("word").agg(F.min(value).alias(value))
     fits = F.octet_length("word") <= WordTable.MAX_WORD_BYTES
-    found = unique.select(F.when(fits, F.col("word")).alias("word"), value).limit(WordTable.MAX_WORDS + 1).collect()
-    if len(found) > WordTable.MAX_WORDS or any(row["word"] is None for row in found):
+    found = unique.select(F.when(fits, F.col("word")).alias("word"), value).limit(bound + 1).collect()
+    if len(found) > bound or any(row["word"] is None for row in found):
         return None
     return {row["word"]: row[value] for row in found}
 

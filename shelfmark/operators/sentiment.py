@@ -172,13 +172,15 @@ def sentiment_scorer(
     text: str = "review_text",
     name: str = "review_sentiment_score",
     context: ContextWords = ContextWords(),
+    max_words: int | None = None,
 ) -> Scorer:
     """A DataFrame function that adds the score of ``text`` as column ``name``.
 
     Measures and collects the lexicon here, once, so that the returned function
     can be used on every micro-batch of a stream. NULL or empty text scores 0.0.
+    A lexicon of more than ``max_words`` words is joined instead of collected.
     """
-    valences = collect_words(lexicon, "valence")
+    valences = collect_words(lexicon, "valence", max_words)
     marks = context.marks()
 
     if valences is None:

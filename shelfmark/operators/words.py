@@ -31,15 +31,18 @@ def default_tags(spark: SparkSession) -> DataFrame:
 Tagger = Callable[[DataFrame], DataFrame]
 
 
-def adjective_tagger(tags: DataFrame, text: str = "review_text", name: str = "adjective_list") -> Tagger:
+def adjective_tagger(
+    tags: DataFrame, text: str = "review_text", name: str = "adjective_list", max_words: int | None = None
+) -> Tagger:
     """A DataFrame function that adds the adjectives of ``text``, in reading order.
 
     ``tags`` has one ``(word, tag)`` row per word; only tag JJ counts, so
     comparatives and superlatives do not. NULL text has no adjectives. Measures
-    and collects the dictionary here, once.
+    and collects the dictionary here, once; one of more than ``max_words``
+    adjectives is joined instead.
     """
     adjectives = tags.where(F.col("tag") == ADJECTIVE).select("word", "tag")
-    known = collect_words(adjectives, "tag")
+    known = collect_words(adjectives, "tag", max_words)
     none = F.array().cast("array<string>")
 
     if known is None:

@@ -6,7 +6,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql.functions import pandas_udf
 
-from shelfmark.functions.text import WordTable
 from shelfmark.operators.sentiment import ContextWords, default_lexicon, scorer_from, sentiment_scorer
 
 
@@ -67,9 +66,8 @@ def test_null_and_empty_score_zero(spark, scorer):
     assert scores(spark, scorer, [None, ""]) == [0.0, 0.0]
 
 
-def test_large_lexicon_is_joined_with_the_same_result(spark, monkeypatch, scorer):
-    monkeypatch.setattr(WordTable, "MAX_WORDS", 5)
-    joined = sentiment_scorer(default_lexicon(spark))
+def test_large_lexicon_is_joined_with_the_same_result(spark, scorer):
+    joined = sentiment_scorer(default_lexicon(spark), max_words=5)
     texts = [text for _, text, _ in CASES] + [None, "", "good", "good"]
     assert scores(spark, joined, texts) == scores(spark, scorer, texts)
 

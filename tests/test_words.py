@@ -2,7 +2,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import WordTable, lower_words
+from shelfmark.functions.text import lower_words
 from shelfmark.operators import words
 
 TAGS = [("good", "JJ"), ("old", "JJ"), ("better", "JJR"), ("book", "NN")]
@@ -16,10 +16,9 @@ REVIEWS = [
 SCHEMA = "review_id long, author string, title string, year int, review_text string"
 
 
-def tagged(spark):
-    return words.adjective_tagger(spark.createDataFrame(TAGS, "word string, tag string"))(
-        spark.createDataFrame(REVIEWS, SCHEMA)
-    )
+def tagged(spark, max_words=None):
+    tag = words.adjective_tagger(spark.createDataFrame(TAGS, "word string, tag string"), max_words=max_words)
+    return tag(spark.createDataFrame(REVIEWS, SCHEMA))
 
 
 def test_only_plain_adjectives_in_reading_order(spark):
@@ -27,10 +26,9 @@ def test_only_plain_adjectives_in_reading_order(spark):
     assert found == {1: ["Good", "old"], 2: [], 3: ["OLD", "good", "good"], 4: [], 5: ["good"]}
 
 
-def test_large_dictionary_is_joined_with_the_same_result(spark, monkeypatch):
+def test_large_dictionary_is_joined_with_the_same_result(spark):
     here = {r.review_id: r.adjective_list for r in tagged(spark).collect()}
-    monkeypatch.setattr(WordTable, "MAX_WORDS", 1)
-    assert {r.review_id: r.adjective_list for r in tagged(spark).collect()} == here
+    assert {r.review_id: r.adjective_list for r in tagged(spark, max_words=1).collect()} == here
 
 
 def test_a_tagger_of_the_caller_can_be_used(spark):
