@@ -130,30 +130,18 @@ def word_weights(counts: DataFrame, top: int | None = None) -> DataFrame:
 def bag_of_words(df: DataFrame, words: Column) -> DataFrame:
     """``word``, ``term_count`` and ``document_count`` over the word arrays of ``df``.
 
-    The words of one text are counted within its row before they are exploded,
-    so a text sends each of its words once and needs no grouping of its own.
+    Each text sends all its words and, marked as such, each of its distinct words
+    once. A text's words need no grouping of their own then: the words of all
+    texts are counted within a partition before anything is shuffled.
     """
-    ordered = df.select(F.array_sort(words).alias("_ordered"))
-    once = ordered.select(F.explode(_run_lengths("_ordered")).alias("_w"))
-    return once.groupBy(F.col("_w.word").alias("word")).agg(
-        F.sum("_w.times").alias("term_count"), F.count(F.lit(1)).alias("document_count")
-    )
-
-
-def _run_lengths(ordered: str) -> Column:
-    """Distinct words of a sorted array column with the length of each run."""
-    words = F.col(ordered)
-    size = F.size(words)
-    starts = F.filter(
-        F.sequence(F.lit(0), size - 1),
-        lambda i: (i == 0) | (F.get(words, i) != F.get(words, i - 1)),
-    )
-    # the end of a run is where the next one starts
-    ends = F.concat(F.slice(starts, F.lit(2), F.size(starts)), F.array(size))
-    runs = F.zip_with(
-        starts, ends, lambda start, end: F.struct(F.get(words, start).alias("word"), (end - start).alias("times"))
+    split = df.select(words.alias("_words"))
+    every = F.transform("_words", lambda w: F.struct(w.alias("word"), F.lit(0).alias("first")))
+    distinct = F.transform(F.array_distinct("_words"), lambda w: F.struct(w.alias("word"), F.lit(1).alias("first")))
+    return (
+        split.select(F.inline(F.concat(every, distinct)))
+        .groupBy("word")
+        .agg(F.count_if(F.col("first") == 0).alias("term_count"), F.count_if(F.col("first") == 1).alias("document_count"))
     )
-    return F.when(size > 0, runs)
 
 
 def vocabulary(bag: DataFrame, size: int = 10_000, min_documents: int = 5) -> DataFrame:
