@@ -29,7 +29,8 @@ def test_first_per_key_is_repeatable(spark, rows):
 
 
 def test_unread_dates_form_their_own_year(spark, rows):
-    df = spark.createDataFrame([("x", "2014-01-01", 1), ("x", None, 4), ("x", None, 5)], "author string, d string, rating int")
+    rated = [("x", "2014-01-01", 1), ("x", None, 4), ("x", None, 5)]
+    df = spark.createDataFrame(rated, "author string, d string, rating int")
     dated = df.withColumn("review_date", F.col("d").cast("timestamp_ntz"))
     assert rows(aggregates.yearly_averages(dated, "author", {"rating": "avg_rating"})) == [
         ("x", 2014, 1.0),

@@ -73,9 +73,10 @@ def enriched(spark, clean):
 
 def test_enriched_reviews(enriched):
     assert [(f.name, f.dataType) for f in enriched.schema] == [(f.name, f.dataType) for f in schemas.ENRICHED][1:]
-    found = sorted((r.asin, r.author, r.title, r.review_date, r.rating, r.review_text) for r in enriched.collect() if r.review_date)
+    rows = enriched.collect()
+    found = [(r.asin, r.author, r.title, r.review_date, r.rating, r.review_text) for r in rows if r.review_date]
     assert found == [("1", " Jo", "New", dt.datetime(2014, 5, 27), 5, "good book")]
-    unread = sorted((r.asin, r.rating, r.review_text) for r in enriched.collect() if not r.review_date)
+    unread = sorted((r.asin, r.rating, r.review_text) for r in rows if not r.review_date)
     assert unread == [("1", 4, "bad"), ("10", 3, "plain")]
     # the score is taken from the text as it came, in which the NUL belongs to the word
     assert {r.rating: round(r.review_sentiment_score, 4) for r in enriched.collect()} == {5: 0.0, 4: -0.5423, 3: 0.0}
@@ -117,7 +118,8 @@ def test_vocabulary_equals_that_of_the_ml_counter(spark):
     theirs = CountVectorizer(inputCol="kept", outputCol="features", minDF=2.0).fit(kept)
     assert sorted(ours.vocabulary) == sorted(theirs.vocabulary) == ["apple", "red", "tree"]
     assert ours.vocabulary == ["apple", "red", "tree"]
-    assert [r.features.toArray().tolist() for r in vectors.collect()] == [[1, 1, 0], [1, 0, 1], [2, 1, 0], [0, 0, 1], [0, 0, 0]]
+    counted = [r.features.toArray().tolist() for r in vectors.collect()]
+    assert counted == [[1, 1, 0], [1, 0, 1], [2, 1, 0], [0, 0, 1], [0, 0, 0]]
 
 
 def test_topics(spark):

@@ -64,11 +64,9 @@ def test_rebuild_append_and_typed_load(spark, folder, reviews, rows):
     tables.rebuild_table(reviews, path)
     assert tables.rebuild_table(reviews.limit(10), path).count() == 10
     assert tables.append_to_table(reviews.limit(5), path).count() == 15
-    loaded = tables.load_typed(
-        spark.createDataFrame([("a", "t", 2014, "x", 0)], "author string, title string, year long, adjectives string, part int"),
-        folder("typed"),
-        schemas.ADJECTIVES,
-    )
+    columns = "author string, title string, year long, adjectives string, part int"
+    found = spark.createDataFrame([("a", "t", 2014, "x", 0)], columns)
+    loaded = tables.load_typed(found, folder("typed"), schemas.ADJECTIVES)
     assert loaded.schema == schemas.ADJECTIVES and rows(loaded) == [("a", "t", 2014, "x")]
 
 
