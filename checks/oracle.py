@@ -370,6 +370,8 @@ SQL: dict[str, str] = {
         where length({c}) > {n}"""
         for c, n in (("asin", 3), ("author", 8), ("title", 12))
     ),
+    "q3_stored_lengths_hold": f"""select count(*) violations from ({CATALOG})
+      where length(asin) > 100 or length(author) > 256 or length(title) > 1000""",
     "q4_surrogate_key": f"""select row_number() over (order by asin, review_date, rating) review_id, asin,
       cast(review_date as varchar) review_date, rating from ({ITEMS})""",
 }

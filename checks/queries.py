@@ -778,6 +778,13 @@ def q3_length_violations(t: Tables) -> DataFrame:
     return keys.length_violations(t.catalog(), {"asin": 3, "author": 8, "title": 12})
 
 
+@query
+def q3_stored_lengths_hold(t: Tables) -> DataFrame:
+    """Number of values too long for the stored columns."""
+    too_long = keys.length_violations(t.catalog(), schemas.MAX_LENGTHS)
+    return aggregates.row_count(too_long, "violations")
+
+
 @query
 def q4_surrogate_key(t: Tables) -> DataFrame:
     order = ["asin", "review_date", "rating"]

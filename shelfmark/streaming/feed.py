@@ -69,6 +69,17 @@ def load_feed(
     return feed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def follow_feed(
+    feed: DataFrame,
+    target: str,
+    checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
+    interval: str = FETCH_INTERVAL,
+) -> StreamingQuery:
+    """Keeps loading new files at the pace of the fetches until it is stopped."""
+    return load_feed(feed, target, checkpoint, transform, interval)
+
+
 def load_to_end(feed: DataFrame, target: str, checkpoint: str, transform=lambda batch: batch) -> None:
     """Loads what the feed holds now and returns; raises if a batch failed."""
     load_feed(feed, target, checkpoint, transform).awaitTermination()

@@ -186,7 +186,7 @@ def test_timed_feed_keeps_running(spark, folder, reviews):
     source, target = folder("feed"), folder("loaded")
     feed.write_feed(reviews, source)
     stream = feed.read_feed(spark, source, schemas.REVIEW_BATCH, archive=folder("archive"))
-    running = feed.load_feed(stream, target, folder("state"), interval="1 second")
+    running = feed.follow_feed(stream, target, folder("state"), interval="1 second")
     try:
         running.processAllAvailable()
         assert running.isActive
