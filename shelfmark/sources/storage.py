@@ -12,13 +12,16 @@ from pyspark.sql import SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Where the setting is absent, as in tests, a fresh local folder is named
-    instead and remembered for the session; a cluster has to set its own.
+    In local mode, as in tests, a fresh local folder is named where the setting
+    is absent and remembered for the session. A cluster has to name its own.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         folder = tempfile.mkdtemp(prefix="shelfmark-", dir="/tmp")
-        spark.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(folder)
     return folder
 
 

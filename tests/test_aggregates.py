@@ -129,3 +129,9 @@ def test_surrogate_keys_are_dense(spark, partitions):
     assert sorted(r.review_id for r in keys.add_surrogate_key(df).collect()) == list(range(1, 1001))
     ranked = keys.add_surrogate_key(df, "n", ["v"]).collect()
     assert [r.v for r in sorted(ranked, key=lambda r: r.n)] == sorted(r.v for r in ranked)
+
+
+def test_surrogate_keys_of_copies(spark):
+    df = spark.range(0, 900, 1, 6).select(F.lit("copy").alias("v"))
+    found = keys.add_surrogate_key(df, "n", ["v"])
+    assert sorted(r.n for r in found.collect()) == list(range(1, 901))

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
+from shelfmark.plans.reviews import normalise_reviews
+from shelfmark.plans.workouts import with_record_count
 from shelfmark.sources import database, files, tables
 from shelfmark.sources.storage import fresh_path, shared_folder
 from shelfmark.streaming import feed
@@ -41,6 +43,28 @@ def test_array_and_envelope_batches(spark, folder, rows):
     assert rows(envelope) == expected
 
 
+def test_raw_reviews_from_file_to_batch(spark, folder, rows):
+    lines = [
+        {"asin": "1", "overall": 4.0, "reviewText": "a", "unixReviewTime": 1401148800, "vote": "2", "image": ["x"]},
+        {"asin": "2", "overall": 5.0, "unixReviewTime": 0, "verified": True},
+    ]
+    with open(folder("raw.json"), "w") as f:
+        f.write("\n".join(map(json.dumps, lines)))
+    raw = files.read_json_lines(spark, folder("raw.json"), schemas.RAW_REVIEW)
+    assert rows(normalise_reviews(raw)) == [
+        ("1", "2014-05-27T00:00:00", 4, "a"),
+        ("2", "1970-01-01T00:00:00", 5, None),
+    ]
+
+
+def test_workout_logs_are_read_with_their_arrays(spark, folder):
+    log = {"id": 1, "userId": 2, "sport": "run", "gender": "male", "url": "u", "heart_rate": [100, 101.5]}
+    with open(folder("logs.json"), "w") as f:
+        f.write(json.dumps(log | {"timestamp": [1, 2], "altitude": [0.0]}))
+    row = with_record_count(files.read_json_lines(spark, folder("logs.json"), schemas.WORKOUTS)).first()
+    assert (row.heart_rate, row.altitude, row.speed, row.per_workout_record_count) == ([100.0, 101.5], [0.0], None, 2)
+
+
 def test_parse_json(spark):
     df = spark.createDataFrame([('{"asin": "1"}',), ("{oops",), (None,)], "v string")
     found = df.select(files.parse_json(F.col("v"), schemas.RAW_CATALOG)["asin"]).collect()
@@ -135,6 +159,27 @@ def test_scratch_paths_are_fresh_and_shared(spark):
     assert fresh_path(spark, "x").startswith(shared_folder(spark))
 
 
+def test_a_cluster_has_to_name_its_folder():
+    class Conf:
+        def get(self, key, default):
+            return self.folder
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    Session.conf.folder = "hdfs:///shared"
+    assert shared_folder(Session) == "hdfs:///shared"
+    Session.conf.folder = None
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
+
+
 def batches(spark, target):
     loaded = feed.loaded_table(spark, target, schemas.REVIEW_BATCH)
     return [tuple(r) for r in feed.load_progress(loaded).orderBy("batch_id").collect()]
