@@ -73,7 +73,7 @@ numbered as (
 ),
 spans as (
   select doc_id, kind, kind_no, length(counted[i]) as counted,
-    cast(list_sum(list_transform(between[1:i], x -> length(x))) + coalesce(list_sum(list_transform(matches[1:i-1], x -> length(x))), 0) as bigint) as begin_at,
+    cast(list_sum(list_transform(between[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(matches[1:i-1], lambda x: length(x))), 0) as bigint) as begin_at,
     length(matches[i]) as size
   from numbered
 ),

@@ -7,13 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, secrets, url_filters
+from shelfmark.llm import chat, packing, secrets, token_counts, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"))
+
+
+def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, folder, "documents"))
+
+
 def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, and one whose texts hold the template's control strings."""
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
@@ -33,5 +41,6 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_chat_formatting, op7_secret_scans, op9_url_filters)
+    f.__name__: f
+    for f in (op1_best_fit_packing, op3_token_counts, op4_chat_formatting, op7_secret_scans, op9_url_filters)
 }
