@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from shelfmark.sources.storage import fresh_path
 
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 400_000
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -41,7 +42,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Row ranges of a text column of about ``most`` bytes each; one long text is a range of its own."""
-    sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0)).astype(np.int64)
+    sizes = np.asarray(pc.fill_null(pc.binary_length(column), 0)).astype(np.int64)
     if not len(sizes):
         return
     group = np.cumsum(sizes) // most
@@ -51,7 +52,7 @@ def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int
 
 def utf8_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row, and where each text begins (one place more at the end)."""
-    column = pa.compute.fill_null(column, "").cast(pa.large_string())
+    column = pc.fill_null(column, "").cast(pa.large_string())
     column = pa.concat_arrays([column])
     _, offsets, data = column.buffers()
     places = np.frombuffer(offsets, np.int64, len(column) + 1, column.offset * 8) if offsets else np.zeros(1, np.int64)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, packing, secrets, token_counts, url_filters
+from shelfmark.llm import chat, decontamination, packing, quality, secrets, token_counts, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns.unionByName(own)))
 
 
+def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     found, _ = secrets.scan_documents(_table(spark, folder, "documents"))
     return secrets.digest(found)
@@ -40,7 +44,20 @@ def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judge_urls(pages, url_filters.spam_hosts(pages))
 
 
+def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per benchmark passage found in a document."""
+    return decontamination.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_best_fit_packing, op3_token_counts, op4_chat_formatting, op7_secret_scans, op9_url_filters)
+    for f in (
+        op1_best_fit_packing,
+        op3_token_counts,
+        op4_chat_formatting,
+        op6_quality_classifier,
+        op7_secret_scans,
+        op9_url_filters,
+        op10_benchmark_decontamination,
+    )
 }
