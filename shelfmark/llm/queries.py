@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, decontamination, packing, quality, secrets, token_counts, url_filters
+from shelfmark.llm import chat, class_ngrams, decontamination, packing, quality, secrets, token_counts, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -39,6 +39,10 @@ def op7_secret_scans(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digest(found)
 
 
+def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return class_ngrams.score_documents(_table(spark, folder, "documents"))
+
+
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages")
     return url_filters.judge_urls(pages, url_filters.spam_hosts(pages))
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_chat_formatting,
         op6_quality_classifier,
         op7_secret_scans,
+        op8_lm_scoring,
         op9_url_filters,
         op10_benchmark_decontamination,
     )

@@ -7,6 +7,7 @@ the table, and only their sums return to the rows.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -27,13 +28,11 @@ def count_terms(texts: DataFrame, terms_of: Callable[[], Callable[[str], Iterabl
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, seen = terms_of(), {}
-        get = seen.get
+        split, seen = terms_of(), Counter()
         for batch in batches:
             for text in batch.column(0):
                 if text.is_valid:
-                    for term in split(text.as_py()):
-                        seen[term] = get(term, 0) + 1
+                    seen.update(split(text.as_py()))
                     if len(seen) > FLUSH_AT:
                         yield from _flush(seen)
                         seen.clear()
@@ -43,7 +42,7 @@ def count_terms(texts: DataFrame, terms_of: Callable[[], Callable[[str], Iterabl
     return partial.groupBy("term").agg(F.sum("n").alias("n"))
 
 
-def _flush(seen: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+def _flush(seen: Counter[bytes]) -> Iterator[pa.RecordBatch]:
     if seen:
         columns = [pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.int64())]
         yield pa.RecordBatch.from_arrays(columns, ["term", "n"])
