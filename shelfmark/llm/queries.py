@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, class_ngrams, decontamination, packing, quality, secrets, token_counts, url_filters
+from shelfmark.llm import chat, class_ngrams, decontamination, near_duplicates, packing, quality, secrets, token_counts, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, folder, "documents"))
 
@@ -57,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing,
+        op2_minhash_near_dedup,
         op3_token_counts,
         op4_chat_formatting,
         op6_quality_classifier,
