@@ -91,4 +91,24 @@ select texts.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as
 from texts left join per_doc using (doc_id)
 """
 
-SQL = {"op4_chat_formatting": OP4, "op7_secret_scans": OP7, "op9_url_filters": OP9}
+OP5 = """
+with vectors as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+  from embeddings
+  where vec_id is not null and embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+  select q.vec_id as query_id, d.vec_id, cast(list_dot_product(cast(q.v as double[]), cast(d.v as double[])) as bigint) as score
+  from vectors q join vectors d on q.vec_id <> d.vec_id where q.vec_id % 50 = 0
+),
+ranked as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from scored)
+select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
+"""
+
+SQL = {
+    "op4_chat_formatting": OP4,
+    "op5_exact_top_k": OP5,
+    "op7_secret_scans": OP7,
+    "op9_url_filters": OP9,
+}

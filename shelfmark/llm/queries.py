@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.llm import chat, class_ngrams, decontamination, near_duplicates, packing, quality, secrets, token_counts, url_filters
+import corpus_pipeline
+from shelfmark.llm import chat, class_ngrams, decontamination, exact_search, near_duplicates, packing, quality, secrets, token_counts, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -34,6 +35,10 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digest(chat.format_conversations(turns.unionByName(own)))
 
 
+def op5_exact_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_search.search(_table(spark, folder, "embeddings"))
+
+
 def op6_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_minhash_near_dedup,
         op3_token_counts,
         op4_chat_formatting,
+        op5_exact_top_k,
         op6_quality_classifier,
         op7_secret_scans,
         op8_lm_scoring,
@@ -71,3 +77,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_benchmark_decontamination,
     )
 }
+
+QUERIES["pipeline"] = corpus_pipeline.run

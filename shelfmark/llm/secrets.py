@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import stored
+from shelfmark.operators.sizing import fits_broadcast
 
 # The rules, in the order of their kinds. Kind, pattern, group whose length counts, least length.
 RULES = (
@@ -24,6 +25,7 @@ HINTS = {"assign": r"(?i)(?:pass(?:word|wd)|secret|token|api_?key)", "access": r
 RULE_VERSION = "base-1"
 SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string>>"
 MASK = "[SECRET]"
+BROADCAST_HITS = 100_000
 
 
 def spans_of(text: Column, kind_no: int, rules=RULES) -> Column:
@@ -134,9 +136,9 @@ def redact_documents(documents: DataFrame) -> DataFrame:
     """
     found, _ = scan_documents(documents)
     hits = found.where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("_spans"))
-    marked = documents.withColumn("_address", blob_of(F.col("text"))).join(
-        hits.withColumnRenamed("blob", "_address"), "_address", "left"
-    )
+    hits = stored(hits.withColumnRenamed("blob", "_address"), "secret-hits")
+    hits = F.broadcast(hits) if fits_broadcast(hits, max_rows=BROADCAST_HITS) else hits
+    marked = documents.withColumn("_address", blob_of(F.col("text"))).join(hits, "_address", "left")
     clean = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(redact(F.col("text"), F.col("_spans")))
     out = marked.withColumn("text", clean)
     out = out.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint")))
