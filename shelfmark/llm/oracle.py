@@ -2,6 +2,33 @@
 
 from __future__ import annotations
 
+OP2 = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) end as s
+  from words
+),
+shingles as (select doc_id, len(s) as n, unnest(s) as g from sets),
+links as (
+  select a.doc_id as x, b.doc_id as y from shingles a join shingles b on a.g = b.g and a.doc_id < b.doc_id
+  group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+both_ways as (select x, y from links union all select y, x from links),
+reached(doc_id, other) as (
+  select doc_id, doc_id from sets
+  union
+  select reached.doc_id, both_ways.y from reached join both_ways on reached.other = both_ways.x
+),
+least as (select doc_id, min(other) as component_id from reached group by doc_id)
+select doc_id, cast(len(s) as bigint) as n_shingles, component_id, doc_id = component_id as kept
+from sets join least using (doc_id)
+"""
+
 OP4 = r"""
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -107,6 +134,7 @@ select query_id, cast(rank as integer) as rank, vec_id, score from ranked where
 """
 
 SQL = {
+    "op2_minhash_near_dedup": OP2,
     "op4_chat_formatting": OP4,
     "op5_exact_top_k": OP5,
     "op7_secret_scans": OP7,

@@ -1,0 +1,20 @@
+import pytest
+
+
+@pytest.fixture
+def documents(spark):
+    """Makes a table of documents with extra columns from (doc_id, text) pairs."""
+
+    def make(pairs):
+        schema = "doc_id long, text string, lang string, source string, n_chars long, row long, length long, n int, node long, blob string"
+        rows = [(d, t, "en", "s", None if t is None else len(t), 7, 7, 7, 7, "x") for d, t in pairs]
+        return spark.createDataFrame(rows, schema)
+
+    return make
+
+
+def long_text(words, seed=0):
+    import random
+
+    rng = random.Random(seed)
+    return " ".join(rng.choice(words) for _ in range(20_000))
