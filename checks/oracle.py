@@ -5,7 +5,7 @@ from __future__ import annotations
 import string
 
 from checks import queries as q
-from shelfmark.bindings import CONTEXT, DICTIONARY_SIZE, WORKOUT_BLOCK
+from shelfmark.bindings import CONTEXT, WORKOUT_BLOCK
 
 # The English stop words of Spark ML, for the check of that step.
 STOP_WORDS = """
@@ -93,7 +93,7 @@ DICTIONARY = f"""select word, case when length(word) % 2 = 0 then 1.5 else -1.0
   case length(word) % 3 when 0 then 'JJ' when 1 then 'JJR' else 'NN' end tag from (
     select word from (select lower(word) word from ({_tokens("select item_id, text from benchmark", "item_id", "text")}))
     where regexp_full_match(word, '[a-z]{{3,12}}')
-    group by word order by count(*) desc, word limit {DICTIONARY_SIZE})"""
+    group by word)"""
 
 _DEGREE = f"""case when lw in ({_list(CONTEXT.stronger)}) then 0.293
   when lw in ({_list(CONTEXT.weaker)}) then -0.293 end::double"""
@@ -157,10 +157,17 @@ KEPT_WORDS = f"""select review_id, word, spot from (
 
 
 def _adjective_text(keys: str, name: str) -> str:
-    return f"""select {keys}, coalesce(string_agg(adjectives, ' ' order by review_id), '') {name} from (
-      select d.*, a.adjectives from ({DATED}) d left join (
+    return f"""select {keys}, part, coalesce(string_agg(adjectives, ' ' order by review_id), '') {name} from (
+      select d.*, a.adjectives,
+        cast((row_number() over (partition by {keys} order by review_id) - 1) // {q.REVIEWS_PER_PART} as int) part
+      from ({DATED}) d left join (
         select review_id, string_agg(word, ' ' order by place) adjectives from ({TAGGED}) group by review_id) a
-      using (review_id)) group by {keys}"""
+      using (review_id)) group by {keys}, part"""
+
+
+def _adjective_counts(keys: str) -> str:
+    return f"""select {keys}, lower(a.word) word, count(*) word_count
+      from ({TAGGED}) a join ({DATED}) d using (review_id) group by all"""
 
 
 def _word_weights(where: str, limit: str) -> str:
@@ -179,7 +186,8 @@ SENTIMENT = "round(avg(cast(review_sentiment_score as double)), 4) avg_sentiment
 
 _RATINGS = "select {0}, round(avg(rating), 6) avg_rating, count(rating) rating_count from ({1}) group by {0}"
 
-FEED_BATCH = f"""select asin, strftime(review_date, '%Y-%m-%dT%H:%M:%S') review_date, rating from ({ITEMS})"""
+FEED_BATCH = f"""select cast(l_partkey as varchar) asin, cast(trunc(l_quantity) as int) % 5 + 1 rating,
+  l_orderkey % {q.FEED_FILES} batch_id from lineitem"""
 
 _MEASURES = f"""
   select count(distinct userId) user_count, count(distinct sport) activity_types_count,
@@ -200,6 +208,11 @@ _MISSING = f"""select count(*) filter (where gender is null) gender, count(*) fi
 ) + f" from ({WORKOUTS})"
 
 
+_STATISTICS = {
+    "count": "count({0})", "mean": "avg({0})", "stddev": "stddev_samp({0})", "min": "min({0})", "max": "max({0})"
+}
+
+
 def _shares(counts: str, key: str, count: str, k: int) -> str:
     return f"""with c as ({counts}),
       r as (select *, row_number() over (order by {count} desc, {key}) n from c)
@@ -213,8 +226,7 @@ SQL: dict[str, str] = {
     "s2_json_array_batches": f"select asin, review_date, rating, md5(review_text) text_digest from ({TEXTS})",
     "s3_subquery_as_table": f"select * from ({CATALOG}) where asin in (select asin from ({ITEMS}))",
     "s4_append_to_table": CATALOG,
-    "s5_feed_resumes_after_saved_offset": f"""select asin, count(*) row_count from ({FEED_RECORDS})
-      where unixReviewTime is not null group by asin""",
+    "s5_feed_resumes_after_saved_offset": f"""select asin, count(*) row_count from ({FEED_RECORDS}) group by asin""",
     "s6_sql_text_with_parameters": f"""select author, count(*) title_count from ({CATALOG}) where price < 1000
       group by author""",
     "s7_rebuild_derived_table": _yearly(JOINED, "author", RATING),
@@ -263,8 +275,9 @@ SQL: dict[str, str] = {
     "a10_adjectives_per_author_title_year": _adjective_text('author, title, "year"', "adjectives"),
     "a11_adjectives_per_author_year": _adjective_text('author, "year"', "aggregated_adjectives"),
     "a11_adjectives_per_title_year": _adjective_text('title, "year"', "aggregated_adjectives"),
-    "a11_adjective_counts": f"""select d.author, d.title, d."year", lower(a.word) word, count(*) word_count
-      from ({TAGGED}) a join ({DATED}) d using (review_id) group by all""",
+    "a11_adjective_counts": _adjective_counts('author, title, "year"'),
+    "a11_adjective_counts_per_author_year": _adjective_counts('author, "year"'),
+    "a11_adjective_counts_per_title_year": _adjective_counts('title, "year"'),
     "a12_summary_statistics": f"""with i as (select try_cast(asin as double) a, asin, rating from ({ITEMS}))
       select 'count' summary, count(asin)::double asin, count(rating)::double rating from i
       union all select 'mean', round(avg(a), 6), round(avg(rating), 6) from i
@@ -323,6 +336,19 @@ SQL: dict[str, str] = {
       select r.review_id, cast(count(distinct w.word) as int) distinct_words, count(w.word) word_count
       from ({TEXTS}) r left join (select kept.review_id, kept.word from kept join vocabulary using (word)) w
       using (review_id) group by r.review_id""",
+    "t4_topic_model_sizes": f"select count(*) reviews, true known_topics from ({TEXTS}) where review_text <> ''",
+    "t5_topic_terms": """select cast(range as int) topic, 10::bigint different_terms, '1 2 3 4 5 6 7 8 9 10' ranks,
+      true weights_fall from range(10)""",
+    "t6_topic_words": """select cast(range as int) topic, 20::bigint different_words, 20::bigint in_vocabulary
+      from range(10)""",
+    "t7_topic_mix_per_review": f"""with kept as ({KEPT_WORDS}), known as (
+        select word from (select word, count(*) n, count(distinct review_id) d from kept group by word)
+        where d >= 5 order by n desc, word limit 10000)
+      select review_id, cast(10 as int) shares, true none_negative,
+        case when review_id in (select review_id from kept join known using (word)) then 1.0 else 0.0 end::double total
+      from ({TEXTS}) where review_text <> ''""",
+    "c10_review_topics": """select cast(range as int) topic, 10::bigint different_words, 10::bigint in_vocabulary
+      from range(10)""",
     "t8_review_sentiment": f"""select review_id, round(cast(review_sentiment_score as double), 4) review_sentiment_score
       from ({SCORED})""",
     "t9_review_adjectives": f"""select review_id, coalesce(string_agg(word, ' ' order by place), '') adjectives
@@ -353,14 +379,24 @@ SQL: dict[str, str] = {
     ),
     "c12_sports_by_mean_heart_rates": f"""select sport, count(distinct m) distinct_means, round(avg(m), 6) mean_heart_rate
       from (select sport, cast(trunc(list_avg(heart_rate)) as int) m from ({WORKOUTS})) group by sport""",
-    "c13_dataset_profile": f"""unpivot (select {{0}} from ({_MEASURES})) on columns(*) into name measure value "value"
-      union all unpivot (select {{0}} from ({_SIZES})) on columns(*) into name measure value "value"
-      union all unpivot (select {{0}} from ({_MISSING})) on columns(*) into name measure value "value" """.replace(
-        "{0}", "cast(columns(*) as bigint)"
+    "c13_dataset_profile": " union all ".join(
+        [
+            f"""unpivot (select cast(columns(*) as double) from ({part})) on columns(*) into name measure value "value" """
+            for part in (_MEASURES, _SIZES, _MISSING)
+        ]
+        + [f"select '{s}_{c}', round({e.format(c)}, 6)::double from ({WORKOUTS})" for c in ("id", "userId") for s, e in _STATISTICS.items()]
+        + [f"select 'count_{c}', count({c})::double from ({WORKOUTS})" for c in ("gender", "sport")]
+        + [
+            f"select coalesce(gender, 'none') || '_{n}', {e}::double from ({WORKOUTS}) group by gender"
+            for n, e in (("user_count", "count(distinct userId)"), ("workouts_count", "count(*)"))
+        ]
     ),
-    "x1_feed_in_micro_batches": f"select asin, rating, count(*) row_count from ({FEED_BATCH}) group by asin, rating",
+    "x1_feed_in_micro_batches": f"""select batch_id, asin, rating, count(*) row_count from ({FEED_BATCH})
+      group by batch_id, asin, rating""",
     "x3_runs_until_the_input_ends": _yearly(JOINED, "author", RATING),
-    "x4_rows_loaded_per_batch": f"select count(*) rows_loaded, count(*) rows_so_far from ({ITEMS})",
+    "x4_rows_loaded_per_batch": f"""select batch_id, n rows_loaded,
+      cast(sum(n) over (order by batch_id) as bigint) rows_so_far
+      from (select batch_id, count(*) n from ({FEED_BATCH}) group by batch_id)""",
     "q1_primary_key_violations": """select l_orderkey, l_linenumber, count(*) row_count from lineitem
       group by all having count(*) > 1 or l_orderkey is null or l_linenumber is null""",
     "q2_foreign_key_violations": f"""select asin, count(*) row_count from ({ITEMS})
@@ -376,6 +412,10 @@ SQL: dict[str, str] = {
       cast(review_date as varchar) review_date, rating from ({ITEMS})""",
 }
 SQL["j1_sliced_for_hot_items"] = SQL["j1_reviews_with_catalog"]
-SQL["x2_each_batch_enriched_and_appended"] = SQL["c2_enriched_reviews"].replace("s.review_id, ", "", 1)
+SQL["x2_each_batch_enriched_and_appended"] = SQL["c2_enriched_reviews"].replace(
+    "s.review_id, ", f"s.asin::bigint % {q.FEED_FILES} batch_id, 0::bigint repeated_ids, ", 1
+)
+SQL["c6_author_search_in_stored_tables"] = SQL["c6_author_search"]
+SQL["c7_book_search_in_stored_tables"] = SQL["c7_book_search"]
 SQL["t8_review_sentiment_joined"] = SQL["t8_review_sentiment"]
 SQL["t9_review_adjectives_joined"] = SQL["t9_review_adjectives"]

@@ -12,9 +12,7 @@ from shelfmark.functions.text import bare_words
 from shelfmark.operators.sentiment import ContextWords, Scorer, sentiment_scorer
 from shelfmark.operators.words import Tagger, adjective_tagger
 from shelfmark.plans.catalog import clean_catalog
-from shelfmark.sources.files import spread
 
-DICTIONARY_SIZE = 2_000
 WORKOUT_BLOCK = 5_000
 
 # The texts are invented, so frequent words stand in for the context words.
@@ -31,6 +29,11 @@ class Tables:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def _spread(self, texts: DataFrame) -> DataFrame:
+        """The test files are one row group each, which a single task would read and work on."""
+        cores = self.spark.sparkContext.defaultParallelism
+        return texts.repartition(cores) if len(texts.inputFiles()) < cores else texts
+
     def rated_items(self) -> DataFrame:
         """Reviews without text, from the line items."""
         return self.table("lineitem").select(
@@ -64,7 +67,7 @@ class Tables:
 
         The source stands for the author and the language for the title.
         """
-        documents = spread(self.table("documents").select("doc_id", "source", "lang", "text"))
+        documents = self._spread(self.table("documents").select("doc_id", "source", "lang", "text"))
         key = F.col("doc_id")
         day = F.concat(
             (2010 + key % 8).cast("string"), F.lit("-"),
@@ -94,8 +97,8 @@ class Tables:
         scored = self.scorer()(self.dated_reviews())
         return scored.withColumn("review_sentiment_score", F.col("review_sentiment_score").cast("float"))
 
-    def frequent_words(self) -> DataFrame:
-        """The most frequent plain words of the benchmark texts, as a dictionary.
+    def dictionary(self) -> DataFrame:
+        """The plain words of the benchmark texts, as a dictionary.
 
         Words of even length are positive and of odd length negative; their
         length also picks the tag.
@@ -104,10 +107,7 @@ class Tables:
         size = F.length("word")
         return (
             words.where(F.col("word").rlike("^[a-z]{3,12}$"))
-            .groupBy("word")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .orderBy(F.desc("n"), "word")
-            .limit(DICTIONARY_SIZE)
+            .distinct()
             .select(
                 "word",
                 F.when(size % 2 == 0, 1.5).otherwise(-1.0).alias("valence"),
@@ -116,11 +116,11 @@ class Tables:
         )
 
     def scorer(self, max_words: int | None = None) -> Scorer:
-        lexicon = self.frequent_words().select("word", "valence")
+        lexicon = self.dictionary().select("word", "valence")
         return sentiment_scorer(lexicon, context=CONTEXT, max_words=max_words)
 
     def tagger(self, max_words: int | None = None) -> Tagger:
-        return adjective_tagger(self.frequent_words().select("word", "tag"), max_words=max_words)
+        return adjective_tagger(self.dictionary().select("word", "tag"), max_words=max_words)
 
     def workouts(self) -> DataFrame:
         """Workout logs: the events of a user and type within a block of numbers.

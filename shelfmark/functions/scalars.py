@@ -11,6 +11,9 @@ AUTHOR_PAGE = r"^Visit Amazon's(.*?) Page$"
 CURRENCY_SIGN = r"^\$"
 REVIEW_DATE_LAYOUT = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}$"
 
+# The seconds of the years 1 to 9999.
+FIRST_SECOND, LAST_SECOND = -62_135_596_800, 253_402_300_799
+
 
 def author_from_brand(brand: Column, trim: bool = False) -> Column:
     """Author named by a brand text; '' when the text names none, NULL for NULL.
@@ -32,9 +35,12 @@ def parse_review_date(text: Column) -> Column:
 
 
 def epoch_to_timestamp(seconds: Column) -> Column:
-    """Epoch seconds to a zone-free UTC timestamp, whatever the session zone."""
+    """Epoch seconds to a zone-free UTC timestamp, whatever the session zone.
+
+    NULL outside the years 1 to 9999, which a time in milliseconds would be.
+    """
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(secs=seconds)
+    return F.when(seconds.between(FIRST_SECOND, LAST_SECOND), epoch + F.make_dt_interval(secs=seconds))
 
 
 def iso_text(when: Column) -> Column:

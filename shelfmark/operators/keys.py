@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.operators.joins import lookup_join
-from shelfmark.sources.storage import fresh_path
+from shelfmark.sources.storage import stored
 
 
 def primary_key_violations(df: DataFrame, *keys: str) -> DataFrame:
@@ -57,9 +57,7 @@ def add_surrogate_key(df: DataFrame, name: str = "review_id", order: list[str] |
         F.spark_partition_id().alias("_partition"),
         position.bitwiseAND(F.lit((1 << 33) - 1)).alias("_position"),
     )
-    path = fresh_path(df.sparkSession, "numbered")
-    numbered.write.parquet(path)
-    pinned = df.sparkSession.read.schema(numbered.schema).parquet(path)
+    pinned = stored(numbered, "numbered")
     sizes = pinned.groupBy("_partition").agg(F.count(F.lit(1)).alias("_size"))
     # one row per partition, so the window without a partitioning stays tiny
     before = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)

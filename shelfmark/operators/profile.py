@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from shelfmark.functions.predicates import is_missing_number
 from shelfmark.functions.scalars import has_zero_or_nan
 from shelfmark.operators.aggregates import distinct_count, distinct_per_group, rows_per_group
 from shelfmark.operators.joins import join_null_safe
+from shelfmark.sources.storage import stored
 
 
 def describe(df: DataFrame) -> DataFrame:
@@ -71,3 +74,40 @@ def users_joined_to_workouts(df: DataFrame) -> DataFrame:
     users = distinct_per_group(df, "gender", "userId", "user_count")
     workouts = rows_per_group(df, "gender", name="workouts_count")
     return join_null_safe(users, workouts, ["gender"])
+
+
+def dataset_profile(df: DataFrame, size: str, below: int, strings: list[str], numbers: list[str], arrays: list[str]) -> DataFrame:
+    """The whole profile of the workouts as ``measure`` and ``value``.
+
+    Totals, the size summary, missing values, the summary statistics of the
+    string and numeric columns (their numbers; a text has only a count), and users and workouts per
+    gender. The columns are read and the arrays reduced once, to a narrow table
+    in the shared folder that all measures are taken from.
+    """
+    flags = {}
+    for c in arrays:
+        flags[f"{c}_zero_or_nan"], flags[f"{c}_null_array"] = has_zero_or_nan(F.col(c)), F.col(c).isNull()
+    narrow = stored(df.select(*strings, *numbers, size, *(v.alias(n) for n, v in flags.items())), "profile")
+    missing = [F.count_if(F.col(c).isNull()).alias(c) for c in strings]
+    missing += [F.count_if(is_missing_number(F.col(c))).alias(c) for c in numbers]
+    missing += [F.count_if(n).alias(n) for n in flags]
+    described = describe(narrow.select(*strings, *numbers))
+    columns = [F.struct(F.lit(c).alias("name"), F.col(c).try_cast("double").alias("value")) for c in (*strings, *numbers)]
+    described = described.select("summary", F.inline(F.array(*columns))).where("value is not null")
+    genders = users_and_workouts_by_gender(narrow)
+    gender = F.coalesce("gender", F.lit("none"))
+    parts = [
+        *(_listed(part) for part in (workout_totals(narrow), size_summary(narrow, size, below), narrow.agg(*missing))),
+        described.select(F.concat_ws("_", "summary", "name").alias("measure"), "value"),
+        *(
+            genders.select(F.concat_ws("_", gender, F.lit(c)).alias("measure"), F.col(c).cast("double").alias("value"))
+            for c in ("user_count", "workouts_count")
+        ),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _listed(row: DataFrame) -> DataFrame:
+    """One row as ``measure`` and ``value`` rows."""
+    values = row.select(*(F.col(f"`{c}`").cast("double").alias(c) for c in row.columns))
+    return values.unpivot([], [f"`{c}`" for c in values.columns], "measure", "value")

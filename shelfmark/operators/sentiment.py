@@ -2,9 +2,8 @@
 
 The score follows the five published heuristics of Hutto & Gilbert (ICWSM 2014):
 degree words, negation, capitals, a contrasting "but", and punctuation. The
-valences come from a lexicon table ``(word, valence)`` given by the caller; the
-default is a short list of our own, so scores are not those of any published
-lexicon.
+valences come from a lexicon table ``(word, valence)`` and the words that change
+them from ``ContextWords``; both are the caller's, and none come with the code.
 
 A score depends on its own review alone, so it is an expression on the row: no
 exploding, no grouping, no shuffle. Only a lexicon too large to hold in the plan
@@ -16,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import WordTable, bare_words, collect_words
@@ -39,21 +38,10 @@ _MARKS = "valence: double, degree: double, negates: boolean, contrasts: boolean"
 class ContextWords:
     """Words that change the valence of the words around them."""
 
-    stronger: tuple[str, ...] = (
-        "absolutely", "completely", "deeply", "especially", "extremely", "highly", "hugely",
-        "incredibly", "most", "particularly", "quite", "really", "remarkably", "so",
-        "thoroughly", "totally", "truly", "utterly", "very",
-    )
-    weaker: tuple[str, ...] = (
-        "almost", "barely", "hardly", "kinda", "less", "marginally", "occasionally",
-        "partly", "scarcely", "slightly", "somewhat", "sorta",
-    )
-    negators: tuple[str, ...] = (
-        "aint", "ain't", "cannot", "can't", "couldn't", "didn't", "doesn't", "don't", "hadn't",
-        "hasn't", "haven't", "isn't", "neither", "never", "no", "none", "nope", "nor", "not",
-        "nothing", "nowhere", "shouldn't", "wasn't", "weren't", "without", "won't", "wouldn't",
-    )
-    contrasts: tuple[str, ...] = ("but",)
+    stronger: tuple[str, ...] = ()
+    weaker: tuple[str, ...] = ()
+    negators: tuple[str, ...] = ()
+    contrasts: tuple[str, ...] = ()
 
     def marks(self) -> dict[str, dict]:
         """The effect of each word, by word."""
@@ -69,22 +57,6 @@ class ContextWords:
         return found
 
 
-# A short word list of our own, enough to try the scoring on English reviews.
-DEFAULT_VALENCES = {
-    "amazing": 2.8, "awful": -2.5, "bad": -2.5, "beautiful": 2.9, "best": 3.2, "boring": -1.6,
-    "brilliant": 2.8, "charming": 2.4, "confusing": -1.1, "delightful": 2.7, "disappointed": -2.0,
-    "disappointing": -2.1, "dull": -1.6, "enjoy": 2.2, "enjoyed": 2.2, "excellent": 2.9,
-    "fascinating": 2.4, "fun": 2.3, "good": 1.9, "great": 3.1, "happy": 2.6, "hate": -2.7,
-    "horrible": -2.6, "interesting": 1.7, "love": 3.1, "loved": 2.9, "lovely": 2.8, "nice": 1.8,
-    "perfect": 2.8, "poor": -2.0, "sad": -2.0, "slow": -0.8, "terrible": -2.3, "waste": -1.9,
-    "weak": -1.7, "wonderful": 2.8, "worst": -3.1, "wrong": -2.0, ":)": 2.0, ":(": -1.9,
-}
-
-
-def default_lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(DEFAULT_VALENCES.items()), "word string, valence double")
-
-
 def _is_capitals(word: Column) -> Column:
     return (word != F.lower(word)) & (word == F.upper(word))
 
@@ -180,6 +152,7 @@ def sentiment_scorer(
     can be used on every micro-batch of a stream. NULL or empty text scores 0.0.
     A lexicon of more than ``max_words`` words is joined instead of collected.
     """
+    lexicon = lexicon.select("word", F.col("valence").cast("double").alias("valence"))
     valences = collect_words(lexicon, "valence", max_words)
     marks = context.marks()
 

@@ -1,8 +1,8 @@
-"""Size checks and hot-key handling shared by the joins and the groupings.
+"""Size checks and hot-key handling shared by the joins.
 
 One key may hold a third of all rows. Sums and counts need no care, because
-Spark combines them before the shuffle. Joins and list-building groupings do:
-they spread a hot key over several slices, chosen here.
+Spark combines them before the shuffle. Joins do: they spread a hot key over
+several slices, chosen here.
 
 Which keys are hot is only a matter of speed. It may therefore be estimated from
 a sample; every row takes part in the result whatever the sample says.
@@ -15,52 +15,55 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from shelfmark.sources.storage import stored
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_SLICE = 1_000_000
-MAX_HOT_KEYS = 10_000
 SAMPLED_PER_HOT_KEY = 1_000
-NULL_KEY_SLICES = 1024
+
+
+def _width(field: T.StructField) -> Column:
+    """The bytes of a value, nested ones by the length of their JSON text."""
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        value = F.to_json(F.struct(value))
+    elif not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        return F.lit(16)
+    return F.coalesce(F.octet_length(value), F.lit(0)) + 8
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measures ``df`` with one aggregate; True when it may be broadcast."""
-    width = reduce(
-        lambda a, b: a + b,
-        (
-            F.coalesce(F.octet_length(F.col(name).cast("string")), F.lit(0)) + 8 if kind == "string" else F.lit(16)
-            for name, kind in df.dtypes
-        ),
-    )
-    measured = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width), F.lit(0)).alias("size")).first()
+    width = reduce(lambda a, b: a + b, (_width(field) for field in df.schema), F.lit(0))
+    measured = df.agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(width.cast("bigint")), F.lit(0)).alias("size")
+    ).first()
     return measured.n <= max_rows and measured["size"] <= max_bytes
 
 
-def hot_keys(
-    df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE, max_hot: int = MAX_HOT_KEYS
-) -> DataFrame | None:
-    """Keys too large for one task and the slices each needs, or None.
+def have_keys(keys: list[str]) -> Column:
+    """Whether a row has all its keys; without one it matches nothing."""
+    return reduce(and_, (F.col(k).isNotNull() for k in keys))
 
-    A key is hot when it has more than ``rows_per_slice`` rows and more than one
-    ``max_hot``-th of all rows. No more than ``max_hot`` keys can pass the second
-    test, whatever the data, so the result is small enough to collect and to
-    broadcast. The counts come from about ``SAMPLED_PER_HOT_KEY * max_hot`` rows,
-    enough to tell a hot key, so that the detection shuffles as little for a
-    large table as for a small one. Runs two jobs that read the keys alone.
+
+def hot_keys(df: DataFrame, keys: list[str], rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame | None:
+    """The keys with more than ``rows_per_slice`` rows and the slices each needs, or None.
+
+    The bound is the same for a table of any size, and so is the number of keys
+    that may be hot. A key of that size is seen about 1,000 times in the sample
+    that is counted, enough to tell it and to size it. The keys found are written
+    to the shared folder, so that both sides of a join slice alike.
     """
-    only_keys = df.select(*keys)
-    total = only_keys.count()
-    limit = max(rows_per_slice, total / max_hot)
-    if total <= limit:
-        return None
-    fraction = min(1.0, SAMPLED_PER_HOT_KEY * max_hot / total)
+    fraction = min(1.0, SAMPLED_PER_HOT_KEY / rows_per_slice)
+    only_keys = df.select(*keys).where(have_keys(keys))
     seen = only_keys if fraction == 1.0 else only_keys.sample(fraction, seed=1)
-    slices = F.ceil(F.col("_n") / F.lit(limit * fraction)).cast("int")
-    counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit * fraction)
-    hot = counts.select(*keys, slices.alias("_slices"))
-    found = hot.collect()
-    return df.sparkSession.createDataFrame(found, hot.schema) if found else None
+    limit = rows_per_slice * fraction
+    counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    hot = stored(counts.select(*keys, F.ceil(F.col("_n") / limit).cast("int").alias("_slices")), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def add_slices(df: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFrame:
@@ -68,8 +71,9 @@ def add_slices(df: DataFrame, keys: list[str], hot: DataFrame | None) -> DataFra
     if hot is None:
         return df.withColumn("_slices", F.lit(1))
     names = {k: f"_hot_{k}" for k in keys}
-    renamed = F.broadcast(hot.withColumnsRenamed(names))
-    same = reduce(and_, (F.col(k).eqNullSafe(F.col(names[k])) for k in keys))
+    renamed = hot.withColumnsRenamed(names)
+    renamed = F.broadcast(renamed) if fits_broadcast(hot) else renamed
+    same = reduce(and_, (F.col(k) == F.col(names[k]) for k in keys))
     return (
         df.join(renamed, same, "left")
         .drop(*names.values())
@@ -84,3 +88,8 @@ def slice_of(*columns: str) -> Column:
     do not all meet in one slice.
     """
     return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), F.col("_slices")).cast("int")
+
+
+def any_slice(*columns: str) -> Column:
+    """A slice for a row without a key, which may go anywhere: as many as there are rows."""
+    return F.pmod(F.xxhash64(F.spark_partition_id(), *columns), F.lit(2**31 - 1)).cast("int")

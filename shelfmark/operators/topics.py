@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import english_stop_words, lower_words, without_stop_words
+from shelfmark.operators.joins import lookup_join
 from shelfmark.operators.words import bag_of_words, vocabulary
 
 
@@ -81,7 +82,7 @@ def topic_words(model: TopicModel, terms: int = 20) -> DataFrame:
     """
     spark = model.features.sparkSession
     words = spark.createDataFrame(list(enumerate(model.counter.vocabulary)), "term_index int, word string")
-    named = topic_terms(model, terms).join(F.broadcast(words), "term_index")
+    named = lookup_join(topic_terms(model, terms), words, ["term_index"])
     ordered = F.array_sort(F.collect_list(F.struct("rank", "word")))
     return named.groupBy("topic").agg(F.transform(ordered, lambda r: r.word).alias("words"))
 

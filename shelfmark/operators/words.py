@@ -4,14 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import WordTable, bare_words, collect_words
-from shelfmark.operators.joins import sliced_join
-from shelfmark.operators.sizing import MAX_HOT_KEYS, ROWS_PER_SLICE, add_slices, hot_keys, slice_of
+from shelfmark.operators.joins import join_null_safe, sliced_join
+from shelfmark.sources.storage import stored
 
 ADJECTIVE = "JJ"
+ROWS_PER_PART = 10_000
 
 # A short dictionary of our own, in the usual tag names. A dictionary tags a word
 # alike everywhere; it cannot tell from the sentence what "kind" or "light" is.
@@ -89,31 +90,43 @@ def adjective_counts(tagged: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def adjective_strings(
-    tagged: DataFrame,
-    keys: list[str],
-    order: str = "review_id",
-    rows_per_part: int = ROWS_PER_SLICE,
-    max_hot: int = MAX_HOT_KEYS,
+    tagged: DataFrame, keys: list[str], order: str = "review_id", rows_per_part: int = ROWS_PER_PART
 ) -> DataFrame:
     """All adjectives of a key as text, in ``order``, reviews without any skipped.
 
-    A key with more reviews than one task should hold gets several rows, told
-    apart by ``part``; every other key has one row, with part 0. Nothing is cut.
+    A key's reviews are ranked by ``order`` and every ``rows_per_part`` of them
+    make a row, numbered by ``part`` from 0, so that no row grows with the key
+    and the parts read one after the other give the whole text. Ranges of reviews
+    are ranked apart and the counts of the ranges before are added, so a hot
+    key is ranked by many tasks. The ranges are written to the shared folder.
     """
-    hot = hot_keys(tagged, keys, rows_per_part, max_hot)
-    parted = add_slices(tagged.select(*keys, order, "adjective_list"), keys, hot)
-    part = F.lit(0) if hot is None else slice_of(order)
-    entry = F.when(
-        F.size("adjective_list") > 0,
-        F.struct(F.col(order).alias("at"), F.array_join("adjective_list", " ").alias("words")),
+    words = F.array_join("adjective_list", " ").alias("_words")
+    narrow = tagged.select(*keys, F.col(order).alias("_at"), words)
+    by = [*keys, "_at", "_words"]
+    ranged = stored(
+        narrow.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_range", F.spark_partition_id()), "ranges"
     )
+    sizes = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    # a key has one row here for each range it lies in
+    earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*keys, "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    within = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy("_at", "_words"))
+    ranked = join_null_safe(ranged.withColumn("_rank", within), offsets, [*keys, "_range"])
+    part = F.floor((F.col("_before") + F.col("_rank") - 1) / rows_per_part).cast("int")
+    in_order = F.array_sort(F.collect_list(F.struct("_range", "_rank", "_words")))
+    texts = F.filter(F.transform(in_order, lambda e: e["_words"]), lambda w: w != "")
     return (
-        parted.groupBy(*keys, part.alias("part"))
-        .agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-        .select(*keys, "part", F.array_join(F.transform("_entries", lambda e: e.words), " ").alias("adjectives"))
+        ranked.groupBy(*keys, part.alias("part"))
+        .agg(texts.alias("_texts"))
+        .select(*keys, "part", F.array_join("_texts", " ").alias("adjectives"))
     )
 
 
+def roll_up(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Adjective counts for fewer keys, from a stored table of counts."""
+    return counts.groupBy(*keys, "word").agg(F.sum("word_count").alias("word_count"))
+
+
 def word_weights(counts: DataFrame, top: int | None = None) -> DataFrame:
     """Words with their count and weight ``count / largest count``.
 

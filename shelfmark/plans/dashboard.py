@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from shelfmark.functions.predicates import contains_ignore_case
 from shelfmark.operators.joins import join_null_safe
 from shelfmark.operators.ranking import top_k
-from shelfmark.operators.words import Tagger, word_weights
-from shelfmark.plans.marts import rating_and_sentiment_per_year, ratings_per_author, ratings_per_title, word_counts
+from shelfmark.operators.words import word_weights
+from shelfmark.plans.marts import rating_and_sentiment_per_year, ratings_per_author, ratings_per_title
 
 # The range and the start of the two sliders.
 MIN_ROWS, MAX_ROWS, DEFAULT_ROWS = 1, 500, 250
@@ -48,7 +48,9 @@ def matching_titles(ratings: DataFrame, query: str) -> DataFrame:
     return ratings.where(contains_ignore_case(F.col("title"), query)).select("title").distinct()
 
 
-def word_cloud(enriched: DataFrame, tag: Tagger, entity: str, query: str, top: int | None = None) -> DataFrame:
-    """Weighted adjectives of the reviews of the matching authors or titles."""
-    matching = enriched.where(contains_ignore_case(F.col(entity), query))
-    return word_weights(word_counts(matching, tag, []), top)
+def word_cloud(counts: DataFrame, entity: str, query: str, top: int | None = None) -> DataFrame:
+    """Weighted adjectives of the matching authors or titles.
+
+    ``counts`` is the stored table of ``marts.word_counts``; no text is read.
+    """
+    return word_weights(counts.where(contains_ignore_case(F.col(entity), query)), top)

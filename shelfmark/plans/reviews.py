@@ -16,7 +16,7 @@ from shelfmark.functions.scalars import (
     rating_to_int,
     strip_nul,
 )
-from shelfmark.operators.joins import lookup_joiner
+from shelfmark.operators.joins import lookup_join, restrict_to_keys
 from shelfmark.operators.sentiment import Scorer
 from shelfmark.schemas import REVIEW_BATCH
 
@@ -40,20 +40,24 @@ def complete_reviews(batch: DataFrame) -> DataFrame:
 Enricher = Callable[[DataFrame], DataFrame]
 
 
-def review_enricher(catalog: DataFrame, score: Scorer) -> Enricher:
+def review_enricher(catalog: DataFrame | Callable[[], DataFrame], score: Scorer) -> Enricher:
     """A function that enriches a batch: item data joined, sentiment scored.
 
     Only complete reviews of items in the catalog come out. A date in another
     layout becomes NULL and its review stays. Columns the batch carries besides
-    its four, such as a review number, stay in front. The catalog is measured
-    here, once.
+    its four, such as a review number, stay in front.
+
+    For a catalog that grows, give a function that reads it: it is called for
+    each batch, as the files of a DataFrame are fixed when it is made. Only the
+    items of the batch are measured and joined, however large the catalog is.
     """
-    join_catalog = lookup_joiner(catalog.select("asin", "author", "price", "title"), ["asin"])
 
     def enrich(batch: DataFrame) -> DataFrame:
         extra = [c for c in batch.columns if c not in REVIEW_BATCH.names]
-        # the items are sized from the unfiltered batch, which leaves the text unread
-        joined = join_catalog(complete_reviews(batch), sizes_from=batch)
+        items = (catalog() if callable(catalog) else catalog).select("asin", "author", "price", "title")
+        # the items are chosen and sized from the unfiltered batch, which leaves the text unread
+        wanted = restrict_to_keys(items, batch, "asin")
+        joined = lookup_join(complete_reviews(batch), wanted, ["asin"], sizes_from=batch)
         return score(joined).select(
             *extra,
             "asin",

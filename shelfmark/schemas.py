@@ -26,7 +26,7 @@ ENRICHED = _schema(
     review_text=_STRING,
     review_sentiment_score=_FLOAT,
 )
-ADJECTIVES = _schema(author=_STRING, title=_STRING, year=_INT, adjectives=_STRING)
+ADJECTIVES = _schema(author=_STRING, title=_STRING, year=_INT, part=_INT, adjectives=_STRING)
 WORKOUTS = _schema(
     id=_LONG,
     userId=_LONG,

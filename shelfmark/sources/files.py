@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One JSON record per line; malformed lines are dropped."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
@@ -26,13 +25,3 @@ def read_envelopes(spark: SparkSession, path: str, schema: T.StructType, rows: s
 def parse_json(text: Column, schema: T.StructType) -> Column:
     """A JSON record in a text column; NULL fields where it cannot be read."""
     return F.from_json(text, schema)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spreads an input of fewer splits than there are cores.
-
-    Text work on a small file would otherwise run in the one task that reads it.
-    A large input has more splits than cores and is returned as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

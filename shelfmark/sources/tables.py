@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfmark.operators.keys import add_surrogate_key
+
 
 def run_sql(spark: SparkSession, text: str, **parameters) -> DataFrame:
     """SQL text with named parameters (``:name``), bound rather than pasted in.
@@ -46,10 +48,13 @@ def page(df: DataFrame, key: str | list[str], offset: int, size: int) -> DataFra
     """``size`` rows after the first ``offset`` ones, in the order of ``key``.
 
     A page needs an order that tells all rows apart, or rows may repeat or be
-    missed between pages. All rows before the page are ranked with it, so reading
-    on through a large table is better done with ``page_after``.
+    missed between pages. The rows are ranked in ranges, not by one task, and the
+    ranked table is written; reading on through a large table is better done
+    with ``page_after``, which ranks no more than a page.
     """
-    return df.orderBy(key).offset(offset).limit(size)
+    order = [key] if isinstance(key, str) else key
+    ranked = add_surrogate_key(df, "_place", order)
+    return ranked.where((F.col("_place") > offset) & (F.col("_place") <= offset + size)).orderBy("_place").drop("_place")
 
 
 def page_after(df: DataFrame, key: str, last, size: int) -> DataFrame:

@@ -10,18 +10,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfmark.operators.keys import add_surrogate_key
+
 # Reviews per fetched file and the time between two fetches.
 FETCH_SIZE = 100_000
 FETCH_INTERVAL = "2 minutes"
 
-# Files per core in a batch, unless the caller says how many files a batch takes.
-FILES_PER_CORE = 8
-
 
 def write_feed(reviews: DataFrame, path: str, fetch_size: int = FETCH_SIZE) -> None:
     """Stores reviews as feed files of at most ``fetch_size`` records each."""
@@ -32,17 +32,15 @@ def read_feed(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
-    files_per_batch: int | None = None,
+    files_per_batch: int,
     archive: str | None = None,
 ) -> DataFrame:
     """The feed as a stream; with ``archive``, loaded files are moved there.
 
-    One file per batch is the pace of a single fetch. By default a batch takes
-    as many files as keep all cores busy, so that a long backlog on a large
-    cluster is not loaded file by file.
+    One file per batch is the pace of a single fetch; a long backlog is loaded
+    faster with as many as keep all cores busy. The number is the caller's, so
+    that the batches do not depend on the cluster.
     """
-    if files_per_batch is None:
-        files_per_batch = FILES_PER_CORE * spark.sparkContext.defaultParallelism
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
     if archive is not None:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
@@ -55,45 +53,70 @@ def load_feed(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     interval: str | None = None,
+    number: str | None = None,
 ) -> StreamingQuery:
-    """Starts loading the feed into ``target``, one folder per batch.
-
-    Without ``interval`` the query takes everything that is there, in batches,
-    and stops; with it, it keeps looking for new files.
+    """Starts loading the feed into ``target``, one folder per run and batch.
+
+    A run is what one checkpoint remembers, so neither a second feed with a
+    checkpoint of its own nor a new checkpoint overwrites what is there. With
+    ``number``, stored rows get a column of that name that goes on from the
+    largest one stored; only one feed may load a target then at a time. Without
+    ``interval`` the query takes everything that is there, in batches, and stops;
+    with it, it keeps looking for new files.
     """
 
-    def store(batch: DataFrame, number: int) -> None:
-        transform(batch).write.mode("overwrite").parquet(f"{target}/batch_id={number}")
+    def store(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        run = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        rows = transform(batch)
+        if number is not None:
+            others = _stored_rows(session, target, f"`{number}` bigint, run string, batch_id bigint")
+            others = others.where((F.col("run") != run) | (F.col("batch_id") != batch_id))
+            last = others.agg(F.coalesce(F.max(number), F.lit(0))).first()[0]
+            rows = add_surrogate_key(rows, number).withColumn(number, F.col(number) + last)
+        rows.write.mode("overwrite").parquet(f"{target}/run={run}/batch_id={batch_id}")
 
     trigger = {"availableNow": True} if interval is None else {"processingTime": interval}
     return feed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
+def _stored_rows(spark: SparkSession, target: str, schema: T.StructType | str) -> DataFrame:
+    """What is stored under ``target``; no rows where no batch has been stored yet."""
+    try:
+        return spark.read.schema(schema).parquet(target)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def follow_feed(
     feed: DataFrame,
     target: str,
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame] = lambda batch: batch,
     interval: str = FETCH_INTERVAL,
+    number: str | None = None,
 ) -> StreamingQuery:
     """Keeps loading new files at the pace of the fetches until it is stopped."""
-    return load_feed(feed, target, checkpoint, transform, interval)
+    return load_feed(feed, target, checkpoint, transform, interval, number)
 
 
-def load_to_end(feed: DataFrame, target: str, checkpoint: str, transform=lambda batch: batch) -> None:
+def load_to_end(
+    feed: DataFrame, target: str, checkpoint: str, transform=lambda batch: batch, number: str | None = None
+) -> None:
     """Loads what the feed holds now and returns; raises if a batch failed."""
-    load_feed(feed, target, checkpoint, transform).awaitTermination()
+    load_feed(feed, target, checkpoint, transform, number=number).awaitTermination()
 
 
 def loaded_table(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:
-    """Everything loaded so far, with the ``batch_id`` of each row."""
-    columns = T.StructType([*schema.fields, T.StructField("batch_id", T.LongType())])
-    return spark.read.schema(columns).parquet(target)
+    """Everything loaded so far, with the ``run`` and ``batch_id`` of each row; an empty feed has loaded no rows."""
+    places = [T.StructField("run", T.StringType()), T.StructField("batch_id", T.LongType())]
+    return _stored_rows(spark, target, T.StructType([*schema.fields, *places]))
 
 
 def load_progress(loaded: DataFrame) -> DataFrame:
-    """Rows per batch, and in total up to that batch."""
-    per_batch = loaded.groupBy("batch_id").agg(F.count(F.lit(1)).alias("rows_loaded"))
-    # one row per batch is left here, so a single ordered pass is enough
-    so_far = Window.orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    """Rows per run and batch, and of the run up to that batch."""
+    per_batch = loaded.groupBy("run", "batch_id").agg(F.count(F.lit(1)).alias("rows_loaded"))
+    so_far = Window.partitionBy("run").orderBy("batch_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return per_batch.withColumn("rows_so_far", F.sum("rows_loaded").over(so_far))

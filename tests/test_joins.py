@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from checks.compare import plan
 from shelfmark.operators import joins, sizing
 
 
@@ -20,37 +21,54 @@ def catalog(spark):
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_sliced_join_equals_a_plain_join(skewed, catalog, rows, how):
-    sliced = joins.sliced_join(skewed, catalog, ["asin"], how, rows_per_slice=100, max_hot=20)
+    sliced = joins.sliced_join(skewed, catalog, ["asin"], how, rows_per_slice=100)
     assert rows(sliced) == rows(skewed.join(catalog, "asin", how))
 
 
 def test_keys_may_be_sized_from_another_table(skewed, catalog, rows):
     few = skewed.where("not alike")
-    sliced = joins.sliced_join(few, catalog, ["asin"], rows_per_slice=100, max_hot=20, sizes_from=skewed)
+    sliced = joins.sliced_join(few, catalog, ["asin"], rows_per_slice=100, sizes_from=skewed)
     assert rows(sliced) == rows(few.join(catalog, "asin"))
-    assert rows(joins.lookup_joiner(catalog, ["asin"])(few, sizes_from=skewed)) == rows(sliced)
+    assert rows(joins.lookup_join(few, catalog, ["asin"], sizes_from=skewed)) == rows(sliced)
 
 
 def test_copies_of_one_row_are_spread(skewed):
-    hot = sizing.hot_keys(skewed, ["asin"], rows_per_slice=100, max_hot=20)
+    hot = sizing.hot_keys(skewed, ["asin"], rows_per_slice=100)
     spread = sizing.add_slices(skewed, ["asin"], hot).withColumn("slice", sizing.slice_of("asin", "alike"))
     used = spread.where("asin = 'hot'").select("slice").distinct().count()
     assert used > 1
 
 
-def test_hot_keys_are_bounded(spark):
-    df = spark.range(10_000).select((F.col("id") % 100).alias("k"))
-    assert sizing.hot_keys(df, ["k"], rows_per_slice=1, max_hot=50) is None
-    assert sizing.hot_keys(df, ["k"], rows_per_slice=1, max_hot=200).count() == 100
-    assert sizing.hot_keys(df, ["k"], rows_per_slice=101, max_hot=200) is None
+def test_every_key_above_the_bound_is_hot(spark, rows):
+    """However many they are, and with a bound that does not grow with the table."""
+    df = spark.range(36_000).select((F.col("id") % 12_000).alias("k"))
+    hot = sizing.hot_keys(df, ["k"], rows_per_slice=2)
+    assert hot.count() == 12_000 and hot.agg(F.max("_slices")).first()[0] == 2
+    assert sizing.hot_keys(df, ["k"], rows_per_slice=3) is None
     assert sizing.hot_keys(df.limit(0), ["k"]) is None
+    few = df.distinct().withColumn("name", F.col("k") * 2)
+    assert joins.sliced_join(df, few, ["k"], rows_per_slice=2).count() == 36_000
 
 
 def test_hot_keys_from_a_sample(spark, monkeypatch):
     df = spark.range(100_000).select(F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"))
     monkeypatch.setattr(sizing, "SAMPLED_PER_HOT_KEY", 100)
-    found = [tuple(r) for r in sizing.hot_keys(df, ["k"], rows_per_slice=1, max_hot=100).collect()]
-    assert len(found) == 1 and found[0][0] == -1 and 30 <= found[0][1] <= 37
+    found = [tuple(r) for r in sizing.hot_keys(df, ["k"], rows_per_slice=1000).collect()]
+    assert len(found) == 1 and found[0][0] == -1 and 30 <= found[0][1] <= 38
+
+
+def test_rows_without_a_key_are_not_moved_or_spread(skewed, catalog):
+    assert "isnotnull(asin" in plan(joins.sliced_join(skewed, catalog, ["asin"], "inner"))
+    kept = joins.sliced_join(skewed, catalog, ["asin"], "left_anti")
+    assert kept.where("asin is null").count() == skewed.where("asin is null").count()
+
+
+@pytest.mark.parametrize("kind", ["array<string>", "struct<a:string>", "map<string,string>", "binary"])
+def test_nested_values_are_measured(spark, kind):
+    text = F.repeat(F.lit("x"), 1000)
+    value = {"a": F.array(text, text), "s": F.struct(text.alias("a")), "m": F.create_map(F.lit("k"), text), "b": text.cast("binary")}
+    df = spark.range(100).select("id", value[kind[0]].alias("v"))
+    assert sizing.fits_broadcast(df) and not sizing.fits_broadcast(df, max_bytes=50_000)
 
 
 def test_fits_broadcast_measures_rows_and_bytes(catalog):

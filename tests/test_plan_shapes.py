@@ -89,7 +89,13 @@ def test_distinct_pairs_are_counted_in_two_steps(stored):
 
 def test_a_sliced_join_shuffles_by_key_and_slice(stored):
     few = stored.select("author", F.upper("author").alias("shown")).distinct()
-    hot = joins.sliced_join(stored, few, ["author"], rows_per_slice=1, max_hot=1000)
+    hot = joins.sliced_join(stored, few, ["author"], rows_per_slice=1)
     assert "_slice" in plan(hot)
     plain = joins.sliced_join(stored, few, ["author"])
     assert "_slice" not in plan(plain)
+
+
+def test_word_clouds_read_no_text(spark, stored, bound, tmp_path):
+    marts.word_counts(stored, bound.tagger(), ["author", "title", "year"]).write.parquet(str(tmp_path / "mart"))
+    text = plan(dashboard.word_cloud(spark.read.parquet(str(tmp_path / "mart")), "author", "brand", top=10))
+    assert "review_text" not in text and "ReadSchema: struct<author:string,word:string,word_count:bigint>" in text

@@ -5,9 +5,11 @@ from pyspark.ml.feature import CountVectorizer, StopWordsRemover, Tokenizer
 from pyspark.sql import functions as F
 
 from shelfmark import schemas
-from shelfmark.operators.sentiment import default_lexicon, sentiment_scorer
+from shelfmark.operators import sizing
+from shelfmark.operators.sentiment import sentiment_scorer
 from shelfmark.operators.topics import count_vectors, fit_topics, topic_mix, topic_terms, topic_words
 from shelfmark.operators.words import adjective_tagger, default_tags
+from tests.wordlists import CONTEXT, lexicon
 from shelfmark.plans import catalog, dashboard, marts, reviews
 
 PAGE = "Visit Amazon's {} Page"
@@ -68,7 +70,7 @@ BATCH = [
 @pytest.fixture
 def enriched(spark, clean):
     batch = spark.createDataFrame(BATCH, schemas.REVIEW_BATCH)
-    return reviews.enrich_reviews(batch, clean, sentiment_scorer(default_lexicon(spark)))
+    return reviews.enrich_reviews(batch, clean, sentiment_scorer(lexicon(spark), context=CONTEXT))
 
 
 def test_enriched_reviews(enriched):
@@ -82,9 +84,21 @@ def test_enriched_reviews(enriched):
     assert {r.rating: round(r.review_sentiment_score, 4) for r in enriched.collect()} == {5: 0.0, 4: -0.5423, 3: 0.0}
 
 
+@pytest.mark.parametrize("broadcast_rows", [500_000, 0])
+def test_a_catalog_that_grows_is_read_for_each_batch(spark, clean, tmp_path, monkeypatch, broadcast_rows):
+    """Both join paths; the items that arrive between two batches are found."""
+    monkeypatch.setattr(sizing.fits_broadcast, "__defaults__", (broadcast_rows, sizing.BROADCAST_BYTES))
+    path, batch = str(tmp_path / "items"), spark.createDataFrame(BATCH, schemas.REVIEW_BATCH)
+    clean.where("asin = '1'").write.parquet(path)
+    enrich = reviews.review_enricher(lambda: spark.read.parquet(path), sentiment_scorer(lexicon(spark), context=CONTEXT))
+    assert {r.asin for r in enrich(batch).collect()} == {"1"}
+    clean.where("asin = '10'").write.mode("append").parquet(path)
+    assert {r.asin for r in enrich(batch).collect()} == {"1", "10"}
+
+
 def test_columns_besides_the_batch_stay(spark, clean):
     batch = spark.createDataFrame(BATCH, schemas.REVIEW_BATCH).withColumn("review_id", F.lit(7))
-    found = reviews.enrich_reviews(batch, clean, sentiment_scorer(default_lexicon(spark)))
+    found = reviews.enrich_reviews(batch, clean, sentiment_scorer(lexicon(spark), context=CONTEXT))
     assert found.columns == schemas.ENRICHED.names
 
 
@@ -105,7 +119,8 @@ def test_top_lists(enriched):
 
 
 def test_word_cloud(spark, enriched):
-    cloud = dashboard.word_cloud(enriched, adjective_tagger(default_tags(spark)), "title", "NEW")
+    counts = marts.word_counts(enriched, adjective_tagger(default_tags(spark)), ["author", "title", "year"])
+    cloud = dashboard.word_cloud(counts, "title", "NEW")
     assert sorted((r.word, r.word_count, r.weight) for r in cloud.collect()) == [("bad", 1, 1.0), ("good", 1, 1.0)]
 
 

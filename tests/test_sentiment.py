@@ -6,7 +6,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql.functions import pandas_udf
 
-from shelfmark.operators.sentiment import ContextWords, default_lexicon, scorer_from, sentiment_scorer
+from shelfmark.operators.sentiment import ContextWords, scorer_from, sentiment_scorer
+from tests.wordlists import CONTEXT, lexicon
 
 
 def scores(spark, scorer, texts):
@@ -20,36 +21,36 @@ def compound(total):
 
 @pytest.fixture(scope="module")
 def scorer(spark):
-    return sentiment_scorer(default_lexicon(spark))
+    return sentiment_scorer(lexicon(spark), context=CONTEXT)
 
 
-# good 1.9, great 3.1, bad -2.5
+# good 2, great 3, bad -2.5
 CASES = [
-    ("plain", "A good book", 1.9),
-    ("case is ignored", "Good book", 1.9),
-    ("two words add up", "good, great.", 1.9 + 3.1),
-    ("stronger", "A very good book", 1.9 + 0.293),
-    ("weaker", "A slightly good book", 1.9 - 0.293),
+    ("plain", "A good book", 2.0),
+    ("case is ignored", "Good book", 2.0),
+    ("two words add up", "good, great.", 2.0 + 3.0),
+    ("stronger", "A very good book", 2.0 + 0.293),
+    ("weaker", "A slightly good book", 2.0 - 0.293),
     ("stronger and negative", "very bad", -2.5 - 0.293),
-    ("two places before", "very much good", 1.9 + 0.293 * 0.95),
-    ("three places before", "very very much good", 1.9 + 0.293 * 0.95 + 0.293 * 0.9),
-    ("too far", "very a b c good", 1.9),
-    ("negated", "not good", 1.9 * -0.74),
-    ("negated two before", "not a good book", 1.9 * -0.74),
-    ("negated three before", "never saw a good book", 1.9 * -0.74),
-    ("negation too far", "not a b c good", 1.9),
-    ("negated and stronger", "not very good", (1.9 + 0.293) * -0.74),
-    ("capitals", "a GOOD book", 1.9 + 0.733),
-    ("all capitals say nothing", "A GOOD BOOK", 1.9),
+    ("two places before", "very much good", 2.0 + 0.293 * 0.95),
+    ("three places before", "very very much good", 2.0 + 0.293 * 0.95 + 0.293 * 0.9),
+    ("too far", "very a b c good", 2.0),
+    ("negated", "not good", 2.0 * -0.74),
+    ("negated two before", "not a good book", 2.0 * -0.74),
+    ("negated three before", "never saw a good book", 2.0 * -0.74),
+    ("negation too far", "not a b c good", 2.0),
+    ("negated and stronger", "not very good", (2.0 + 0.293) * -0.74),
+    ("capitals", "a GOOD book", 2.0 + 0.733),
+    ("all capitals say nothing", "A GOOD BOOK", 2.0),
     ("negative capitals", "a BAD book", -2.5 - 0.733),
-    ("capital degree word", "a VERY good book", 1.9 + 0.293 + 0.733),
-    ("contrast", "good but bad", 1.9 * 0.5 - 2.5 * 1.5),
-    ("exclamation", "good!", 1.9 + 0.292),
-    ("four exclamations at most", "good !!!!!!", 1.9 + 4 * 0.292),
+    ("capital degree word", "a VERY good book", 2.0 + 0.293 + 0.733),
+    ("contrast", "good but bad", 2.0 * 0.5 - 2.5 * 1.5),
+    ("exclamation", "good!", 2.0 + 0.292),
+    ("four exclamations at most", "good !!!!!!", 2.0 + 4 * 0.292),
     ("negative exclamation", "bad!!", -2.5 - 2 * 0.292),
-    ("one question mark", "good?", 1.9),
-    ("three question marks", "good???", 1.9 + 0.54),
-    ("many question marks", "good ?????", 1.9 + 0.96),
+    ("one question mark", "good?", 2.0),
+    ("three question marks", "good???", 2.0 + 0.54),
+    ("many question marks", "good ?????", 2.0 + 0.96),
     ("emoticon", "book :)", 2.0),
     ("no hit", "plain words here!!!", 0.0),
     ("no words", "   ", 0.0),
@@ -67,16 +68,24 @@ def test_null_and_empty_score_zero(spark, scorer):
 
 
 def test_large_lexicon_is_joined_with_the_same_result(spark, scorer):
-    joined = sentiment_scorer(default_lexicon(spark), max_words=5)
+    joined = sentiment_scorer(lexicon(spark), context=CONTEXT, max_words=5)
     texts = [text for _, text, _ in CASES] + [None, "", "good", "good"]
     assert scores(spark, joined, texts) == scores(spark, scorer, texts)
 
 
 def test_context_words_can_be_replaced(spark):
     context = ContextWords(stronger=("uber",), weaker=(), negators=("kein",), contrasts=("aber",))
-    scorer = sentiment_scorer(default_lexicon(spark), context=context)
+    scorer = sentiment_scorer(lexicon(spark), context=context)
     found = scores(spark, scorer, ["uber good", "kein good", "good aber bad", "not good"])
-    assert found == [compound(1.9 + 0.293), compound(1.9 * -0.74), compound(0.95 - 3.75), compound(1.9)]
+    assert found == [compound(2.0 + 0.293), compound(2.0 * -0.74), compound(1.0 - 3.75), compound(2.0)]
+
+
+@pytest.mark.parametrize("max_words", [None, 1])
+def test_decimal_valences_score_like_doubles(spark, scorer, max_words):
+    decimals = lexicon(spark).selectExpr("word", "cast(valence as decimal(4,2)) as valence")
+    texts = ["good", "not good", "bad!"]
+    found = scores(spark, sentiment_scorer(decimals, context=CONTEXT, max_words=max_words), texts)
+    assert found == scores(spark, scorer, texts)
 
 
 def test_an_analyser_of_the_caller_can_score(spark):

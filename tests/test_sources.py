@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfmark import schemas
 from shelfmark.plans.reviews import normalise_reviews
@@ -71,11 +72,6 @@ def test_parse_json(spark):
     assert [r[0] for r in found] == ["1", None, None]
 
 
-def test_spread_only_when_there_are_too_few_splits(spark):
-    assert files.spread(spark.range(0, 10, 1, 1)).rdd.getNumPartitions() == 8
-    assert files.spread(spark.range(0, 10, 1, 20)).rdd.getNumPartitions() == 20
-
-
 def test_sql_parameters_are_bound(spark, reviews):
     text = "select count(*) n from {reviews} where asin = :asin"
     assert tables.run_sql(spark, text, reviews=reviews, asin="3").first().n == 14
@@ -91,7 +87,7 @@ def test_rebuild_append_and_typed_load(spark, folder, reviews, rows):
     columns = "author string, title string, year long, adjectives string, part int"
     found = spark.createDataFrame([("a", "t", 2014, "x", 0)], columns)
     loaded = tables.load_typed(found, folder("typed"), schemas.ADJECTIVES)
-    assert loaded.schema == schemas.ADJECTIVES and rows(loaded) == [("a", "t", 2014, "x")]
+    assert loaded.schema == schemas.ADJECTIVES and rows(loaded) == [("a", "t", 2014, 0, "x")]
 
 
 def test_pages_cover_the_table_once(spark):
@@ -182,7 +178,7 @@ def test_a_cluster_has_to_name_its_folder():
 
 def batches(spark, target):
     loaded = feed.loaded_table(spark, target, schemas.REVIEW_BATCH)
-    return [tuple(r) for r in feed.load_progress(loaded).orderBy("batch_id").collect()]
+    return [tuple(r) for r in feed.load_progress(loaded).drop("run").orderBy("batch_id").collect()]
 
 
 def test_feed_in_batches_and_on_after_a_restart(spark, folder, reviews, rows):
@@ -201,7 +197,7 @@ def test_feed_in_batches_and_on_after_a_restart(spark, folder, reviews, rows):
     feed.write_feed(reviews.coalesce(1).limit(7), source + "/b")
     run()
     assert batches(spark, target)[-1] == (4, 7, 107)
-    assert feed.loaded_table(spark, target, schemas.REVIEW_BATCH).drop("batch_id").distinct().count() == 100
+    assert feed.loaded_table(spark, target, schemas.REVIEW_BATCH).drop("run", "batch_id").distinct().count() == 100
 
 
 def test_a_batch_run_again_replaces_itself(spark, folder, reviews):
@@ -213,7 +209,8 @@ def test_a_batch_run_again_replaces_itself(spark, folder, reviews):
     def stored_then_failed(batch):
         attempts.append(batch.count())
         if len(attempts) == 2:
-            batch.write.mode("overwrite").parquet(f"{target}/batch_id=1")
+            run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+            batch.write.mode("overwrite").parquet(f"{target}/run={run}/batch_id=1")
             raise RuntimeError("lost")
         return batch
 
@@ -230,7 +227,7 @@ def test_a_batch_run_again_replaces_itself(spark, folder, reviews):
 def test_timed_feed_keeps_running(spark, folder, reviews):
     source, target = folder("feed"), folder("loaded")
     feed.write_feed(reviews, source)
-    stream = feed.read_feed(spark, source, schemas.REVIEW_BATCH, archive=folder("archive"))
+    stream = feed.read_feed(spark, source, schemas.REVIEW_BATCH, files_per_batch=8, archive=folder("archive"))
     running = feed.follow_feed(stream, target, folder("state"), interval="1 second")
     try:
         running.processAllAvailable()
@@ -238,3 +235,29 @@ def test_timed_feed_keeps_running(spark, folder, reviews):
         assert feed.loaded_table(spark, target, schemas.REVIEW_BATCH).count() == 100
     finally:
         running.stop()
+
+
+def test_other_checkpoints_overwrite_nothing(spark, folder, reviews):
+    """A second feed with a checkpoint of its own, and a lost checkpoint."""
+    source, other, target = folder("feed"), folder("other"), folder("loaded")
+    feed.write_feed(reviews, source)
+    feed.write_feed(reviews.limit(5), other)
+    for path, state in ((source, "one"), (other, "two"), (source, "lost")):
+        stream = feed.read_feed(spark, path, schemas.REVIEW_BATCH, files_per_batch=100)
+        feed.load_to_end(stream, target, folder(state), number="review_id")
+    numbered = T.StructType([*schemas.REVIEW_BATCH.fields, schemas.ENRICHED["review_id"]])
+    loaded = feed.loaded_table(spark, target, numbered)
+    assert loaded.groupBy("run").count().count() == 3 and loaded.count() == 205
+    assert sorted(r.review_id for r in loaded.collect()) == list(range(1, 206))
+
+
+def test_an_empty_feed_has_loaded_no_rows(spark, folder):
+    loaded = feed.loaded_table(spark, folder("nothing"), schemas.REVIEW_BATCH)
+    assert loaded.collect() == [] and loaded.columns[-2:] == ["run", "batch_id"]
+    assert feed.load_progress(loaded).collect() == []
+
+
+def test_pages_are_ranked_in_ranges(spark, rows):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), F.lit("x").alias("v"))
+    assert [r.k for r in tables.page(df, "k", 990, 20).collect()] == list(range(990, 1000))
+    assert [r.k for r in tables.page(df, ["v", "k"], 10, 3).collect()] == [10, 11, 12]

@@ -45,17 +45,22 @@ def test_adjective_text_skips_reviews_without_any(spark, rows):
     )
 
 
-def test_a_hot_key_gets_parts_and_loses_nothing(spark):
-    many = spark.range(2000).select(
+def test_parts_are_numbered_in_reading_order(spark):
+    many = spark.range(2000).repartition(7).select(
         F.col("id").alias("review_id"),
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 400)).alias("author"),
         F.array(F.concat(F.lit("w"), F.col("id").cast("string"))).alias("adjective_list"),
     )
-    found = words.adjective_strings(many, ["author"], rows_per_part=100).collect()
-    assert len([r for r in found if r.author == "hot"]) > 1
-    assert all(r.part == 0 for r in found if r.author != "hot")
-    listed = Counter(w for r in found for w in r.adjectives.split())
-    assert listed == Counter(f"w{i}" for i in range(2000))
+    found = words.adjective_strings(many, ["author"], rows_per_part=10).collect()
+    for author in {r.author for r in found}:
+        ids = [i for i in range(2000) if author == ("hot" if i % 3 == 0 else f"k{i % 400}")]
+        parts = sorted((r.part, r.adjectives) for r in found if r.author == author)
+        assert parts == [(p, " ".join(f"w{i}" for i in ids[10 * p : 10 * p + 10])) for p in range(-(-len(ids) // 10))]
+
+
+def test_counts_roll_up(spark, rows):
+    counts = words.adjective_counts(tagged(spark), ["author", "title", "year"])
+    assert rows(words.roll_up(counts, ["author"])) == rows(words.adjective_counts(tagged(spark), ["author"]))
 
 
 def test_counts_agree_with_the_text(spark):
