@@ -26,6 +26,9 @@ HEADLINES = [
     "a17_top_shares_with_others",
     "c3_normalised_reviews",
     "c2_enriched_reviews",
+    "c2_enriched_line_items",
+    "t8_review_sentiment_joined",
+    "t9_review_adjectives_joined",
     "a7c_sentiment_per_author_year",
     "c6_author_search",
     "a11_adjective_counts",

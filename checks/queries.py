@@ -672,6 +672,16 @@ def c2_enriched_reviews(t: Tables) -> DataFrame:
     )
 
 
+@query
+def c2_enriched_line_items(t: Tables) -> DataFrame:
+    """As many reviews as there are line items, with the texts of the benchmark."""
+    enriched = reviews.enrich_reviews(t.line_reviews(), t.catalog(), t.scorer())
+    return enriched.select(
+        "review_id", "asin", "author", "price", "title", as_text("review_date"), "rating",
+        F.md5("review_text").alias("text_digest"), rounded("review_sentiment_score", 4),
+    )
+
+
 @query
 def c3_normalised_reviews(t: Tables) -> DataFrame:
     normal = reviews.normalise_reviews(unread_reviews(t))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import parse_review_date
 from shelfmark.functions.text import bare_words
+from shelfmark.operators.joins import lookup_join
 from shelfmark.operators.sentiment import ContextWords, Scorer, sentiment_scorer
 from shelfmark.operators.words import Tagger, adjective_tagger
 from shelfmark.plans.catalog import clean_catalog
@@ -88,6 +89,22 @@ class Tables:
         """The same as a batch of the feed, with a review number."""
         return self.text_reviews().drop("author", "title")
 
+    def line_reviews(self) -> DataFrame:
+        """A review with text for every line item, its text one of the benchmark's."""
+        texts = self.table("benchmark").select("item_id", F.col("text").alias("review_text"))
+        number = F.col("l_orderkey") * 8 + F.col("l_linenumber")
+        day = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss")
+        lines = self._spread(
+            self.table("lineitem").select(
+                number.alias("review_id"),
+                F.col("l_partkey").cast("string").alias("asin"),
+                day.alias("review_date"),
+                (F.col("l_quantity").cast("int") % 5 + 1).alias("rating"),
+                (number % texts.count()).alias("item_id"),
+            )
+        )
+        return lookup_join(lines, texts, ["item_id"]).drop("item_id")
+
     def dated_reviews(self) -> DataFrame:
         """Text reviews with their date read."""
         return self.text_reviews().withColumn("review_date", parse_review_date(F.col("review_date")))
