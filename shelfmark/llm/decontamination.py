@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ STRIDE = 20
 EDITS_PER = 20
 SHORTEST = 2 * Q
 TABLE_BITS = 22
-MAX_ITEMS_BYTES = 64 * 1024 * 1024
+MAX_PART_BYTES = 16 * 1024 * 1024
 BASE = 0x9E3779B97F4A7C15
 POWERS = [np.uint64(pow(BASE, n, 1 << 64)) for n in range(5)]
 LEAKS = "doc_id long, item_id long, item_at int, begin int, end int, edits int"
@@ -184,15 +185,20 @@ class Searcher:
         return sorted(found)
 
 
-def benchmark_items(benchmark: DataFrame) -> list[tuple[int, str]]:
-    """The items, at most 64 MB of text; a larger benchmark has to be given in parts."""
-    size, items = 0, []
+def benchmark_parts(benchmark: DataFrame, most: int = MAX_PART_BYTES) -> Iterator[list[tuple[int, str]]]:
+    """The items in parts of at most ``most`` bytes of text, so that what a task holds is bounded.
+
+    A single longer item is a part of its own. There is always one part, if an empty one.
+    """
+    part, size = [], 0
     for row in benchmark.select("item_id", "text").toLocalIterator():
-        size += len((row.text or "").encode())
-        if size > MAX_ITEMS_BYTES:
-            raise ValueError("the benchmark holds more than 64 MB of text; search it in parts")
-        items.append((row.item_id, row.text))
-    return sorted(items, key=repr)
+        length = len((row.text or "").encode())
+        if part and size + length > most:
+            yield part
+            part, size = [], 0
+        part.append((row.item_id, row.text))
+        size += length
+    yield part
 
 
 def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -202,12 +208,19 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     more) after lower-casing and joining signs and spaces; a document leaks it
     where it holds it with at most one edit per 20 characters. ``begin`` and
     ``end`` are places in the lower-cased text. The benchmark is sent to every
-    task, and may hold 64 MB of text; a larger one has to be given in parts.
-    Documents are neither shuffled nor held together. Null or empty texts leak
-    nothing; null item ids are left out; repeated rows and null doc ids each give their
-    own rows; other columns are ignored; empty tables give no rows.
+    task, 16 MB of its text at a time; a larger one costs more passes over the
+    documents, which are neither shuffled nor held together. Null or empty texts
+    leak nothing; null item ids are left out; repeated rows and null doc ids each
+    give their own rows; other columns are ignored; empty tables give no rows.
     """
-    items = documents.sparkSession.sparkContext.broadcast(benchmark_items(benchmark))
+    texts = documents.selectExpr("cast(doc_id as long) as doc_id", "text")
+    found = (texts.mapInArrow(_finder(texts, part), LEAKS) for part in benchmark_parts(benchmark))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _finder(texts: DataFrame, part: list[tuple[int, str]]):
+    """The search of one part of the benchmark over batches of (doc_id, text)."""
+    items = texts.sparkSession.sparkContext.broadcast(part)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = Searcher(items.value)
@@ -223,17 +236,23 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
-    return documents.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(search, LEAKS)
+    return search
 
 
 def remove_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``documents`` without those that hold a benchmark passage.
 
-    Decided row by row in one pass, so rows without an id can leave as well.
+    Decided row by row, so rows without an id can leave as well.
     """
-    columns = documents.columns
-    items = documents.sparkSession.sparkContext.broadcast(benchmark_items(benchmark))
-    at = columns.index("text")
+    at = documents.columns.index("text")
+    for part in benchmark_parts(benchmark):
+        documents = documents.mapInArrow(_cleaner(documents, part, at), documents.schema)
+    return documents
+
+
+def _cleaner(documents: DataFrame, part: list[tuple[int, str]], at: int):
+    """Drops the rows whose text leaks one part of the benchmark."""
+    items = documents.sparkSession.sparkContext.broadcast(part)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = Searcher(items.value)
@@ -241,4 +260,4 @@ def remove_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
             keep = [not searcher.find(text.as_py() or "") for text in batch.column(at)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return documents.mapInArrow(clean, documents.schema)
+    return clean

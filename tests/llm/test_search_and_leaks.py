@@ -109,7 +109,7 @@ def brute_leaks(texts, items):
     return found
 
 
-def test_leaks_equal_alignment_of_everything(spark, documents):
+def test_leaks_equal_alignment_of_everything(spark, documents, monkeypatch):
     rng = random.Random(0)
     items = [(i, words(rng, n)) for i, n in enumerate((30, 18, 12, 5, 3, 1))] + [(9, None), (10, ""), (None, words(rng, 20))]
     texts = [(0, words(rng, 50)), (1, None), (2, ""), (3, items[0][1]), (4, "Xx " + items[1][1].upper() + " yy"), (3, items[0][1])]
@@ -127,6 +127,10 @@ def test_leaks_equal_alignment_of_everything(spark, documents):
         (202, r.item_id, r.item_at) for r in rows if r.doc_id == 202
     }
     assert 202 in {r.doc_id for r in rows} and all(r.begin < r.end for r in rows)
+    parts = list(dc.benchmark_parts(benchmark, 150))
+    assert len(parts) > 2 and sum(map(len, parts)) == len(items)
+    monkeypatch.setattr(dc.benchmark_parts, "__defaults__", (150,))
+    assert sorted(dc.find_leaks(documents(texts), benchmark).collect()) == sorted(rows)
     table = documents(texts)
     clean = dc.remove_leaks(table, benchmark)
     leaked = {r.doc_id for r in rows}
