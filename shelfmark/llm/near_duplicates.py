@@ -6,7 +6,10 @@ pairs. The symbols are split into six chunks with an allowance of errors each,
 so that by the pigeonhole any pair with at most 19 differing symbols stays
 within the allowance of some chunk. Every choice of the chunk's symbols that may
 differ is left out in turn, and the others make a key; such a pair shares a key.
-Shared keys are links only once the full shingle sets confirm them.
+A second signature of 128 single bits then tells pairs that only share a passage:
+two texts with a similarity of 0.75 differ in about 16 of its bits, and in more
+than 35 once in a million such pairs. What is left is a link only once the full
+shingle sets confirm it.
 """
 
 from __future__ import annotations
@@ -30,11 +33,16 @@ ALLOWED = 19
 # (first symbol, symbols, errors allowed); the allowances plus one add up to more than ALLOWED
 CHUNKS = ((0, 6, 3), (6, 6, 3), (12, 5, 2), (17, 5, 2), (22, 5, 2), (27, 5, 2))
 SHARE = 75
-SEEDS = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+BITS, BITS_APART = 128, 35
+SEEDS = mix(np.arange(1, BITS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 PLACES = mix(np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)) | np.uint64(1)
-NIBBLES = np.uint64(0x1111111111111111)
 LONGEST_RUN = 64
-SIGNED = "doc_id long, n int, h1 long, h2 long, " + ", ".join(f"s{i} long" for i in range(SYMBOLS // 4))
+# a bucket is worked on in parts of about so many rows; of a hot key so many rows are sampled per part
+BUCKET_ROWS, SAMPLED = 50_000, 100
+HUBS = 1_000
+SIGNED = "doc_id long, n int, h1 long, h2 long, " + ", ".join(
+    f"{name} long" for name in (*(f"s{i}" for i in range(SYMBOLS // 4)), "a", "b")
+)
 
 
 def shingle_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,19 +85,27 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
-def signatures(sets: np.ndarray, places: np.ndarray) -> np.ndarray:
-    """A row of 32 symbols per non-empty set: 16 bits of the least hash under each of 32 orders."""
+def signatures(sets: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """32 symbols and 128 bits per non-empty set, from its least hashes under 128 orders.
+
+    A symbol is 16 bits of a least hash, a bit one other.
+    """
     starts = places[:-1][np.diff(places) > 0]
-    out = np.empty((len(starts), SYMBOLS), np.uint16)
+    symbols, bits = np.empty((len(starts), SYMBOLS), np.uint16), np.zeros((len(starts), BITS // 64), np.uint64)
     if len(starts):
+        ordered = np.empty_like(sets)
         for k, seed in enumerate(SEEDS):
-            least = np.minimum.reduceat((sets ^ seed) * (seed | np.uint64(1)), starts)
-            out[:, k] = mix(least) >> np.uint64(48)
-    return out
+            np.bitwise_xor(sets, seed, out=ordered)
+            np.multiply(ordered, seed | np.uint64(1), out=ordered)
+            least = mix(np.minimum.reduceat(ordered, starts))
+            if k < SYMBOLS:
+                symbols[:, k] = least >> np.uint64(48)
+            bits[:, k // 64] |= (least & np.uint64(1)) << np.uint64(k % 64)
+    return symbols, bits
 
 
 def sign_documents(documents: DataFrame) -> DataFrame:
-    """(doc_id, n, h1, h2, s0..s7) per row: the set's size, its 128-bit digest and the signature."""
+    """(doc_id, n, h1, h2, s0..s7, a, b) per row: the set's size, its 128-bit digest and the two signatures."""
     names = [part.split()[0] for part in SIGNED.split(", ")]
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -98,13 +114,14 @@ def sign_documents(documents: DataFrame) -> DataFrame:
                 sets, places = shingle_sets(batch.column(1)[a:b])
                 sizes = np.diff(places)
                 full = sizes > 0
-                long = np.zeros((b - a, 2 + SYMBOLS // 4), np.int64)
+                long = np.zeros((b - a, 2 + SYMBOLS // 4 + BITS // 64), np.int64)
                 if full.any():
                     starts = places[:-1][full]
                     with np.errstate(over="ignore"):
                         for k in range(2):
                             long[full, k] = np.add.reduceat(mix(sets + PLACES[k]), starts).view(np.int64)
-                    long[full, 2:] = signatures(sets, places).view(np.int64)
+                    signed = signatures(sets, places)
+                    long[full, 2:] = np.concatenate([part.view(np.int64) for part in signed], axis=1)
                 arrays = [batch.column(0)[a:b], pa.array(sizes, pa.int32()), *(pa.array(c) for c in long.T.copy())]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
@@ -121,14 +138,14 @@ def _patterns() -> list[tuple[int, ...]]:
 
 
 def index_keys(classes: DataFrame) -> DataFrame:
-    """(key, node, n, a, b): every class under each of its 80 keys, with half a symbol's bits for the first comparison."""
+    """(key, node, n, a, b): every class under each of its 80 keys, with its size and bits for the first comparison."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         patterns = _patterns()
         for batch in batches:
             if not len(batch):
                 continue
-            symbols = np.stack([np.asarray(c) for c in batch.columns[2:]], axis=1).view(np.uint16)
+            symbols = np.stack([np.asarray(c) for c in batch.columns[4:]], axis=1).view(np.uint16)
             wide = symbols.astype(np.uint64)
             keys = np.empty((len(wide), len(patterns)), np.uint64)
             for i, kept in enumerate(patterns):
@@ -136,35 +153,19 @@ def index_keys(classes: DataFrame) -> DataFrame:
                 for k in kept:
                     value = mix(value * np.uint64(0x2545F4914F6CDD1D) + wide[:, k] + np.uint64(1))
                 keys[:, i] = value
-            nibble = wide & np.uint64(15)
-            shift = np.arange(16, dtype=np.uint64) * np.uint64(4)
-            halves = [np.bitwise_or.reduce(nibble[:, h : h + 16] << shift, axis=1) for h in (0, 16)]
-            times = len(patterns)
-            arrays = [
-                pa.array(keys.ravel().view(np.int64)),
-                pa.array(np.repeat(np.asarray(batch.column(0)), times)),
-                pa.array(np.repeat(np.asarray(batch.column(1)), times)),
-                *(pa.array(np.repeat(h.view(np.int64), times)) for h in halves),
-            ]
+            carried = (np.repeat(np.asarray(c), len(patterns)) for c in batch.columns[:4])
+            arrays = [pa.array(keys.ravel().view(np.int64)), *map(pa.array, carried)]
             yield pa.RecordBatch.from_arrays(arrays, ["key", "node", "n", "a", "b"])
 
-    columns = ["node", "n", *(f"s{i}" for i in range(SYMBOLS // 4))]
+    columns = ["node", "n", "a", "b", *(f"s{i}" for i in range(SYMBOLS // 4))]
     return classes.select(*columns).mapInArrow(spread, "key long, node long, n int, a long, b long")
 
 
 def _alike(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...]) -> np.ndarray:
-    """Whether pairs of (n, a, b) can be links: sizes near enough, and at most 19 half symbols differ.
-
-    Never false for a pair with at most 19 differing symbols.
-    """
-    apart = 0
-    for i in (1, 2):
-        d = x[i] ^ y[i]
-        d |= d >> np.uint64(1)
-        d |= d >> np.uint64(2)
-        apart = apart + np.bitwise_count(d & NIBBLES)
+    """Whether pairs of (n, a, b) can be links: sizes near enough, and at most 35 of the 128 bits differ."""
+    apart = np.bitwise_count(x[1] ^ y[1]).astype(np.int64) + np.bitwise_count(x[2] ^ y[2])
     small, large = np.minimum(x[0], y[0]), np.maximum(x[0], y[0])
-    return (apart <= ALLOWED) & (100 * small.astype(np.int64) >= SHARE * large.astype(np.int64))
+    return (apart <= BITS_APART) & (100 * small.astype(np.int64) >= SHARE * large.astype(np.int64))
 
 
 def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -172,12 +173,40 @@ def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [key, node, n, a.view(np.uint64), b.view(np.uint64), *more]
 
 
+def _salted(keys: DataFrame, classes: DataFrame) -> DataFrame:
+    """Adds ``salt``, which deals the rows of a key with far more than 50,000 among several tasks.
+
+    Hot keys are told from a sample, for which salts a row gets only decides
+    which links are found first. Each key deals its nodes in another way, so that
+    a group of near copies is still linked to one star through other keys.
+    """
+    sample = index_keys(classes.sample(SAMPLED / BUCKET_ROWS, seed=1))
+    hot = sample.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / SAMPLED).alias("_salts")).where("_salts > 1")
+    hot = stored(hot.withColumnRenamed("key", "_hot"), "hot-buckets")
+    if hot.isEmpty():
+        return keys.withColumn("salt", F.lit(0))
+    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
+    salt = F.pmod(F.xxhash64("key", "node"), F.coalesce("_salts", F.lit(1))).cast("int")
+    return keys.join(hot, F.col("key") == F.col("_hot"), "left").withColumn("salt", salt).drop("_hot", "_salts")
+
+
+def _runs(*columns: np.ndarray) -> np.ndarray:
+    """Where a row differs from the one before in some column; true for the first."""
+    new = np.zeros(len(columns[0]), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    return new
+
+
 def star_links(keys: DataFrame) -> DataFrame:
     """(key, node, n, a, b, hub): the rows of keys that several nodes share, each with a hub of its key or null.
 
-    In a bucket the first node is a hub, and so is each that no earlier hub of
-    the bucket is like. So a bucket gives at most one link per row, however
-    large it is, and a task keeps only the hubs of the bucket at hand.
+    ``keys`` also has salt, and a bucket is the rows of one key and salt. In it
+    the first node is a hub, and so is each that no earlier hub is like, up to
+    1,000 hubs. A bucket gives at most one link per row, however large it is, and
+    a task keeps only the hubs of the bucket at hand. A row without a hub is
+    tried with all others by ``open_pairs``.
     """
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,15 +218,13 @@ def star_links(keys: DataFrame) -> DataFrame:
             if not len(rows[0]):
                 continue
             old = 0
-            if held is not None and held[0][0] == rows[0][0]:
+            if held is not None and held[0][0] == rows[0][0] and held[5][0] == rows[5][0]:
                 old = len(held[0])
                 rows = [np.concatenate([h, r]) for h, r in zip(held, rows)]
-            key = rows[0]
-            new_run = np.concatenate([[True], key[1:] != key[:-1]])
-            run = np.cumsum(new_run) - 1
+            run = np.cumsum(_runs(rows[0], rows[5])) - 1
             sizes = np.bincount(run)
-            hub = np.full(len(key), -1, np.int64)
-            is_hub = np.zeros(len(key), bool)
+            hub = np.full(len(run), -1, np.int64)
+            is_hub = np.zeros(len(run), bool)
             is_hub[:old] = True
             waiting = np.flatnonzero(sizes[run] > 1)
             waiting = waiting[waiting >= old]
@@ -207,8 +234,12 @@ def star_links(keys: DataFrame) -> DataFrame:
                 good = _alike([r[mine] for r in rows[2:5]], [r[h : h + 1] for r in rows[2:5]])
                 hub[mine[good]] = rows[1][h]
                 waiting = waiting[hub[waiting] < 0]
-            while len(waiting):
-                first = np.concatenate([[True], run[waiting][1:] != run[waiting][:-1]])
+            if old >= HUBS:
+                waiting = waiting[run[waiting] != 0]
+            for _ in range(HUBS):
+                if not len(waiting):
+                    break
+                first = _runs(run[waiting])
                 centre = waiting[first][np.cumsum(first) - 1]
                 is_hub[waiting[first]] = True
                 good = _alike([r[waiting] for r in rows[2:5]], [r[centre] for r in rows[2:5]]) & ~first
@@ -221,26 +252,34 @@ def star_links(keys: DataFrame) -> DataFrame:
                 give[:old] = False
             if give.any():
                 hubs = pa.array(hub[give], pa.int64(), mask=hub[give] < 0)
-                made = [pa.array(r[give].view(np.int64) if r.dtype == np.uint64 else r[give]) for r in rows]
+                made = [pa.array(r[give].view(np.int64) if r.dtype == np.uint64 else r[give]) for r in rows[:5]]
                 yield pa.RecordBatch.from_arrays([*made, hubs], ["key", "node", "n", "a", "b", "hub"])
             shown = bool(sizes[-1] > 1)
             keep = np.flatnonzero(last & is_hub)
             held = [r[keep] for r in rows]
 
-    dealt = keys.repartition("key").sortWithinPartitions("key", "node")
+    columns = ["key", "node", "n", "a", "b", "salt"]
+    dealt = keys.select(*columns).repartition("key", "salt").sortWithinPartitions("key", "salt", "node")
     return dealt.mapInArrow(link, "key long, node long, n int, a long, b long, hub long")
 
 
 def open_pairs(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(x, y): the pairs of a bucket that can be links and are not yet in one component.
+    """(x, y): the pairs of a key that can be links and are not yet in one component.
 
     ``labels`` has (node, component) of the linked nodes; others are on their own.
-    Buckets of one component are left out before they are dealt out.
+    Keys of one component are left out before they are dealt out. A key with far
+    more than 50,000 rows is cut into blocks, and each pair of its blocks goes to
+    a task of its own.
     """
     known = buckets.drop("hub").join(labels, "node", "left")
     known = known.withColumn("component", F.coalesce("component", "node")).select("key", "node", "n", "a", "b", "component")
-    mixed = known.groupBy("key").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-    mixed = mixed.where("_low < _high").select("key")
+    sizes = known.groupBy("key").agg(
+        F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_rows")
+    )
+    mixed = sizes.where("_low < _high").select("key", F.ceil(F.col("_rows") / BUCKET_ROWS).cast("int").alias("_blocks"))
+    cut = known.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    cut = cut.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+    cut = cut.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other"))
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
@@ -250,30 +289,30 @@ def open_pairs(buckets: DataFrame, labels: DataFrame) -> DataFrame:
                 continue
             if held is not None:
                 rows = [np.concatenate([h, r]) for h, r in zip(held, rows)]
-            cut = int(np.searchsorted(rows[0], rows[0][-1], "left"))
-            held = [r[cut:] for r in rows]
-            yield from _pairs([r[:cut] for r in rows])
+            at = int(np.flatnonzero(_runs(rows[0], rows[6], rows[7]))[-1])
+            held = [r[at:] for r in rows]
+            yield from _pairs([r[:at] for r in rows])
         if held is not None:
             yield from _pairs(held)
 
-    dealt = known.join(mixed, "key").repartition("key").sortWithinPartitions("key")
+    columns = ["key", "node", "n", "a", "b", "component", "low", "high", "block"]
+    dealt = cut.select(*columns).repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     return dealt.mapInArrow(pair, "x long, y long").distinct()
 
 
 def _pairs(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """The open pairs of whole buckets: small ones all at once by their distance in the bucket, large ones row by row."""
-    key, node, n, a, b, component = rows
+    key, node, n, a, b, component, low, high, block = rows
     if not len(key):
         return
-    new_run = np.concatenate([[True], key[1:] != key[:-1]])
-    begin = np.flatnonzero(new_run)
+    begin = np.flatnonzero(_runs(key, low, high))
     size = np.diff(np.concatenate([begin, [len(key)]]))
     end_of = np.repeat(begin + size, size)
     small = np.repeat(size <= LONGEST_RUN, size)
     body = (n, a, b)
     for step in range(1, int(min(LONGEST_RUN, size.max(initial=1)))):
         left = np.flatnonzero(small & (np.arange(len(key)) + step < end_of))
-        left = left[component[left] != component[left + step]]
+        left = left[(component[left] != component[left + step]) & _met(left, left + step, low, high, block)]
         yield from _found(left, left + step, node, body)
     for start, length in zip(begin[size > LONGEST_RUN].tolist(), size[size > LONGEST_RUN].tolist()):
         # rows of the largest component need no turn of their own: the others meet them
@@ -282,7 +321,14 @@ def _pairs(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         every = np.arange(start, start + length)
         for i in every[component[every] != largest].tolist():
             other = every[(component[every] != component[i]) & ((every > i) | (component[every] == largest))]
-            yield from _found(np.full(len(other), i), other, node, body)
+            mine = np.full(len(other), i)
+            kept = _met(mine, other, low, high, block)
+            yield from _found(mine[kept], other[kept], node, body)
+
+
+def _met(left: np.ndarray, right: np.ndarray, low: np.ndarray, high: np.ndarray, block: np.ndarray) -> np.ndarray:
+    """Where two blocks meet, rows of one block leave each other to the block's own task."""
+    return (block[left] != block[right]) | (low[left] == high[left])
 
 
 def _found(left: np.ndarray, right: np.ndarray, node: np.ndarray, body: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
@@ -332,11 +378,11 @@ def confirm(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> DataF
 def link_classes(documents: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, component) of every class that is linked with another one.
 
-    First each bucket is linked like a star. Then, in buckets whose nodes are
-    still in several components, every pair of different components is tried.
+    First each bucket is linked like a star. Then, for keys whose nodes are still
+    in several components, every pair of different components is tried.
     A pair within one component needs no link, so no link is lost.
     """
-    buckets = stored(star_links(index_keys(classes)), "buckets")
+    buckets = stored(star_links(_salted(index_keys(classes), classes)), "buckets")
     stars = stored(buckets.where("hub is not null").select(F.least("hub", "node").alias("x"), F.greatest("hub", "node").alias("y")).distinct(), "stars")
     first = stored(confirm(stars, documents, classes), "links")
     pairs = stored(open_pairs(buckets, components(first)), "open-pairs").join(stars, ["x", "y"], "left_anti")
@@ -361,7 +407,7 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 def _linked(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = stored(sign_documents(documents), "signatures")
-    symbols = [F.max(f"s{i}").alias(f"s{i}") for i in range(SYMBOLS // 4)]
+    symbols = [F.max(name).alias(name) for name in (*(f"s{i}" for i in range(SYMBOLS // 4)), "a", "b")]
     grouped = rows.where("n > 0").groupBy("h1", "h2").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), *symbols)
     classes = stored(grouped.withColumn("node", F.monotonically_increasing_id()), "classes")
     linked = stored(link_classes(documents, classes), "components")
