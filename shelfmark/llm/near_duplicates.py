@@ -1,14 +1,14 @@
 """Near-duplicates by a multi-index Hamming join of b-bit MinHash signatures.
 
 A document's signature is 32 symbols of 16 bits. Two texts with a similarity of
-0.75 differ in about 8 of them, and in more than 19 once in some 80,000 such
+0.75 differ in about 8 of them, and in more than 19 once in some 125,000 such
 pairs. The symbols are split into six chunks with an allowance of errors each,
 so that by the pigeonhole any pair with at most 19 differing symbols stays
 within the allowance of some chunk. Every choice of the chunk's symbols that may
 differ is left out in turn, and the others make a key; such a pair shares a key.
 A second signature of 128 single bits then tells pairs that only share a passage:
 two texts with a similarity of 0.75 differ in about 16 of its bits, and in more
-than 35 once in a million such pairs. What is left is a link only once the full
+than 35 once in some 500,000 such pairs. What is left is a link only once the full
 shingle sets confirm it.
 """
 
@@ -40,6 +40,8 @@ LONGEST_RUN = 64
 # a bucket is worked on in parts of about so many rows; of a hot key so many rows are sampled per part
 BUCKET_ROWS, SAMPLED = 50_000, 100
 HUBS = 1_000
+# further hubs are tried in so many turns, each by one of as many parts of the keys
+TURNS, KEY_PARTS = 2, 4
 SIGNED = "doc_id long, n int, h1 long, h2 long, " + ", ".join(
     f"{name} long" for name in (*(f"s{i}" for i in range(SYMBOLS // 4)), "a", "b")
 )
@@ -263,6 +265,29 @@ def star_links(keys: DataFrame) -> DataFrame:
     return dealt.mapInArrow(link, "key long, node long, n int, a long, b long, hub long")
 
 
+def _with_components(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """The bucket rows with the component of their node, which is the node itself where nothing is linked."""
+    known = buckets.drop("hub").join(labels, "node", "left")
+    return known.withColumn("component", F.coalesce("component", "node")).select("key", "node", "n", "a", "b", "component")
+
+
+def other_hubs(buckets: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(x, y): rows paired with a node of their key that is not yet in their component, at most one pair per row.
+
+    The node is another for every key, so that a document that the first star
+    missed meets several members of its group before all pairs are tried.
+    """
+    part = F.pmod(F.xxhash64("key"), F.lit(KEY_PARTS)) == turn % KEY_PARTS
+    known = _with_components(buckets.where(part), labels)
+    order = F.xxhash64("node", "key", F.lit(turn)).alias("order")
+    hubs = known.groupBy("key").agg(F.min(F.struct(order, "node", "n", "a", "b", "component")).alias("_hub"))
+    met = known.join(hubs, "key").where(F.col("component") != F.col("_hub.component"))
+    apart = F.bit_count(F.col("a").bitwiseXOR(F.col("_hub.a"))) + F.bit_count(F.col("b").bitwiseXOR(F.col("_hub.b")))
+    sizes = 100 * F.least("n", "_hub.n").cast("long") >= SHARE * F.greatest("n", "_hub.n").cast("long")
+    alike = met.where((apart <= BITS_APART) & sizes)
+    return alike.select(F.least("node", "_hub.node").alias("x"), F.greatest("node", "_hub.node").alias("y")).distinct()
+
+
 def open_pairs(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     """(x, y): the pairs of a key that can be links and are not yet in one component.
 
@@ -271,8 +296,7 @@ def open_pairs(buckets: DataFrame, labels: DataFrame) -> DataFrame:
     more than 50,000 rows is cut into blocks, and each pair of its blocks goes to
     a task of its own.
     """
-    known = buckets.drop("hub").join(labels, "node", "left")
-    known = known.withColumn("component", F.coalesce("component", "node")).select("key", "node", "n", "a", "b", "component")
+    known = _with_components(buckets, labels)
     sizes = known.groupBy("key").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_rows")
     )
@@ -378,17 +402,27 @@ def confirm(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> DataF
 def link_classes(documents: DataFrame, classes: DataFrame) -> DataFrame:
     """(node, component) of every class that is linked with another one.
 
-    First each bucket is linked like a star. Then, for keys whose nodes are still
-    in several components, every pair of different components is tried.
+    First each bucket is linked like a star. Then nodes are tried with other hubs
+    of their keys, which brings near copies of near copies together. At last, for
+    keys whose nodes are still in several components, every pair of different
+    components is tried.
     A pair within one component needs no link, so no link is lost.
     """
     buckets = stored(star_links(_salted(index_keys(classes), classes)), "buckets")
     stars = stored(buckets.where("hub is not null").select(F.least("hub", "node").alias("x"), F.greatest("hub", "node").alias("y")).distinct(), "stars")
-    first = stored(confirm(stars, documents, classes), "links")
-    pairs = stored(open_pairs(buckets, components(first)), "open-pairs").join(stars, ["x", "y"], "left_anti")
-    pairs = stored(pairs, "untried-pairs")
-    more = confirm(pairs, documents, classes)
-    return components(first.unionByName(more))
+    links, tried = stored(confirm(stars, documents, classes), "links"), stars
+    labels = components(links)
+    for turn in range(TURNS + 1):
+        pairs = other_hubs(buckets, labels, turn) if turn < TURNS else open_pairs(buckets, labels)
+        pairs = stored(pairs.join(tried, ["x", "y"], "left_anti"), "pairs-to-try")
+        if pairs.isEmpty():
+            continue
+        found = stored(confirm(pairs, documents, classes), "links")
+        tried = tried.unionByName(pairs)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            labels = components(links)
+    return labels
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

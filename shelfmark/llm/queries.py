@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from shelfmark.llm import chat, class_ngrams, decontamination, exact_search, near_duplicates, packing, quality, secrets, token_counts, url_filters
