@@ -28,6 +28,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_SETTING, SPARK_DEFAULT, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Lets Spark hand at most 8 MB of texts to Python at a time, where the session has not chosen a size itself.
+
+    Spark's own bound of 64 MB, held several times on its way, is much beside a small executor's heap.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, SPARK_DEFAULT) == SPARK_DEFAULT:
+        conf.set(BATCH_SETTING, BATCH_BYTES)
+    return df
+
+
 def crc_remainder(column: str, divisor: int) -> Column:
     """crc32 of the value's text, modulo ``divisor``; a null counts as an empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % divisor

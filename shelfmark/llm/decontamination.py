@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from shelfmark.llm.common import MIX_1, text_slices
+from shelfmark.llm.common import MIX_1, small_batches, text_slices
 
 Q = 12
 WINDOW = 80
@@ -213,7 +213,7 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     leak nothing; null item ids are left out; repeated rows and null doc ids each
     give their own rows; other columns are ignored; empty tables give no rows.
     """
-    texts = documents.selectExpr("cast(doc_id as long) as doc_id", "text")
+    texts = small_batches(documents).selectExpr("cast(doc_id as long) as doc_id", "text")
     found = (texts.mapInArrow(_finder(texts, part), LEAKS) for part in benchmark_parts(benchmark))
     return reduce(DataFrame.unionByName, found)
 
@@ -246,7 +246,7 @@ def remove_leaks(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     at = documents.columns.index("text")
     for part in benchmark_parts(benchmark):
-        documents = documents.mapInArrow(_cleaner(documents, part, at), documents.schema)
+        documents = small_batches(documents).mapInArrow(_cleaner(documents, part, at), documents.schema)
     return documents
 
 
@@ -257,7 +257,9 @@ def _cleaner(documents: DataFrame, part: list[tuple[int, str]], at: int):
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         searcher = Searcher(items.value)
         for batch in batches:
-            keep = [not searcher.find(text.as_py() or "") for text in batch.column(at)]
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            for a, b in text_slices(batch.column(at)):
+                part = batch.slice(a, b - a)
+                keep = [not searcher.find(text.as_py() or "") for text in part.column(at)]
+                yield part.filter(pa.array(keep, pa.bool_()))
 
     return clean

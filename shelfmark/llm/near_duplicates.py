@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import mix, stored, text_slices, utf8_bytes
+from shelfmark.llm.common import mix, small_batches, stored, text_slices, utf8_bytes
 from shelfmark.llm.components import components
 from shelfmark.llm.words64 import hash_words
 from shelfmark.operators.sizing import fits_broadcast
@@ -127,7 +127,7 @@ def sign_documents(documents: DataFrame) -> DataFrame:
                 arrays = [batch.column(0)[a:b], pa.array(sizes, pa.int32()), *(pa.array(c) for c in long.T.copy())]
                 yield pa.RecordBatch.from_arrays(arrays, names)
 
-    return documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, SIGNED)
+    return small_batches(documents).select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, SIGNED)
 
 
 def _patterns() -> list[tuple[int, ...]]:

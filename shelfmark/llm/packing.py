@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import stored
+from shelfmark.llm.common import small_batches, stored
 from shelfmark.llm.pretokens import pretokenizer
 
 TOKENIZER = "word_bpe_49k.json"
@@ -53,7 +53,8 @@ def cut_documents(documents: DataFrame, tokenizer: str = TOKENIZER, capacity: in
             columns = [pa.array(c, kind) for c, kind in zip(zip(*out), kinds)] if out else [pa.array([], kind) for kind in kinds]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    pieces = documents.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES.rpartition(",")[0])
+    texts = small_batches(documents).select(F.col("doc_id").cast("long"), "text")
+    pieces = texts.mapInArrow(cut, PIECES.rpartition(",")[0])
     return pieces.withColumn("row", F.monotonically_increasing_id())
 
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import crc_remainder, stored, text_slices, utf8_bytes
+from shelfmark.llm.common import crc_remainder, small_batches, stored, text_slices, utf8_bytes
 from shelfmark.llm.words64 import hash_words
 
 SHRINK_TO_DIAGONAL = 0.1
@@ -153,7 +153,8 @@ def with_statistics(documents: DataFrame) -> DataFrame:
                 rows = pa.ListArray.from_arrays(pa.array(offsets), pa.array(x.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0)[a:b], rows], ["doc_id", "x"])
 
-    return documents.selectExpr("cast(doc_id as long) as doc_id", "text").mapInArrow(work_out, "doc_id long, x array<double>")
+    texts = small_batches(documents).selectExpr("cast(doc_id as long) as doc_id", "text")
+    return texts.mapInArrow(work_out, "doc_id long, x array<double>")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -239,15 +240,17 @@ def score_column(documents: DataFrame, model: Discriminant, column: str) -> Data
     at = documents.columns.index(column)
     of_texts = documents.schema[column].dataType.typeName() == "string"
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add_score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(at)
-            parts = (statistics(values[a:b]) for a, b in text_slices(values)) if of_texts else [_matrix(values)]
-            found = np.concatenate([np.zeros(0), *(known.value.score(x) for x in parts)])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found)], [*batch.schema.names, "_score"])
+            cuts = text_slices(batch.column(at)) if of_texts else [(0, len(batch))]
+            for a, b in cuts:
+                part = batch.slice(a, b - a)
+                x = statistics(part.column(at)) if of_texts else _matrix(part.column(at))
+                score = pa.array(known.value.score(x))
+                yield pa.RecordBatch.from_arrays([*part.columns, score], [*batch.schema.names, "_score"])
 
     columns = (f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in documents.schema)
-    return documents.mapInArrow(score, ", ".join([*columns, "_score double"]))
+    return small_batches(documents).mapInArrow(add_score, ", ".join([*columns, "_score double"]))
 
 
 def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:

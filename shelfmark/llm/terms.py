@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmark.llm.common import small_batches
+
 MOST_FREQUENT = 200_000
 LONGEST = 64
 FLUSH_AT = 200_000
@@ -38,7 +40,7 @@ def count_terms(texts: DataFrame, terms_of: Callable[[], Callable[[str], Iterabl
                         seen.clear()
         yield from _flush(seen)
 
-    partial = texts.select("text").mapInArrow(count, "term binary, n long")
+    partial = small_batches(texts).select("text").mapInArrow(count, "term binary, n long")
     return partial.groupBy("term").agg(F.sum("n").alias("n"))
 
 
