@@ -138,3 +138,21 @@ def test_leaks_equal_alignment_of_everything(spark, documents, monkeypatch):
     assert sorted(r.doc_id for r in clean.collect()) == sorted(d for d, _ in texts if d not in leaked)
     assert dc.find_leaks(documents([]), benchmark).collect() == []
     assert dc.find_leaks(table, benchmark.limit(0)).collect() == []
+
+
+def test_a_piece_of_an_item_is_found_at_any_start():
+    rng = random.Random(5)
+    item, short = words(rng, 60), "abcde fghij klmno"
+    searcher = dc.Searcher([(1, item), (2, short)])
+    frame = words(rng, 20), words(rng, 20)
+    for at in range(len(item) - dc.WINDOW + 1):
+        piece = item[at : at + dc.WINDOW]
+        assert (1, at, 0) in {(i, a, e) for i, a, _, _, e in searcher.find(f"{frame[0]}{piece}{frame[1]}")}
+        edited = piece[:15] + "#" + piece[16:35] + piece[36:55] + "z" + piece[55:70] + "zz" + piece[71:]
+        plain = "".join(map(chr, dc.normal_codes(edited)[0]))
+        if edit_distance_inside(plain, piece) <= 4 and at % 7 == 0:
+            assert (1, at) in {(i, a) for i, a, *_ in searcher.find(edited)}
+    assert searcher.find(item) and not searcher.find(item[3 : 3 + 60])
+    # an item of 12 to 23 characters is searched whole and verbatim
+    assert [f[:2] for f in searcher.find(f"xx {short.upper()} yy")] == [(2, 0)]
+    assert searcher.find(short.replace("g", "z")) == []
