@@ -1,7 +1,9 @@
 """Language-model scores from Brown classes.
 
-Words are put into classes by Brown clustering: classes are merged where the
-mutual information of neighbouring classes falls least. A text's probability is
+Words are put into classes by exchange clustering: from first classes, words move
+to the class in which the likelihood of neighbouring classes gains most, in rounds,
+until none gains. The first classes come from merging those of the most frequent
+words and of word shapes where mutual information falls least. A text's probability is
 the product of its class transitions and of each word's share in its class,
 both smoothed by one.
 """
@@ -11,6 +13,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 from math import log10
 
 import numpy as np
@@ -18,13 +21,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import crc_remainder, stored
+from shelfmark.llm.common import crc_remainder, small_batches, stored
 from shelfmark.llm.terms import LONGEST, MOST_FREQUENT, RARE_TYPE, count_terms, frequent_floor, frequent_terms, sum_rare
 
 CLASSES = 50
-CLUSTERED = 400
+SEEDS = 400
+LEAST_COUNT = 5
+ROUNDS = 20
+TOLERANCE = 1e-3
 LENGTHS, ENDINGS = 16, 8
 SHAPES = LENGTHS * ENDINGS
+END, FIRST = SHAPES, SHAPES + 1
+WORDS_AT_ONCE = 1_000
+PAIRS_AT_ONCE = 1_000_000
 SCORED = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, rest double, rare array<struct<term:binary,n:int>>"
 
 
@@ -49,7 +58,7 @@ ENDING = _endings()
 
 
 def shape_of(word: bytes) -> int:
-    """The shape group, from length and last byte, in which a word beyond the clustered ones stands."""
+    """The shape group, from length and last byte, in which a word below the least count stands."""
     return min(len(word), LENGTHS) * ENDINGS - ENDINGS + ENDING[word[-1]]
 
 
@@ -122,7 +131,8 @@ class ClassModel:
     words: dict[bytes, int]  # frequent words, by number
     logs: np.ndarray  # log10(count + 1) of each
     word_class: np.ndarray
-    shape_class: np.ndarray
+    rare: Vocabulary  # the words beyond the frequent ones
+    rare_class: np.ndarray  # of each word number
     end_class: int
     end_log: float
     transitions: np.ndarray  # log10 of each class after each
@@ -131,32 +141,210 @@ class ClassModel:
     train_tokens: int
 
 
-def _item_bigrams(texts: DataFrame, clustered: dict[bytes, int], items: int) -> np.ndarray:
-    """The counts of neighbouring items over all training texts; the driver receives at most items x items numbers."""
-    known = texts.sparkSession.sparkContext.broadcast(clustered)
+@dataclass(frozen=True)
+class Vocabulary:
+    """The number of each word: its shape group below the least count, else one of its own.
+
+    Frequent words are in a dictionary; the others are found by a 64-bit hash, 8 bytes each.
+    """
+
+    numbers: dict[bytes, int]
+    keys: np.ndarray  # sorted
+    size: int
+
+    def code(self, words: list[bytes]) -> np.ndarray:
+        get = self.numbers.get
+        line = np.array([get(w, -1) for w in words], np.int64)
+        new = np.flatnonzero(line < 0)
+        if len(new):
+            line[new] = self.other([words[i] for i in new.tolist()])
+        return line
+
+    def other(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of words that are not in the dictionary."""
+        number = np.array([shape_of(w) for w in words], np.int64)
+        if len(self.keys) and len(words):
+            wanted = np.array([key_of(w) for w in words], np.int64)
+            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+            number = np.where(self.keys[at] == wanted, self.size - len(self.keys) + at, number)
+        return number
+
+
+def key_of(word: bytes) -> int:
+    """A 64-bit hash of a word."""
+    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
+
+
+def _word_keys(rest: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hash, the shape group and the count of each word of ``rest``, by hash."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column(0).to_pylist()
+            columns = [pa.array([key_of(w) for w in words], pa.int64()), pa.array([shape_of(w) for w in words], pa.int16())]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(1)], ["key", "shape", "n"])
+
+    rows = rest.select("term", "n").mapInArrow(hashed, "key long, shape short, n long").toArrow()
+    key, shape, n = (rows.column(i).to_numpy() for i in range(3))
+    order = np.argsort(key, kind="stable")
+    return key[order], shape[order].astype(np.int64), n[order]
+
+
+def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(left, right, n): how often each word number follows each, over all texts; an end stands around every text."""
+    known, size = texts.sparkSession.sparkContext.broadcast(vocabulary), vocabulary.size
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, seen = known.value, np.zeros(items * items, np.int64)
-        first = len(number)
+        held, length = [], 0
         for batch in batches:
             for text in batch.column(0):
-                words = words_of(text.as_py() or "")
-                line = [items - 1, *[number[w] if w in number else first + shape_of(w) for w in words], items - 1]
-                line = np.array(line, np.int64)
-                places, n = np.unique(line[:-1] * items + line[1:], return_counts=True)
-                seen[places] += n
+                line = np.concatenate([[END], known.value.code(words_of(text.as_py() or "")), [END]])
+                held.append(line[:-1] * size + line[1:])
+                length += len(line)
+                if length > PAIRS_AT_ONCE:
+                    yield _counted(held)
+                    held, length = [], 0
+        if held:
+            yield _counted(held)
+
+    partial = small_batches(texts).select("text").mapInArrow(count, "place long, n long")
+    pairs = partial.groupBy("place").agg(F.sum("n").alias("n"))
+    return pairs.select(F.expr(f"place div {size}").alias("left"), (F.col("place") % size).alias("right"), "n")
+
+
+def _counted(places: list[np.ndarray]) -> pa.RecordBatch:
+    places, n = np.unique(np.concatenate(places), return_counts=True)
+    return pa.RecordBatch.from_arrays([pa.array(places), pa.array(n.astype(np.int64))], ["place", "n"])
+
+
+def _grouped_bigrams(pairs: DataFrame, group: np.ndarray, groups: int) -> np.ndarray:
+    """The pairs' counts by the groups of their words; the driver receives at most groups x groups numbers."""
+    known = pairs.sparkSession.sparkContext.broadcast(group)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(groups * groups, np.int64)
+        for batch in batches:
+            left, right, n = (c.to_numpy() for c in batch.columns)
+            np.add.at(seen, known.value[left].astype(np.int64) * groups + known.value[right], n)
         places = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(seen[places])], ["place", "n"])
 
-    partial = texts.select("text").mapInArrow(count, "place long, n long")
-    rows = partial.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(items * items)
+    rows = pairs.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(groups * groups)
     out[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
-    return out.reshape(items, items)
+    return out.reshape(groups, groups)
+
+
+def _plogp(x: np.ndarray) -> np.ndarray:
+    """x log x of counts, 0 at 0."""
+    return x * np.log(np.maximum(x, 1))
+
+
+def likelihood(table: np.ndarray) -> float:
+    """The log-likelihood of the neighbouring classes in ``table``, but for a constant of the words."""
+    return float(_plogp(table).sum() - _plogp(table.sum(axis=1)).sum() - _plogp(table.sum(axis=0)).sum())
+
+
+def move_gains(right: np.ndarray, left: np.ndarray, own: np.ndarray, current: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """What the likelihood gains if a word moves to a class: one row per word, one column per class.
+
+    ``right`` and ``left`` have how often words of each class follow and precede the
+    word, without itself; ``own`` how often it follows itself.
+    """
+    rows, total = np.arange(len(right)), np.zeros(right.shape)
+    for mine, across, cells in ((right, left, table), (left, right, table.T)):
+        i, d = np.nonzero(mine)
+        if not len(i):
+            continue
+        # the cells of each class with class d, after the word has left its own
+        n, e, inside = mine[i, d], np.arange(len(i)), current[i] == d
+        base = cells.T[d]
+        base[inside] -= across[i[inside]]
+        base[e, current[i]] -= n + np.where(inside, own[i], 0)
+        more = _plogp(base + n[:, None]) - _plogp(base)
+        word, begin = np.unique(i, return_index=True)
+        total[word] += np.add.reduceat(more, begin, axis=0)
+    # a class with itself is a cell of both
+    both = np.repeat(np.diag(table)[None, :], len(right), axis=0)
+    both[rows, current] -= right[rows, current] + left[rows, current] + own
+    total += _plogp(both + right + left + own[:, None]) + _plogp(both) - _plogp(both + right) - _plogp(both + left)
+    for mine, sums in ((right, table.sum(axis=1)), (left, table.sum(axis=0))):
+        n = mine.sum(axis=1) + own
+        base = np.repeat(sums[None, :], len(right), axis=0)
+        base[rows, current] -= n
+        total -= _plogp(base + n[:, None]) - _plogp(base)
+    return total - total[rows, current][:, None]
+
+
+def word_contexts(pairs: DataFrame) -> DataFrame:
+    """(word, near): each clustered word's neighbours as an array of (other, n), 2 x number for those after it and 1 more for those before."""
+    after = pairs.where(F.col("left") >= FIRST).select(F.col("left").alias("word"), (F.col("right") * 2).alias("other"), "n")
+    before = pairs.where(F.col("right") >= FIRST).select(F.col("right").alias("word"), (F.col("left") * 2 + 1).alias("other"), "n")
+    return after.unionByName(before).groupBy("word").agg(F.collect_list(F.struct("other", "n")).alias("near"))
+
+
+def _best_moves(contexts: DataFrame, classes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(word, class) of every word that gains by moving, by falling gain."""
+    known = contexts.sparkSession.sparkContext.broadcast((classes, table))
+    k = len(table)
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        classes, table = known.value
+        for whole in batches:
+            for a in range(0, len(whole), WORDS_AT_ONCE):
+                batch = whole.slice(a, WORDS_AT_ONCE)
+                word, near = batch.column(0).to_numpy(), batch.column(1)
+                m = len(word)
+                row = np.repeat(np.arange(m), near.value_lengths().to_numpy())
+                other, n = (c.to_numpy() for c in near.flatten().flatten())
+                after, other = other % 2 == 0, other // 2
+                self = other == word[row]
+                place = row * k + classes[other]
+                right, left = (np.bincount(place[at], n[at], m * k).reshape(m, k) for at in (after & ~self, ~after & ~self))
+                own = np.bincount(row[after & self], n[after & self], m)
+                gains = move_gains(right, left, own, classes[word].astype(np.int64), table)
+                to = gains.argmax(axis=1)
+                gain = gains[np.arange(m), to]
+                moved = np.flatnonzero(gain > 1e-6)
+                columns = [pa.array(word[moved], pa.int64()), pa.array(to[moved], pa.int16()), pa.array(gain[moved], pa.float32())]
+                yield pa.RecordBatch.from_arrays(columns, ["word", "class", "gain"])
+
+    rows = contexts.mapInArrow(best, "word long, class short, gain float").toArrow()
+    word, to, gain = (rows.column(i).to_numpy() for i in range(3))
+    order = np.lexsort((word, -gain))
+    return word[order], to[order]
+
+
+def exchange(pairs: DataFrame, contexts: DataFrame, classes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The classes after exchange, and how often each follows each.
+
+    A round moves all words that gain, each by its own gain; if the likelihood then
+    falls, as moves can stand against each other, only the better half of them, and
+    so on. It ends when no word gains, when a round gains less than 0.001 of the
+    first, or after 20 rounds. The driver holds one small number per word.
+    """
+    table, first = _grouped_bigrams(pairs, classes, k), None
+    for _ in range(ROUNDS):
+        word, to = _best_moves(contexts, classes, table)
+        before, n = likelihood(table), len(word)
+        while n:
+            trial = classes.copy()
+            trial[word[:n]] = to[:n]
+            new = _grouped_bigrams(pairs, trial, k)
+            if likelihood(new) > before:
+                break
+            n //= 2
+        if not n:
+            break
+        classes, table, gained = trial, new, likelihood(new) - before
+        first = first or gained
+        if gained < TOLERANCE * first:
+            break
+    return classes, table
 
 
 def _shape_sizes(rare: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Per shape group the distinct words and their tokens, of the words beyond the clustered ones."""
+    """Per shape group the distinct words and their tokens, of the words below the least count."""
 
     def size(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, tokens = np.zeros(SHAPES, np.int64), np.zeros(SHAPES, np.int64)
@@ -176,38 +364,51 @@ def _shape_sizes(rare: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def train(texts: DataFrame, counts: DataFrame, classes: int = CLASSES) -> ClassModel:
     """Learns from all rows of ``texts`` (text); ``counts`` is their (term, n).
 
-    Up to 400 frequent words and 128 shape groups of the others are clustered;
-    the summaries that reach the driver are bounded by these numbers, the counts
-    of the words are not and stay in Spark.
+    All words that occur 5 times or more are clustered; the rarer ones stand in one of
+    128 shape groups. The pairs and the words' neighbours are tables; the driver and
+    each task hold the class of every clustered word, and an 8-byte hash of those
+    beyond the 200,000 most frequent.
     """
     documents = texts.count()
-    floor = frequent_floor(counts, CLUSTERED)
-    frequent = frequent_terms(counts, floor, "n")
-    ranked = sorted(frequent, key=lambda w: (-frequent[w], w))
-    clustered = {w: i for i, w in enumerate(ranked)}
-    items = len(clustered) + SHAPES + 1
-    bigrams = _item_bigrams(texts, clustered, items)
-    item_class = brown_classes(bigrams, classes)
-    groups = int(item_class.max(initial=0)) + 1
-    table = np.zeros((groups, groups))
-    np.add.at(table, (item_class[:, None], item_class[None, :]), bigrams)
-
-    rest = counts.where((F.col("n") < floor) | (F.octet_length("term") > LONGEST))
-    shape_words, shape_tokens = _shape_sizes(rest)
-    words = np.concatenate([np.ones(len(ranked)), shape_words, [float(documents > 0)]])
-    tokens = np.concatenate([[frequent[w] for w in ranked], shape_tokens, [documents]])
-    class_words, class_tokens = np.bincount(item_class, words, groups), np.bincount(item_class, tokens, groups)
-
-    held = frequent_terms(counts, frequent_floor(counts, MOST_FREQUENT), "n")
+    floor = frequent_floor(counts, MOST_FREQUENT)
+    held = frequent_terms(counts, floor, "n")
     names = sorted(held)
-    first = len(clustered)
-    number = np.array([clustered[w] if w in clustered else first + shape_of(w) for w in names], np.int64)
+    own = [w for w in names if held[w] >= LEAST_COUNT]
+    beyond = (F.col("n") < floor) | (F.octet_length("term") > LONGEST)
+    keys, key_shape, key_count = _word_keys(counts.where(beyond & (F.col("n") >= LEAST_COUNT)))
+    numbers = {w: FIRST + i for i, w in enumerate(own)}
+    distinct, key_at = np.unique(keys, return_inverse=True)
+    size = FIRST + len(own) + len(distinct)
+    vocabulary = Vocabulary({w: numbers.get(w, shape_of(w)) for w in names}, distinct, size)
+    pairs = stored(count_pairs(texts, vocabulary), "word-pairs")
+
+    # the first classes: of the most frequent words, the shape groups and the end
+    ranked = sorted(own, key=lambda w: (-held[w], w))[:SEEDS]
+    shapes = np.concatenate([np.arange(SHAPES + 1), np.array([shape_of(w) for w in own], np.int64), np.zeros(len(distinct), np.int64)])
+    shapes[size - len(distinct) + key_at] = key_shape
+    seeds = shapes.astype(np.int16)
+    seeds[[numbers[w] for w in ranked]] = FIRST + np.arange(len(ranked))
+    seed_class = brown_classes(_grouped_bigrams(pairs, seeds, FIRST + len(ranked)), classes)
+    groups = int(seed_class.max(initial=0)) + 1
+    first_classes = seed_class[seeds].astype(np.min_scalar_type(groups))
+    contexts = stored(word_contexts(pairs), "word-contexts")
+    word_class, table = exchange(pairs, contexts, first_classes, groups)
+    word_class = word_class.astype(np.int64)
+
+    shape_words, shape_tokens = _shape_sizes(counts.where(F.col("n") < LEAST_COUNT))
+    key_class = word_class[size - len(distinct) + key_at]
+    item_class = np.concatenate([word_class[: FIRST + len(own)], key_class])
+    words = np.concatenate([shape_words, [float(documents > 0)], np.ones(len(own) + len(keys))])
+    tokens = np.concatenate([shape_tokens, [documents], [held[w] for w in own], key_count])
+    class_words, class_tokens = np.bincount(item_class, words, groups), np.bincount(item_class, tokens, groups)
+    number = np.array([vocabulary.numbers[w] for w in names], np.int64)
     return ClassModel(
         words={w: i for i, w in enumerate(names)},
         logs=np.log10(np.array([held[w] for w in names], float) + 1),
-        word_class=item_class[number] if len(number) else number,
-        shape_class=item_class[first : first + SHAPES],
-        end_class=int(item_class[-1]),
+        word_class=word_class[number],
+        rare=Vocabulary({}, distinct, size),
+        rare_class=word_class,
+        end_class=int(word_class[END]),
         end_log=log10(documents + 1),
         transitions=np.log10((table + 1) / (table.sum(axis=1, keepdims=True) + groups)),
         shares=np.log10(class_tokens + class_words + 1),
@@ -225,7 +426,7 @@ def score_documents(documents: DataFrame) -> DataFrame:
     the first), times (count + 1) / (class tokens + class words + 1). A word that
     was never seen has the count 0 in the class of its shape. Without a training
     row all counts are 0. Repeated rows and null ids keep their rows; an empty
-    table gives none. Two tables are written to the shared folder.
+    table gives none. Four tables are written to the shared folder.
     """
     training = documents.where(~held_out()).select("text")
     counts = stored(count_terms(training, lambda: words_of), "word-counts")
@@ -245,7 +446,7 @@ def score_documents(documents: DataFrame) -> DataFrame:
                 line[0] = line[-1] = m.end_class
                 line[1:-1] = m.word_class[code] if len(m.word_class) else 0
                 unknown = [words[i] for i in new.tolist()]
-                line[1 + new] = m.shape_class[[shape_of(w) for w in unknown]] if unknown else 0
+                line[1 + new] = m.rare_class[m.rare.other(unknown)]
                 sizes.append(len(words) + 1)
                 found.append(len(words) - len(new) + (m.end_log > 0))
                 logs.append(float(m.logs[code[code >= 0]].sum()) + m.end_log)

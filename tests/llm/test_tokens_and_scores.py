@@ -116,6 +116,46 @@ def test_brown_merging_equals_brute_force():
     assert class_ngrams.brown_classes(bigrams, 3).tolist() == brute_brown(bigrams, 3).tolist()
 
 
+def test_gains_of_moves_equal_the_likelihoods():
+    rng = np.random.default_rng(4)
+    bigrams = rng.integers(0, 6, (12, 12)).astype(float)
+    classes = rng.integers(0, 4, 12)
+
+    def table(of):
+        out = np.zeros((4, 4))
+        np.add.at(out, (of[:, None], of[None, :]), bigrams)
+        return out
+
+    outside = bigrams - np.diag(np.diag(bigrams))
+    right, left = (np.stack([m[:, classes == c].sum(axis=1) for c in range(4)], axis=1) for m in (outside, outside.T))
+    gains = class_ngrams.move_gains(right, left, np.diag(bigrams), classes, table(classes))
+    for w in range(12):
+        for c in range(4):
+            moved = classes.copy()
+            moved[w] = c
+            assert gains[w, c] == pytest.approx(class_ngrams.likelihood(table(moved)) - class_ngrams.likelihood(table(classes)))
+
+
+@pytest.mark.parametrize("most", [200_000, 3])
+def test_words_beyond_the_seeds_are_clustered_by_their_use(spark, documents, monkeypatch, most):
+    """Words of one shape but of two uses end in two classes, in the dictionary or beyond it."""
+    monkeypatch.setattr(class_ngrams, "MOST_FREQUENT", most)
+    monkeypatch.setattr(class_ngrams, "SEEDS", 2)
+    rng = np.random.default_rng(1)
+    nouns, verbs = ([f"{c}{d}{e}o" for d in "bcdf" for e in "ghjkl"] for c in "nv")
+    texts = [(i, " ".join(f"the {rng.choice(nouns)} will {rng.choice(verbs)}" for _ in range(20))) for i in range(60)]
+    table = documents(texts).select("text")
+    counts = class_ngrams.count_terms(table, lambda: class_ngrams.words_of)
+    model = class_ngrams.train(table, counts, 5)
+
+    def classes(words):
+        words = [w.encode() for w in words]
+        return {int(model.word_class[model.words[w]] if w in model.words else model.rare_class[model.rare.other([w])][0]) for w in words}
+
+    assert len(classes(nouns)) == len(classes(verbs)) == 1 and classes(nouns) != classes(verbs)
+    assert class_ngrams.shape_of(nouns[0].encode()) == class_ngrams.shape_of(verbs[0].encode())
+
+
 def prose(rng, n):
     return " ".join(rng.choice(["the", "cat", "sat", "on", "a", "Mat,", "dog.", "ran", "far"]) for _ in range(n))
 
