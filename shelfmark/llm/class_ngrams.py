@@ -212,20 +212,48 @@ def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return pairs.select(F.expr(f"place div {size}").alias("left"), (F.col("place") % size).alias("right"), "n")
 
 
+def packed(df: DataFrame, lists: bool = False) -> DataFrame:
+    """The batches of ``df``, numbers or (word, near), as one row of four arrays of bytes each, which Spark hands on unread."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, len(whole), WORDS_AT_ONCE if lists else PAIRS_AT_ONCE):
+                batch = whole.slice(a, WORDS_AT_ONCE if lists else PAIRS_AT_ONCE)
+                columns = [*batch.columns]
+                if lists:
+                    columns = [batch.column(0), batch.column(1).value_lengths(), *batch.column(1).flatten().flatten()]
+                made = [pa.array([_narrow(c.to_numpy())], pa.binary()) for c in columns]
+                yield pa.RecordBatch.from_arrays(made, ["a", "b", "c", "d"][: len(made)])
+
+    return df.mapInArrow(pack, "a binary, b binary, c binary" + (", d binary" if lists else ""))
+
+
+def _narrow(numbers: np.ndarray) -> bytes:
+    """The numbers' bytes in the least of 1, 2, 4 or 8 that hold them all, with that size first."""
+    kind = np.dtype(np.min_scalar_type(int(numbers.max(initial=0))))
+    return bytes([kind.itemsize]) + numbers.astype(kind).tobytes()
+
+
+def _wide(column: pa.Array, row: int) -> np.ndarray:
+    data = column[row].as_py()
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+
+
 def _counted(places: list[np.ndarray]) -> pa.RecordBatch:
     places, n = np.unique(np.concatenate(places), return_counts=True)
     return pa.RecordBatch.from_arrays([pa.array(places), pa.array(n.astype(np.int64))], ["place", "n"])
 
 
 def _grouped_bigrams(pairs: DataFrame, group: np.ndarray, groups: int) -> np.ndarray:
-    """The pairs' counts by the groups of their words; the driver receives at most groups x groups numbers."""
+    """The packed pairs' counts by the groups of their words; the driver receives at most groups x groups numbers."""
     known = pairs.sparkSession.sparkContext.broadcast(group)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(groups * groups, np.int64)
         for batch in batches:
-            left, right, n = (c.to_numpy() for c in batch.columns)
-            np.add.at(seen, known.value[left].astype(np.int64) * groups + known.value[right], n)
+            for row in range(len(batch)):
+                left, right, n = (_wide(c, row) for c in batch.columns)
+                np.add.at(seen, known.value[left].astype(np.int64) * groups + known.value[right], n)
         places = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(seen[places])], ["place", "n"])
 
@@ -290,13 +318,11 @@ def _best_moves(contexts: DataFrame, classes: np.ndarray, table: np.ndarray) ->
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes, table = known.value
-        for whole in batches:
-            for a in range(0, len(whole), WORDS_AT_ONCE):
-                batch = whole.slice(a, WORDS_AT_ONCE)
-                word, near = batch.column(0).to_numpy(), batch.column(1)
+        for batch in batches:
+            for at in range(len(batch)):
+                word, sizes, other, n = (_wide(c, at) for c in batch.columns)
                 m = len(word)
-                row = np.repeat(np.arange(m), near.value_lengths().to_numpy())
-                other, n = (c.to_numpy() for c in near.flatten().flatten())
+                row = np.repeat(np.arange(m), sizes)
                 after, other = other % 2 == 0, other // 2
                 self = other == word[row]
                 place = row * k + classes[other]
@@ -380,7 +406,8 @@ def train(texts: DataFrame, counts: DataFrame, classes: int = CLASSES) -> ClassM
     distinct, key_at = np.unique(keys, return_inverse=True)
     size = FIRST + len(own) + len(distinct)
     vocabulary = Vocabulary({w: numbers.get(w, shape_of(w)) for w in names}, distinct, size)
-    pairs = stored(count_pairs(texts, vocabulary), "word-pairs")
+    counted = stored(count_pairs(texts, vocabulary), "word-pairs")
+    pairs = stored(packed(counted), "packed-pairs")
 
     # the first classes: of the most frequent words, the shape groups and the end
     ranked = sorted(own, key=lambda w: (-held[w], w))[:SEEDS]
@@ -391,7 +418,7 @@ def train(texts: DataFrame, counts: DataFrame, classes: int = CLASSES) -> ClassM
     seed_class = brown_classes(_grouped_bigrams(pairs, seeds, FIRST + len(ranked)), classes)
     groups = int(seed_class.max(initial=0)) + 1
     first_classes = seed_class[seeds].astype(np.min_scalar_type(groups))
-    contexts = stored(word_contexts(pairs), "word-contexts")
+    contexts = stored(packed(word_contexts(counted), lists=True), "word-contexts")
     word_class, table = exchange(pairs, contexts, first_classes, groups)
     word_class = word_class.astype(np.int64)
 
@@ -426,7 +453,7 @@ def score_documents(documents: DataFrame) -> DataFrame:
     the first), times (count + 1) / (class tokens + class words + 1). A word that
     was never seen has the count 0 in the class of its shape. Without a training
     row all counts are 0. Repeated rows and null ids keep their rows; an empty
-    table gives none. Four tables are written to the shared folder.
+    table gives none. Five tables are written to the shared folder.
     """
     training = documents.where(~held_out()).select("text")
     counts = stored(count_terms(training, lambda: words_of), "word-counts")
