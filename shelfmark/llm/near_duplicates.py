@@ -406,7 +406,7 @@ def link_classes(documents: DataFrame, classes: DataFrame) -> DataFrame:
     of their keys, which brings near copies of near copies together. At last, for
     keys whose nodes are still in several components, every pair of different
     components is tried.
-    A pair within one component needs no link, so no link is lost.
+    A pair within one component needs no link, so no link that the signatures pass is lost.
     """
     buckets = stored(star_links(_salted(index_keys(classes), classes)), "buckets")
     stars = stored(buckets.where("hub is not null").select(F.least("hub", "node").alias("x"), F.greatest("hub", "node").alias("y")).distinct(), "stars")
