@@ -133,10 +133,105 @@ ranked as (select *, row_number() over (partition by query_id order by score des
 select query_id, cast(rank as integer) as rank, vec_id, score from ranked where rank <= 5
 """
 
+
+
+def _step(key: str, cost: str, letter: str) -> str:
+    """SQL: a (cost, audit) key, cost in twelve digits, with one more edit."""
+    return f"lpad(cast(cast(substr({key}, 1, 12) as bigint) + {cost} as varchar), 12, '0') || substr({key}, 13) || '{letter}'"
+
+
+# The crc32 of a plain text, bit by bit.
+CRC = """xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(key, ''), lambda c: ascii(c)::bigint)),
+  lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]),
+    lambda x, y: case when x & 1 = 1 then xor(x >> 1, 3988292384) else x >> 1 end)), 4294967295)"""
+
+OP13 = f"""
+with recursive keyed as (
+  select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+    coalesce(cast(conv_id as varchar), ' ') || ':' || coalesce(cast(turn as varchar), ' ') as key
+  from conversations
+),
+kinds as (select *, {CRC} % 20 as kind from keyed),
+damaged as (
+  select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+    case when kind = 1 then '' when kind = 2 then replace(replace(replace(text, '.', ''), '!', ''), '?', '') else text end as text
+  from kinds, (values (1), (2)) copies(copy) where kind <> 0 and (copy = 1 or kind = 3)
+),
+placed as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, role, text) as i,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) as trimmed
+  from damaged
+),
+faults as (
+  select *, case when trimmed = '' then 'blank'
+      when row_number() over (partition by conv_id, role, text order by i) > 1 then 'duplicate'
+      when right(trimmed, 1) not in ('.', '!', '?') then 'truncated' else '' end as fault,
+    left(role, 1) as initial,
+    lag(left(role, 1)) over (partition by conv_id order by i) || left(role, 1) as pair
+  from placed
+),
+counts as (
+  select conv_id, count(*) as n, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps,
+    count(*) filter (where fault = 'blank') as blank, count(*) filter (where fault = 'duplicate') as duplicate,
+    count(*) filter (where fault = 'truncated') as truncated,
+    count(*) filter (where pair not in ('su', 'ua', 'au')) as illegal
+  from faults group by conv_id
+),
+-- the best (cost, audit) after i turns with nothing, a system, a user or an assistant turn last, inserts included
+search(conv_id, i, nothing, sys, usr, asst) as (
+  select conv_id, 0::bigint, lpad('', 12, '0'), null::varchar, {_step("lpad('', 12, '0')", "3", "I")},
+    {_step("lpad('', 12, '0')", "6", "II")} from counts
+  union all
+  select conv_id, i, nothing, sys, least(usr, {_step("least(nothing, sys, asst)", "3", "I")}) as usr,
+    least(asst, {_step("least(usr, " + _step("least(nothing, sys, asst)", "3", "I") + ")", "3", "I")}) as asst
+  from (
+    select s.conv_id, f.i, {_step("nothing", "4", "D")} as nothing,
+      least({_step("sys", "4", "D")}, case when keeps and initial = 's' then {_step("nothing", "extra", "K")} end) as sys,
+      least({_step("usr", "4", "D")}, case when keeps and initial = 'u' then {_step("least(nothing, sys, asst)", "extra", "K")} end,
+        case when keeps then {_step("least(nothing, sys, asst)", "3 + extra", "R")} end) as usr,
+      least({_step("asst", "4", "D")}, case when keeps and initial = 'a' then {_step("usr", "extra", "K")} end,
+        case when keeps then {_step("usr", "3 + extra", "R")} end) as asst
+    from search s join (
+      select *, fault not in ('blank', 'duplicate') as keeps, case when fault = 'truncated' then 3 else 0 end as extra from faults
+    ) f on f.conv_id is not distinct from s.conv_id and f.i = s.i + 1
+  )
+),
+best as (
+  select c.conv_id, least(nothing, asst) as key from search s join counts c
+    on c.conv_id is not distinct from s.conv_id and c.n = s.i
+),
+letters as (
+  select conv_id, p, substr(key, 12 + p, 1) as letter
+  from (select conv_id, key, unnest(range(1, length(key) - 11)) as p from best)
+),
+edits as (
+  select *, sum((letter <> 'I')::int) over w as i, sum((letter <> 'D')::int) over w as e from letters
+  window w as (partition by conv_id order by p)
+),
+kept as (
+  select edits.conv_id, p, e, letter, role, text, max((e = 1 and letter = 'K' and initial = 's')::int) over (partition by edits.conv_id) as head
+  from edits left join faults on faults.conv_id is not distinct from edits.conv_id and faults.i = edits.i and letter <> 'I'
+  where letter <> 'D'
+),
+texts as (
+  select conv_id, string_agg(case when letter = 'K' then role when (e - head) % 2 = 1 then 'user' else 'assistant' end
+    || ':' || coalesce(text, ''), chr(10) order by p) as whole from kept group by conv_id
+)
+select o.conv_id, cast(coalesce(gaps, 0) as bigint) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate,
+  coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal,
+  cast(coalesce(substr(key, 1, 12), '0') as bigint) as cost, coalesce(substr(key, 13), '') as audit,
+  sha256(coalesce(whole, '')) as repaired_sha256
+from (select distinct conv_id from conversations) o
+  left join counts c on c.conv_id is not distinct from o.conv_id
+  left join best b on b.conv_id is not distinct from o.conv_id
+  left join texts t on t.conv_id is not distinct from o.conv_id
+"""
+
 SQL = {
     "op2_minhash_near_dedup": OP2,
     "op4_chat_formatting": OP4,
     "op5_exact_top_k": OP5,
     "op7_secret_scans": OP7,
     "op9_url_filters": OP9,
+    "op13_conversation_repair": OP13,
 }

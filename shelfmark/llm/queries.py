@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfmark.llm import chat, class_ngrams, decontamination, exact_search, near_duplicates, packing, quality, secrets, token_counts, url_filters
+from shelfmark.llm import chat, class_ngrams, conversation_repair, decontamination, exact_search, near_duplicates, packing, quality, secrets, token_counts, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +61,12 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return decontamination.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, damaged by their row's checksum and repaired."""
+    turns = conversation_repair.damage(_table(spark, folder, "conversations"))
+    return conversation_repair.digest(turns, conversation_repair.repair_report(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -74,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lm_scoring,
         op9_url_filters,
         op10_benchmark_decontamination,
+        op13_conversation_repair,
     )
 }
 
