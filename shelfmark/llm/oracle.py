@@ -227,11 +227,23 @@ from (select distinct conv_id from conversations) o
   left join texts t on t.conv_id is not distinct from o.conv_id
 """
 
+OP12 = """
+with payloads as (select page_id, coalesce(html, '') as payload from pages),
+sized as (
+  select *, cast(strlen(payload) as bigint) as payload_bytes, max(page_id) over (partition by payload) as original from payloads
+)
+select page_id, payload_bytes, sha1(payload) as payload_digest,
+  case when payload_bytes >= 1000 and (page_id is null or page_id < original) and original is not null then 'revisit' else 'response' end as record_type,
+  case when payload_bytes >= 1000 and (page_id is null or page_id < original) then original end as refers_to
+from sized
+"""
+
 SQL = {
     "op2_minhash_near_dedup": OP2,
     "op4_chat_formatting": OP4,
     "op5_exact_top_k": OP5,
     "op7_secret_scans": OP7,
     "op9_url_filters": OP9,
+    "op12_warc_archives": OP12,
     "op13_conversation_repair": OP13,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from shelfmark.llm import chat, class_ngrams, conversation_repair, decontamination, exact_search, near_duplicates, packing, quality, secrets, token_counts, url_filters
+from shelfmark.llm import chat, class_ngrams, conversation_repair, decontamination, exact_search, near_duplicates, packing, quality, secrets, token_counts, url_filters, warc, whitening
+from shelfmark.sources.storage import fresh_path
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -61,6 +62,17 @@ def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFram
     return decontamination.find_leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened_components(_table(spark, folder, "embeddings"))
+
+
+def op12_warc_archives(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages, written as archives and read back."""
+    path = fresh_path(spark, "archives")
+    warc.write_archives(_table(spark, folder, "pages"), path)
+    return warc.digest(warc.read_archives(spark, path, payloads=False))
+
+
 def op13_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
     """All conversations, damaged by their row's checksum and repaired."""
     turns = conversation_repair.damage(_table(spark, folder, "conversations"))
@@ -80,6 +92,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_lm_scoring,
         op9_url_filters,
         op10_benchmark_decontamination,
+        op11_embedding_whitening,
+        op12_warc_archives,
         op13_conversation_repair,
     )
 }
