@@ -12,14 +12,17 @@ import hashlib
 import re
 import uuid
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import small_batches, stored
 from shelfmark.operators.joins import lookup_join
+from shelfmark.sources import folders
 
 # The names of the format.
 VERSION = b"WARC/1.1"
@@ -34,8 +37,8 @@ LEVEL = 6
 # A gzip member of less than 2**24 bytes ends with a zero byte, see ``_write_shards``.
 MEMBER_BYTES = (1 << 24) - 1
 MANIFEST = "manifest"
-ORDER = ["page_id", "content", "url"]
-RECORDS = "page_id long, url string, content string, member binary, size long"
+MANIFEST_COLUMNS = "file string, records long, bytes long, first_page_id long, last_page_id long"
+ORDER = ["page_id", "alike", "row"]
 
 
 def gzip_members(data: bytes, most: int = MEMBER_BYTES) -> bytes:
@@ -97,106 +100,99 @@ def with_originals(pages: DataFrame, least: int = LEAST_REVISITED) -> DataFrame:
 
 
 def _packed(pages: DataFrame, date: str) -> DataFrame:
+    """The records as gzip members, with what they are sorted by; ``row`` tells rows alike in that apart."""
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
-                part = batch.slice(at, 100)
-                page_id, url, payload, content, refers_to = (c.to_pylist() for c in part.columns)
+                page_id, url, payload, content, refers_to = (c.to_pylist() for c in batch.slice(at, 100).columns)
                 members = [gzip_members(page_record(*row, date)) for row in zip(page_id, url, payload, content, refers_to)]
-                sizes = pa.array([len(m) for m in members], pa.int64())
-                yield pa.RecordBatch.from_arrays([*part.select(ORDER[:1] + ["url", "content"]).columns, pa.array(members, pa.binary()), sizes], ["page_id", "url", "content", "member", "size"])
+                alike = [hashlib.sha256(f"{c}{u}".encode()).hexdigest() for c, u in zip(content, url)]
+                columns = [pa.array(page_id, pa.int64()), pa.array(alike), pa.array(members, pa.binary()), pa.array(map(len, members), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["page_id", "alike", "member", "size"])
 
-    return pages.mapInArrow(pack, RECORDS)
+    packed = pages.mapInArrow(pack, "page_id long, alike string, member binary, size long")
+    return stored(packed.withColumn("row", F.monotonically_increasing_id()), "warc-members")
 
 
-def _placed(records: DataFrame) -> DataFrame:
-    """Adds ``start``: the compressed bytes of all records that come before, in the order of page, content and url.
+def _shards(records: DataFrame, roll_bytes: int) -> DataFrame:
+    """(shard, first, records, bytes, first_page_id, last_page_id): where in the order each shard begins.
 
-    Rows alike in these are the same bytes and may be spread over several ranges.
+    Only the sort keys and sizes are moved for this, never the records.
     """
-    by = [*ORDER, "tie"]
-    ranges = records.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*by).sortWithinPartitions(*by)
+    ranges = records.select(*ORDER, "size").repartitionByRange(*ORDER).sortWithinPartitions(*ORDER)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         so_far = 0
         for batch in batches:
-            sizes = batch.column(2).to_pylist()
-            starts = []
-            for size in sizes:
-                starts.append(so_far)
-                so_far += size
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(starts, pa.int64())], ["page_id", "member", "size", "part", "within"])
-
-    columns = ranges.select("page_id", "member", "size", F.spark_partition_id().alias("part"))
-    pinned = stored(columns.select("page_id", "member", "size", "part").mapInArrow(
-        lambda batches: count(batches), "page_id long, member binary, size long, part int, within long"), "warc-records")
+            sizes = np.asarray(batch.column(3)).astype(np.int64)
+            ends = so_far + np.cumsum(sizes)
+            so_far = int(ends[-1]) if len(ends) else so_far
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(ends - sizes)], [*ORDER, "size", "part", "within"])
+
+    placed = ranges.select(*ORDER, "size", F.spark_partition_id().alias("part"))
+    pinned = stored(placed.mapInArrow(count, "page_id long, alike string, row long, size long, part int, within long"), "warc-order")
     sizes = pinned.groupBy("part").agg(F.sum("size").alias("bytes"))
     # one row per partition, so the window without a partitioning stays tiny
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("part", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("offset"))
-    return pinned.join(F.broadcast(offsets), "part").withColumn("start", F.col("offset") + F.col("within")).drop("part", "offset", "within")
+    start = F.col("offset") + F.col("within")
+    numbered = pinned.join(F.broadcast(offsets), "part").withColumn("shard", F.floor(start / F.lit(roll_bytes)))
+    return numbered.groupBy("shard").agg(
+        F.min(F.struct(*ORDER)).alias("first"), F.count(F.lit(1)).alias("records"), F.sum("size").alias("bytes"),
+        F.min("page_id").alias("first_page_id"), F.max("page_id").alias("last_page_id"),
+    )
 
 
 def shard_name(prefix: str, shard: int) -> str:
     return f"{prefix}-{shard:08d}.warc.gz"
 
 
-def _with_heads(records: DataFrame, prefix: str, date: str) -> DataFrame:
-    """Adds a warcinfo record in front of each shard."""
-
-    def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            shards = batch.column(0).to_pylist()
-            members = []
-            for shard in shards:
-                name = shard_name(prefix, shard)
-                block = b"software: shelfmark\r\nformat: WARC File Format 1.1\r\n"
-                members.append(gzip_members(record("warcinfo", name, block, "application/warc-fields", [("WARC-Filename", name)], date)))
-            sizes = pa.array([len(m) for m in members], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(members, pa.binary()), sizes], ["shard", "member", "size"])
-
-    heads = records.select("shard").distinct().mapInArrow(head, "shard long, member binary, size long")
-    columns = {"page_id": F.lit(None).cast("long"), "start": F.lit(-1).cast("long")}
-    return records.unionByName(heads.withColumns(columns))
+def shard_head(name: str, date: str) -> bytes:
+    """The warcinfo record that begins a shard, as a gzip member."""
+    block = b"software: shelfmark\r\nformat: WARC File Format 1.1\r\n"
+    return gzip_members(record("warcinfo", name, block, "application/warc-fields", [("WARC-Filename", name)], date))
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    """A path of Spark's file systems and the file system it is in."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+def _write_shards(records: DataFrame, firsts: list[tuple[int, tuple]], heads: DataFrame, folder: str) -> None:
+    """One file per shard, its members in order.
 
+    The records find their shard by where these begin in the order, and are moved
+    once. The text writer puts a separator after each value. A member's last byte
+    is the highest of its length, which is zero; it is left out of the value and
+    stands as the separator, so the files hold the members and nothing else.
+    """
+    shards, begins = [n for n, _ in firsts], [key for _, key in firsts]
 
-def _rename(spark: SparkSession, source: str, target: str) -> None:
-    system, old = _hadoop_path(spark, source)
-    _, new = _hadoop_path(spark, target)
-    if system.exists(new):  # left by a run that did not reach its manifest
-        system.delete(new, True)
-    if not system.rename(old, new):
-        raise OSError(f"{source} could not be renamed to {target}")
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = zip(*(c.to_pylist() for c in batch.columns[:3]))
+            found = [shards[bisect_right(begins, _sort_key(*key)) - 1] for key in keys]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.int64())], [*ORDER, "member", "shard"])
 
+    dealt = records.select(*ORDER, "member").mapInArrow(find, "page_id long, alike string, row long, member binary, shard long")
+    # a head has neither, and so stands before all pages, with and without a page_id
+    rows = dealt.withColumn("later", F.lit(True)).unionByName(heads.withColumn("later", F.lit(False)), allowMissingColumns=True)
+    value = F.substring(F.col("member"), F.lit(1), F.octet_length("member") - 1).cast("string")
+    ordered = rows.repartition("shard").sortWithinPartitions("shard", "later", *ORDER).select(value.alias("value"), "shard")
+    ordered.write.partitionBy("shard").option("maxRecordsPerFile", 0).text(folder, lineSep="\0", compression="none")
 
-def _write_shards(records: DataFrame, folder: str) -> None:
-    """One file per shard, its members in order.
 
-    The text writer puts a separator after each value. A member's last byte is the
-    highest of its length, which is zero; it is left out of the value and stands
-    as the separator, so the files hold the members and nothing else.
-    """
-    value = F.substring(F.col("member"), F.lit(1), F.col("size").cast("int") - 1).cast("string")
-    rows = records.repartition("shard").sortWithinPartitions("shard", "start").select(value.alias("value"), "shard")
-    rows.write.partitionBy("shard").option("maxRecordsPerFile", 0).text(folder, lineSep="\0", compression="none")
+def _sort_key(page_id: int | None, alike: str, row: int) -> tuple:
+    return page_id is not None, page_id or 0, alike, row
 
 
 def write_archives(pages: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, prefix: str = "pages", date: str = CRAWLED) -> DataFrame:
     """Writes a record for every row of ``pages`` (page_id, url, html) and returns the manifest.
 
-    The records are sorted by page_id, nulls first, then by payload digest and
+    The records are sorted by page_id, nulls first, then by a digest of payload and
     url. A shard holds the records that begin within ``roll_bytes`` compressed
     bytes, so a record is never cut; where one is larger than that, a number is
     left out. The shards are written into a folder of a temporary name, renamed one
     by one, and count once the manifest (file, records, bytes, first_page_id,
     last_page_id) stands, which is renamed last. An archive that has one is not
-    written again.
+    written again. Of each shard, the name, the size and where it begins go
+    through the driver, some hundred bytes.
 
     A null html is an empty payload; texts may be of any length up to a row's 2
     GB. Repeated rows are records of their own; rows with the largest page_id of
@@ -204,34 +200,30 @@ def write_archives(pages: DataFrame, path: str, roll_bytes: int = ROLL_BYTES, pr
     columns are ignored. An empty table gives a manifest without rows.
     """
     spark = pages.sparkSession
-    system, _ = _hadoop_path(spark, path)
-    if system.exists(_hadoop_path(spark, f"{path}/{MANIFEST}")[1]):
+    if folders.exists(spark, f"{path}/{MANIFEST}"):
         raise FileExistsError(f"{path} holds a finished archive")
-    records = _placed(stored(_packed(with_originals(pages), date), "warc-members"))
-    whole = _with_heads(records.withColumn("shard", F.floor(F.col("start") / F.lit(roll_bytes))), prefix, date)
+    records = _packed(with_originals(pages), date)
+    found = _shards(records, roll_bytes).orderBy("shard").collect()
+    heads = [(r.shard, bytearray(shard_head(shard_name(prefix, r.shard), date))) for r in found]
     attempt = f"{path}/_attempt-{uuid.uuid4().hex}"
-    _write_shards(whole, f"{attempt}/shards")
-    is_page = F.col("start") >= 0
-    listed = whole.groupBy("shard").agg(
-        F.count_if(is_page).alias("records"), F.sum("size").alias("bytes"),
-        F.min("page_id").alias("first_page_id"), F.max("page_id").alias("last_page_id"),
-    )
-    named = F.format_string(f"{prefix}-%08d.warc.gz", "shard").alias("file")
-    listed.select(named, "records", "bytes", "first_page_id", "last_page_id").write.parquet(f"{attempt}/{MANIFEST}")
-    manifest = spark.read.parquet(f"{attempt}/{MANIFEST}")
-    for row in manifest.select("file", "bytes").toLocalIterator():
-        shard = int(row.file.removeprefix(f"{prefix}-").removesuffix(".warc.gz"))
-        parts = system.globStatus(_hadoop_path(spark, f"{attempt}/shards/shard={shard}/part-*")[1])
-        if len(parts) != 1 or parts[0].getLen() != row.bytes:
-            raise OSError(f"{row.file} was not written as one file of {row.bytes} bytes")
-        _rename(spark, parts[0].getPath().toString(), f"{path}/{row.file}")
-    _rename(spark, f"{attempt}/{MANIFEST}", f"{path}/{MANIFEST}")
-    system.delete(_hadoop_path(spark, attempt)[1], True)
+    firsts = [(r.shard, _sort_key(*r["first"])) for r in found]
+    _write_shards(records, firsts, spark.createDataFrame(heads, "shard long, member binary"), f"{attempt}/shards")
+    listed = []
+    for r, (_, head) in zip(found, heads):
+        name, size = shard_name(prefix, r.shard), r.bytes + len(head)
+        parts = folders.matching(spark, f"{attempt}/shards/shard={r.shard}/part-*")
+        if [length for _, length in parts] != [size]:
+            raise OSError(f"{name} was not written as one file of {size} bytes")
+        folders.move(spark, parts[0][0], f"{path}/{name}")
+        listed.append((name, r.records, size, r.first_page_id, r.last_page_id))
+    spark.createDataFrame(listed, MANIFEST_COLUMNS).write.parquet(f"{attempt}/{MANIFEST}")
+    folders.move(spark, f"{attempt}/{MANIFEST}", f"{path}/{MANIFEST}")
+    folders.remove(spark, attempt)
     return read_manifest(spark, path)
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("file string, records long, bytes long, first_page_id long, last_page_id long").parquet(f"{path}/{MANIFEST}")
+    return spark.read.schema(MANIFEST_COLUMNS).parquet(f"{path}/{MANIFEST}")
 
 
 def _headers(lines: bytes) -> dict[str, str]:
