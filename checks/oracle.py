@@ -411,6 +411,45 @@ SQL: dict[str, str] = {
     "q4_surrogate_key": f"""select row_number() over (order by asin, review_date, rating) review_id, asin,
       cast(review_date as varchar) review_date, rating from ({ITEMS})""",
 }
+SQL["x1_same_rows_after_merging_files"] = SQL["x1_feed_in_micro_batches"]
+SQL["p6_search_by_trigrams"] = SQL["p6_case_insensitive_search"]
+SQL["c6_author_search_by_trigrams"] = SQL["c6_author_search"]
+SQL["c7_book_search_by_trigrams"] = SQL["c7_book_search"]
+SQL["a7_live_rating_per_author_year"] = f"""select after_batch, author, cast(year(l_shipdate) as int) "year",
+    round(avg(cast(trunc(l_quantity) as int) % 5 + 1), 6) avg_rating
+  from (select range after_batch from range({q.FEED_FILES})) b
+    join lineitem l on l.l_orderkey % {q.FEED_FILES} <= b.after_batch
+    join ({CATALOG}) c on c.asin = cast(l.l_partkey as varchar) group by all"""
+SQL["a8_live_sentiment_per_title_year"] = f"""select after_batch, c.title, cast(year(s.review_date) as int) "year",
+    round(avg(cast(s.review_sentiment_score as double)), 4) avg_sentiment
+  from (select range after_batch from range({q.FEED_FILES})) b
+    join ({SCORED}) s on s.asin::bigint % {q.FEED_FILES} <= b.after_batch
+    join ({CATALOG}) c on c.asin = s.asin where s.review_text <> '' group by all"""
+SQL["a9_catalog_loaded_three_times"] = f"""select asin, author,
+    case when asin::bigint % 4 = 1 then cast(price + 1 as float) else price end price,
+    case when asin::bigint % 4 > 1 then upper(title) else title end title from ({CATALOG})"""
+SQL["q2_known_keys_by_filter"] = f"""select asin from ({CATALOG}) where asin in (select asin from ({ITEMS}))"""
+# each line with its faults, in both loads; among the sound lines of a key the first is admitted, in the first load that has it
+_LINES = f"""
+  with lines as (
+    select case when l_orderkey % 101 <> 0 then l_orderkey end order_no, l_linenumber line_no,
+      cast(l_partkey as varchar) asin, case when l_quantity % 11 <> 0 then cast(l_quantity as int) end quantity,
+      l_returnflag || case when l_quantity % 7 = 0 then '-long' else '' end flag from lineitem),
+  loads as (select 1 as "load", * from lines where order_no % 2 = 0 union all select 2, * from lines),
+  faults as (
+    select *, concat_ws('; ', case when order_no is null then 'missing order_no' end,
+      case when line_no is null then 'missing line_no' end, case when quantity is null then 'missing quantity' end,
+      case when length(flag) > 4 then 'too long flag' end,
+      case when asin not in (select asin from ({CATALOG})) then 'no parent asin' end) faults from loads),
+  ranked as (
+    select *, row_number() over (partition by "load", order_no, line_no, faults = '' order by asin, quantity, flag) n,
+      max(("load" = 1 and faults = '')::int) over (partition by order_no, line_no) earlier from faults),
+  judged as (
+    select *, case when faults <> '' then faults when n > 1 then 'repeated key'
+      when "load" = 2 and earlier = 1 then 'key exists' else '' end reasons from ranked)"""
+SQL["q1_rows_admitted_at_load"] = f"""{_LINES} select order_no, line_no, asin, quantity, flag, "load" from judged where reasons = ''"""
+SQL["q1_rows_in_quarantine"] = f"""{_LINES} select order_no, line_no, asin, quantity, flag, reasons, "load" from judged
+  where reasons <> ''"""
 SQL["j1_sliced_for_hot_items"] = SQL["j1_reviews_with_catalog"]
 SQL["x2_each_batch_enriched_and_appended"] = SQL["c2_enriched_reviews"].replace(
     "s.review_id, ", f"s.asin::bigint % {q.FEED_FILES} batch_id, 0::bigint repeated_ids, ", 1

@@ -7,19 +7,21 @@ can be compared value by value.
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types
 
 from shelfmark import schemas
 from shelfmark.bindings import Tables
 from shelfmark.functions import predicates, scalars, text
-from shelfmark.operators import aggregates, joins, keys, profile, ranking, topics, words
-from shelfmark.plans import catalog, dashboard, marts, reviews, workouts
+from shelfmark.operators import aggregates, joins, key_filter, keys, profile, ranking, topics, words
+from shelfmark.operators.trigrams import TrigramIndex
+from shelfmark.plans import catalog, dashboard, live_marts, marts, reviews, workouts
 from shelfmark.plans.topics import review_topics
-from shelfmark.sources import files, tables
+from shelfmark.sources import files, tables, validated
+from shelfmark.sources.keyed import KeyedTable
 from shelfmark.sources.storage import fresh_path, stored
 from shelfmark.streaming import feed
 
@@ -32,6 +34,7 @@ SEARCH_LANGUAGE = "E"
 # So small that the test tables have keys of many parts.
 REVIEWS_PER_PART = 4
 FEED_FILES = 4
+ROWS_PER_FEED_FILE = 25_000
 
 
 def query(function):
@@ -201,6 +204,15 @@ def p6_case_insensitive_search(t: Tables) -> DataFrame:
     return t.catalog().where(predicates.contains_ignore_case(F.col("title"), SEARCH_TITLE)).select("asin", "title")
 
 
+@query
+def p6_search_by_trigrams(t: Tables) -> DataFrame:
+    """The same by an index of the titles."""
+    items = t.catalog()
+    index = TrigramIndex(fresh_path(t.spark, "title-index"))
+    index.build(items, "title")
+    return index.rows_with(items.select("asin", "title"), "title", SEARCH_TITLE)
+
+
 @query
 def p7_exact_match(t: Tables) -> DataFrame:
     return t.catalog().where(F.col("title") == "small ring").select("asin", "author", "title")
@@ -343,6 +355,21 @@ def a9_one_row_per_key(t: Tables) -> DataFrame:
     return first.select("asin", as_text("review_date"), "rating")
 
 
+@query
+def a9_catalog_loaded_three_times(t: Tables) -> DataFrame:
+    """Three loads that overlap in pairs; of an item loaded twice the later row counts."""
+    items, quarter = t.catalog(), F.col("asin").cast("bigint") % 4
+    table = KeyedTable(t.spark, fresh_path(t.spark, "catalog"), schemas.CATALOG, "asin", buckets=8)
+    loads = (
+        items.where(quarter < 2),
+        items.where((quarter > 0) & (quarter < 3)).withColumn("price", F.col("price") + 1),
+        items.where(quarter > 1).withColumn("title", F.upper("title")),
+    )
+    for rows in loads:
+        table.merge(rows, ["title", "author", "price"])
+    return table.read()
+
+
 @query
 def a10_adjectives_per_author_title_year(t: Tables) -> DataFrame:
     return _adjective_parts(t, ["author", "title", "year"])
@@ -730,6 +757,25 @@ def c7_book_search_in_stored_tables(t: Tables) -> DataFrame:
     return found.select("title", "year", rounded("avg_rating"), rounded("avg_sentiment", 4))
 
 
+@query
+def c6_author_search_by_trigrams(t: Tables) -> DataFrame:
+    scored = stored(t.scored_reviews().select("author", "review_date", "rating", "review_sentiment_score"), "scored")
+    index = TrigramIndex(fresh_path(t.spark, "author-index"))
+    index.build(scored, "author")
+    found = marts.rating_and_sentiment_per_year(index.rows_with(scored, "author", SEARCH_SOURCE), "author")
+    return found.select("author", "year", rounded("avg_rating"), rounded("avg_sentiment", 4))
+
+
+@query
+def c7_book_search_by_trigrams(t: Tables) -> DataFrame:
+    """A pattern of one letter."""
+    scored = stored(t.scored_reviews().select("title", "review_date", "rating", "review_sentiment_score"), "scored")
+    index = TrigramIndex(fresh_path(t.spark, "title-index"))
+    index.build(scored, "title")
+    found = marts.rating_and_sentiment_per_year(index.rows_with(scored, "title", SEARCH_LANGUAGE), "title")
+    return found.select("title", "year", rounded("avg_rating"), rounded("avg_sentiment", 4))
+
+
 @query
 def c7_matching_titles(t: Tables) -> DataFrame:
     return dashboard.matching_titles(marts.rating_per_year(joined_items(t), "title"), SEARCH_TITLE)
@@ -778,15 +824,25 @@ def c13_dataset_profile(t: Tables) -> DataFrame:
 # --- streaming ---------------------------------------------------------------
 
 
-def _write_arrays(batch: DataFrame, number: str, source: str) -> None:
-    """Four feed files of JSON arrays, written one after the other; no line holds more than some hundred reviews."""
-    file, line = F.col(number) % FEED_FILES, F.pmod(F.xxhash64(*batch.columns), F.lit(2**31 - 1))
-    parts = stored(batch.withColumn("_file", file.cast("int")), "feed-rows")
+def _write_arrays(batch: DataFrame, number: str, source: str) -> int:
+    """Four arrivals of feed files of JSON arrays, each in a folder of its own; returns the files of an arrival.
+
+    All arrivals have the same number of files, which grows with the rows, so that
+    this number per batch makes a batch of each arrival. A line holds about a
+    hundred reviews.
+    """
+    arrival = (F.col(number) % FEED_FILES).cast("int")
+    parts = stored(batch.withColumn("_arrival", arrival), "feed-rows")
+    sizes = [r.n for r in parts.groupBy("_arrival").agg(F.count(F.lit(1)).alias("n")).collect()] or [0]
+    files = max(1, min(-(-max(sizes) // ROWS_PER_FEED_FILE), min(sizes) // 1_000))
+    lines = max(1, max(sizes) // files // 100)
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id()), F.lit(files * lines))
+    numbered = parts.withColumn("_line", spread).withColumn("_file", F.col("_line") % files)
     for i in range(FEED_FILES):
-        part = parts.where(F.col("_file") == i)
-        groups = F.pmod(line, F.lit(max(1, part.count() // 100)))
-        lines = part.groupBy(groups).agg(F.to_json(F.collect_list(F.struct(*schemas.REVIEW_BATCH.names))).alias("value"))
-        lines.select("value").coalesce(1).write.text(f"{source}/file={i}")
+        dealt = numbered.where(F.col("_arrival") == i).repartition("_file")
+        lines = dealt.groupBy("_file", "_line").agg(F.to_json(F.collect_list(F.struct(*schemas.REVIEW_BATCH.names))).alias("value"))
+        lines.select("value", F.col("_file").alias("file")).write.partitionBy("file").text(f"{source}/arrival={i}")
+    return files
 
 
 def _feed_reviews(t: Tables) -> DataFrame:
@@ -802,9 +858,9 @@ def _feed_reviews(t: Tables) -> DataFrame:
 
 def _load_arrays(t: Tables, batch: DataFrame, file: str, target: str, runs: int = 1, **options) -> None:
     source, state = (fresh_path(t.spark, n) for n in ("feed", "state"))
-    _write_arrays(batch, file, source)
+    files = _write_arrays(batch, file, source)
     for _ in range(runs):
-        stream = feed.read_feed(t.spark, f"{source}/*", schemas.REVIEW_BATCH, files_per_batch=1)
+        stream = feed.read_feed(t.spark, f"{source}/*/*", schemas.REVIEW_BATCH, files_per_batch=files)
         feed.load_to_end(stream, target, state, **options)
 
 
@@ -858,7 +914,53 @@ def x3_runs_until_the_input_ends(t: Tables) -> DataFrame:
 def x4_rows_loaded_per_batch(t: Tables) -> DataFrame:
     target = fresh_path(t.spark, "loaded")
     _load_arrays(t, _feed_reviews(t), "order", target)
-    return feed.load_progress(feed.loaded_table(t.spark, target, schemas.REVIEW_BATCH)).drop("run")
+    return feed.committed_progress(t.spark, target).drop("run")
+
+
+@query
+def x1_same_rows_after_merging_files(t: Tables) -> DataFrame:
+    """The batches merged into few files, the files of each batch removed, and the rows of the merged table."""
+    target = fresh_path(t.spark, "loaded")
+    _load_arrays(t, _feed_reviews(t), "order", target)
+    feed.compact(t.spark, target, schemas.REVIEW_BATCH)
+    feed.remove_replaced(t.spark, target)
+    loaded = feed.loaded_table(t.spark, target, schemas.REVIEW_BATCH)
+    return aggregates.rows_per_group(loaded, "batch_id", "asin", "rating")
+
+
+def _after_each_batch(t: Tables, mart: live_marts.LiveMart, average: Column) -> DataFrame:
+    """The mart as it stood after each of the four batches."""
+    states = [
+        mart.read(t.spark, version=i + 1).withColumn("after_batch", F.lit(i).cast("bigint")) for i in range(FEED_FILES)
+    ]
+    return reduce(DataFrame.unionByName, states).select("after_batch", mart.entity, "year", average)
+
+
+@query
+def a7_live_rating_per_author_year(t: Tables) -> DataFrame:
+    """The mart after each of four batches, from sums of that batch and those before it."""
+    target, folder = fresh_path(t.spark, "loaded"), fresh_path(t.spark, "mart")
+    schema = types.StructType([f for f in schemas.ENRICHED if f.name in ("asin", "author", "title", "review_date", "rating")])
+    items = stored(t.catalog().drop("price"), "catalog")
+
+    def enrich(batch: DataFrame) -> DataFrame:
+        joined = joins.lookup_join(batch, items, ["asin"])
+        return joined.select("asin", "author", "title", scalars.parse_review_date(F.col("review_date")).alias("review_date"), "rating")
+
+    mart = live_marts.LiveMart(folder, target, schema, "author", marts.RATING, folded_after=2)
+    _load_arrays(t, _feed_reviews(t), "order", target, transform=enrich, after_batch=mart.follow)
+    return _after_each_batch(t, mart, rounded("avg_rating"))
+
+
+@query
+def a8_live_sentiment_per_title_year(t: Tables) -> DataFrame:
+    target, folder = fresh_path(t.spark, "enriched"), fresh_path(t.spark, "mart")
+    schema = types.StructType([f for f in schemas.ENRICHED if f.name != "review_id"])
+    enrich = reviews.review_enricher(stored(t.catalog(), "catalog"), t.scorer())
+    mart = live_marts.LiveMart(folder, target, schema, "title", marts.SENTIMENT, folded_after=2)
+    by_item = t.review_batch().withColumn("quarter", F.col("asin").cast("bigint") % FEED_FILES)
+    _load_arrays(t, by_item.drop("review_id"), "quarter", target, transform=enrich, after_batch=mart.follow)
+    return _after_each_batch(t, mart, rounded("avg_sentiment", 4))
 
 
 # --- quality and keys --------------------------------------------------------
@@ -887,6 +989,48 @@ def q3_stored_lengths_hold(t: Tables) -> DataFrame:
     return aggregates.row_count(too_long, "violations")
 
 
+def _order_lines(t: Tables) -> DataFrame:
+    """Order lines with a key that is not unique, items that are not in the catalog, long and missing texts."""
+    line = t.table("lineitem")
+    flag = F.concat(F.col("l_returnflag"), F.when(F.col("l_quantity") % 7 == 0, "-long").otherwise(""))
+    return line.select(
+        F.when(F.col("l_orderkey") % 101 != 0, F.col("l_orderkey")).alias("order_no"),
+        F.col("l_linenumber").alias("line_no"),
+        F.col("l_partkey").cast("string").alias("asin"),
+        F.when(F.col("l_quantity") % 11 != 0, F.col("l_quantity").cast("int")).alias("quantity"),
+        flag.alias("flag"),
+    )
+
+
+def _validated_lines(t: Tables) -> validated.ValidatedTable:
+    """Two loads: the lines of the even orders, then all lines."""
+    lines = _order_lines(t)
+    rules = validated.Rules(
+        key=("order_no", "line_no"), required=("quantity",), max_lengths={"flag": 4}, parents={"asin": t.catalog}
+    )
+    table = validated.ValidatedTable(t.spark, fresh_path(t.spark, "lines"), lines.schema, rules)
+    table.load(lines.where(F.col("order_no") % 2 == 0))
+    table.load(lines)
+    return table
+
+
+@query
+def q1_rows_admitted_at_load(t: Tables) -> DataFrame:
+    return _validated_lines(t).read()
+
+
+@query
+def q1_rows_in_quarantine(t: Tables) -> DataFrame:
+    return _validated_lines(t).quarantine().withColumn("reasons", F.array_join("reasons", "; "))
+
+
+@query
+def q2_known_keys_by_filter(t: Tables) -> DataFrame:
+    """The items of the catalog that are reviewed, found without moving the reviews."""
+    items = t.catalog().select("asin")
+    return key_filter.found_keys(items, t.rated_items())
+
+
 @query
 def q4_surrogate_key(t: Tables) -> DataFrame:
     order = ["asin", "review_date", "rating"]
