@@ -39,7 +39,8 @@ def text_part(text: Column) -> Column:
 def visit_parts(parts: Column) -> Column:
     """Flattens content parts into struct(body, attachments, expanded_tokens).
 
-    Texts are escaped in place. An image, audio or document part becomes its
+    Texts are escaped as if adjacent ones were one text, so that a control string
+    does not come from several parts either. An image, audio or document part becomes its
     placeholder; its type, uri, token count and character place in the body are
     recorded in order in ``attachments`` and its tokens (a null counts 1) are
     summed. A part of another or no type is taken as text. Null parts are skipped.
@@ -55,9 +56,13 @@ def visit_parts(parts: Column) -> Column:
     def step(done: Column, part: Column) -> Column:
         mark = F.element_at(known, F.coalesce(part.type, F.lit("text")))
         tokens = F.coalesce(part.tokens, F.lit(1))
+        text = escape(part.text)
+        # a "<" that ended the last text and a "|" that begins this one
+        meets = F.endswith(done.body, F.lit("<")) & F.startswith(text, F.lit("|"))
+        text = F.when(meets, F.concat(F.lit("\\"), text)).otherwise(text)
         noted = F.array(F.struct(part.type.alias("type"), part.uri.alias("uri"), tokens.alias("tokens"), F.length(done.body).alias("at")))
         return F.struct(
-            F.concat(done.body, F.coalesce(mark, escape(part.text))).alias("body"),
+            F.concat(done.body, F.coalesce(mark, text)).alias("body"),
             F.when(mark.isNull(), done.attachments).otherwise(F.concat(done.attachments, noted)).alias("attachments"),
             (done.expanded_tokens + F.when(mark.isNull(), 0).otherwise(tokens)).alias("expanded_tokens"),
         )
@@ -94,6 +99,7 @@ def format_conversations(turns: DataFrame, parts: Column | None = None, trained_
     code points over the contents of the trained role's turns. Turns are ordered
     by number, nulls first, and rows with the same number by role and formatted
     content; repeated rows are repeated turns. Rows without conv_id form a conversation.
+    Texts may be empty or as long as a row holds; further columns are ignored.
     A conversation is one text by its nature, so the turns are formatted before
     they are brought together; it must fit in a row of 2 GB. An empty table gives no rows.
     """
