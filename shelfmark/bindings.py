@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmark.functions.scalars import parse_review_date
 from shelfmark.functions.text import bare_words
 from shelfmark.operators.joins import lookup_join
 from shelfmark.operators.sentiment import ContextWords, Scorer, sentiment_scorer
+from shelfmark.operators.tagging import sentences
 from shelfmark.operators.words import Tagger, adjective_tagger
 from shelfmark.plans.catalog import clean_catalog
 
@@ -139,6 +140,27 @@ class Tables:
     def tagger(self, max_words: int | None = None) -> Tagger:
         return adjective_tagger(self.dictionary().select("word", "tag"), max_words=max_words)
 
+    def tagged_sentences(self) -> DataFrame:
+        """The benchmark's sentences with tags by a rule that looks at the word before.
+
+        Words of up to three letters are DT. After one, words of even length are JJ;
+        after an adjective, words that end in s are VB; all others are NN.
+        """
+        texts = self.table("benchmark").select(F.explode(sentences(F.col("text"))).alias("words"))
+
+        def tag(word: Column, i: Column) -> Column:
+            before = F.coalesce(F.get("words", i - 1), F.lit(""))
+            short = F.length(before).between(1, 3)
+            adjective = F.length(F.coalesce(F.get("words", i - 2), F.lit(""))).between(1, 3) & (F.length(before) > 3) & (F.length(before) % 2 == 0)
+            return (
+                F.when(F.length(word) <= 3, "DT")
+                .when(short & (F.length(word) % 2 == 0), "JJ")
+                .when(adjective & F.endswith(F.lower(word), F.lit("s")), "VB")
+                .otherwise("NN")
+            )
+
+        return texts.select(F.transform("words", lambda w, i: F.struct(w.alias("word"), tag(w, i).alias("tag"))).alias("tagged"))
+
     def workouts(self) -> DataFrame:
         """Workout logs: the events of a user and type within a block of numbers.
 

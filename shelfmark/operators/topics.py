@@ -3,24 +3,31 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import add
 
+import numpy as np
 from pyspark import StorageLevel
-from pyspark.ml.clustering import LDA, LDAModel
+from pyspark.ml.clustering import LDA, LDAModel, LocalLDAModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.linalg import DenseMatrix
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import english_stop_words, lower_words, without_stop_words
+from shelfmark.functions.text import WordTable, english_stop_words, lower_words, without_stop_words
 from shelfmark.operators.joins import lookup_join
 from shelfmark.operators.words import bag_of_words, vocabulary
+from shelfmark.sources.storage import fresh_path
 
 
 @dataclass(frozen=True)
 class TopicModel:
+    """The vocabulary, the topics and, where the model was just fitted, the count vectors it was fitted on."""
+
     counter: CountVectorizerModel
     lda: LDAModel
-    features: DataFrame
+    features: DataFrame | None = None
 
 
 def count_vectors(
@@ -32,11 +39,18 @@ def count_vectors(
     the same texts always give the same vectors. Its at most ``size`` words are
     collected.
     """
-    words = without_stop_words(lower_words(F.col(text)), english_stop_words())
-    ranked = vocabulary(bag_of_words(df, words), size, min_documents)
+    ranked = vocabulary(bag_of_words(df, _topic_words_of(text)), size, min_documents)
     known = [row.word for row in ranked.collect()]
     counter = CountVectorizerModel.from_vocabulary(known, inputCol="_words", outputCol="features")
-    return counter, counter.transform(df.withColumn("_words", words)).drop("_words")
+    return counter, _counted(counter, df, text)
+
+
+def _topic_words_of(text: str) -> Column:
+    return without_stop_words(lower_words(F.col(text)), english_stop_words())
+
+
+def _counted(counter: CountVectorizerModel, df: DataFrame, text: str) -> DataFrame:
+    return counter.transform(df.withColumn("_words", _topic_words_of(text))).drop("_words")
 
 
 def fit_topics(
@@ -80,16 +94,99 @@ def topic_words(model: TopicModel, terms: int = 20) -> DataFrame:
 
     The vocabulary is bounded by the counter's ``vocabSize``.
     """
-    spark = model.features.sparkSession
-    words = spark.createDataFrame(list(enumerate(model.counter.vocabulary)), "term_index int, word string")
+    words = SparkSession.active().createDataFrame(list(enumerate(model.counter.vocabulary)), "term_index int, word string")
     named = lookup_join(topic_terms(model, terms), words, ["term_index"])
     ordered = F.array_sort(F.collect_list(F.struct("rank", "word")))
     return named.groupBy("topic").agg(F.transform(ordered, lambda r: r.word).alias("words"))
 
 
-def topic_mix(model: TopicModel) -> DataFrame:
-    """The input rows with the share of each topic, as an array."""
-    mixed = model.lda.transform(model.features)
+def topic_mix(model: TopicModel, df: DataFrame | None = None, text: str = "review_text") -> DataFrame:
+    """The input rows with the share of each topic, as an array.
+
+    With ``df``, its texts are counted and given shares by the model as it is, fitted
+    or loaded, without a new fit; words the vocabulary does not have are passed over.
+    """
+    mixed = model.lda.transform(model.features if df is None else _counted(model.counter, df, text))
     return mixed.withColumn("topic_distribution", vector_to_array("topicDistribution")).drop(
         "features", "topicDistribution"
     )
+
+
+def save_topics(model: TopicModel, path: str) -> None:
+    """Stores vocabulary and topics under ``path``; what stands there is replaced."""
+    model.counter.write().overwrite().save(f"{path}/vocabulary")
+    model.lda.write().overwrite().save(f"{path}/topics")
+
+
+def load_topics(path: str) -> TopicModel:
+    """The model that was stored; it gives the same shares as the one that was fitted."""
+    return TopicModel(CountVectorizerModel.load(f"{path}/vocabulary"), LocalLDAModel.load(f"{path}/topics"))
+
+
+def _digamma(x):
+    """The derivative of the logarithm of the gamma function, to about 1e-12, for positive numbers or a column of them."""
+    far = x + 10
+    inverse = 1 / (far * far)
+    # fixed values: the first terms of its asymptotic series
+    series = inverse * (1 / 12 - inverse * (1 / 120 - inverse * (1 / 252 - inverse / 240)))
+    logarithm = F.ln(far) if isinstance(x, Column) else np.log(far)
+    return logarithm - 1 / (2 * far) - series - reduce(add, (1 / (x + i) for i in range(10)))
+
+
+def word_statistics(model: TopicModel, df: DataFrame, text: str = "review_text") -> DataFrame:
+    """(word, s0, s1, ...): how often each word of the vocabulary is expected under each topic in ``df``.
+
+    This is what a step of online variational Bayes (Hoffman, Blei, Bach 2010) sums
+    over the texts. A text's words stay in its row until they are counted, and
+    the counts are summed before they are shuffled: a row per word is left. The
+    vocabulary, a constant in the plan, may have 50,000 words.
+    """
+    if len(model.counter.vocabulary) > WordTable.MAX_WORDS:
+        raise ValueError(f"a vocabulary of more than {WordTable.MAX_WORDS} words cannot be updated")
+    spark = df.sparkSession
+    weights = model.lda.topicsMatrix().toArray()
+    expected = np.exp(_digamma(weights) - _digamma(weights.sum(axis=0)))
+    table = WordTable.build(spark, {w: line.tolist() for w, line in zip(model.counter.vocabulary, expected)}, "array<double>")
+    prior = float(model.lda.estimatedDocConcentration().toArray().sum())
+    mixed = topic_mix(model, df, text)
+    found = F.filter(
+        F.transform(_topic_words_of(text), lambda w: F.struct(w.alias("word"), table.get(w).alias("weights"))), lambda w: w.weights.isNotNull()
+    )
+    known = mixed.select(found.alias("words"), F.col("topic_distribution").alias("shares"))
+    size = F.size("words") + F.lit(prior)
+    own = F.transform("shares", lambda s: F.exp(_digamma(s * size) - _digamma(size)))
+    each = known.where(F.size("words") > 0).select(own.alias("own"), F.inline("words"))
+    both = each.select("word", F.zip_with("own", "weights", lambda x, y: x * y).alias("p"))
+    total = F.aggregate("p", F.lit(0.0), lambda acc, x: acc + x)
+    shared = both.select("word", F.transform("p", lambda x: x / total).alias("p"))
+    return shared.groupBy("word").agg(*(F.sum(F.col("p")[k]).alias(f"s{k}") for k in range(weights.shape[1])))
+
+
+def update_topics(
+    model: TopicModel, df: DataFrame, texts_so_far: int, step: int, text: str = "review_text", offset: float = 1024.0, decay: float = 0.51
+) -> TopicModel:
+    """The model moved towards a new batch of texts; the vocabulary stays.
+
+    ``texts_so_far`` counts all texts, the batch included, and ``step`` the updates,
+    from 1; later steps weigh less. The weights of the topics, as many as the
+    vocabulary has words, pass through the driver. A batch without a word of the
+    vocabulary leaves the model as it is.
+    """
+    spark = df.sparkSession
+    found = {r.word: r[1:] for r in word_statistics(model, df, text).collect()}
+    texts = df.where(F.col(text) != "").count()
+    if not found:
+        return model
+    old, new = fresh_path(spark, "topics"), fresh_path(spark, "topics")
+    model.lda.write().save(old)
+    data = spark.read.parquet(f"{old}/data")
+    stored_model = data.first()
+    weights = stored_model.topicsMatrix.toArray()
+    sums = np.array([found.get(word, [0.0] * weights.shape[1]) for word in model.counter.vocabulary])
+    rate = (offset + step) ** -decay
+    moved = (1 - rate) * weights + rate * (stored_model.topicConcentration + texts_so_far / max(texts, 1) * sums)
+    matrix = DenseMatrix(*moved.shape, moved.ravel(order="F").tolist())
+    row = tuple(matrix if name == "topicsMatrix" else stored_model[name] for name in data.columns)
+    spark.createDataFrame([row], data.schema).write.parquet(f"{new}/data")
+    spark.read.text(f"{old}/metadata").coalesce(1).write.text(f"{new}/metadata")
+    return TopicModel(model.counter, LocalLDAModel.load(new))

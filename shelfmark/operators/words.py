@@ -4,31 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmark.functions.text import WordTable, bare_words, collect_words
 from shelfmark.operators.joins import join_null_safe, sliced_join
+from shelfmark.operators.sizing import fits_broadcast
 from shelfmark.sources.storage import stored
 
 ADJECTIVE = "JJ"
 ROWS_PER_PART = 10_000
 
-# A short dictionary of our own, in the usual tag names. A dictionary tags a word
-# alike everywhere; it cannot tell from the sentence what "kind" or "light" is.
-DEFAULT_TAGS = {
-    "amazing": "JJ", "awful": "JJ", "bad": "JJ", "beautiful": "JJ", "best": "JJS", "better": "JJR",
-    "big": "JJ", "boring": "JJ", "brilliant": "JJ", "dark": "JJ", "dull": "JJ", "easy": "JJ",
-    "excellent": "JJ", "good": "JJ", "great": "JJ", "happy": "JJ", "interesting": "JJ", "long": "JJ",
-    "lovely": "JJ", "new": "JJ", "old": "JJ", "poor": "JJ", "sad": "JJ", "short": "JJ", "slow": "JJ",
-    "strange": "JJ", "strong": "JJ", "wonderful": "JJ", "worse": "JJR", "worst": "JJS", "young": "JJ",
-}
-
-
-def default_tags(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(sorted(DEFAULT_TAGS.items()), "word string, tag string")
-
-
 Tagger = Callable[[DataFrame], DataFrame]
 
 
@@ -96,22 +82,26 @@ def adjective_strings(
 
     A key's reviews are ranked by ``order`` and every ``rows_per_part`` of them
     make a row, numbered by ``part`` from 0, so that no row grows with the key
-    and the parts read one after the other give the whole text. Ranges of reviews
-    are ranked apart and the counts of the ranges before are added, so a hot
-    key is ranked by many tasks. The ranges are written to the shared folder.
+    and the parts read one after the other give the whole text. The reviews are
+    sorted in ranges, where a review's place tells its rank, and the counts of the
+    ranges before are added, so a hot key is ranked by many tasks. The ranges, and
+    a row per key and range, are written to the shared folder.
     """
     words = F.array_join("adjective_list", " ").alias("_words")
     narrow = tagged.select(*keys, F.col(order).alias("_at"), words)
     by = [*keys, "_at", "_words"]
-    ranged = stored(
-        narrow.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("_range", F.spark_partition_id()), "ranges"
-    )
-    sizes = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    sorted_ranges = narrow.repartitionByRange(*by).sortWithinPartitions(*by)
+    ranged = stored(sorted_ranges.withColumns({"_range": F.spark_partition_id(), "_position": position}), "ranges")
     # a key has one row here for each range it lies in
+    sizes = ranged.groupBy(*keys, "_range").agg(F.count(F.lit(1)).alias("_size"), F.min("_position").alias("_first"))
     earlier = Window.partitionBy(*keys).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*keys, "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
-    within = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy("_at", "_words"))
-    ranked = join_null_safe(ranged.withColumn("_rank", within), offsets, [*keys, "_range"])
+    offsets = stored(
+        sizes.select(*keys, "_range", "_first", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")), "offsets"
+    )
+    small = F.broadcast(offsets) if fits_broadcast(offsets) else offsets
+    placed = join_null_safe(ranged, small, [*keys, "_range"])
+    ranked = placed.withColumn("_rank", F.col("_position") - F.col("_first") + 1)
     part = F.floor((F.col("_before") + F.col("_rank") - 1) / rows_per_part).cast("int")
     in_order = F.array_sort(F.collect_list(F.struct("_range", "_rank", "_words")))
     texts = F.filter(F.transform(in_order, lambda e: e["_words"]), lambda w: w != "")
