@@ -38,6 +38,12 @@ HEADLINES = [
     "c11_top_sports_with_others",
     "c13_dataset_profile",
     "x2_each_batch_enriched_and_appended",
+    "a7_live_rating_per_author_year",
+    "a9_catalog_loaded_three_times",
+    "q1_rows_admitted_at_load",
+    "c6_author_search_by_trigrams",
+    "j1_bucketed_tables",
+    "t9_adjectives_by_sentence",
     "q4_surrogate_key",
     "t6_topic_words",
 ]
