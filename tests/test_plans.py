@@ -8,8 +8,8 @@ from shelfmark import schemas
 from shelfmark.operators import sizing
 from shelfmark.operators.sentiment import sentiment_scorer
 from shelfmark.operators.topics import count_vectors, fit_topics, topic_mix, topic_terms, topic_words
-from shelfmark.operators.words import adjective_tagger, default_tags
-from tests.wordlists import CONTEXT, lexicon
+from shelfmark.operators.words import adjective_tagger
+from tests.wordlists import CONTEXT, lexicon, tags
 from shelfmark.plans import catalog, dashboard, marts, reviews
 
 PAGE = "Visit Amazon's {} Page"
@@ -119,7 +119,7 @@ def test_top_lists(enriched):
 
 
 def test_word_cloud(spark, enriched):
-    counts = marts.word_counts(enriched, adjective_tagger(default_tags(spark)), ["author", "title", "year"])
+    counts = marts.word_counts(enriched, adjective_tagger(tags(spark)), ["author", "title", "year"])
     cloud = dashboard.word_cloud(counts, "title", "NEW")
     assert sorted((r.word, r.word_count, r.weight) for r in cloud.collect()) == [("bad", 1, 1.0), ("good", 1, 1.0)]
 

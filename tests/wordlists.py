@@ -9,3 +9,10 @@ CONTEXT = ContextWords(stronger=("very",), weaker=("slightly",), negators=("not"
 
 def lexicon(spark):
     return spark.createDataFrame(sorted(VALENCES.items()), "word string, valence double")
+
+# a dictionary of a few words, in the usual tag names
+TAGS = {"awful": "JJ", "bad": "JJ", "better": "JJR", "good": "JJ", "great": "JJ", "long": "JJ", "new": "JJ", "old": "JJ", "worst": "JJS"}
+
+
+def tags(spark):
+    return spark.createDataFrame(sorted(TAGS.items()), "word string, tag string")
