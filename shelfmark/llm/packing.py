@@ -11,44 +11,75 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import small_batches, stored
+from shelfmark.llm.common import small_batches, stored, text_slices
 from shelfmark.llm.pretokens import pretokenizer
 
 TOKENIZER = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
-CACHED = 300_000
+CACHED = 200_000
 GROUP = 4_000
 PAIRED = 60
 STUCK = 16
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, row long"
 
 
+class KnownIds:
+    """The ids of the pre-tokens that a task has met, at most about ``most`` of them.
+
+    When there are more, those met in one slice of texts only are forgotten; they
+    are encoded again should they return.
+    """
+
+    def __init__(self, tokenizer: str, most: int = CACHED):
+        self.maker, self.most = pretokenizer(tokenizer), most
+        self.ids: dict[str, bytes] = {}
+        self.met_again: set[str] = set()
+
+    def of(self, texts: list[list[str]]) -> list[bytes]:
+        """The ids of texts that were split into pre-tokens, as little-endian words."""
+        here: dict[str, bytes] = {}
+        new = []
+        for word in set().union(*texts):
+            ids = self.ids.get(word)
+            if ids is None:
+                new.append(word)
+            else:
+                here[word] = ids
+        self.met_again.update(here)
+        if len(self.ids) + len(new) > self.most:
+            kept = self.met_again if len(self.met_again) + len(new) <= self.most else here
+            self.ids = {w: self.ids[w] for w in kept}
+            self.met_again = set()
+        made = dict(zip(new, self.maker.encode_words(new)))
+        self.ids.update(made)
+        here.update(made)
+        # the words of a slice are few, so they are found faster than among all
+        find = here.__getitem__
+        return [b"".join(map(find, text)) for text in texts]
+
+
 def cut_documents(documents: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """The pieces (doc_id, piece, start, length, ids_crc32, row) of every document's ids.
 
     The ids of a text and then ``end_id``; only longer documents are cut. A null
-    text is empty. ``row`` numbers the pieces; repeated rows stay apart. A worker
-    keeps the ids of up to 300,000 pre-tokens and starts afresh beyond.
+    text is empty. ``row`` numbers the pieces; repeated rows stay apart. A task keeps
+    the ids of about 200,000 pre-tokens, and nothing when it has ended.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maker = pretokenizer(tokenizer)
-        split, ids, end = maker.split, {}, np.array([end_id], "<u4").tobytes()
+        known, end = KnownIds(tokenizer), np.array([end_id], "<u4").tobytes()
+        split = known.maker.split
         for batch in batches:
             out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                words = split(text.as_py() or "")
-                new = [w for w in set(words) if w not in ids]
-                if new:
-                    if len(ids) > CACHED:
-                        ids.clear()
-                        new = list(set(words))
-                    ids.update((w, np.array(x, "<u4").tobytes()) for w, x in zip(new, maker.encode(new)))
-                whole = b"".join([ids[w] for w in words]) + end
-                for piece in range(-(-len(whole) // (4 * capacity))):
-                    part = whole[4 * capacity * piece : 4 * capacity * (piece + 1)]
-                    out.append((doc_id, piece, capacity * piece, len(part) // 4, zlib.crc32(part)))
+            for begin, stop in text_slices(batch.column(1)):
+                part = batch.slice(begin, stop - begin)
+                texts = known.of([split(text or "") for text in part.column(1).to_pylist()])
+                for doc_id, whole in zip(part.column(0).to_pylist(), texts):
+                    whole += end
+                    for piece in range(-(-len(whole) // (4 * capacity))):
+                        ids = whole[4 * capacity * piece : 4 * capacity * (piece + 1)]
+                        out.append((doc_id, piece, capacity * piece, len(ids) // 4, zlib.crc32(ids)))
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             columns = [pa.array(c, kind) for c, kind in zip(zip(*out), kinds)] if out else [pa.array([], kind) for kind in kinds]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "piece", "start", "length", "ids_crc32"])

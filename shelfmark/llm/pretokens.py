@@ -13,6 +13,8 @@ import os
 import re
 import unicodedata
 
+import numpy as np
+
 # The split patterns of the two files, with {L} letters, {N} numbers and {S} white space.
 PATTERNS = {
     "byte_bpe_50k.json": r"'s|'t|'re|'ve|'m|'ll|'d| ?[{L}]+| ?[{N}]+| ?[^{S}{L}{N}]+|[{S}]+(?![^{S}])|[{S}]+",
@@ -23,6 +25,9 @@ PATTERNS = {
 PLAIN_LETTERS = range(0x180)
 OUTSIDE = re.compile("[^\x00-ſ‐-‧‰-⁞₠-₿]")
 SPACES = "\\t-\\r \\x85\\xa0"
+# Fixed value: how the vocabulary of the second file marks the last id of a pre-token.
+WORD_END = "</w>"
+LINES = 512
 
 
 def _plain(kind: str) -> str:
@@ -70,6 +75,33 @@ class PreTokenizer:
         """The ids of each pre-token alone."""
         return [e.ids for e in self.tokenizer.encode_batch_fast(pretokens, add_special_tokens=False)]
 
+    @functools.cached_property
+    def ends_word(self) -> np.ndarray:
+        """Whether an id is the last of a pre-token, in a vocabulary that marks these."""
+        vocabulary = self.tokenizer.get_vocab()
+        ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+        return ends
+
+    def encode_words(self, pretokens: list[str]) -> list[bytes]:
+        """The ids of each pre-token alone, as little-endian words, for a file that marks the ends of words.
+
+        Many are encoded as lines of one text and told apart by their last ids. Where
+        there are not as many ends as lines, as with special strings, each is
+        encoded alone.
+        """
+        out: list[bytes] = []
+        parts = [pretokens[i : i + LINES] for i in range(0, len(pretokens), LINES)]
+        for part, found in zip(parts, self.encode(["\n".join(part) for part in parts])):
+            ids = np.array(found, "<u4")
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            if len(ends) != len(part) or (len(ends) and ends[-1] != len(ids)):
+                out += [np.array(x, "<u4").tobytes() for x in self.encode(part)]
+                continue
+            data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+            out += [data[a:b] for a, b in zip(cuts, cuts[1:])]
+        return out
+
 
 @functools.lru_cache(maxsize=2)
 def pretokenizer(name: str) -> PreTokenizer:

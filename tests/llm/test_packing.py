@@ -19,6 +19,14 @@ def test_pretokens_give_the_ids_of_the_library(text, name):
     assert ids == maker.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+@given(st.lists(st.lists(st.sampled_from([*HARD, "word", "it's", "1a"]), max_size=6).map("".join), max_size=40))
+@settings(max_examples=300, deadline=None)
+def test_words_encoded_as_lines_have_the_ids_of_each_alone(texts):
+    maker = pretokenizer("word_bpe_49k.json")
+    words = list(dict.fromkeys(w for t in texts for w in maker.split(t)))
+    assert maker.encode_words(words) == [np.array(x, "<u4").tobytes() for x in maker.encode(words)]
+
+
 @given(st.lists(st.integers(1, 100), min_size=1, max_size=120))
 @settings(max_examples=200, deadline=None)
 def test_bins_hold_every_item_once_and_no_more_than_best_fit(lengths):
@@ -63,6 +71,18 @@ def test_pieces_are_the_ids_of_the_library(documents):
     assert packing.pack_documents(documents([])).collect() == []
 
 
+def test_a_task_that_forgets_gives_the_same_ids():
+    rng = np.random.default_rng(5)
+    texts = [[f"w{i}" for i in rng.zipf(1.3, 40) % 500] for _ in range(60)] + [[]]
+    maker = pretokenizer("word_bpe_49k.json")
+    want = [np.array([i for w in t for i in maker.encode([w])[0]], "<u4").tobytes() for t in texts]
+    for most in (1, 20, 60, 10_000):
+        known = packing.KnownIds("word_bpe_49k.json", most)
+        got = [ids for at in range(0, len(texts), 3) for ids in known.of(texts[at : at + 3])]
+        assert got == want and len(known.ids) <= max(most, 120)
+    assert known.of([]) == []
+
+
 def test_several_groups_lose_little(spark):
     rng = np.random.default_rng(1)
     rows = [(i, int(x), "clash") for i, x in enumerate(rng.integers(1, 60, 900))]
