@@ -6,15 +6,18 @@ pairs. The symbols are split into six chunks with an allowance of errors each,
 so that by the pigeonhole any pair with at most 19 differing symbols stays
 within the allowance of some chunk. Every choice of the chunk's symbols that may
 differ is left out in turn, and the others make a key; such a pair shares a key.
-A second signature of 128 single bits then tells pairs that only share a passage:
-two texts with a similarity of 0.75 differ in about 16 of its bits, and in more
-than 35 once in some 500,000 such pairs. What is left is a link only once the full
-shingle sets confirm it.
+A second signature of 128 single bits picks the pairs that are tried first, in
+stars around hubs. Where that leaves the texts of a key in several components,
+every pair of them is compared by a third signature of 4,096 single bits, which
+is worked out for these texts alone: two texts with a similarity of 0.75 differ
+in about 512 of its bits, and in more than 614 once in some 850,000 such pairs,
+while most pairs below 0.7 differ in more. What is left is a link only once the
+full shingle sets confirm it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -34,12 +37,14 @@ ALLOWED = 19
 CHUNKS = ((0, 6, 3), (6, 6, 3), (12, 5, 2), (17, 5, 2), (22, 5, 2), (27, 5, 2))
 SHARE = 75
 BITS, BITS_APART = 128, 35
-SEEDS = mix(np.arange(1, BITS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+LONG_BITS, LONG_APART = 4_096, 614
+SEEDS = mix(np.arange(1, LONG_BITS + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 PLACES = mix(np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0xE7037ED1A0B428DB)) | np.uint64(1)
 LONGEST_RUN = 64
 # a bucket is worked on in parts of about so many rows; of a hot key so many rows are sampled per part
 BUCKET_ROWS, SAMPLED = 50_000, 100
 HUBS = 1_000
+SPREAD_AT_ONCE = 500
 # further hubs are tried in so many turns, each by one of as many parts of the keys
 TURNS, KEY_PARTS = 2, 4
 SIGNED = "doc_id long, n int, h1 long, h2 long, " + ", ".join(
@@ -87,6 +92,15 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return values[np.concatenate([[True], values[1:] != values[:-1]])] if len(values) else values
 
 
+def _least_hashes(sets: np.ndarray, starts: np.ndarray, orders: int) -> Iterator[tuple[int, np.ndarray]]:
+    """The least hash of each non-empty set, mixed, under one order after the other."""
+    ordered = np.empty_like(sets)
+    for k, seed in enumerate(SEEDS[:orders]):
+        np.bitwise_xor(sets, seed, out=ordered)
+        np.multiply(ordered, seed | np.uint64(1), out=ordered)
+        yield k, mix(np.minimum.reduceat(ordered, starts))
+
+
 def signatures(sets: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """32 symbols and 128 bits per non-empty set, from its least hashes under 128 orders.
 
@@ -95,17 +109,21 @@ def signatures(sets: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.nda
     starts = places[:-1][np.diff(places) > 0]
     symbols, bits = np.empty((len(starts), SYMBOLS), np.uint16), np.zeros((len(starts), BITS // 64), np.uint64)
     if len(starts):
-        ordered = np.empty_like(sets)
-        for k, seed in enumerate(SEEDS):
-            np.bitwise_xor(sets, seed, out=ordered)
-            np.multiply(ordered, seed | np.uint64(1), out=ordered)
-            least = mix(np.minimum.reduceat(ordered, starts))
+        for k, least in _least_hashes(sets, starts, BITS):
             if k < SYMBOLS:
                 symbols[:, k] = least >> np.uint64(48)
             bits[:, k // 64] |= (least & np.uint64(1)) << np.uint64(k % 64)
     return symbols, bits
 
 
+def long_bits(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """4,096 bits per non-empty set, one of its least hash under each of 4,096 orders."""
+    bits = np.zeros((len(starts), LONG_BITS // 64), np.uint64)
+    for k, least in _least_hashes(sets, starts, LONG_BITS):
+        bits[:, k // 64] |= (least & np.uint64(1)) << np.uint64(k % 64)
+    return bits
+
+
 def sign_documents(documents: DataFrame) -> DataFrame:
     """(doc_id, n, h1, h2, s0..s7, a, b) per row: the set's size, its 128-bit digest and the two signatures."""
     names = [part.split()[0] for part in SIGNED.split(", ")]
@@ -139,35 +157,45 @@ def _patterns() -> list[tuple[int, ...]]:
     ]
 
 
+def _keys_of(packed: np.ndarray) -> np.ndarray:
+    """The 80 keys of each row of packed symbols, in the order of the patterns."""
+    patterns = _patterns()
+    wide = packed.view(np.uint16).astype(np.uint64)
+    keys = np.empty((len(wide), len(patterns)), np.uint64)
+    for i, kept in enumerate(patterns):
+        value = np.full(len(wide), i + 1, np.uint64)
+        for k in kept:
+            value = mix(value * np.uint64(0x2545F4914F6CDD1D) + wide[:, k] + np.uint64(1))
+        keys[:, i] = value
+    return keys
+
+
 def index_keys(classes: DataFrame) -> DataFrame:
     """(key, node, n, a, b): every class under each of its 80 keys, with its size and bits for the first comparison."""
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        patterns = _patterns()
-        for batch in batches:
-            if not len(batch):
-                continue
-            symbols = np.stack([np.asarray(c) for c in batch.columns[4:]], axis=1).view(np.uint16)
-            wide = symbols.astype(np.uint64)
-            keys = np.empty((len(wide), len(patterns)), np.uint64)
-            for i, kept in enumerate(patterns):
-                value = np.full(len(wide), i + 1, np.uint64)
-                for k in kept:
-                    value = mix(value * np.uint64(0x2545F4914F6CDD1D) + wide[:, k] + np.uint64(1))
-                keys[:, i] = value
-            carried = (np.repeat(np.asarray(c), len(patterns)) for c in batch.columns[:4])
-            arrays = [pa.array(keys.ravel().view(np.int64)), *map(pa.array, carried)]
-            yield pa.RecordBatch.from_arrays(arrays, ["key", "node", "n", "a", "b"])
+        for whole in batches:
+            # a row becomes 80, so few are worked on at a time
+            for at in range(0, len(whole), SPREAD_AT_ONCE):
+                batch = whole.slice(at, SPREAD_AT_ONCE)
+                keys = _keys_of(np.stack([np.asarray(c) for c in batch.columns[4:]], axis=1))
+                carried = (np.repeat(np.asarray(c), keys.shape[1]) for c in batch.columns[:4])
+                arrays = [pa.array(keys.ravel().view(np.int64)), *map(pa.array, carried)]
+                yield pa.RecordBatch.from_arrays(arrays, ["key", "node", "n", "a", "b"])
 
     columns = ["node", "n", "a", "b", *(f"s{i}" for i in range(SYMBOLS // 4))]
     return classes.select(*columns).mapInArrow(spread, "key long, node long, n int, a long, b long")
 
 
+def _sizes_near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether two sets of these sizes can be as alike as a link's."""
+    return 100 * np.minimum(x, y).astype(np.int64) >= SHARE * np.maximum(x, y).astype(np.int64)
+
+
 def _alike(x: tuple[np.ndarray, ...], y: tuple[np.ndarray, ...]) -> np.ndarray:
     """Whether pairs of (n, a, b) can be links: sizes near enough, and at most 35 of the 128 bits differ."""
     apart = np.bitwise_count(x[1] ^ y[1]).astype(np.int64) + np.bitwise_count(x[2] ^ y[2])
-    small, large = np.minimum(x[0], y[0]), np.maximum(x[0], y[0])
-    return (apart <= BITS_APART) & (100 * small.astype(np.int64) >= SHARE * large.astype(np.int64))
+    return (apart <= BITS_APART) & _sizes_near(x[0], y[0])
 
 
 def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -176,7 +204,7 @@ def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 
 def _salted(keys: DataFrame, classes: DataFrame) -> DataFrame:
-    """Adds ``salt``, which deals the rows of a key with far more than 50,000 among several tasks.
+    """Adds ``salt``, which deals the rows of a key with far more than 50,000 among several tasks, and the number of ``salts``.
 
     Hot keys are told from a sample, for which salts a row gets only decides
     which links are found first. Each key deals its nodes in another way, so that
@@ -186,10 +214,11 @@ def _salted(keys: DataFrame, classes: DataFrame) -> DataFrame:
     hot = sample.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / SAMPLED).alias("_salts")).where("_salts > 1")
     hot = stored(hot.withColumnRenamed("key", "_hot"), "hot-buckets")
     if hot.isEmpty():
-        return keys.withColumn("salt", F.lit(0))
+        return keys.withColumns({"salt": F.lit(0), "salts": F.lit(1)})
     hot = F.broadcast(hot) if fits_broadcast(hot) else hot
-    salt = F.pmod(F.xxhash64("key", "node"), F.coalesce("_salts", F.lit(1))).cast("int")
-    return keys.join(hot, F.col("key") == F.col("_hot"), "left").withColumn("salt", salt).drop("_hot", "_salts")
+    salts = F.coalesce("_salts", F.lit(1)).cast("int")
+    salt = F.pmod(F.xxhash64("key", "node"), salts).cast("int")
+    return keys.join(hot, F.col("key") == F.col("_hot"), "left").withColumns({"salt": salt, "salts": salts}).drop("_hot", "_salts")
 
 
 def _runs(*columns: np.ndarray) -> np.ndarray:
@@ -204,7 +233,8 @@ def _runs(*columns: np.ndarray) -> np.ndarray:
 def star_links(keys: DataFrame) -> DataFrame:
     """(key, node, n, a, b, hub): the rows of keys that several nodes share, each with a hub of its key or null.
 
-    ``keys`` also has salt, and a bucket is the rows of one key and salt. In it
+    ``keys`` also has salt and salts, and a bucket is the rows of one key and salt.
+    All rows of a salted key are given, as others of the key may be elsewhere. In it
     the first node is a hub, and so is each that no earlier hub is like, up to
     1,000 hubs. A bucket gives at most one link per row, however large it is, and
     a task keeps only the hubs of the bucket at hand. A row without a hub is
@@ -249,18 +279,18 @@ def star_links(keys: DataFrame) -> DataFrame:
                 waiting = waiting[~good & ~first]
             last = run == run[-1]
             is_hub[np.flatnonzero(last)[:1]] = True
-            give = sizes[run] > 1
+            give = (sizes[run] > 1) | (rows[6] > 1)
             if old and shown:
                 give[:old] = False
             if give.any():
                 hubs = pa.array(hub[give], pa.int64(), mask=hub[give] < 0)
                 made = [pa.array(r[give].view(np.int64) if r.dtype == np.uint64 else r[give]) for r in rows[:5]]
                 yield pa.RecordBatch.from_arrays([*made, hubs], ["key", "node", "n", "a", "b", "hub"])
-            shown = bool(sizes[-1] > 1)
+            shown = bool(sizes[-1] > 1 or rows[6][-1] > 1)
             keep = np.flatnonzero(last & is_hub)
             held = [r[keep] for r in rows]
 
-    columns = ["key", "node", "n", "a", "b", "salt"]
+    columns = ["key", "node", "n", "a", "b", "salt", "salts"]
     dealt = keys.select(*columns).repartition("key", "salt").sortWithinPartitions("key", "salt", "node")
     return dealt.mapInArrow(link, "key long, node long, n int, a long, b long, hub long")
 
@@ -288,56 +318,72 @@ def other_hubs(buckets: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
     return alike.select(F.least("node", "_hub.node").alias("x"), F.greatest("node", "_hub.node").alias("y")).distinct()
 
 
-def open_pairs(buckets: DataFrame, labels: DataFrame) -> DataFrame:
-    """(x, y): the pairs of a key that can be links and are not yet in one component.
+def _mixed(buckets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, n, component, _blocks): the rows of keys whose nodes are in several components.
 
-    ``labels`` has (node, component) of the linked nodes; others are on their own.
-    Keys of one component are left out before they are dealt out. A key with far
-    more than 50,000 rows is cut into blocks, and each pair of its blocks goes to
-    a task of its own.
+    ``_blocks`` is the number of parts that a key with far more than 50,000 rows is cut into.
     """
-    known = _with_components(buckets, labels)
+    known = _with_components(buckets, labels).drop("a", "b")
     sizes = known.groupBy("key").agg(
         F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_rows")
     )
     mixed = sizes.where("_low < _high").select("key", F.ceil(F.col("_rows") / BUCKET_ROWS).cast("int").alias("_blocks"))
-    cut = known.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
+    return known.join(mixed, "key")
+
+
+def open_pairs(buckets: DataFrame, labels: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """(x, y): the pairs of a key that can be links and are not yet in one component.
+
+    ``labels`` has (node, component) of the linked nodes; others are on their own.
+    Keys of one component are left out before they are dealt out. Only for the
+    nodes that are left the long signatures are worked out, from the text of one
+    document each. A key with far more than 50,000 rows is cut into blocks, and
+    each pair of its blocks goes to a task of its own. A pair that shares several
+    keys is given by the first of them alone.
+    """
+    mixed = stored(_mixed(buckets, labels), "mixed-buckets")
+    symbols = [f"s{i}" for i in range(SYMBOLS // 4)]
+    signed = _long_signatures(documents, classes, mixed.select("node").distinct())
+    signed = stored(signed.join(classes.select("node", *symbols), "node"), "long-signatures")
+    cut = mixed.join(signed, "node").withColumn("block", F.pmod(F.xxhash64("node"), F.col("_blocks")).cast("int"))
     cut = cut.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
     cut = cut.withColumn("low", F.least("block", "_other")).withColumn("high", F.greatest("block", "_other"))
 
     def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] | None = None
         for batch in batches:
-            rows = _columns(batch)
-            if not len(rows[0]):
+            if not len(batch):
                 continue
+            rows = [np.asarray(c) for c in batch.columns[:7]]
+            rows.append(np.stack([np.frombuffer(bits.as_buffer(), np.uint64) for bits in batch.columns[7]]))
+            rows.append(np.stack([np.asarray(c) for c in batch.columns[8:]], axis=1))
             if held is not None:
                 rows = [np.concatenate([h, r]) for h, r in zip(held, rows)]
-            at = int(np.flatnonzero(_runs(rows[0], rows[6], rows[7]))[-1])
+            at = int(np.flatnonzero(_runs(rows[0], rows[4], rows[5]))[-1])
             held = [r[at:] for r in rows]
             yield from _pairs([r[:at] for r in rows])
         if held is not None:
             yield from _pairs(held)
 
-    columns = ["key", "node", "n", "a", "b", "component", "low", "high", "block"]
+    columns = ["key", "node", "n", "component", "low", "high", "block", "bits", *symbols]
     dealt = cut.select(*columns).repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
     return dealt.mapInArrow(pair, "x long, y long").distinct()
 
 
 def _pairs(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
     """The open pairs of whole buckets: small ones all at once by their distance in the bucket, large ones row by row."""
-    key, node, n, a, b, component, low, high, block = rows
+    key, node, n, component, low, high, block, bits, symbols = rows
     if not len(key):
         return
+    body = (key.view(np.uint64), node, n, bits, _keys_of(symbols))
     begin = np.flatnonzero(_runs(key, low, high))
     size = np.diff(np.concatenate([begin, [len(key)]]))
     end_of = np.repeat(begin + size, size)
     small = np.repeat(size <= LONGEST_RUN, size)
-    body = (n, a, b)
     for step in range(1, int(min(LONGEST_RUN, size.max(initial=1)))):
         left = np.flatnonzero(small & (np.arange(len(key)) + step < end_of))
         left = left[(component[left] != component[left + step]) & _met(left, left + step, low, high, block)]
-        yield from _found(left, left + step, node, body)
+        yield from _found(left, left + step, body)
     for start, length in zip(begin[size > LONGEST_RUN].tolist(), size[size > LONGEST_RUN].tolist()):
         # rows of the largest component need no turn of their own: the others meet them
         values, counts = np.unique(component[start : start + length], return_counts=True)
@@ -347,7 +393,7 @@ def _pairs(rows: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
             other = every[(component[every] != component[i]) & ((every > i) | (component[every] == largest))]
             mine = np.full(len(other), i)
             kept = _met(mine, other, low, high, block)
-            yield from _found(mine[kept], other[kept], node, body)
+            yield from _found(mine[kept], other[kept], body)
 
 
 def _met(left: np.ndarray, right: np.ndarray, low: np.ndarray, high: np.ndarray, block: np.ndarray) -> np.ndarray:
@@ -355,42 +401,67 @@ def _met(left: np.ndarray, right: np.ndarray, low: np.ndarray, high: np.ndarray,
     return (block[left] != block[right]) | (low[left] == high[left])
 
 
-def _found(left: np.ndarray, right: np.ndarray, node: np.ndarray, body: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
-    good = _alike([c[left] for c in body], [c[right] for c in body])
-    if good.any():
-        x, y = node[left[good]], node[right[good]]
+def _found(left: np.ndarray, right: np.ndarray, body: tuple[np.ndarray, ...]) -> Iterator[pa.RecordBatch]:
+    """The pairs of sizes near enough whose long signatures differ in at most 614 bits and whose first common key this is."""
+    key, node, n, bits, keys = body
+    near = _sizes_near(n[left], n[right])
+    left, right = left[near], right[near]
+    good = np.bitwise_count(bits[left] ^ bits[right]).sum(axis=1, dtype=np.int64) <= LONG_APART
+    left, right = left[good], right[good]
+    if len(left):
+        first = (keys[left] == keys[right]).argmax(axis=1)
+        here = keys[left, first] == key[left]
+        x, y = node[left[here]], node[right[here]]
         arrays = [pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))]
         yield pa.RecordBatch.from_arrays(arrays, ["x", "y"])
 
 
-def _sets_of(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, shingles): the full sets of the classes in ``nodes``, worked out anew from one text of each."""
+def _of_one_text(documents: DataFrame, classes: DataFrame, nodes: DataFrame, made: str, make: Callable[[np.ndarray, np.ndarray], pa.Array]) -> DataFrame:
+    """(node, ``made``) of the classes in ``nodes``, by ``make`` from the shingles of one text of each, worked out anew."""
     wanted = classes.join(nodes, "node").select("node", "h1", "h2", "first_doc")
     ids = wanted.select("first_doc").distinct()
     ids = F.broadcast(ids) if fits_broadcast(ids) else ids
     texts = documents.select(F.col("doc_id").cast("long"), "text")
     texts = texts.join(ids, F.col("doc_id").eqNullSafe(F.col("first_doc")), "left_semi")
+    name = made.split()[0]
 
     def work_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b in text_slices(batch.column(0)):
                 sets, places = shingle_sets(batch.column(0)[a:b])
-                full = np.flatnonzero(np.diff(places))
-                if not len(full):
+                starts = places[:-1][np.diff(places) > 0]
+                if not len(starts):
                     continue
-                starts = places[:-1][full]
                 digests = [np.add.reduceat(mix(sets + PLACES[k]), starts).view(np.int64) for k in range(2)]
-                offsets = pa.array(np.concatenate([starts, [len(sets)]]), pa.int32())
-                lists = pa.ListArray.from_arrays(offsets, pa.array(sets.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([*map(pa.array, digests), lists], ["h1", "h2", "shingles"])
+                yield pa.RecordBatch.from_arrays([*map(pa.array, digests), make(sets, starts)], ["h1", "h2", name])
+
+    found = texts.select("text").mapInArrow(work_out, f"h1 long, h2 long, {made}")
+    return found.join(wanted.select("node", "h1", "h2"), ["h1", "h2"]).dropDuplicates(["node"]).select("node", name)
+
+
+def _sets_of(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, shingles): the full sets of the classes in ``nodes``."""
+
+    def lists(sets: np.ndarray, starts: np.ndarray) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([starts, [len(sets)]]), pa.int32()), pa.array(sets.view(np.int64)))
+
+    return _of_one_text(documents, classes, nodes, "shingles array<long>", lists)
+
+
+def _long_signatures(documents: DataFrame, classes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, bits): the long signatures of the classes in ``nodes``, 512 bytes each."""
+
+    def packed(sets: np.ndarray, starts: np.ndarray) -> pa.Array:
+        return pa.array([line.tobytes() for line in long_bits(sets, starts)], pa.binary())
 
-    sets = texts.select("text").mapInArrow(work_out, "h1 long, h2 long, shingles array<long>")
-    return sets.join(wanted.select("node", "h1", "h2"), ["h1", "h2"]).dropDuplicates(["node"]).select("node", "shingles")
+    return _of_one_text(documents, classes, nodes, "bits binary", packed)
 
 
 def confirm(pairs: DataFrame, documents: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs (x, y) whose full sets have 100 * intersection >= 75 * union."""
-    nodes = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
+    # a node of many pairs is told once per side before the sides meet
+    sides = [pairs.select(F.col(side).alias("node")).distinct() for side in ("x", "y")]
+    nodes = sides[0].unionByName(sides[1]).distinct()
     sets = stored(_sets_of(documents, classes, nodes), "shingle-sets")
     left = pairs.join(sets.select(F.col("node").alias("x"), F.col("shingles").alias("_x")), "x")
     both = left.join(sets.select(F.col("node").alias("y"), F.col("shingles").alias("_y")), "y")
@@ -406,14 +477,15 @@ def link_classes(documents: DataFrame, classes: DataFrame) -> DataFrame:
     of their keys, which brings near copies of near copies together. At last, for
     keys whose nodes are still in several components, every pair of different
     components is tried.
-    A pair within one component needs no link, so no link that the signatures pass is lost.
+    A pair within one component needs no link, so no link that shares a key and that
+    the long signatures pass is lost.
     """
     buckets = stored(star_links(_salted(index_keys(classes), classes)), "buckets")
     stars = stored(buckets.where("hub is not null").select(F.least("hub", "node").alias("x"), F.greatest("hub", "node").alias("y")).distinct(), "stars")
     links, tried = stored(confirm(stars, documents, classes), "links"), stars
     labels = components(links)
     for turn in range(TURNS + 1):
-        pairs = other_hubs(buckets, labels, turn) if turn < TURNS else open_pairs(buckets, labels)
+        pairs = other_hubs(buckets, labels, turn) if turn < TURNS else open_pairs(buckets, labels, documents, classes)
         pairs = stored(pairs.join(tried, ["x", "y"], "left_anti"), "pairs-to-try")
         if pairs.isEmpty():
             continue
@@ -431,7 +503,8 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     Words are split at ASCII white space with A-Z lower-cased. Texts with equal
     sets form a class at once, so that copies are never paired; classes are
     joined by signature and confirmed on full sets. ``component_id`` is the
-    smallest doc_id of the component. A null or empty text, and one of white
+    smallest doc_id of the component. Whole texts are read, however long; columns
+    other than doc_id and text are ignored. A null or empty text, and one of white
     space, has no shingle and is its own component. Rows with a null id are
     linked too, but name no component unless all its ids are null. Repeated rows
     are copies. An empty table gives no rows.
