@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from hashlib import blake2b
 from math import log10
 
 import numpy as np
@@ -21,8 +20,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.llm.common import crc_remainder, small_batches, stored
-from shelfmark.llm.terms import LONGEST, MOST_FREQUENT, RARE_TYPE, count_terms, frequent_floor, frequent_terms, sum_rare
+from shelfmark.llm.common import crc_remainder, mix, small_batches, stored, text_slices, utf8_bytes
+from shelfmark.llm.terms import count_terms, sum_rare
+from shelfmark.llm.words64 import hash_spans
 
 CLASSES = 50
 SEEDS = 400
@@ -33,7 +33,10 @@ LENGTHS, ENDINGS = 16, 8
 SHAPES = LENGTHS * ENDINGS
 END, FIRST = SHAPES, SHAPES + 1
 WORDS_AT_ONCE = 1_000
-PAIRS_AT_ONCE = 1_000_000
+PAIRS_AT_ONCE = 500_000
+PAIR_PARTS = "bucket int, a binary, b binary, c binary"
+PACKED_PAIRS = "m long, a binary, b binary, c binary"
+PACKED_CONTEXTS = "a binary, b binary, c binary, d binary"
 SCORED = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, rest double, rare array<struct<term:binary,n:int>>"
 
 
@@ -124,15 +127,68 @@ def brown_classes(bigrams: np.ndarray, classes: int = CLASSES) -> np.ndarray:
     return out
 
 
+@dataclass(frozen=True)
+class Vocabulary:
+    """The words that have numbers of their own, from ``FIRST`` on, by their 64-bit hashes in order; 8 bytes a word."""
+
+    keys: np.ndarray
+
+    @property
+    def size(self) -> int:
+        return FIRST + len(self.keys)
+
+    def code(self, column: pa.Array) -> CodedTexts:
+        """The words of texts by number; a word without one has that of its shape group."""
+        data, places = utf8_bytes(column)
+        key, owner, start, end = hash_spans(data, places)
+        number = _shapes(data, start, end)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            number = np.where(self.keys[at] == key, FIRST + at, number)
+        return CodedTexts(len(column), data, number, owner, start, end)
+
+
+@dataclass(frozen=True)
+class CodedTexts:
+    """The words of some texts in order: their numbers, the text each is of, and where each lies in ``data``."""
+
+    texts: int
+    data: np.ndarray
+    number: np.ndarray
+    owner: np.ndarray
+    start: np.ndarray
+    end: np.ndarray
+
+    def line(self) -> np.ndarray:
+        """All numbers in a row, with an end before the first text, between any two, and behind the last one."""
+        begins = np.searchsorted(self.owner, np.arange(self.texts))
+        return np.concatenate([np.insert(self.number, begins, END), [END]])
+
+    def words(self, which: np.ndarray) -> list[bytes]:
+        """The words at some places, A-Z lower-cased."""
+        capital = (self.data >= ord("A")) & (self.data <= ord("Z"))
+        lower = np.where(capital, self.data | 32, self.data).astype(np.uint8).tobytes()
+        return [lower[a:b] for a, b in zip(self.start[which].tolist(), self.end[which].tolist())]
+
+
+ENDINGS_OF_BYTES = np.array(ENDING, np.int64)
+ENDINGS_OF_BYTES[ord("A") : ord("Z") + 1] = ENDINGS_OF_BYTES[ord("a") : ord("z") + 1]
+
+
+def _shapes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``shape_of`` for words given by their places."""
+    if not len(start):
+        return np.zeros(0, np.int64)
+    return np.minimum(end - start, LENGTHS) * ENDINGS - ENDINGS + ENDINGS_OF_BYTES[data[end - 1]]
+
+
 @dataclass(frozen=True)
 class ClassModel:
     """All that scoring needs beside the counts of the rarer words."""
 
-    words: dict[bytes, int]  # frequent words, by number
-    logs: np.ndarray  # log10(count + 1) of each
-    word_class: np.ndarray
-    rare: Vocabulary  # the words beyond the frequent ones
-    rare_class: np.ndarray  # of each word number
+    vocabulary: Vocabulary
+    logs: np.ndarray  # log10(count + 1) by number; 0 for the shape groups, whose words are counted apart
+    word_class: np.ndarray  # by number
     end_class: int
     end_log: float
     transitions: np.ndarray  # log10 of each class after each
@@ -141,123 +197,127 @@ class ClassModel:
     train_tokens: int
 
 
-@dataclass(frozen=True)
-class Vocabulary:
-    """The number of each word: its shape group below the least count, else one of its own.
+def _word_keys(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hash, the shape group and the count of each word of ``counts``, by hash."""
 
-    Frequent words are in a dictionary; the others are found by a 64-bit hash, 8 bytes each.
-    """
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                data, places = utf8_bytes(batch.column(0))
+                key, _, start, end = hash_spans(data, places)
+                columns = [pa.array(key.view(np.int64)), pa.array(_shapes(data, start, end).astype(np.int16))]
+                yield pa.RecordBatch.from_arrays([*columns, batch.column(1)], ["key", "shape", "n"])
+
+    # a term holds no white space, so it is one word
+    terms = counts.select(F.col("term").cast("string"), "n")
+    rows = terms.mapInArrow(hashed, "key long, shape short, n long").toArrow()
+    key, shape, n = (rows.column(i).to_numpy() for i in range(3))
+    key = key.view(np.uint64)
+    order = np.argsort(key, kind="stable")
+    return key[order], shape[order].astype(np.int64), n[order]
+
+
+def _narrow(numbers: np.ndarray) -> bytes:
+    """The numbers' bytes in the least of 1, 2, 4 or 8 that hold them all, with that size first."""
+    kind = np.dtype(np.min_scalar_type(int(numbers.max(initial=0))))
+    return bytes([kind.itemsize]) + numbers.astype(kind).tobytes()
 
-    numbers: dict[bytes, int]
-    keys: np.ndarray  # sorted
-    size: int
 
-    def code(self, words: list[bytes]) -> np.ndarray:
-        get = self.numbers.get
-        line = np.array([get(w, -1) for w in words], np.int64)
-        new = np.flatnonzero(line < 0)
-        if len(new):
-            line[new] = self.other([words[i] for i in new.tolist()])
-        return line
+def _wide(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
 
-    def other(self, words: list[bytes]) -> np.ndarray:
-        """The numbers of words that are not in the dictionary."""
-        number = np.array([shape_of(w) for w in words], np.int64)
-        if len(self.keys) and len(words):
-            wanted = np.array([key_of(w) for w in words], np.int64)
-            at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-            number = np.where(self.keys[at] == wanted, self.size - len(self.keys) + at, number)
-        return number
 
+def _column(table: pa.Table | pa.RecordBatch, name: str) -> np.ndarray:
+    """The numbers of all rows of a packed column."""
+    return np.concatenate([np.zeros(0, np.int64), *(_wide(v) for v in table.column(name).to_pylist())])
 
-def key_of(word: bytes) -> int:
-    """A 64-bit hash of a word."""
-    return int.from_bytes(blake2b(word, digest_size=8).digest(), "little", signed=True)
 
+def _packed_rows(names: str, rows: list[list]) -> pa.RecordBatch:
+    """Rows of a whole number, or two, and packed arrays, as ``names`` gives their types."""
+    fields = [f.split() for f in names.split(", ")]
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    columns = zip(*rows) if rows else [[]] * len(fields)
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(columns, fields)], [n for n, _ in fields])
 
-def _word_keys(rest: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The hash, the shape group and the count of each word of ``rest``, by hash."""
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = batch.column(0).to_pylist()
-            columns = [pa.array([key_of(w) for w in words], pa.int64()), pa.array([shape_of(w) for w in words], pa.int16())]
-            yield pa.RecordBatch.from_arrays([*columns, batch.column(1)], ["key", "shape", "n"])
+def _dealt(bucket: np.ndarray, columns: list[np.ndarray], names: str) -> pa.RecordBatch:
+    """One row per bucket: its number and its share of each column, packed."""
+    order = np.argsort(bucket, kind="stable")
+    numbers, begins = np.unique(bucket[order], return_index=True)
+    ends = [*begins[1:].tolist(), len(order)]
+    columns = [c[order] for c in columns]
+    rows = [[b, *(_narrow(c[i:j]) for c in columns)] for b, i, j in zip(numbers.tolist(), begins.tolist(), ends)]
+    return _packed_rows(names, rows)
 
-    rows = rest.select("term", "n").mapInArrow(hashed, "key long, shape short, n long").toArrow()
-    key, shape, n = (rows.column(i).to_numpy() for i in range(3))
-    order = np.argsort(key, kind="stable")
-    return key[order], shape[order].astype(np.int64), n[order]
+
+def _buckets(rows: int) -> int:
+    """Parts of about a million rows."""
+    return max(1, -(-rows // (2 * PAIRS_AT_ONCE)))
 
 
-def count_pairs(texts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(left, right, n): how often each word number follows each, over all texts; an end stands around every text."""
+def count_pairs(texts: DataFrame, vocabulary: Vocabulary, tokens: int) -> DataFrame:
+    """(m, left, right, n) in packed rows of ``m`` pairs: how often each word number follows each, over all texts.
+
+    An end stands around every text. A task counts its pairs in parts and deals each
+    part out by the pairs' hashes; a bucket's parts are then added up. So pairs are
+    moved as arrays, and no more than about a million are brought together.
+    """
     known, size = texts.sparkSession.sparkContext.broadcast(vocabulary), vocabulary.size
+    buckets = _buckets(tokens)
+
+    def part(held: list[np.ndarray]) -> pa.RecordBatch:
+        places, n = np.unique(np.concatenate(held), return_counts=True)
+        bucket = (mix(places.astype(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        return _dealt(bucket, [places // size, places % size, n], PAIR_PARTS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, length = [], 0
         for batch in batches:
-            for text in batch.column(0):
-                line = np.concatenate([[END], known.value.code(words_of(text.as_py() or "")), [END]])
+            for a, b in text_slices(batch.column(0)):
+                line = known.value.code(batch.column(0)[a:b]).line()
                 held.append(line[:-1] * size + line[1:])
                 length += len(line)
                 if length > PAIRS_AT_ONCE:
-                    yield _counted(held)
+                    yield part(held)
                     held, length = [], 0
         if held:
-            yield _counted(held)
-
-    partial = small_batches(texts).select("text").mapInArrow(count, "place long, n long")
-    pairs = partial.groupBy("place").agg(F.sum("n").alias("n"))
-    return pairs.select(F.expr(f"place div {size}").alias("left"), (F.col("place") % size).alias("right"), "n")
-
-
-def packed(df: DataFrame, lists: bool = False) -> DataFrame:
-    """The batches of ``df``, numbers or (word, near), as one row of four arrays of bytes each, which Spark hands on unread."""
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for a in range(0, len(whole), WORDS_AT_ONCE if lists else PAIRS_AT_ONCE):
-                batch = whole.slice(a, WORDS_AT_ONCE if lists else PAIRS_AT_ONCE)
-                columns = [*batch.columns]
-                if lists:
-                    columns = [batch.column(0), batch.column(1).value_lengths(), *batch.column(1).flatten().flatten()]
-                made = [pa.array([_narrow(c.to_numpy())], pa.binary()) for c in columns]
-                yield pa.RecordBatch.from_arrays(made, ["a", "b", "c", "d"][: len(made)])
+            yield part(held)
 
-    return df.mapInArrow(pack, "a binary, b binary, c binary" + (", d binary" if lists else ""))
+    def add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        places, n = _summed(_column(table, "a") * size + _column(table, "b"), _column(table, "c"))
+        cuts = range(0, len(places), PAIRS_AT_ONCE)
+        chunks = [(places[i : i + PAIRS_AT_ONCE], n[i : i + PAIRS_AT_ONCE]) for i in cuts]
+        rows = [[len(p), _narrow(p // size), _narrow(p % size), _narrow(m)] for p, m in chunks]
+        return pa.Table.from_batches([_packed_rows(PACKED_PAIRS, rows)])
 
-
-def _narrow(numbers: np.ndarray) -> bytes:
-    """The numbers' bytes in the least of 1, 2, 4 or 8 that hold them all, with that size first."""
-    kind = np.dtype(np.min_scalar_type(int(numbers.max(initial=0))))
-    return bytes([kind.itemsize]) + numbers.astype(kind).tobytes()
-
-
-def _wide(column: pa.Array, row: int) -> np.ndarray:
-    data = column[row].as_py()
-    return np.frombuffer(data, f"u{data[0]}", offset=1).astype(np.int64)
+    partial = small_batches(texts).select("text").mapInArrow(count, PAIR_PARTS)
+    return partial.groupBy("bucket").applyInArrow(add, PACKED_PAIRS)
 
 
-def _counted(places: list[np.ndarray]) -> pa.RecordBatch:
-    places, n = np.unique(np.concatenate(places), return_counts=True)
-    return pa.RecordBatch.from_arrays([pa.array(places), pa.array(n.astype(np.int64))], ["place", "n"])
+def _summed(places: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct places in order, and the sum of ``n`` of each."""
+    if not len(places):
+        return places, n
+    order = np.argsort(places)
+    places, n = places[order], n[order]
+    begins = np.flatnonzero(np.concatenate([[True], places[1:] != places[:-1]]))
+    return places[begins], np.add.reduceat(n, begins)
 
 
 def _grouped_bigrams(pairs: DataFrame, group: np.ndarray, groups: int) -> np.ndarray:
-    """The packed pairs' counts by the groups of their words; the driver receives at most groups x groups numbers."""
+    """The pairs' counts by the groups of their words; the driver receives at most groups x groups numbers."""
     known = pairs.sparkSession.sparkContext.broadcast(group)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(groups * groups, np.int64)
         for batch in batches:
-            for row in range(len(batch)):
-                left, right, n = (_wide(c, row) for c in batch.columns)
-                np.add.at(seen, known.value[left].astype(np.int64) * groups + known.value[right], n)
+            left, right, n = (_column(batch, name) for name in "abc")
+            seen += np.bincount(known.value[left].astype(np.int64) * groups + known.value[right], n, len(seen)).astype(np.int64)
         places = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(seen[places])], ["place", "n"])
 
-    rows = pairs.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    parts = pairs.select("a", "b", "c").mapInArrow(count, "place long, n long")
+    rows = parts.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(groups * groups)
     out[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
     return out.reshape(groups, groups)
@@ -305,10 +365,39 @@ def move_gains(right: np.ndarray, left: np.ndarray, own: np.ndarray, current: np
 
 
 def word_contexts(pairs: DataFrame) -> DataFrame:
-    """(word, near): each clustered word's neighbours as an array of (other, n), 2 x number for those after it and 1 more for those before."""
-    after = pairs.where(F.col("left") >= FIRST).select(F.col("left").alias("word"), (F.col("right") * 2).alias("other"), "n")
-    before = pairs.where(F.col("right") >= FIRST).select(F.col("right").alias("word"), (F.col("left") * 2 + 1).alias("other"), "n")
-    return after.unionByName(before).groupBy("word").agg(F.collect_list(F.struct("other", "n")).alias("near"))
+    """Each clustered word's neighbours, in packed rows of words, numbers of neighbours, neighbours and counts.
+
+    A neighbour is 2 x number if it follows the word and 1 more if it precedes it.
+    The pairs are dealt out by word as arrays, as they are in ``count_pairs``.
+    """
+    found = pairs.agg(F.sum("m")).first()[0] or 0
+    buckets = _buckets(2 * found)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(len(batch)):
+                left, right, n = (_column(batch.slice(at, 1), name) for name in "abc")
+                after, before = left >= FIRST, right >= FIRST
+                word = np.concatenate([left[after], right[before]])
+                other = np.concatenate([2 * right[after], 2 * left[before] + 1])
+                if len(word):
+                    yield _dealt(word % buckets, [word, other, np.concatenate([n[after], n[before]])], PAIR_PARTS)
+
+    def gather(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        word, other, n = (_column(table, name) for name in "abc")
+        order = np.argsort((word << 32) + other)
+        word, other, n = word[order], other[order], n[order]
+        words, begins = np.unique(word, return_index=True)
+        sizes = np.diff(np.concatenate([begins, [len(word)]]))
+        part = np.arange(len(words)) // WORDS_AT_ONCE + begins // PAIRS_AT_ONCE
+        rows = []
+        for chosen in np.split(np.arange(len(words)), np.flatnonzero(np.diff(part)) + 1):
+            i, j = begins[chosen[0]], begins[chosen[-1]] + sizes[chosen[-1]]
+            rows.append([_narrow(words[chosen]), _narrow(sizes[chosen]), _narrow(other[i:j]), _narrow(n[i:j])])
+        return pa.Table.from_batches([_packed_rows(PACKED_CONTEXTS, rows)])
+
+    dealt = pairs.select("a", "b", "c").mapInArrow(deal, PAIR_PARTS)
+    return dealt.groupBy("bucket").applyInArrow(gather, PACKED_CONTEXTS)
 
 
 def _best_moves(contexts: DataFrame, classes: np.ndarray, table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -320,7 +409,7 @@ def _best_moves(contexts: DataFrame, classes: np.ndarray, table: np.ndarray) ->
         classes, table = known.value
         for batch in batches:
             for at in range(len(batch)):
-                word, sizes, other, n = (_wide(c, at) for c in batch.columns)
+                word, sizes, other, n = (_wide(c[at].as_py()) for c in batch.columns)
                 m = len(word)
                 row = np.repeat(np.arange(m), sizes)
                 after, other = other % 2 == 0, other // 2
@@ -392,58 +481,69 @@ def train(texts: DataFrame, counts: DataFrame, classes: int = CLASSES) -> ClassM
 
     All words that occur 5 times or more are clustered; the rarer ones stand in one of
     128 shape groups. The pairs and the words' neighbours are tables; the driver and
-    each task hold the class of every clustered word, and an 8-byte hash of those
-    beyond the 200,000 most frequent.
+    each task hold the hash, the class and the count of every clustered word. Words
+    of one 64-bit hash would be taken for one word.
     """
     documents = texts.count()
-    floor = frequent_floor(counts, MOST_FREQUENT)
-    held = frequent_terms(counts, floor, "n")
-    names = sorted(held)
-    own = [w for w in names if held[w] >= LEAST_COUNT]
-    beyond = (F.col("n") < floor) | (F.octet_length("term") > LONGEST)
-    keys, key_shape, key_count = _word_keys(counts.where(beyond & (F.col("n") >= LEAST_COUNT)))
-    numbers = {w: FIRST + i for i, w in enumerate(own)}
+    keys, key_shape, key_count = _word_keys(counts.where(F.col("n") >= LEAST_COUNT))
     distinct, key_at = np.unique(keys, return_inverse=True)
-    size = FIRST + len(own) + len(distinct)
-    vocabulary = Vocabulary({w: numbers.get(w, shape_of(w)) for w in names}, distinct, size)
-    counted = stored(count_pairs(texts, vocabulary), "word-pairs")
-    pairs = stored(packed(counted), "packed-pairs")
+    vocabulary = Vocabulary(distinct)
+    tokens = (counts.agg(F.sum("n")).first()[0] or 0) + documents
+    pairs = stored(count_pairs(texts, vocabulary, tokens), "word-pairs")
 
     # the first classes: of the most frequent words, the shape groups and the end
-    ranked = sorted(own, key=lambda w: (-held[w], w))[:SEEDS]
-    shapes = np.concatenate([np.arange(SHAPES + 1), np.array([shape_of(w) for w in own], np.int64), np.zeros(len(distinct), np.int64)])
-    shapes[size - len(distinct) + key_at] = key_shape
+    weight = np.bincount(key_at, key_count, len(distinct))
+    ranked = FIRST + np.argsort(-weight, kind="stable")[:SEEDS]
+    shapes = np.concatenate([np.arange(FIRST), np.zeros(len(distinct), np.int64)])
+    shapes[FIRST + key_at] = key_shape
     seeds = shapes.astype(np.int16)
-    seeds[[numbers[w] for w in ranked]] = FIRST + np.arange(len(ranked))
+    seeds[ranked] = FIRST + np.arange(len(ranked))
     seed_class = brown_classes(_grouped_bigrams(pairs, seeds, FIRST + len(ranked)), classes)
     groups = int(seed_class.max(initial=0)) + 1
     first_classes = seed_class[seeds].astype(np.min_scalar_type(groups))
-    contexts = stored(packed(word_contexts(counted), lists=True), "word-contexts")
+    contexts = stored(word_contexts(pairs), "word-contexts")
     word_class, table = exchange(pairs, contexts, first_classes, groups)
     word_class = word_class.astype(np.int64)
 
     shape_words, shape_tokens = _shape_sizes(counts.where(F.col("n") < LEAST_COUNT))
-    key_class = word_class[size - len(distinct) + key_at]
-    item_class = np.concatenate([word_class[: FIRST + len(own)], key_class])
-    words = np.concatenate([shape_words, [float(documents > 0)], np.ones(len(own) + len(keys))])
-    tokens = np.concatenate([shape_tokens, [documents], [held[w] for w in own], key_count])
-    class_words, class_tokens = np.bincount(item_class, words, groups), np.bincount(item_class, tokens, groups)
-    number = np.array([vocabulary.numbers[w] for w in names], np.int64)
+    item_class = np.concatenate([word_class[:FIRST], word_class[FIRST + key_at]])
+    words = np.concatenate([shape_words, [float(documents > 0)], np.ones(len(keys))])
+    sums = np.concatenate([shape_tokens, [documents], key_count])
+    class_words, class_tokens = np.bincount(item_class, words, groups), np.bincount(item_class, sums, groups)
     return ClassModel(
-        words={w: i for i, w in enumerate(names)},
-        logs=np.log10(np.array([held[w] for w in names], float) + 1),
-        word_class=word_class[number],
-        rare=Vocabulary({}, distinct, size),
-        rare_class=word_class,
+        vocabulary=vocabulary,
+        logs=np.concatenate([np.zeros(FIRST), np.log10(weight + 1)]),
+        word_class=word_class,
         end_class=int(word_class[END]),
         end_log=log10(documents + 1),
         transitions=np.log10((table + 1) / (table.sum(axis=1, keepdims=True) + groups)),
         shares=np.log10(class_tokens + class_words + 1),
-        base_divisor=log10(tokens.sum() + words.sum() + 1),
-        train_tokens=int(tokens.sum()),
+        base_divisor=log10(sums.sum() + words.sum() + 1),
+        train_tokens=int(sums.sum()),
     )
 
 
+def _text_scores(model: ClassModel, column: pa.Array) -> list[pa.Array]:
+    """Per text: its tokens, the clustered ones and the end, their logs, the rest of the class model's logs, and its other words."""
+    texts = model.vocabulary.code(column)
+    n, number, owner = texts.texts, texts.number, texts.owner
+    clustered = number >= FIRST
+    sizes = np.bincount(owner, minlength=n) + 1
+    known = np.bincount(owner[clustered], minlength=n) + (model.end_log > 0)
+    logs = np.bincount(owner, model.logs[number], n) + model.end_log
+    line = model.word_class[texts.line()]
+    steps = model.transitions[line[:-1], line[1:]] - model.shares[line[1:]]
+    rest = np.bincount(np.repeat(np.arange(n), sizes), steps, n)
+    others = np.flatnonzero(~clustered)
+    # by text, as the words are
+    counted = Counter(zip(owner[others].tolist(), texts.words(others)))
+    owners = np.array([o for o, _ in counted], np.int64)
+    offsets = np.concatenate([[0], np.cumsum(np.bincount(owners, minlength=n))])
+    pairs = pa.StructArray.from_arrays([pa.array([w for _, w in counted], pa.binary()), pa.array(counted.values(), pa.int32())], ["term", "n"])
+    rare = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pairs)
+    return [pa.array(sizes, pa.int64()), pa.array(known, pa.int64()), pa.array(logs), pa.array(rest), rare]
+
+
 def score_documents(documents: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row.
 
@@ -453,7 +553,8 @@ def score_documents(documents: DataFrame) -> DataFrame:
     the first), times (count + 1) / (class tokens + class words + 1). A word that
     was never seen has the count 0 in the class of its shape. Without a training
     row all counts are 0. Repeated rows and null ids keep their rows; an empty
-    table gives none. Five tables are written to the shared folder.
+    table gives none. Whole texts are read, however long; columns other than doc_id
+    and text are ignored. Four tables are written to the shared folder.
     """
     training = documents.where(~held_out()).select("text")
     counts = stored(count_terms(training, lambda: words_of), "word-counts")
@@ -461,35 +562,18 @@ def score_documents(documents: DataFrame) -> DataFrame:
     known = documents.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = known.value
-        get = m.words.get
         for batch in batches:
-            sizes, found, logs, rest, rare = [], [], [], [], []
-            for text in batch.column(3):
-                words = words_of(text.as_py() or "")
-                code = np.array([get(w, -1) for w in words], np.int64)
-                new = np.flatnonzero(code < 0)
-                line = np.empty(len(words) + 2, np.int64)
-                line[0] = line[-1] = m.end_class
-                line[1:-1] = m.word_class[code] if len(m.word_class) else 0
-                unknown = [words[i] for i in new.tolist()]
-                line[1 + new] = m.rare_class[m.rare.other(unknown)]
-                sizes.append(len(words) + 1)
-                found.append(len(words) - len(new) + (m.end_log > 0))
-                logs.append(float(m.logs[code[code >= 0]].sum()) + m.end_log)
-                rest.append(float(m.transitions[line[:-1], line[1:]].sum() - m.shares[line[1:]].sum()))
-                rare.append([{"term": w, "n": n} for w, n in Counter(unknown).items()])
-            made = [pa.array(sizes, pa.int64()), pa.array(found, pa.int64()), pa.array(logs, pa.float64()), pa.array(rest, pa.float64())]
-            columns = [*batch.columns[:3], *made, pa.array(rare, RARE_TYPE)]
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "known", "logs", "rest", "rare"])
+            for a, b in text_slices(batch.column(3)):
+                part = batch.slice(a, b - a)
+                columns = [*part.columns[:3], *_text_scores(known.value, part.column(3))]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "known", "logs", "rest", "rare"])
 
     numbered = documents.select(
         F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), held_out().alias("held_out"), "text"
     )
     rows = stored(numbered.mapInArrow(score, SCORED), "word-scores")
-    floor = frequent_floor(counts, MOST_FREQUENT)
-    cold = counts.where((F.col("n") < floor) | (F.octet_length("term") > LONGEST))
-    sums = sum_rare(rows, cold.withColumn("log", F.log10(F.col("n") + 1)), "log")
+    rarer = counts.where(F.col("n") < LEAST_COUNT)
+    sums = sum_rare(rows, rarer.withColumn("log", F.log10(F.col("n") + 1)), "log")
     logs = F.col("logs") + F.coalesce("total", F.lit(0.0))
     return (
         rows.drop("rare")

@@ -46,8 +46,14 @@ def hash_words(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.nda
 
     ``data`` holds the texts one after the other and ``places`` their beginnings and the end.
     """
+    return hash_spans(data, places)[:2]
+
+
+def hash_spans(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same, and where each word begins and ends in ``data``."""
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
+        return np.zeros(0, np.uint64), none, none, none
     inside = ~SPACE[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -61,4 +67,4 @@ def hash_words(data: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.nda
     np.cumsum(BYTE_VALUES[data] * _grown(0, POWER, len(data)), out=sums[1:])
     value = (sums[end] - sums[start]) * _grown(1, INVERSE, len(data))[start]
     owner = np.searchsorted(places, start, "right") - 1
-    return mix(value + (end - start).astype(np.uint64) * SALT), owner
+    return mix(value + (end - start).astype(np.uint64) * SALT), owner, start, end
