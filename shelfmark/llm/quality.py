@@ -80,6 +80,8 @@ def statistics(texts: pa.Array) -> np.ndarray:
     inner = np.zeros(len(data), bool)
     if len(data) > 2:
         inner[1:-1] = ((kind[1:-1] == 9) | (kind[1:-1] == 7)) & (kind[:-2] <= 3) & ~gap[2:]
+        # what stands before a text's first character or after its last one is another text's
+        inner[starts] = inner[places[1:][full] - 1] = False
     mixed = per_text(inner)
     word, owner = hash_words(data, places)
     same = np.bincount(owner[1:][(word[1:] == word[:-1]) & (owner[1:] == owner[:-1])], minlength=n).astype(float)
@@ -256,8 +258,10 @@ def score_column(documents: DataFrame, model: Discriminant, column: str) -> Data
 def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) for every row of ``documents``.
 
-    The texts are read once; their statistics are written to the shared folder.
-    Repeated rows and null ids keep their rows; an empty table gives none.
+    The texts are read once and whole, however long; their statistics are written to
+    the shared folder. A null text is as an empty one, and a score of one half or more,
+    a tie included, predicts 1. Repeated rows and null ids keep their rows; an empty
+    table gives none; columns other than doc_id and text are ignored.
     """
     known = stored(with_statistics(documents), "quality-statistics")
     scored = score_column(known, train_on_labels(known, labels), "x")
@@ -270,6 +274,10 @@ def quality_scores(documents: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(documents: DataFrame, labels: DataFrame) -> DataFrame:
-    """``documents`` without those that the classifier rejects."""
+    """``documents`` without those that the classifier rejects, as ``quality_scores`` predicts.
+
+    All columns and repeated rows stay. A null or empty text is judged as
+    ``quality_scores`` does, an empty table gives an empty one.
+    """
     model = train_on_labels(with_statistics(documents), labels)
     return score_column(documents, model, "text").where("_score >= 0.5").select(*documents.columns)
