@@ -57,13 +57,17 @@ from joined
 
 OP9 = r"""
 with parts as (
-  select page_id, url, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
+  select page_id, html, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages
 ),
 split as (
-  select page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+  select page_id, html, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
     regexp_extract(coalesce(rest, ''), '^[^/?#]*([^?#]*)', 1) as path
   from parts
 ),
+thin as (
+  select distinct host || path as address from split
+  where host <> '' and length(regexp_replace(coalesce(html, ''), '<[^>]*>', '', 'g')) < 1000
+),
 rules(rule_host, rule_path, rule_verdict) as (
   values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
 ),
@@ -75,7 +79,7 @@ ruled as (
   from split
 )
 select page_id, host, path, best.rule as rule,
-  coalesce(best.verdict, case when starts_with(host, 'spam') or contains(host, '.spam') then 'block' else 'allow' end) as verdict
+  coalesce(best.verdict, case when host <> '' and host || path in (select address from thin) then 'block' else 'allow' end) as verdict
 from ruled
 """
 

@@ -54,7 +54,7 @@ def op8_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
 
 def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     pages = _table(spark, folder, "pages")
-    return url_filters.judge_urls(pages, url_filters.spam_hosts(pages))
+    return url_filters.judge_urls(pages, url_filters.thin_addresses(pages))
 
 
 def op10_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:

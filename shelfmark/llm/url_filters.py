@@ -1,4 +1,4 @@
-"""URL filters: host and path rules, and a cascade of Bloom filters over the hosts.
+"""URL filters: host and path rules, and a cascade of Bloom filters over the pages' addresses.
 
 The cascade answers membership of a list exactly for every key of a known
 universe. Level 1 holds the listed keys; each later level holds the keys of the
@@ -10,17 +10,23 @@ row is ever joined with the list. DataFrame functions only.
 from __future__ import annotations
 
 from functools import reduce
+from math import ceil, exp
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmark.llm.common import stored
+from shelfmark.operators.joins import sliced_join
+from shelfmark.operators.sizing import fits_broadcast
 
-BITS_PER_KEY = 12
-HASHES = 6
+BITS_PER_KEY = 8
+HASHES = 5
+# the share of other keys that a filter of so many bits and hashes lets through
+PASSED = (1 - exp(-HASHES / BITS_PER_KEY)) ** HASHES
 KEYS_PER_SHARD = 50_000
 WORD = 64
-BROADCAST_SHARDS = 64
+# a page with fewer characters outside its tags is thin
+THIN = 1_000
 
 # The rules (host, path, verdict).
 RULES = (
@@ -112,14 +118,15 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> DataFrame:
         .agg(F.max("side").alias("side"))
     )
     keys = stored(marked, "url-keys")
-    size = keys.where("side = 1").count()
-    shards = max(1, -(-size // KEYS_PER_SHARD))
+    sides = {r.side: r.n for r in keys.groupBy("side").agg(F.count(F.lit(1)).alias("n")).collect()}
+    size = sides.get(1, 0)
+    shards = max(1, ceil(max(size, PASSED * sides.get(0, 0)) / KEYS_PER_SHARD))
     keys = keys.withColumn("shard", F.pmod(F.xxhash64("key", F.lit("shard")), F.lit(shards)).cast("int"))
     inside, outside, levels, level = keys.where("side = 1"), keys.where("side = 0"), [], 1
     while size:
         bloom = stored(_filter_of(inside, level), "url-filter")
         levels.append(bloom.select("shard", F.lit(level).alias("level"), "bits", "words"))
-        kept = outside.join(shared(bloom, shards), "shard").where(
+        kept = outside.join(shared(bloom), "shard").where(
             _passes(F.col("key"), F.lit(level), F.col("bits"), F.col("words"))
         )
         inside, outside = stored(kept.select("key", "side", "shard"), "url-passed"), inside
@@ -133,22 +140,28 @@ def build_cascade(listed: DataFrame, universe: DataFrame) -> DataFrame:
     return stored(rows.select("shard", levels.alias("levels"), F.lit(shards).alias("shards")), "url-cascade")
 
 
-def shared(filters: DataFrame, shards: int) -> DataFrame:
-    """Broadcast while the filters of all shards stay within some 5 MB."""
-    return F.broadcast(filters) if shards <= BROADCAST_SHARDS else filters
+def shared(filters: DataFrame) -> DataFrame:
+    """Broadcast if measured small enough."""
+    return F.broadcast(filters) if fits_broadcast(filters) else filters
 
 
 def is_listed(df: DataFrame, key: str, cascade: DataFrame, name: str) -> DataFrame:
     """Adds the boolean ``name``: whether the cascade lists the key; false for a null.
 
-    Exact for the keys of the cascade's universe. Each row only meets the filters of its shard.
+    Exact for the keys of the cascade's universe. Each row only meets the filters of
+    its shard. Where the filters of all shards are too large for a broadcast, the
+    rows are dealt out by shard, those of a hot one to several tasks.
     """
     found = cascade.select("shards").first()
     if found is None:
         return df.withColumn(name, F.lit(False))
     shard = F.pmod(F.xxhash64(key, F.lit("shard")), F.lit(found.shards)).cast("int")
-    filters = shared(cascade.select(F.col("shard").alias("_shard"), F.col("levels").alias("_levels")), found.shards)
-    joined = df.withColumn("_key_shard", shard).join(filters, F.col("_key_shard") == F.col("_shard"), "left")
+    filters = cascade.select(F.col("shard").alias("_shard"), F.col("levels").alias("_levels"))
+    rows = df.withColumn("_shard", shard)
+    if fits_broadcast(filters):
+        joined = rows.join(F.broadcast(filters), "_shard", "left")
+    else:
+        joined = sliced_join(rows, filters, ["_shard"], "left")
     numbered = F.transform("_levels", lambda x, i: F.struct(x.bits.alias("bits"), x.words.alias("words"), (i + 1).alias("level")))
     let_through = F.aggregate(
         numbered,
@@ -158,21 +171,28 @@ def is_listed(df: DataFrame, key: str, cascade: DataFrame, name: str) -> DataFra
         ).otherwise(depth),
     )
     answer = F.coalesce(let_through % 2 == 1, F.lit(False)) & F.col(key).isNotNull()
-    return joined.withColumn(name, answer).drop("_key_shard", "_shard", "_levels")
+    return joined.withColumn(name, answer).select(*df.columns, name)
+
+
+def address_of(url: Column) -> Column:
+    """Host and path; null without a host."""
+    host = host_of(url)
+    return F.when(host != "", F.concat(host, path_of(url)))
 
 
 def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     """(page_id, host, path, rule, verdict) for every row of ``pages``.
 
-    The longest fitting rule decides. Without one, a host of ``listed`` (column
-    key) is blocked, by the cascade over all hosts of the pages, and any other
-    allowed. A null url, or one without ``://``, has an empty host and path, and
-    is allowed unless the empty host is listed. Repeated rows and null ids are
-    judged row by row; other columns are ignored.
+    The longest fitting rule decides. Without one, an address of ``listed`` (column
+    key: host and path) is blocked, by the cascade over all addresses of the pages,
+    and any other allowed. A null url, or one without ``://``, has an empty host and
+    path, and is allowed. Repeated rows and null ids are judged row by row; urls may
+    be of any length; an empty table gives no rows; other columns are ignored.
     """
-    parts = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
-    cascade = build_cascade(listed, parts.select(F.col("host").alias("key")).distinct())
-    judged = is_listed(parts, "host", cascade, "_blocked").withColumn(
+    url = F.col("url")
+    parts = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), address_of(url).alias("_address"))
+    cascade = build_cascade(listed, parts.select(F.col("_address").alias("key")).distinct())
+    judged = is_listed(parts, "_address", cascade, "_blocked").withColumn(
         "_rule", matching_rule(F.col("host"), F.col("path"), rules)
     )
     method = F.when(F.col("_blocked"), "block").otherwise("allow")
@@ -181,7 +201,12 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules=RULES) -> DataFrame:
     )
 
 
-def spam_hosts(pages: DataFrame) -> DataFrame:
-    """The list that the query uses: hosts of the pages with a label that starts with ``spam``."""
-    hosts = pages.select(host_of(F.col("url")).alias("key")).distinct()
-    return hosts.where(F.col("key").rlike(r"(^|\.)spam"))
+def thin_addresses(pages: DataFrame, thin: int = THIN) -> DataFrame:
+    """The list that the query uses: (key), the addresses under which a page has little text.
+
+    A page is thin if fewer than ``thin`` characters of its html stand outside
+    tags; a null html has none. The list grows with the pages, and an address does
+    not tell whether it is in it.
+    """
+    text = F.regexp_replace(F.coalesce(F.col("html"), F.lit("")), "<[^>]*>", "")
+    return pages.where(F.length(text) < thin).select(address_of(F.col("url")).alias("key")).distinct()

@@ -135,7 +135,8 @@ def test_parts_never_join_to_a_control_string(spark):
         assert at is None or r.attachments[0]["at"] == at
 
 
-def test_cascade_is_exact_for_every_key(spark, monkeypatch):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_cascade_is_exact_for_every_key(spark, monkeypatch, broadcast):
     monkeypatch.setattr(url_filters, "BITS_PER_KEY", 3)  # many false positives, so many levels
     monkeypatch.setattr(url_filters, "KEYS_PER_SHARD", 40)
     keys = [f"host{i}.example" for i in range(600)]
@@ -145,6 +146,7 @@ def test_cascade_is_exact_for_every_key(spark, monkeypatch):
     rows = cascade.collect()
     assert len(rows) == 4 and max(len(r.levels) for r in rows) > 2
     asked = universe.withColumn("bits", F.lit(1)).withColumn("levels", F.lit(2)).withColumn("shard", F.lit(3))
+    monkeypatch.setattr(url_filters, "fits_broadcast", lambda filters: broadcast)
     got = url_filters.is_listed(asked, "key", cascade, "listed")
     assert got.columns == [*asked.columns, "listed"]
     assert all(r.listed == (r.key in keys[::4]) for r in got.collect())
@@ -152,13 +154,35 @@ def test_cascade_is_exact_for_every_key(spark, monkeypatch):
     assert not any(r.listed for r in url_filters.is_listed(asked, "key", nothing, "listed").collect())
 
 
+def test_shards_are_sized_by_what_the_first_level_lets_through(spark, monkeypatch):
+    """One listed key in a large universe: the false positives of level 1 are dealt to several shards too."""
+    monkeypatch.setattr(url_filters, "KEYS_PER_SHARD", 4)
+    universe = spark.range(4_000).select(F.concat(F.lit("k"), F.col("id")).alias("key"))
+    cascade = url_filters.build_cascade(universe.where("key = 'k7'"), universe)
+    assert cascade.first().shards == -(-int(url_filters.PASSED * 3_999) // 4) and 0.02 < url_filters.PASSED < 0.025
+    got = url_filters.is_listed(universe, "key", cascade, "listed").where("listed").collect()
+    assert [r.key for r in got] == ["k7"]
+
+
+def test_the_query_s_list_needs_several_levels(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    listed = url_filters.thin_addresses(pages)
+    universe = pages.select(url_filters.address_of(F.col("url")).alias("key")).distinct()
+    cascade = url_filters.build_cascade(listed, universe)
+    assert listed.count() > 100 and max(len(r.levels) for r in cascade.collect()) >= 3
+
+
 def test_urls_are_judged_by_rule_and_then_by_list(spark):
     urls = [
         "http://Example.NET/en/x?q#f", "https://a.b.net", "http://net/", "http://x.net/a", "http://x.org/fr/1", "http://org.fr/fr/", "no scheme", None, "",
         "http://SPAM.org/x", "http://a.spam-b.com", "http://a.notspam.com/", "http://example.com/de", "http://m.example.com/de/\n2", "http://h?x/fr/", "x://y://z/en/", "http://#/a", "http://h/a#b?c",
     ]
-    pages = spark.createDataFrame([(i, u, None, "k", 1) for i, u in enumerate(urls)] * 2, "page_id long, url string, html string, key string, shard int")
-    rows = sorted(tuple(r) for r in url_filters.judge_urls(pages, url_filters.spam_hosts(pages)).select("page_id", "host", "path", F.coalesce("rule", F.lit("-")), "verdict").collect())
+    urls += [f"http://long/{'p' * 50_000}"]
+    thin = lambda i: i % 3 == 0
+    html = {True: [None, "", "<p>" + "x" * 999 + "<a href='" + "y" * 2_000 + "'>"], False: ["x" * 1000, "<b>" + "é" * 600 + "</b\n>" + "z" * 400]}
+    rows = [(i, u, html[thin(i)][i % len(html[thin(i)])], "k", 1) for i, u in enumerate(urls)]
+    pages = spark.createDataFrame(rows * 2, "page_id long, url string, html string, key string, shard int")
+    rows = sorted(tuple(r) for r in url_filters.judge_urls(pages, url_filters.thin_addresses(pages)).select("page_id", "host", "path", F.coalesce("rule", F.lit("-")), "verdict").collect())
     expected = []
     for i, u in enumerate(urls):
         rest = u.split("://", 1)[1] if u and "://" in u else ""
@@ -166,7 +190,7 @@ def test_urls_are_judged_by_rule_and_then_by_list(spark):
         path = re.match(r"[^?#]*", rest[len(host) :])[0]
         host = host.lower()
         fits = [(len(h + p), h + p, v) for h, p, v in url_filters.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
-        verdict = max(fits)[2] if fits else "block" if re.search(r"(^|\.)spam", host) else "allow"
+        verdict = max(fits)[2] if fits else "block" if host and thin(i) else "allow"
         expected += [(i, host, path, max(fits)[1] if fits else "-", verdict)] * 2
     assert rows == sorted(expected)
-    assert url_filters.judge_urls(pages.limit(0), url_filters.spam_hosts(pages.limit(0))).collect() == []
+    assert url_filters.judge_urls(pages.limit(0), url_filters.thin_addresses(pages.limit(0))).collect() == []
