@@ -634,8 +634,7 @@ def t5_topic_terms(t: Tables) -> DataFrame:
 
 def _words_in_vocabulary(t: Tables, terms: int) -> DataFrame:
     """Per topic its words, and how many of them are in the vocabulary that T3 counts."""
-    kept = text.without_stop_words(F.col("words"), text.english_stop_words())
-    known = words.vocabulary(words.bag_of_words(_words(t), kept)).select("word")
+    known = topics.topic_vocabulary(t.review_batch(), "review_text").select("word")
     listed = topics.topic_words(_topic_model(t), terms).select("topic", F.explode("words").alias("word"))
     found = listed.groupBy("topic").agg(F.count_distinct("word").alias("different_words"))
     inside = listed.join(known, "word", "left_semi").groupBy("topic").agg(F.count(F.lit(1)).alias("in_vocabulary"))

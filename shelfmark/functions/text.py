@@ -15,6 +15,16 @@ from pyspark.sql import functions as F
 # Fixed value: every character counted as white space between words.
 WHITE_SPACE = r"[\s\x0b\x1c-\x1f\x85\p{Z}]+"
 PUNCTUATION = string.punctuation
+# Spark's own bound on what Python is handed at a time, and the one set in its place.
+BATCH_SETTING, SPARK_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8m"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """Lets Spark hand at most 8 MB of texts to Python at a time, where the session has not chosen a size itself."""
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_SETTING, SPARK_BATCH) == SPARK_BATCH:
+        conf.set(BATCH_SETTING, BATCH_BYTES)
+    return df
 
 
 def lower_words(text: Column) -> Column:
@@ -28,6 +38,15 @@ def lower_words(text: Column) -> Column:
     return F.when(only_blanks, F.array().cast("array<string>")).otherwise(F.split(trimmed, r"\s"))
 
 
+ONE_BLANK = bytes.maketrans(b"\t\n\x0b\f\r", b"     ")
+
+
+def split_lower(lower: bytes) -> list[bytes]:
+    """The ``lower_words`` of a text that is in lower case already, as UTF-8."""
+    trimmed = lower.translate(ONE_BLANK).rstrip(b" ")
+    return trimmed.split(b" ") if trimmed or not lower else []
+
+
 def without_stop_words(words: Column, stop_words: list[str]) -> Column:
     """Drops stop words, ignoring case (a hash-set test per word)."""
     stops = [w.lower() for w in stop_words]

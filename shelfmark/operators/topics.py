@@ -2,24 +2,29 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import repeat
 from operator import add
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.clustering import LDA, LDAModel, LocalLDAModel
 from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import DenseMatrix
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.ml.linalg import DenseMatrix, VectorUDT
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import WordTable, english_stop_words, lower_words, without_stop_words
+from shelfmark.functions.text import WordTable, english_stop_words, small_batches, split_lower
 from shelfmark.operators.joins import lookup_join
-from shelfmark.operators.words import bag_of_words, vocabulary
+from shelfmark.operators.words import bag_of_lower_words, vocabulary
 from shelfmark.sources.storage import fresh_path
 
+TEXTS_AT_ONCE = 100
+
 
 @dataclass(frozen=True)
 class TopicModel:
@@ -39,18 +44,44 @@ def count_vectors(
     the same texts always give the same vectors. Its at most ``size`` words are
     collected.
     """
-    ranked = vocabulary(bag_of_words(df, _topic_words_of(text)), size, min_documents)
-    known = [row.word for row in ranked.collect()]
+    known = [row.word for row in topic_vocabulary(df, text, size, min_documents).collect()]
     counter = CountVectorizerModel.from_vocabulary(known, inputCol="_words", outputCol="features")
     return counter, _counted(counter, df, text)
 
 
-def _topic_words_of(text: str) -> Column:
-    return without_stop_words(lower_words(F.col(text)), english_stop_words())
+def topic_vocabulary(df: DataFrame, text: str, size: int = 10_000, min_documents: int = 5) -> DataFrame:
+    """The most frequent words of the texts but for stop words, which go once they are counted."""
+    return vocabulary(bag_of_lower_words(df, text).where(~F.col("word").isin(english_stop_words())), size, min_documents)
 
 
 def _counted(counter: CountVectorizerModel, df: DataFrame, text: str) -> DataFrame:
-    return counter.transform(df.withColumn("_words", _topic_words_of(text))).drop("_words")
+    """What ``counter`` makes of the words, its vocabulary looked up for a batch of texts at once."""
+    vocabulary, size = counter.vocabulary, len(counter.vocabulary)
+
+    @F.arrow_udf(VectorUDT())
+    def counts(lower: pa.Array) -> pa.Array:
+        text, term, n = _count_known(lower, _numbered(vocabulary))
+        begins = pa.array(np.searchsorted(text, np.arange(len(lower) + 1)), pa.int32())
+        lists = (pa.ListArray.from_arrays(begins, v) for v in (pa.array(term, pa.int32()), pa.array(n, pa.float64())))
+        whole = (pa.array(np.full(len(lower), v), kind) for v, kind in ((0, pa.int8()), (size, pa.int32())))
+        return pa.StructArray.from_arrays([*whole, *lists], ["type", "size", "indices", "values"])
+
+    return small_batches(df).withColumn("features", counts(F.lower(text).cast("binary")))
+
+
+def _numbered(vocabulary: list[str]) -> dict[bytes, int]:
+    return {word.encode(): i for i, word in enumerate(vocabulary)}
+
+
+def _count_known(lower: pa.Array, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, term, count) of the known words in each of some texts in lower case, by text and then by term."""
+    terms = [np.zeros(0, np.int64)]
+    for i, text in enumerate(lower):
+        words = split_lower(text.as_py()) if text.is_valid else []
+        found = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
+        terms.append(found[found >= 0] + i * len(known))
+    place, n = np.unique(np.concatenate(terms), return_counts=True)
+    return place // max(len(known), 1), place % max(len(known), 1), n
 
 
 def fit_topics(
@@ -123,43 +154,54 @@ def load_topics(path: str) -> TopicModel:
     return TopicModel(CountVectorizerModel.load(f"{path}/vocabulary"), LocalLDAModel.load(f"{path}/topics"))
 
 
-def _digamma(x):
-    """The derivative of the logarithm of the gamma function, to about 1e-12, for positive numbers or a column of them."""
+def _digamma(x: np.ndarray) -> np.ndarray:
+    """The derivative of the logarithm of the gamma function, to about 1e-12, for positive numbers."""
     far = x + 10
     inverse = 1 / (far * far)
     # fixed values: the first terms of its asymptotic series
     series = inverse * (1 / 12 - inverse * (1 / 120 - inverse * (1 / 252 - inverse / 240)))
-    logarithm = F.ln(far) if isinstance(x, Column) else np.log(far)
-    return logarithm - 1 / (2 * far) - series - reduce(add, (1 / (x + i) for i in range(10)))
+    return np.log(far) - 1 / (2 * far) - series - reduce(add, (1 / (x + i) for i in range(10)))
 
 
 def word_statistics(model: TopicModel, df: DataFrame, text: str = "review_text") -> DataFrame:
     """(word, s0, s1, ...): how often each word of the vocabulary is expected under each topic in ``df``.
 
     This is what a step of online variational Bayes (Hoffman, Blei, Bach 2010) sums
-    over the texts. A text's words stay in its row until they are counted, and
-    the counts are summed before they are shuffled: a row per word is left. The
-    vocabulary, a constant in the plan, may have 50,000 words.
+    over the texts. The words of a batch of texts are counted as arrays, and a
+    task adds up one number per word and topic before the shuffle. The vocabulary
+    may have 50,000 words.
     """
-    if len(model.counter.vocabulary) > WordTable.MAX_WORDS:
+    known = model.counter.vocabulary
+    if len(known) > WordTable.MAX_WORDS:
         raise ValueError(f"a vocabulary of more than {WordTable.MAX_WORDS} words cannot be updated")
-    spark = df.sparkSession
     weights = model.lda.topicsMatrix().toArray()
     expected = np.exp(_digamma(weights) - _digamma(weights.sum(axis=0)))
-    table = WordTable.build(spark, {w: line.tolist() for w, line in zip(model.counter.vocabulary, expected)}, "array<double>")
     prior = float(model.lda.estimatedDocConcentration().toArray().sum())
-    mixed = topic_mix(model, df, text)
-    found = F.filter(
-        F.transform(_topic_words_of(text), lambda w: F.struct(w.alias("word"), table.get(w).alias("weights"))), lambda w: w.weights.isNotNull()
-    )
-    known = mixed.select(found.alias("words"), F.col("topic_distribution").alias("shares"))
-    size = F.size("words") + F.lit(prior)
-    own = F.transform("shares", lambda s: F.exp(_digamma(s * size) - _digamma(size)))
-    each = known.where(F.size("words") > 0).select(own.alias("own"), F.inline("words"))
-    both = each.select("word", F.zip_with("own", "weights", lambda x, y: x * y).alias("p"))
-    total = F.aggregate("p", F.lit(0.0), lambda acc, x: acc + x)
-    shared = both.select("word", F.transform("p", lambda x: x / total).alias("p"))
-    return shared.groupBy("word").agg(*(F.sum(F.col("p")[k]).alias(f"s{k}") for k in range(weights.shape[1])))
+    names = [f"s{k}" for k in range(weights.shape[1])]
+
+    def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, found, numbers = np.zeros_like(expected), np.zeros(len(expected), bool), _numbered(known)
+        for batch in batches:
+            for a in range(0, len(batch), TEXTS_AT_ONCE):
+                part = batch.slice(a, TEXTS_AT_ONCE)
+                at, term, n = _count_known(part.column(0), numbers)
+                if not len(at):
+                    continue
+                # a text without a known word has no shares, and is not looked at
+                shares = np.maximum(part.column(1).flatten().to_numpy().reshape(len(part), -1), np.finfo(float).tiny)
+                size = np.bincount(at, n, len(part))[:, None] + prior
+                own = np.exp(_digamma(shares * size) - _digamma(size))
+                p = own[at] * expected[term]
+                p *= (n / p.sum(axis=1))[:, None]
+                for k in range(len(names)):
+                    sums[:, k] += np.bincount(term, p[:, k], len(sums))
+                found[term] = True
+        words = pa.array(known, pa.string()).filter(pa.array(found))
+        yield pa.RecordBatch.from_arrays([words, *(pa.array(sums[found, k]) for k in range(len(names)))], ["word", *names])
+
+    mixed = topic_mix(model, df, text).select(F.lower(text).cast("binary").alias("lower"), "topic_distribution")
+    parts = mixed.mapInArrow(expect, ", ".join(["word string", *(f"{name} double" for name in names)]))
+    return parts.groupBy("word").agg(*(F.sum(name).alias(name) for name in names))
 
 
 def update_topics(

@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import Counter
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import WordTable, bare_words, collect_words
+from shelfmark.functions.text import WordTable, bare_words, collect_words, small_batches, split_lower
 from shelfmark.operators.joins import join_null_safe, sliced_join
 from shelfmark.operators.sizing import fits_broadcast
 from shelfmark.sources.storage import stored
 
 ADJECTIVE = "JJ"
 ROWS_PER_PART = 10_000
+FLUSH_AT = 200_000
 
 Tagger = Callable[[DataFrame], DataFrame]
 
@@ -147,6 +150,39 @@ def bag_of_words(df: DataFrame, words: Column) -> DataFrame:
     )
 
 
+def bag_of_lower_words(df: DataFrame, text: str, flush_at: int = FLUSH_AT) -> DataFrame:
+    """The same for the ``lower_words`` of a text column.
+
+    The texts are split and counted in Arrow batches. A task adds up its words
+    before the shuffle and hands them on whenever ``flush_at`` distinct ones have
+    gathered.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        terms, documents = Counter(), Counter()
+
+        def gathered() -> pa.RecordBatch:
+            columns = [pa.array(terms.keys(), pa.binary()).cast(pa.string()), pa.array(terms.values(), pa.int64())]
+            return pa.RecordBatch.from_arrays([*columns, pa.array([documents[w] for w in terms], pa.int64())], ["word", "terms", "documents"])
+
+        for batch in batches:
+            for found in batch.column(0):
+                if not found.is_valid:
+                    continue
+                words = split_lower(found.as_py())
+                terms.update(words)
+                documents.update(set(words))
+                if len(terms) > flush_at:
+                    yield gathered()
+                    terms.clear()
+                    documents.clear()
+        yield gathered()
+
+    lower = small_batches(df).select(F.lower(text).cast("binary").alias("text"))
+    counted = lower.mapInArrow(count, "word string, terms long, documents long")
+    return counted.groupBy("word").agg(F.sum("terms").alias("term_count"), F.sum("documents").alias("document_count"))
+
+
 def vocabulary(bag: DataFrame, size: int = 10_000, min_documents: int = 5) -> DataFrame:
     """The ``size`` most frequent words found in at least ``min_documents`` texts."""
     kept = bag.where(F.col("document_count") >= min_documents)

@@ -93,3 +93,18 @@ def test_repeated_updates_learn_the_new_texts(spark, model):
 def test_a_batch_without_known_words_changes_nothing(texts, model):
     same = topics.update_topics(model, texts.where("review_id >= 90"), 100, 1)
     assert same is model
+
+
+def test_vectors_are_what_the_counter_gives(texts, model):
+    from shelfmark.functions.text import lower_words
+
+    both = topics._counted(model.counter, texts.where("review_text is not null"), "review_text")
+    spark_ml = model.counter.transform(both.withColumnRenamed("features", "ours").withColumn("_words", lower_words(F.col("review_text"))))
+    assert all(r.ours == r.features for r in spark_ml.collect())
+
+
+def test_statistics_of_a_text_do_not_explode_its_words(texts, model):
+    """Sums are taken per word before anything is shuffled, so a long batch stays small."""
+    from checks.compare import plan
+
+    assert "Generate" not in plan(topics.word_statistics(model, texts))

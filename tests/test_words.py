@@ -89,3 +89,11 @@ def test_bag_of_words(spark, rows):
     assert rows(found) == [("", 1, 1), ("a", 2, 2), ("b", 2, 1)]
     assert rows(words.vocabulary(found, 10, 2)) == [("a", 2, 2)]
     assert [r.word for r in words.vocabulary(found, 2, 1).collect()] == ["a", "b"]
+
+
+def test_words_are_split_and_counted_as_the_columns_do(spark, rows):
+    texts = ["a  b a", " a", "", "   ", "b \t\n", "c\u00a0d \u0130x", None, "a\x0bb\fc\rd\x1ce"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    expected = rows(words.bag_of_words(df, lower_words(F.col("text"))))
+    assert rows(words.bag_of_lower_words(df, "text")) == expected
+    assert rows(words.bag_of_lower_words(df, "text", flush_at=1)) == expected
