@@ -23,6 +23,8 @@ from shelfmark.operators.words import ADJECTIVE, Tagger
 UNIT = 1_000_000
 ADDED = 0.1
 MOST_TAGS = 60
+# More than the tags and the edge of a sentence together.
+WAYS = 64
 SENTENCE_WORDS = 200
 TAGGED = "array<struct<word:string,tag:string>>"
 # Stands between sentences; worse than any sum of real scores.
@@ -107,38 +109,48 @@ def best_tags(scores: Column, model: TagModel) -> Column:
     """The tags of one sentence, from the emission scores of its words: the path of the largest sum.
 
     Of paths with the same sum the one whose last tag, then the tag before it, and
-    so on, comes first in ``model.tags`` is taken.
+    so on, comes first in ``model.tags`` is taken. A way is one whole number, its sum
+    times 64 and, in the last six bits, 63 less the tag it comes from: the largest
+    number is the largest sum, and of equal sums that of the first tag.
     """
     size = len(model.tags) + 1
-    steps = F.lit([n for line in model.steps for n in line]).cast("array<bigint>")
-    numbers = F.lit(list(range(1, size))).cast("array<int>")
-    edge = F.lit(IMPOSSIBLE).cast("bigint")
+    # per tag, what each tag before it adds to a way
+    into = [
+        F.lit([model.steps[i][j] * WAYS + WAYS - 1 - i for i in range(size)]).cast("array<bigint>") for j in range(size)
+    ]
+    edge = F.lit(IMPOSSIBLE * WAYS).cast("bigint")
     # a sum per place of ``steps``: a sentence begins at its edge, and no word is there
-    at_edge = F.lit([0] + [IMPOSSIBLE] * (size - 1)).cast("array<bigint>")
-    start = F.struct(at_edge.alias("sums"), F.array().cast("array<array<int>>").alias("back"))
+    at_edge = F.lit([0] + [IMPOSSIBLE * WAYS] * (size - 1)).cast("array<bigint>")
+    start = F.struct(at_edge.alias("sums"), F.array().cast("array<array<bigint>>").alias("back"))
 
-    def to(sums: Column, after: Column) -> Column:
-        """The best way to a tag: its sum and where it comes from, in negative so that the first of equals is largest."""
-        return F.array_max(F.transform(sums, lambda s, i: F.struct((s + F.get(steps, i * size + after)).alias("sum"), (-i).alias("from"))))
+    def to(sums: Column, after: int) -> Column:
+        """The best way to a tag."""
+        return F.array_max(F.zip_with(sums, into[after], lambda s, more: s + more))
+
+    def origin(way: Column) -> Column:
+        return (WAYS - 1 - way.bitwiseAND(F.lit(WAYS - 1))).cast("int")
 
     def step(state: Column, word: Column) -> Column:
         def settle(ways: Column) -> Column:
-            sums = F.transform(ways, lambda w, i: w.sum + F.get(word, i))
-            return F.struct(F.concat(F.array(edge), sums).alias("sums"), F.concat(state.back, F.array(F.transform(ways, lambda w: -w["from"]))).alias("back"))
+            sums = F.zip_with(ways, word, lambda way, score: way.bitwiseAND(F.lit(-WAYS)) + score * WAYS)
+            return F.struct(F.concat(F.array(edge), sums).alias("sums"), F.concat(state.back, F.array(ways)).alias("back"))
 
         # an array of one, so that the ways are worked out once
-        return F.transform(F.array(F.transform(numbers, lambda t: to(state.sums, t))), settle)[0]
+        return F.transform(F.array(F.array(*(to(state.sums, j) for j in range(1, size)))), settle)[0]
 
     def finish(state: Column) -> Column:
-        last = -to(state.sums, F.lit(0))["from"]
-        first = F.struct(last.alias("tag"), F.array().cast("array<int>").alias("path"))
+        first = F.struct(origin(to(state.sums, 0)).alias("tag"), F.array().cast("array<int>").alias("path"))
         walked = F.aggregate(
             F.reverse(state.back), first,
-            lambda at, back: F.struct(F.get(back, at.tag - 1).alias("tag"), F.concat(at.path, F.array(at.tag)).alias("path")),
+            lambda at, back: F.struct(origin(F.get(back, at.tag - 1)).alias("tag"), F.concat(at.path, F.array(at.tag)).alias("path")),
         )
         return F.transform(F.reverse(walked.path), lambda t: F.get(F.lit(model.tags), t - 1))
 
-    return F.when(F.size(scores) > 0, F.aggregate(scores, start, step, finish)).otherwise(F.array().cast("array<string>"))
+    def whole(found: Column) -> Column:
+        return F.when(F.size(found) > 0, F.aggregate(found, start, step, finish)).otherwise(F.array().cast("array<string>"))
+
+    # an array of one, so that the scores are looked up once
+    return F.transform(F.array(scores), whole)[0]
 
 
 def sentence_tagger(model: TagModel, text: str = "review_text", name: str = "tagged_words", max_words: int | None = None) -> Tagger:

@@ -109,3 +109,21 @@ def test_the_model_learns_the_rule_of_its_corpus(spark):
     same = F.zip_with("tagged", "tagged_words", lambda given, found: given.tag == found.tag)
     shares = tagged.select(F.explode(same).alias("same")).agg(F.avg(F.col("same").cast("int")))
     assert shares.first()[0] > 0.85
+
+
+def test_the_words_of_a_sentence_are_scored_once(spark, model):
+    """Emission scores are looked up in the plan once, and a way of a tag is a number, not a struct per pair of tags."""
+    text = plan(spark.range(1).select(tagging.best_tags(F.expr("transform(sequence(1, 3), x -> array(id, 0L, 0L, 0L, 0L))"), model).alias("t")))
+    assert text.count("sequence(1, 3") <= 1 and "named_struct(sum" not in text
+
+
+def test_equal_sums_and_many_tags(spark):
+    """All scores alike: the first tag everywhere; 60 tags still fit the bits of a way."""
+    for size in (1, 3, 60):
+        names = [f"t{i:02}" for i in range(size)]
+        steps = [[tagging.IMPOSSIBLE if i == j == 0 else -5 for j in range(size + 1)] for i in range(size + 1)]
+        flat = tagging.TagModel(names, steps, None, [])
+        scores = F.array(*(F.lit([-7] * size).cast("array<bigint>") for _ in range(4)))
+        last = F.array(*(F.lit([-7] * (size - 1) + [-6]).cast("array<bigint>") for _ in range(4)))
+        row = spark.range(1).select(tagging.best_tags(scores, flat).alias("a"), tagging.best_tags(last, flat).alias("b")).first()
+        assert row.a == names[:1] * 4 and row.b == names[-1:] * 4
