@@ -49,7 +49,7 @@ def iso_text(when: Column) -> Column:
 
 
 def strip_nul(text: Column) -> Column:
-    return F.translate(text, "\x00", "")
+    return F.replace(text, F.lit("\x00"), F.lit(""))
 
 
 def rating_to_int(rating: Column) -> Column:

@@ -5,20 +5,25 @@ degree words, negation, capitals, a contrasting "but", and punctuation. The
 valences come from a lexicon table ``(word, valence)`` and the words that change
 them from ``ContextWords``; both are the caller's, and none come with the code.
 
-A score depends on its own review alone, so it is an expression on the row: no
-exploding, no grouping, no shuffle. Only a lexicon too large to hold in the plan
-is reached by a join.
+A score depends on its own review alone: no exploding, no grouping, no shuffle. The
+words of a batch of reviews are worked on together, as arrays in Arrow batches, and
+each distinct text of a batch once. Only a lexicon too large to hold in the plan is
+reached by a join. Python's lower and upper case stand in for Spark's; the two differ
+in a few letters that Unicode 16 added.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmark.functions.text import WordTable, bare_words, collect_words
+from shelfmark.functions.text import PUNCTUATION, collect_words, small_batches
 from shelfmark.operators.joins import sliced_join
 
 # Constants of the published method.
@@ -31,7 +36,9 @@ EXCLAMATION_STEP, EXCLAMATION_MAX = 0.292, 4
 QUESTION_STEP, QUESTION_MAX = 0.18, 0.96
 NORMALISING_ALPHA = 15.0
 
-_MARKS = "valence: double, degree: double, negates: boolean, contrasts: boolean"
+TEXT_AT_ONCE = 1_000_000
+WORDS_KEPT = 200_000
+BLOCK_BYTES, PART_TEXT = 4_000_000, 32_000_000
 
 
 @dataclass(frozen=True)
@@ -57,83 +64,116 @@ class ContextWords:
         return found
 
 
-def _is_capitals(word: Column) -> Column:
-    return (word != F.lower(word)) & (word == F.upper(word))
-
-
-def _add_score(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Adds the score from ``_words`` and ``_marks``, two arrays of equal length.
-
-    A mark is NULL for a word the tables do not hold, which most are. What the
-    words of a review share is put in columns first, so that it is worked out
-    once per row.
-    """
-    words, marks = F.col("_words"), F.col("_marks")
-    emphasis, contrast_at = F.col("_emphasis"), F.col("_contrast_at")
-    damping = F.lit(list(DEGREE_DAMPING))
-    nothing = F.lit(0.0)
-
-    def loudness(index: Column) -> Column:
-        loud = (emphasis > 0) & _is_capitals(F.get(words, index))
-        return F.when(loud, emphasis).otherwise(nothing)
-
-    def in_context(mark: Column, index: Column) -> Column:
-        own = mark.valence + F.signum(mark.valence) * loudness(index)
-
-        def apply(value: Column, distance: Column) -> Column:
-            before = F.get(marks, index - distance)
-            direction = F.when(value < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-            push = before.degree * direction + F.when(value > 0, F.lit(1.0)).otherwise(F.lit(-1.0)) * loudness(
-                index - distance
-            )
-            step = F.when(before.degree.isNotNull(), push * F.element_at(damping, distance)).otherwise(nothing)
-            turn = F.when(before.negates, F.lit(NEGATION_FACTOR)).otherwise(F.lit(1.0))
-            # a word with a valence of its own has no other effect
-            return F.when(before.isNull() | before.valence.isNotNull(), value).otherwise((value + step) * turn)
-
-        around = F.aggregate(F.array(F.lit(1), F.lit(2), F.lit(3)), own, apply)
-        place = index + 1
-        weight = (
-            F.when((contrast_at == 0) | (place == contrast_at), F.lit(1.0))
-            .when(place < contrast_at, F.lit(BEFORE_CONTRAST))
-            .otherwise(F.lit(AFTER_CONTRAST))
-        )
-        return F.when(mark.valence.isNull(), nothing).otherwise(around * weight)
-
+class _Marks:
+    """The effects of words by place: arrays over all words of some texts, one after the other."""
+
+    def __init__(self, effects: dict[str, dict]):
+        self.effects = effects
+        self.seen: dict[str, tuple] = {}
+
+    def of(self, raw: str) -> tuple:
+        """What a word between blanks is: whether it stays, is marked, in capitals, its valence and its effects."""
+        bare = raw.strip(PUNCTUATION)
+        word = raw if len(raw) <= 2 or len(bare) <= 2 else bare
+        lower = word.lower()
+        mark = self.effects.get(lower)
+        capitals = word != lower and word == word.upper()
+        if mark is None:
+            return word != "", False, capitals, False, 0.0, False, 0.0, False, False
+        valence, degree = mark.get("valence"), mark.get("degree")
+        return (
+            word != "", True, capitals, valence is not None, valence or 0.0, degree is not None, degree or 0.0,
+            bool(mark.get("negates")), bool(mark.get("contrasts")),
+        )
+
+    def emphasised(self, texts: list[str]) -> np.ndarray:
+        """The totals, made larger by punctuation."""
+        totals = self.totals(texts)
+        return totals + np.sign(totals) * np.array([_punctuation_emphasis(t) for t in texts])
+
+    def totals(self, texts: list[str]) -> np.ndarray:
+        """The summed valences of each text; its words are those of ``bare_words(text, keep_short=True)``."""
+        words: list[str] = []
+        sizes = np.empty(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            # str.split knows the same white space as WHITE_SPACE
+            found = text.split()
+            sizes[i] = len(found)
+            words += found
+        coded = pa.array(words, pa.string()).dictionary_encode()
+        if len(self.seen) > WORDS_KEPT:
+            self.seen.clear()
+        rows = []
+        for raw in coded.dictionary.to_pylist():
+            row = self.seen.get(raw)
+            if row is None:
+                row = self.seen[raw] = self.of(raw)
+            rows.append(row)
+        owner, code = np.repeat(np.arange(len(texts)), sizes), np.asarray(coded.indices)
+        # the empty word stands behind the others, so that there always is one
+        features = [np.array(c) for c in zip(*rows, self.of(""))]
+        stays = features[0][code]
+        owner, code = owner[stays], code[stays]
+        return _totals(len(texts), owner, *(f[code] for f in features[1:]))
+
+
+def _totals(
+    texts: int, owner: np.ndarray, marked: np.ndarray, capitals: np.ndarray, valued: np.ndarray, valence: np.ndarray,
+    graded: np.ndarray, degree: np.ndarray, negates: np.ndarray, contrasts: np.ndarray,
+) -> np.ndarray:
+    """Per text the valences of its words in their context, added up in reading order."""
     # capitals stand out only where some marked word has them and not all words do
-    marked_capitals = F.zip_with(words, marks, lambda w, m: m.isNotNull() & _is_capitals(w))
-    capitals = F.size(F.filter(words, _is_capitals))
-    contrasts = F.transform(marks, lambda m: F.coalesce(m.contrasts, F.lit(False)))
-    shared = df.withColumns(
-        {
-            "_contrast_at": F.array_position(contrasts, True),
-            "_emphasis": F.when(
-                F.array_contains(marked_capitals, True) & (capitals < F.size(words)), F.lit(CAPITALS_STEP)
-            ).otherwise(nothing),
-        }
-    )
-    summed = shared.withColumn("_total", F.aggregate(F.transform(marks, in_context), nothing, lambda acc, v: acc + v))
+    sizes = np.bincount(owner, minlength=texts)
+    emphatic = (np.bincount(owner[marked & capitals], minlength=texts) > 0) & (np.bincount(owner[capitals], minlength=texts) < sizes)
+    loudness = np.where(capitals & emphatic[owner], CAPITALS_STEP, 0.0)
+    first = np.full(texts, len(owner))
+    np.minimum.at(first, owner[contrasts], np.flatnonzero(contrasts))
+
+    at = np.flatnonzero(valued)
+    value = valence[at] + np.sign(valence[at]) * loudness[at]
+    for distance in (1, 2, 3):
+        # a word with a valence of its own has no other effect
+        before = np.maximum(at - distance, 0)
+        acts = (at >= distance) & (owner[before] == owner[at])
+        acts &= marked[before] & ~valued[before]
+        # as in SQL, what is not a number is above all numbers
+        direction, side = np.where(value < 0, -1.0, 1.0), np.where((value > 0) | np.isnan(value), 1.0, -1.0)
+        push = degree[before] * direction + side * loudness[before]
+        pushed = np.where(graded[before], push * DEGREE_DAMPING[distance - 1], 0.0)
+        value = np.where(acts, (value + pushed) * np.where(negates[before], NEGATION_FACTOR, 1.0), value)
+    place = first[owner[at]]
+    none = place == len(owner)
+    weight = np.where(none | (at == place), 1.0, np.where(at < place, BEFORE_CONTRAST, AFTER_CONTRAST))
+    return np.bincount(owner[at], value * weight, texts)
+
+
+def _text_totals(marks: _Marks, column: pa.Array) -> pa.Array:
+    """The sums of a batch of texts; each distinct text is worked on once, a null text has none."""
+    coded = column.dictionary_encode()
+    texts = coded.dictionary.to_pylist()
+    sums, held, size = [np.zeros(0)], [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size > TEXT_AT_ONCE:
+            sums.append(marks.emphasised(held))
+            held, size = [], 0
+    if held:
+        sums.append(marks.emphasised(held))
+    return pa.array(np.concatenate(sums)).take(coded.indices)
+
+
+def _add_score(df: DataFrame, name: str) -> DataFrame:
+    """Adds the score from ``_total``, the sum over the words with the emphasis of the punctuation."""
     total = F.col("_total")
-    marked = summed.withColumn("_total", total + F.signum(total) * _punctuation_emphasis(F.col(text)))
     score = F.round(total / F.sqrt(total * total + F.lit(NORMALISING_ALPHA)), 4)
-    return marked.withColumn(name, F.coalesce(score, nothing)).drop(
-        "_words", "_marks", "_contrast_at", "_emphasis", "_total"
-    )
-
-
-def _punctuation_emphasis(text: Column) -> Column:
-    exclaimed = F.least(_occurrences(text, "!"), F.lit(EXCLAMATION_MAX)) * F.lit(EXCLAMATION_STEP)
-    questions = _occurrences(text, "?")
-    questioned = (
-        F.when(questions <= 1, F.lit(0.0))
-        .when(questions <= 3, questions * F.lit(QUESTION_STEP))
-        .otherwise(F.lit(QUESTION_MAX))
-    )
-    return exclaimed + questioned
+    return df.withColumn(name, F.coalesce(score, F.lit(0.0))).drop("_total")
 
 
-def _occurrences(text: Column, character: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, character, ""))
+def _punctuation_emphasis(text: str) -> float:
+    questions = text.count("?")
+    questioned = 0.0 if questions <= 1 else questions * QUESTION_STEP if questions <= 3 else QUESTION_MAX
+    return min(text.count("!"), EXCLAMATION_MAX) * EXCLAMATION_STEP + questioned
 
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -157,18 +197,17 @@ def sentiment_scorer(
     marks = context.marks()
 
     if valences is None:
-        return lambda df: _add_score(_mark_by_join(df, text, lexicon, marks), text, name)
+        return lambda df: _add_score(_sum_by_join(df, text, lexicon, marks), name)
 
     for word, valence in valences.items():
         marks.setdefault(word, {})["valence"] = valence
-    table = WordTable.build(lexicon.sparkSession, marks, f"struct<{_MARKS}>")
+    effects = _Marks(marks)
 
-    def score(df: DataFrame) -> DataFrame:
-        words = df.withColumn("_words", bare_words(F.col(text), keep_short=True))
-        marked = words.withColumn("_marks", F.transform("_words", lambda w: table.get(F.lower(w))))
-        return _add_score(marked, text, name)
+    @F.arrow_udf("double")
+    def totals(texts: pa.Array) -> pa.Array:
+        return _text_totals(effects, texts)
 
-    return score
+    return lambda df: _add_score(small_batches(df).withColumn("_total", totals(text)), name)
 
 
 def scorer_from(
@@ -178,25 +217,57 @@ def scorer_from(
     return lambda df: df.withColumn(name, F.coalesce(function(F.col(text)).cast("double"), F.lit(0.0)))
 
 
-def _mark_by_join(df: DataFrame, text: str, lexicon: DataFrame, marks: dict[str, dict]) -> DataFrame:
-    """``_words`` and ``_marks`` for a lexicon of any size, by joining words to it.
+def _sum_by_join(df: DataFrame, text: str, lexicon: DataFrame, marks: dict[str, dict]) -> DataFrame:
+    """``_total`` for a lexicon of any size, by joining words to it.
 
-    Works on each distinct text once, keyed by its digest. The regrouping brings
-    one review's own words back together, never those of several reviews.
+    Works on each distinct text once, keyed by its digest. The texts are put in
+    blocks of a few megabytes by their digests. A block's distinct words meet the
+    lexicon, and those found return to their block, so no word is moved for every
+    time it occurs. The texts are measured here.
     """
-    keyed = df.withColumn("_digest", F.sha2(F.col(text), 256))
+    rows = small_batches(df)
+    size = rows.agg(F.sum(F.octet_length(text).cast("bigint"))).first()[0] or 0
+    blocks = max(1, -(-size // BLOCK_BYTES))
+    keyed = rows.withColumn("_digest", F.unhex(F.sha2(F.col(text), 256)))
+    block = F.pmod(F.xxhash64("_digest"), F.lit(blocks)).alias("_block")
     texts = keyed.where(F.col("_digest").isNotNull()).groupBy("_digest").agg(F.any_value(text).alias("_text"))
-    words = texts.select("_digest", F.posexplode(bare_words(F.col("_text"), keep_short=True)).alias("_at", "_word"))
-    unique = lexicon.groupBy(F.col("word").alias("_lower")).agg(F.min("valence").alias("_valence"))
-    looked_up = sliced_join(words.withColumn("_lower", F.lower("_word")), unique, ["_lower"], "left")
-    effects = WordTable.build(df.sparkSession, marks, f"struct<{_MARKS}>")
-    found = looked_up.withColumn("_effect", effects.get(F.col("_lower")))
-    mark = F.struct(
-        F.col("_valence").alias("valence"),
-        *(F.col(f"_effect.{field}").alias(field) for field in ("degree", "negates", "contrasts")),
-    )
-    known = F.col("_valence").isNotNull() | F.col("_effect").isNotNull()
-    entry = F.struct("_at", F.col("_word").alias("word"), F.when(known, mark).alias("mark"))
-    lists = found.groupBy("_digest").agg(F.array_sort(F.collect_list(entry)).alias("_entries"))
-    seen = lists.select("_digest", F.col("_entries.word").alias("_words"), F.col("_entries.mark").alias("_marks"))
-    return sliced_join(keyed, seen, ["_digest"], "left").drop("_digest")
+    texts = texts.select(block, "_digest", "_text")
+    unique = lexicon.groupBy("word").agg(F.min("valence").alias("valence"))
+    # at most one row per word and block or batch, so no word is hot
+    words = texts.select("_block", "_text").mapInArrow(_block_words, "_block long, word string")
+    hits = words.join(unique, "word")
+
+    def total(key: tuple[pa.Scalar, ...], texts: pa.Table, found: pa.Table) -> pa.Table:
+        effects = {word: dict(mark) for word, mark in marks.items()}
+        for word, valence in zip(found.column("word").to_pylist(), found.column("valence").to_pylist()):
+            effects.setdefault(word, {})["valence"] = valence
+        sums = _text_totals(_Marks(effects), texts.column("_text").combine_chunks())
+        return pa.table({"_digest": texts.column("_digest"), "_total": sums})
+
+    scored = texts.groupBy("_block").cogroup(hits.groupBy("_block")).applyInArrow(total, "_digest binary, _total double")
+    return sliced_join(keyed, scored, ["_digest"], "left").drop("_digest")
+
+
+def _block_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(block, word) of every word, each once in a part of 32 million characters of a task's texts; as the lexicon has them."""
+    held: defaultdict[int, set[str]] = defaultdict(set)
+    size = 0
+
+    def part() -> pa.RecordBatch:
+        numbers = np.repeat(np.fromiter(held, np.int64, len(held)), [len(w) for w in held.values()])
+        words = [word for found in held.values() for word in found]
+        return pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(words, pa.string())], ["_block", "word"])
+
+    for batch in batches:
+        for block, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            whole = text.as_py()
+            raw = set(whole.split())
+            bare = {(w, w.strip(PUNCTUATION)) for w in raw}
+            held[block].update((w if len(w) <= 2 or len(b) <= 2 else b).lower() for w, b in bare)
+            size += len(whole)
+            if size > PART_TEXT:
+                yield part()
+                held.clear()
+                size = 0
+    if held:
+        yield part()

@@ -103,3 +103,19 @@ words = st.sampled_from(["good", "BAD", "not", "very", "but", "book", "!", "??",
 @given(st.lists(st.lists(words, max_size=40).map(" ".join), min_size=1, max_size=50))
 def test_scores_stay_within_bounds(spark, scorer, texts):
     assert all(-1.0 <= s <= 1.0 for s in scores(spark, scorer, texts))
+
+
+def test_words_are_worked_on_as_arrays_and_not_moved_one_by_one(spark, scorer):
+    from checks.compare import plan
+
+    joined = sentiment_scorer(lexicon(spark), context=CONTEXT, max_words=5)
+    texts = spark.createDataFrame([("good",)], "review_text string")
+    assert "lambdafunction" not in plan(scorer(texts))
+    assert "posexplode" not in plan(joined(texts)) and "collect_list" not in plan(joined(texts))
+
+
+def test_a_text_scores_alike_alone_and_among_others(spark, scorer):
+    texts = ["!!", "BAD", " good book\x1cBAD ", "not", "good GOOD book", "good but", " ?! ", "(good) :( x", "but but bad"] * 3
+    joined = sentiment_scorer(lexicon(spark), context=CONTEXT, max_words=5)
+    alone = [scores(spark, scorer, [text])[0] for text in texts[:9]] * 3
+    assert scores(spark, scorer, texts) == alone and scores(spark, joined, texts) == alone
