@@ -8,17 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.operators.joins import lookup_join
-from shelfmark.operators.key_filter import FILTER_BYTES, found_keys
+from shelfmark.operators.key_filter import FILTER_BYTES, found_keys, key_filter, mark_members
+from shelfmark.operators.sizing import ROWS_PER_SLICE, add_slices, have_keys, hot_keys, slice_of
 from shelfmark.sources.commits import CommitLog
 from shelfmark.sources.counted import write_counted
 from shelfmark.sources.storage import stored
 
+# a filter over new keys pays where the known ones are so many times the new rows
+KNOWN_PER_NEW = 4
+
 REASONS = T.StructField("reasons", T.ArrayType(T.StringType()))
 
 
@@ -38,7 +43,12 @@ class Rules:
 
 
 def check_rows(
-    rows: DataFrame, rules: Rules, known: DataFrame | None = None, order: list[str] | None = None, max_bytes: int = FILTER_BYTES
+    rows: DataFrame,
+    rules: Rules,
+    known: DataFrame | None = None,
+    order: list[str] | None = None,
+    max_bytes: int = FILTER_BYTES,
+    rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """The rows with ``reasons``, an array that is empty for a good row.
 
@@ -48,32 +58,67 @@ def check_rows(
     is the smallest by ``order`` (all columns by default); of rows that are alike
     one is first.
 
-    The rows are stored once with a number each. Keys are compared as distinct
-    keys, and what is found about a row comes back by its number, so neither a
-    key nor a parent that holds a third of all rows meets in one task.
+    The rows are stored once. Parents are compared as distinct keys and the rows
+    marked where they lie (see ``mark_members``), so rows with a fault are never
+    moved by key. The others meet once, by their key. A key of more than
+    ``rows_per_slice`` rows is cut into slices, and only the first rows of its
+    slices meet, so neither a key nor a parent that holds a third of all rows
+    meets in one task.
     """
+    faulty, sound = _judged(rows, rules, known, order, max_bytes, rows_per_slice)
+    return faulty.unionByName(sound)
+
+
+def _judged(
+    rows: DataFrame,
+    rules: Rules,
+    known: DataFrame | None,
+    order: list[str] | None = None,
+    max_bytes: int = FILTER_BYTES,
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> tuple[DataFrame, DataFrame]:
+    """The rows with reasons of their own and the others, whose reasons are about their key."""
     columns, key = rows.columns, list(rules.key)
     required = [*key, *(c for c in rules.required if c not in key)]
-    faults = [F.when(F.col(c).isNull(), F.lit(f"missing {c}")) for c in required]
-    faults += [F.when(F.length(c) > limit, F.lit(f"too long {c}")) for c, limit in rules.max_lengths.items()]
-    numbered = rows.withColumns({"_row": F.monotonically_increasing_id(), "_faults": F.array_compact(F.array(*faults))})
-    pinned = stored(numbered, "checked-rows")
-    for column, parent in rules.parents.items():
+    faults = [(F.col(c).isNull(), f"missing {c}") for c in required]
+    faults += [(F.coalesce(F.length(c) > limit, F.lit(False)), f"too long {c}") for c, limit in rules.max_lengths.items()]
+    # rows that are alike by an order that is given are told apart by their place
+    pinned = stored(rows if order is None else rows.withColumn("_row", F.monotonically_increasing_id()), "checked-rows")
+    marked = pinned
+    for n, (column, parent) in enumerate(rules.parents.items()):
         values = stored(pinned.select(column).where(F.col(column).isNotNull()).distinct(), "child-keys")
-        orphans = values.join(found_keys(values, parent(), max_bytes), column, "left_anti").withColumn("_orphan", F.lit(True))
-        joined = lookup_join(pinned, orphans, [column], "left")
-        more = F.when(F.col("_orphan"), F.array(F.lit(f"no parent {column}"))).otherwise(F.array().cast("array<string>"))
-        pinned = stored(joined.withColumn("_faults", F.concat("_faults", more)).select(*columns, "_row", "_faults"), "checked-rows")
-    sound = pinned.where(F.size("_faults") == 0)
-    by = [c for c in (order or columns) if c not in key]
-    firsts = stored(sound.groupBy(*key).agg(F.min(F.struct(*by, "_row")).alias("_first")).select(*key, F.col("_first._row").alias("_row")), "first-rows")
-    marks = firsts.select("_row", F.lit("").alias("_mark"))
+        found = stored(found_keys(values, parent(), max_bytes), "found-parents")
+        orphans = stored(values.join(found, column, "left_anti"), "orphans")
+        marked = mark_members(marked, orphans, found, f"_orphan_{n}", max_bytes)
+        faults.append((F.col(f"_orphan_{n}"), f"no parent {column}"))
+    none = F.array().cast("array<string>")
+    has_fault = reduce(or_, (fault for fault, _ in faults))
+    reasons = F.concat(*(F.when(fault, F.array(F.lit(reason))).otherwise(none) for fault, reason in faults))
+    faulty = marked.where(has_fault).select(*columns, reasons.alias("reasons"))
+    sound = marked.where(~has_fault).select(*pinned.columns)
+
+    by = [c for c in (order or columns) if c not in key] + ([] if order is None else ["_row"])
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(*(by or key)))
+    hot = hot_keys(pinned, key, rows_per_slice)
+    if hot is None:
+        firsts, rest = sound.withColumn("_place", place), None
+    else:
+        in_slice = F.row_number().over(Window.partitionBy(*key, "_slice").orderBy(*(by or key)))
+        dealt = add_slices(sound, key, hot).withColumn("_slice", slice_of(*columns)).drop("_slices")
+        ranked = stored(dealt.withColumn("_place", in_slice), "ranked-rows")
+        firsts, rest = ranked.where(F.col("_place") == 1).withColumn("_place", place), ranked.where(F.col("_place") > 1)
+    about_key = F.when(F.col("_place") > 1, F.array(F.lit("repeated key")))
     if known is not None:
-        old = found_keys(firsts.select(*key), known, max_bytes)
-        marks = firsts.join(old.withColumn("_old", F.lit("key exists")), key, "left").select("_row", F.coalesce("_old", F.lit("")).alias("_mark"))
-    about_key = F.when(F.size("_faults") > 0, F.lit("")).otherwise(F.coalesce("_mark", F.lit("repeated key")))
-    reasons = F.concat("_faults", F.filter(F.array(about_key), lambda r: r != ""))
-    return pinned.join(marks, "_row", "left").select(*columns, reasons.alias("reasons"))
+        old = known.select(*key).where(have_keys(key))
+        if known.count() > KNOWN_PER_NEW * pinned.count():
+            keep = key_filter(stored(sound.select(*key).distinct(), "wanted-keys"), max_bytes)
+            old = old if keep is None else keep.may_hold(old)
+        firsts = firsts.join(old.distinct().withColumn("_old", F.lit(True)), key, "left")
+        about_key = about_key.when(F.col("_old"), F.array(F.lit("key exists")))
+    judged = firsts.select(*columns, about_key.otherwise(none).alias("reasons"))
+    if rest is not None:
+        judged = judged.unionByName(rest.select(*columns, F.array(F.lit("repeated key")).alias("reasons")))
+    return faulty, judged
 
 
 class ValidatedTable:
@@ -107,15 +152,16 @@ class ValidatedTable:
         """Checks and stores ``rows``; returns the load's note with the counts ``rows`` and ``rejected``.
 
         A load that is run again under the ``name`` of the last one is passed over.
-        The keys stored so far are read by column, and moved only where they pass a
-        filter over the new keys.
+        The keys stored so far are read by column; where they are many times the new
+        rows, only those are moved that pass a filter over the new keys.
         """
         last = self.log.latest()
         if last is not None and name is not None and last["name"] == name:
             return last
         number = (last["commit"] if last else 0) + 1
         typed = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema))
-        checked = stored(check_rows(typed, self.rules, self.read() if last else None), "checked-rows")
-        good = write_counted(checked.where(F.size("reasons") == 0).drop("reasons"), f"{self.path}/rows/load={number}")
-        bad = write_counted(checked.where(F.size("reasons") > 0), f"{self.path}/quarantine/load={number}")
+        faulty, sound = _judged(typed, self.rules, self.read() if last else None)
+        sound = stored(sound, "judged-rows")
+        good = write_counted(sound.where(F.size("reasons") == 0).drop("reasons"), f"{self.path}/rows/load={number}")
+        bad = write_counted(faulty.unionByName(sound.where(F.size("reasons") > 0)), f"{self.path}/quarantine/load={number}")
         return self.log.append(last, {"name": name, "rows": good, "rejected": bad})

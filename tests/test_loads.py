@@ -8,7 +8,8 @@ from pyspark.sql import types as T
 
 from checks.compare import plan
 from shelfmark import schemas
-from shelfmark.operators.key_filter import PROBES, found_keys, key_filter
+from shelfmark.operators import key_filter as filters
+from shelfmark.operators.key_filter import PROBES, found_keys, key_filter, mark_members
 from shelfmark.plans.live_marts import LiveMart
 from shelfmark.sources import folders, validated
 from shelfmark.sources.commits import CommitLog
@@ -306,6 +307,46 @@ def test_a_hot_key_and_a_hot_parent_are_checked_by_number(spark):
     assert sorted((r.p, r.reasons, r["count"]) for r in got) == [("q", ["no parent p"], 3_000), ("x", [], 1), ("x", ["repeated key"], 2_999)]
 
 
+@pytest.mark.parametrize(("few", "max_bytes"), [(10**6, 1 << 20), (200, 1 << 20), (200, 0), (0, 1 << 20)])
+def test_members_are_marked_by_broadcast_filter_or_shuffle(spark, monkeypatch, few, max_bytes):
+    monkeypatch.setattr(filters, "fits_broadcast", lambda df: df.count() <= few)
+    keys = spark.range(12_000).select(F.col("id").cast("string").alias("k"))
+    members, others = keys.where("k % 3 = 0"), keys.where("k % 3 <> 0")
+    rows = keys.unionByName(spark.createDataFrame([("3",), ("4",), (None,), (None,)], "k string")).withColumn("x", F.lit(1))
+    got = mark_members(rows, members, others, "m", max_bytes)
+    assert got.columns == ["k", "x", "m"] and got.count() == 12_004
+    assert got.where("m <> coalesce(k % 3 = 0, false) or m is null").isEmpty() and got.where("m").count() == 4_001
+    assert few != 200 or not max_bytes or "hashpartitioning" not in plan(got)
+
+
+def test_rows_meet_once_by_key_and_those_with_a_fault_never(spark):
+    some = spark.range(1_000).select(F.col("id").cast("int").alias("a"), F.lit("ok").alias("b"), F.lit("x").alias("p"))
+    text = plan(validated.check_rows(some, rules(spark), some.select("a")))
+    assert "_row" not in text and text.count("hashpartitioning(a#") == 2 and text.count("hashpartitioning(") == 2
+
+
+@pytest.mark.parametrize("rows_per_slice", [50, 10**6])
+@pytest.mark.parametrize("known_rows", [0, 3, 60_000])
+@pytest.mark.parametrize("order", [None, ["b"]])
+def test_a_key_in_slices_has_one_first_row(spark, rows, rows_per_slice, known_rows, order):
+    i = F.col("id")
+    many = spark.range(2_000).select(
+        F.when(i % 3 == 0, 1).when(i % 3 == 1, 2).otherwise(i + 10).cast("int").alias("a"),
+        F.when(i % 5 != 0, F.concat(F.lit("b"), (i % 7).cast("string"))).alias("b"), F.lit("x").alias("p"),
+    ).unionByName(spark.createDataFrame([(None, "b0", "x"), (3, "b0", "x"), (3, "b0", "x")], SCHEMA))
+    known = spark.range(known_rows).select((i * 2).cast("int").alias("a")) if known_rows else None
+    got = validated.check_rows(many, rules(spark), known, order, rows_per_slice=rows_per_slice).collect()
+    sound = [r for r in got if r.a is not None and r.b is not None]
+    assert len(got) == 2_003 and all(("missing b" in r.reasons) == (r.b is None) and ("missing a" in r.reasons) == (r.a is None) for r in got)
+    exists = {r.a for r in sound if r.reasons == ["key exists"]}
+    firsts = [r for r in sound if r.reasons != ["repeated key"]]
+    assert sorted(r.a for r in firsts) == sorted({r.a for r in sound})
+    assert exists == {r.a for r in firsts if r.a % 2 == 0 and r.a < 2 * known_rows}
+    assert all(r.reasons == [] for r in firsts if r.a not in exists)
+    least = {a: min(r.b for r in sound if r.a == a) for a in {r.a for r in sound}}
+    assert all(r.b == least[r.a] for r in firsts)
+
+
 def test_good_rows_in_and_the_others_with_their_reasons(spark, folder, rows):
     table = validated.ValidatedTable(spark, folder("t"), SCHEMA, rules(spark))
     assert table.read().collect() == [] and table.quarantine().collect() == []
