@@ -97,17 +97,22 @@ def found_keys(keys: DataFrame, table: DataFrame, max_bytes: int = FILTER_BYTES)
     only rows that pass it meet the keys. Beyond that it is joined by shuffle, its
     keys made distinct before.
     """
-    names = keys.columns
-    wanted = stored(keys.where(have_keys(names)).distinct(), "wanted-keys")
-    narrow = table.select(*names)
+    wanted = stored(keys.where(have_keys(keys.columns)).distinct(), "wanted-keys")
+    return found_among(wanted, table, max_bytes)
+
+
+def found_among(wanted: DataFrame, table: DataFrame, max_bytes: int = FILTER_BYTES) -> DataFrame:
+    """The same for a table in storage that holds each key once and none without a value."""
+    names = wanted.columns
     keep = key_filter(wanted, max_bytes)
+    narrow = table.select(*names)
     passed = (narrow.where(have_keys(names)) if keep is None else keep.may_hold(narrow)).distinct()
     if keep is not None:
         passed = stored(passed, "passed-keys")
         if fits_broadcast(passed):
             return wanted.join(F.broadcast(passed), names, "left_semi")
     # both sides hold each key once, so no key is hot
-    return sliced_join(wanted, passed, names, "left_semi")
+    return wanted.join(passed, names, "left_semi")
 
 
 def mark_members(rows: DataFrame, members: DataFrame, others: DataFrame, name: str, max_bytes: int = FILTER_BYTES) -> DataFrame:

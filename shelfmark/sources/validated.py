@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmark.operators.key_filter import FILTER_BYTES, found_keys, key_filter, mark_members
+from shelfmark.operators.key_filter import FILTER_BYTES, found_among, key_filter, mark_members
 from shelfmark.operators.sizing import ROWS_PER_SLICE, add_slices, have_keys, hot_keys, slice_of
 from shelfmark.sources.commits import CommitLog
 from shelfmark.sources.counted import write_counted
@@ -66,7 +66,7 @@ def check_rows(
     meets in one task.
     """
     faulty, sound = _judged(rows, rules, known, order, max_bytes, rows_per_slice)
-    return faulty.unionByName(sound)
+    return faulty.unionByName(_listed(sound))
 
 
 def _judged(
@@ -77,7 +77,7 @@ def _judged(
     max_bytes: int = FILTER_BYTES,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> tuple[DataFrame, DataFrame]:
-    """The rows with reasons of their own and the others, whose reasons are about their key."""
+    """The rows with reasons of their own, and the others with what is wrong about their key as ``_about``."""
     columns, key = rows.columns, list(rules.key)
     required = [*key, *(c for c in rules.required if c not in key)]
     faults = [(F.col(c).isNull(), f"missing {c}") for c in required]
@@ -87,7 +87,7 @@ def _judged(
     marked = pinned
     for n, (column, parent) in enumerate(rules.parents.items()):
         values = stored(pinned.select(column).where(F.col(column).isNotNull()).distinct(), "child-keys")
-        found = stored(found_keys(values, parent(), max_bytes), "found-parents")
+        found = stored(found_among(values, parent(), max_bytes), "found-parents")
         orphans = stored(values.join(found, column, "left_anti"), "orphans")
         marked = mark_members(marked, orphans, found, f"_orphan_{n}", max_bytes)
         faults.append((F.col(f"_orphan_{n}"), f"no parent {column}"))
@@ -107,20 +107,27 @@ def _judged(
         dealt = add_slices(sound, key, hot).withColumn("_slice", slice_of(*columns)).drop("_slices")
         ranked = stored(dealt.withColumn("_place", in_slice), "ranked-rows")
         firsts, rest = ranked.where(F.col("_place") == 1).withColumn("_place", place), ranked.where(F.col("_place") > 1)
-    about_key = F.when(F.col("_place") > 1, F.array(F.lit("repeated key")))
+    about_key = F.when(F.col("_place") > 1, F.lit("repeated key"))
     if known is not None:
         old = known.select(*key).where(have_keys(key))
         if known.count() > KNOWN_PER_NEW * pinned.count():
             keep = key_filter(stored(sound.select(*key).distinct(), "wanted-keys"), max_bytes)
             old = old if keep is None else keep.may_hold(old)
         firsts = firsts.join(old.distinct().withColumn("_old", F.lit(True)), key, "left")
-        about_key = about_key.when(F.col("_old"), F.array(F.lit("key exists")))
-    judged = firsts.select(*columns, about_key.otherwise(none).alias("reasons"))
+        about_key = about_key.when(F.col("_old"), F.lit("key exists"))
+    judged = firsts.select(*columns, about_key.alias("_about"))
     if rest is not None:
-        judged = judged.unionByName(rest.select(*columns, F.array(F.lit("repeated key")).alias("reasons")))
+        judged = judged.unionByName(rest.select(*columns, F.lit("repeated key").alias("_about")))
     return faulty, judged
 
 
+def _listed(judged: DataFrame) -> DataFrame:
+    """``_about`` as ``reasons``. A text is stored for less than an array, so the array is made last."""
+    none = F.array().cast("array<string>")
+    reasons = F.when(F.col("_about").isNull(), none).otherwise(F.array("_about"))
+    return judged.withColumn("reasons", reasons).drop("_about")
+
+
 class ValidatedTable:
     """A stored table under ``rules``, and its quarantine.
 
@@ -162,6 +169,7 @@ class ValidatedTable:
         typed = rows.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema))
         faulty, sound = _judged(typed, self.rules, self.read() if last else None)
         sound = stored(sound, "judged-rows")
-        good = write_counted(sound.where(F.size("reasons") == 0).drop("reasons"), f"{self.path}/rows/load={number}")
-        bad = write_counted(faulty.unionByName(sound.where(F.size("reasons") > 0)), f"{self.path}/quarantine/load={number}")
+        good = write_counted(sound.where(F.col("_about").isNull()).drop("_about"), f"{self.path}/rows/load={number}")
+        refused = faulty.unionByName(_listed(sound.where(F.col("_about").isNotNull())))
+        bad = write_counted(refused, f"{self.path}/quarantine/load={number}")
         return self.log.append(last, {"name": name, "rows": good, "rejected": bad})

@@ -361,6 +361,23 @@ def test_good_rows_in_and_the_others_with_their_reasons(spark, folder, rows):
     assert (nothing["rows"], nothing["rejected"]) == (0, 0) and table.read().count() == 2
 
 
+def test_a_load_stores_the_values_of_a_parent_once_and_no_lists(spark, folder, rows, monkeypatch):
+    written, real = {}, validated.stored
+
+    def seen(df, name):
+        written.setdefault(name, []).append(df.schema)
+        return real(df, name)
+
+    monkeypatch.setattr(validated, "stored", seen)
+    monkeypatch.setattr(filters, "stored", seen)
+    table = validated.ValidatedTable(spark, folder("t"), SCHEMA, rules(spark))
+    table.load(spark.createDataFrame([(1, "ok", "x"), (1, "zz", "x"), (2, "ok", "q"), (3, "ok", None)], SCHEMA))
+    assert "wanted-keys" not in written and len(written["child-keys"]) == 1
+    assert [f.dataType for f in written["judged-rows"][0]] == [f.dataType for f in SCHEMA] + [T.StringType()]
+    assert rows(table.read()) == [(1, "ok", "x", 1), (3, "ok", None, 1)]
+    assert rows(table.quarantine()) == [(1, "zz", "x", ["repeated key"], 1), (2, "ok", "q", ["no parent p"], 1)]
+
+
 def test_folders_are_moved_and_replaced(spark, folder):
     folders.write_note(spark, folder("a/one"), "1")
     folders.write_note(spark, folder("b/one"), "2")
